@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import line_dedup, mixing, url_filter
+from ledgerloom.llm import decontam, language, line_dedup, mixing, pii, quality, simhash, topk, toxicity, url_filter
 from ledgerloom.llm.common import table
 
 
@@ -56,6 +56,47 @@ SELECT doc_id, CASE WHEN text IS NULL THEN NULL ELSE array_to_string(kept, chr(1
 """
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, labels))
+
+
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.coalesce(F.col("vec_id") % 50 == 0, F.lit(False)))
+
+
+OP4_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e::DOUBLE[], c.e::DOUBLE[])::BIGINT AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.score_quality(docs, quality.fit_quality(docs, labels))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit_language(docs))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_entities(table(spark, sf_dir, "documents"))
+
+
+def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page counts as bad where its document's label says low quality or toxic."""
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
@@ -63,8 +104,9 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_mixing": op1_mixing,
-    "op2_line_dedup": op2_line_dedup,
-    "op9_url_filter": op9_url_filter,
+    f.__name__: f
+    for f in (
+        op1_mixing, op2_line_dedup, op3_toxicity, op4_topk, op5_quality, op6_simhash, op7_language, op8_pii, op9_url_filter, op10_decontam,
+    )
 }
-ORACLES = {"op1_mixing": OP1_SQL, "op2_line_dedup": OP2_SQL}
+ORACLES = {"op1_mixing": OP1_SQL, "op2_line_dedup": OP2_SQL, "op4_topk": OP4_SQL}

@@ -18,6 +18,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgerloom.llm.common import cut
+
 #: (verdict, host, path): a rule fits its host and all subdomains.
 RULES = (
     ("allow", "com", "/"),
@@ -86,6 +88,7 @@ def template_verdicts(counts: DataFrame, max_depth: int, min_children: int, min_
             .join(child.alias("c"), (F.col("t.host") == F.col("c.host")) & (F.col("t.node") == F.col("c.node")) & F.col("t.level").eqNullSafe(F.col("c.level")))
             .select("t.host", "t.raw", "t.n", "t.good", "t.bad", F.concat("t.node", "c.step").alias("node"))
         )
+        tree = cut(tree.withColumn("level", F.lit(None).cast("string")))  # each level uses the one above twice
     prior = counts.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 1.0) / (F.coalesce(F.sum("good") + F.sum("bad"), F.lit(0)) + 2.0)).alias("prior"))
     leaf = tree.groupBy("host", "node").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).join(F.broadcast(prior))
     purity = (F.col("bad") + strength * F.col("prior")) / (F.col("good") + F.col("bad") + strength)
@@ -101,8 +104,6 @@ def filter_urls(
 
     Returns key, host, path, rule, template, purity, verdict.
     """
-    from ledgerloom.llm.common import cut
-
     host, path = host_and_path(F.col("url"))
     urls = pages.select(F.col(key), host.alias("host"), path.alias("path")).withColumn("raw", raw_template(F.col("path"), max_depth))
     marks = labels.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.col("bad").cast("int")).alias("bad"))

@@ -1,0 +1,293 @@
+"""Each operator on small inputs: brute force, edge cases, nulls, repeats, empty tables, clashing columns."""
+
+import re
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from ledgerloom.llm import components, decontam, language, line_dedup, mixing, pii, quality, registry, simhash, topk, toxicity, url_filter
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def docs(spark, texts, source="s"):
+    return spark.createDataFrame([(i, t, "en", source, 0) for i, t in enumerate(texts)], DOCS)
+
+
+EDGE = [None, "", "   ", "a", "same line\nother", "same line\nother", "é" * 50, "word " * 30_000]
+
+
+def clashing(df):
+    for c in ("score", "fp", "u", "v", "bucket", "n", "line", "host", "block", "rank", "component_id", "held_out", "label", "mix_epoch", "_source_x"):
+        df = df.withColumn(c, F.lit("x"))
+    return df
+
+
+@pytest.mark.parametrize("form", ["edge", "empty"])
+def test_edge_cases(spark, form):
+    d = clashing(docs(spark, EDGE if form == "edge" else []))
+    n = 0 if form == "empty" else len(EDGE)
+    labels = spark.createDataFrame([(i, i % 2, (i + 1) % 2) for i in range(n)], "doc_id long, quality int, toxic int")
+    assert simhash.near_duplicates(d).count() == n
+    assert simhash.near_duplicates_similar(d, tables=8).count() == n
+    assert quality.score_quality(d, quality.fit_quality(d, labels)).filter("score between 0 and 1").count() == n
+    assert toxicity.score_toxicity(d, toxicity.fit_toxicity(d, labels)).filter("score between 0 and 1").count() == n
+    assert language.identify(d, language.fit_language(d)).filter("score between 0 and 1").count() == n
+    assert pii.replace_entities(d).count() == n
+    assert line_dedup.dedup_lines(d).count() == n
+    assert decontam.find_leaks(d, spark.createDataFrame([(1, None), (2, "")], "item_id long, text string")).count() == 0
+    mixed = mixing.mix_sources(d)
+    assert mixed.count() == (5 if n else 0)  # the texts with tokens, once each: one source
+    assert mixed.columns.count("mix_epoch") == 1
+
+
+def brute_fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] if len(words) > 3 else [" ".join(words)] if words else []
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_simhash_equals_brute_force(spark, sf):
+    rows = registry.op6_simhash(spark, sf).collect()
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    fps = {i: brute_fingerprint(t) for i, t in texts.items()}
+    parent = {i: i for i in texts}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    ids = sorted(texts)
+    for a in ids:
+        for b in ids:
+            if a < b and (fps[a] ^ fps[b]).bit_count() <= 3:
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    assert {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in rows} == {i: (f"{fps[i]:016x}", find(i)) for i in ids}
+    assert len({find(i) for i in ids}) < len(ids)
+
+
+def test_links_of_close_fingerprints_are_not_lost(spark):
+    rng = np.random.default_rng(0)
+    base = [int(x) for x in rng.integers(0, 1 << 63, 60)]
+    fps = set(base)
+    for x in base:
+        for _ in range(12):
+            y = x
+            for b in rng.choice(64, rng.integers(1, 6), replace=False):
+                y ^= 1 << int(b)
+            fps.add(y)
+    fps = sorted(x - (1 << 64) if x >= 1 << 63 else x for x in fps)
+    links = simhash.link_fingerprints(spark.createDataFrame([(x,) for x in fps], "fp long"))
+    root = {r["u"]: r["root"] for r in components.components(links).collect()}
+    parent = {x: x for x in fps}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(fps):
+        for b in fps[i + 1 :]:
+            if ((a ^ b) & (2**64 - 1)).bit_count() <= 3:
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    assert {x: root.get(x, x) for x in fps} == {x: find(x) for x in fps}
+
+
+def test_similar_documents_meet(spark):
+    rng = np.random.default_rng(1)
+    words = np.array([f"w{i}" for i in range(5000)])
+    base = rng.choice(words, 300)
+    near, far = base.copy(), base.copy()
+    near[[20, 150]] = "changed"  # 10 of 296 shingles
+    far[::4] = "other"
+    out = simhash.near_duplicates_similar(docs(spark, [" ".join(x) for x in (base, near, far, base)])).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == {0: 0, 1: 0, 2: 2, 3: 0}
+
+
+def test_components_of_a_long_chain(spark):
+    e = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(500, 501), (501, 502), (7, 7)], "u long, v long")
+    got = {r["u"]: r["root"] for r in components.components(e).collect()}
+    assert got == {i: 0 for i in range(1, 101)} | {501: 500, 502: 500}
+
+
+def test_top_k_equals_brute_force(spark):
+    rng = np.random.default_rng(2)
+    vec = rng.normal(size=(300, 8)).round(1).astype("float32")
+    rows = [(i, v.tolist()) for i, v in enumerate(vec)] + [(1000, None), (1050, [1.0, None]), (1100, [float("nan")] * 8), (None, [1.0] * 8), (7, vec[7].tolist())]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.coalesce(F.col("vec_id") % 50 == 0, F.lit(False))).collect()
+    q = np.floor(256 * vec.astype(float)).astype(int)
+    want = []
+    for i in range(0, 300, 50):
+        order = sorted((j for j in range(300) if j != i), key=lambda j: (-(q[i] @ q[j]), j))[:5]
+        want += [(i, r + 1, j, int(q[i] @ q[j])) for r, j in enumerate(order)]
+    assert sorted(map(tuple, got)) == want
+    assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).count() == 0
+
+
+def test_top_k_block_stops_early_without_loss():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(2000, 16)) * 100 + rng.normal(size=(5, 16))[rng.integers(0, 5, 2000)] * 400
+    x = np.floor(x)
+    piv = topk.choose_pivots(x, 16)
+    d = np.linalg.norm(x[:, None] - piv[None], axis=2)
+    ids = np.arange(2000)
+    got = topk.search_block(ids[:20], x[:20], d[:20], ids, x, d, 5)
+    for i in range(20):
+        s = x @ x[i]
+        best = sorted((j for j in ids if j != i), key=lambda j: (-s[j], j))[:5]
+        assert sorted(g[1] for g in got if g[0] == i) == sorted(best)
+
+
+def edit(a, b):
+    row = [0] * (len(b) + 1)
+    for i, x in enumerate(a):
+        new = [i + 1]
+        for j, y in enumerate(b):
+            new.append(min(row[j + 1] + 1, new[j] + 1, row[j] + (x != y)))
+        row = new
+    return min(row)
+
+
+def test_decontamination_equals_brute_force(spark):
+    rng = np.random.default_rng(4)
+    vocab = np.array(["the", "of", "and", *[f"w{i}" for i in range(60)]])
+    items = [(i, list(rng.choice(vocab, n))) for i, n in enumerate((8, 15, 15, 22, 40, 3))]
+    texts = []
+    for trial in range(80):
+        words = list(rng.choice(vocab, rng.integers(5, 120)))
+        if trial % 2:
+            item = list(items[trial % len(items)][1])
+            for _ in range(rng.integers(0, max(1, len(item) // 4) + 1)):
+                p = rng.integers(0, len(item))
+                kind = rng.integers(0, 3)
+                item[p : p + 1] = [] if kind == 0 else ["new"] if kind == 1 else [item[p], "new"]
+            at = rng.integers(0, len(words))
+            words[at:at] = item
+        texts.append(words)
+    got = decontam.find_leaks(docs(spark, [" ".join(t) for t in texts]), spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string"))
+    got = {(r["doc_id"], r["item_id"]): r["edits"] for r in got.collect()}
+    want = {(d, i): e for d, t in enumerate(texts) for i, w in items if (e := edit(w, t)) <= int(0.2 * len(w))}
+    assert set(got) <= set(want)
+    assert len(set(want) - set(got)) <= 0.02 * len(want) + 1
+    assert all(got[k] == want[k] for k in got)
+    exact = {k for k, e in want.items() if e == 0}
+    assert exact and exact <= set(got)
+
+
+def test_decontamination_finds_planted_passages(spark, sf):
+    d = {r["doc_id"]: decontam.words_of(r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    items = {r["item_id"]: decontam.words_of(r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
+    held = {(i, k) for i, t in d.items() for k, w in items.items() if f" {' '.join(w)} " in f" {' '.join(t)} "}
+    assert held and held <= {(r["doc_id"], r["item_id"]) for r in registry.op10_decontam(spark, sf).collect()}
+
+
+def _accuracy(rows, truth):
+    held = [(r, truth[r["doc_id"]]) for r in rows if r["held_out"] and r["doc_id"] in truth]
+    assert all(zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2 for r, _ in held)
+    return held
+
+
+def test_classifiers_hold_out(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = {r["doc_id"]: r for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    held = _accuracy(registry.op5_quality(spark, sf).collect(), labels)
+    assert np.mean([r["predicted"] == t["quality"] for r, t in held]) > 0.97
+    held = _accuracy(registry.op3_toxicity(spark, sf).collect(), labels)
+    assert np.mean([r["predicted"] == t["toxic"] for r, t in held]) > 0.93
+    langs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    held = _accuracy(registry.op7_language(spark, sf).collect(), langs)
+    assert np.mean([r["lang_pred"] == t for r, t in held]) > 0.97
+
+
+def test_language_without_letters(spark):
+    d = spark.createDataFrame([(1, "le chat est la " * 20, "fr"), (2, "the cat is on it " * 20, "en"), (3, "123 !!", "en"), (4, None, None)], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(d, language.fit_language(d)).collect()}
+    assert got[3] == got[4] == "und" and got[1] != "und"
+
+
+def test_toxic_grammar():
+    g = toxicity.Grammar({"vequ-": 3.0})
+    plain, aimed = g.document("A vequma here.")[0], g.document("You are a vequma here.")[0]
+    assert aimed > plain > 0
+    assert g.document("He said you are a vequma.")[0] < aimed
+    assert g.document("You are not a vequma.")[0] < aimed
+    assert g.document("All is well. Not a thing said.")[0] == 0
+
+
+def test_crf_marginals_equal_enumeration():
+    rng = np.random.default_rng(5)
+    s, t = rng.normal(size=(1, 4, 2)), rng.normal(size=(2, 2))
+    p, pair = quality.marginals(s, t, np.array([4]))
+    paths = np.array(np.meshgrid(*[[0, 1]] * 4)).reshape(4, -1).T
+    w = np.exp([s[0, range(4), y].sum() + sum(t[a, b] for a, b in zip(y, y[1:])) for y in paths])
+    w /= w.sum()
+    assert np.allclose(p[0, :, 1], [(w * paths[:, i]).sum() for i in range(4)])
+    assert np.allclose(pair[0, 1], sum(w[k] * sum((a, b) == (0, 1) for a, b in zip(y, y[1:])) for k, y in enumerate(paths)))
+
+
+def test_surrogates(spark):
+    text = "Mail anna.b@mail.example.com or +1 (017) 555-7713 from 10.20.30.40; card 4539578763621486, token = \"abc123def456\". Frau Meier and Frau Meier."
+    d = docs(spark, [text, "clean text 12", text.replace("anna", "berta"), None])
+    rows = {r["doc_id"]: r for r in pii.replace_entities(d).collect()}
+    out = rows[0]["text"]
+    for secret in ("anna.b", "555-7713", "10.20.30.40", "4539578763621486", "abc123def456", "Meier"):
+        assert secret not in out
+    assert rows[0]["entities"] == 7 and rows[1]["text"] == "clean text 12" and rows[3]["text"] is None
+    name = re.findall(r"Frau (\w+)", out)
+    assert name[0] == name[1] and name[0][0].isupper()
+    card = re.search(r"card (\d{16})", out).group(1)
+    assert pii.luhn_digit(card[:-1]) == card[-1]
+    a, b = (re.search(r"Mail (\S+)", rows[i]["text"]).group(1) for i in (0, 2))
+    assert a != b and re.fullmatch(r"[a-z]{4}\.[a-z]@[a-z]{4}\.[a-z]{7}\.com", a)
+    assert re.search(r"\+1 \(\d{3}\) \d{3}-\d{4}", out)
+
+
+def test_surrogates_are_one_to_one():
+    key = b"k"
+    for kind, values in (("ip", [f"10.0.{i // 256}.{i % 256}" for i in range(3000)]), ("secret", [f"{i:06x}" for i in range(3000)]), ("card", [f"{i:016d}" for i in range(3000)])):
+        assert len({pii.surrogate(kind, v, key) for v in values}) == len(values)
+
+
+def test_line_dedup(spark):
+    d = docs(spark, [f"header\nown {i}\n\nfooter {i % 3}" for i in range(30)] + ["header\nown 0\n\nfooter 0"] * 20)
+    got = line_dedup.dedup_lines(d, ratio=0.5, min_pages=5).collect()
+    assert all("header" not in r["text"] and "footer" in r["text"] and r["lines_dropped"] == 1 for r in got)
+
+
+def test_mixing_meets_its_budgets(spark):
+    rows = [(i, "t " * (1 + i % 5), None, "big" if i < 600 else f"s{i % 3}" if i < 690 else None, 0) for i in range(700)]
+    d = spark.createDataFrame(rows, DOCS)
+    got = mixing.mix_sources(d, max_repeats=3.0).groupBy("source").agg(F.sum("mix_tokens").alias("t"), F.max("mix_epoch").alias("e")).collect()
+    assert len(got) == 5 and max(r["e"] for r in got) <= 3
+    total = sum(1 + i % 5 for i in range(700))
+    assert abs(sum(r["t"] for r in got) - total) < 25
+    p = np.array([r["t"] for r in got]) / total
+    assert -(p * np.log(p)).sum() <= 0.96 * np.log(5) + 0.02
+
+
+def test_url_rules(spark):
+    urls = [None, "nothing", "http://A.Example.COM/en/1?x", "https://www.example.com/en/2", "http://x.net/es/1#t", "http://x.net/de/1", "http://com?q", "http://notexample.com/en/3"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    labels = spark.createDataFrame([(5, True), (None, True)], "page_id long, bad boolean")
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filter.filter_urls(pages, labels).collect()}
+    assert got[0] == ("", "", None, got[0][3]) and got[1][:3] == ("", "", None)
+    assert got[2] == ("a.example.com", "/en/1", "example.com/en/", "block")
+    assert got[3] == ("www.example.com", "/en/2", "www.example.com/en/", "allow")
+    assert got[4] == ("x.net", "/es/1", "net/es/", "block")
+    assert got[6][:3] == ("com", "", None)
+    assert got[7] == ("notexample.com", "/en/3", "com/", "allow")
+
+
+def test_url_templates_reject_bad_branches(spark):
+    pages = [(i, f"http://h.org/{'shop' if i % 2 else 'news'}/{i}.html") for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2 == 1) for i in range(0, 400, 3)], "page_id long, bad boolean")
+    got = url_filter.filter_urls(spark.createDataFrame(pages, "page_id long, url string"), labels).collect()
+    assert all(r["verdict"] == ("block" if r["page_id"] % 2 else "allow") for r in got)
+    assert {r["template"] for r in got} == {"/shop/*.html", "/news/*.html"}
