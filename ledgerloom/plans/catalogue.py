@@ -1,4 +1,4 @@
 """All queries by name, with the SQL that gives the same rows where SQL can."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from ledgerloom.plans import market  # noqa: F401  (they register themselves)
+from ledgerloom.plans.base import ORACLES, QUERIES  # noqa: F401
