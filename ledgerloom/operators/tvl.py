@@ -35,3 +35,61 @@ def active_liquidity(ticks: DataFrame) -> DataFrame:
     """Per (pool, block): liquidity of the ranges that hold the tick, lower end in, upper end out."""
     inside = (F.col("tick_lower") <= F.col("tick")) & (F.col("tick") < F.col("tick_upper"))
     return ticks.groupBy("pool", "block").agg(F.sum(F.when(inside, F.col("liquidity")).otherwise(0)).alias("active_liquidity"))
+
+
+def position_totals(ticks: DataFrame, prices: DataFrame) -> DataFrame:
+    """Per (pool, block) the sums of both tokens over its positions at its square-root price, as decimal text.
+
+    ticks: pool, block, tick_lower, tick_upper, liquidity; prices: pool, block, sqrt_price. Position amounts are computed once
+    per distinct (price, range, liquidity). Targets without positions or price have no row.
+    """
+    from ledgerloom.functions.fixedpoint import position_udf
+    from ledgerloom.functions.words import sum_u256
+
+    asked = ["sqrt_price", "tick_lower", "tick_upper", "liquidity"]
+    rows = ticks.join(prices.filter(F.col("sqrt_price").isNotNull()), ["pool", "block"])
+    amounts = rows.select(*asked).distinct().withColumn("a", position_udf(*[F.col(c) for c in asked])).select(*asked, "a.*")
+    return rows.join(amounts, asked).groupBy("pool", "block").agg(sum_u256(F.col("amount0")).alias("amount0"), sum_u256(F.col("amount1")).alias("amount1"))
+
+
+def value_usd(base, quote, price, usd, supply=None) -> dict:
+    """TVL and market cap from token amounts (already scaled by decimals): null without a USD price of the quote."""
+    out = {"tvl_usd": (base * price + quote) * usd}
+    return out | ({"market_cap_usd": supply * price * usd} if supply is not None else {})
+
+
+def fill_snapshots(snapshots: DataFrame, tvl: DataFrame) -> DataFrame:
+    """TVL into snapshots. A row that exists keeps prices and volumes and gets the TVL columns; where only liquidity moved, a row
+    comes in with the previous close (or the bootstrap price) in all four prices and no volume; without either it does not.
+
+    snapshots: pool, block, ts, price_open/close/high/low, volume1, swap_count; tvl: pool, block, tvl_ts, tvl_usd, bootstrap.
+    """
+    both = snapshots.withColumn("_swap", F.lit(True)).join(tvl, ["pool", "block"], "full_outer")
+    before = Window.partitionBy("pool").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = F.coalesce(F.last("price_close", ignorenulls=True).over(before), F.col("bootstrap"))
+    both = both.withColumn("_p", F.when(F.col("_swap"), None).otherwise(carried)).filter(F.col("_swap") | F.col("_p").isNotNull())
+    prices = [F.coalesce(c, "_p").alias(c) for c in ("price_open", "price_close", "price_high", "price_low")]
+    return both.select(
+        "pool", "block", F.coalesce("tvl_ts", "ts").alias("ts"), *prices,
+        F.coalesce("volume1", F.lit(0)).alias("volume1"), F.coalesce("swap_count", F.lit(0)).alias("swap_count"), "tvl_usd",
+    )
+
+
+def fill_state(state: DataFrame, tvl: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """TVL into the latest-state table: each pool's last TVL row updates a state of the same or an older block, keeping its price; a
+    pool without state is bootstrapped; a newer state stays. The rolling columns are those of the filled snapshots at that block.
+
+    state: pool, block, price, tvl_usd, volume_24h, swaps_24h; snapshots: what fill_snapshots returned.
+    """
+    from ledgerloom.operators.ohlc import rolling
+
+    last = tvl.groupBy("pool").agg(F.max_by(F.struct("block", "tvl_usd", "bootstrap"), "block").alias("n")).select("pool", "n")
+    windows = rolling(snapshots).select("pool", F.col("block").alias("w_block"), "volume_24h", "swaps_24h", F.col("price_close").alias("w_price"))
+    both = state.withColumn("s", F.struct(*[c for c in state.columns if c != "pool"])).select("pool", "s").join(last, "pool", "full_outer")
+    both = both.join(windows, (both["pool"] == windows["pool"]) & (F.col("n.block") == F.col("w_block")), "left").drop(windows["pool"])
+    take = F.col("n").isNotNull() & (F.col("s").isNull() | (F.col("n.block") >= F.col("s.block")))
+    pick = lambda new, old: F.when(take, new).otherwise(F.col(f"s.{old}")).alias(old)
+    return both.select(
+        "pool", pick(F.col("n.block"), "block"), pick(F.coalesce("s.price", "w_price", "n.bootstrap"), "price"), pick(F.col("n.tvl_usd"), "tvl_usd"),
+        pick(F.coalesce("volume_24h", F.lit(0).cast("bigint")), "volume_24h"), pick(F.coalesce("swaps_24h", F.lit(0).cast("bigint")), "swaps_24h"),
+    ).filter("price is not null")

@@ -34,7 +34,7 @@ def g09(spark, sf):
     return S.v2_swaps(fx.swaps(spark, sf)).select("pool", "block", "log_index", "price")
 
 
-@query("g02_mint_burn", """SELECT l_partkey % 16 AS pool, epoch(l_shipdate)::BIGINT // 604800 AS block, count(*) AS n,
+@query("g02_mint_burn", """SELECT l_partkey % 16 AS pool, floor(epoch(l_shipdate))::BIGINT // 604800 AS block, count(*) AS n,
 sum((CASE WHEN l_linestatus = 'O' THEN l_quantity ELSE -l_quantity END)::BIGINT)::BIGINT AS net FROM lineitem GROUP BY 1, 2""")
 def g02(spark, sf):
     liq = fx.liquidity(spark, sf).withColumn("log_index", F.lit(0)).withColumn("amount", F.abs("liquidity_delta"))

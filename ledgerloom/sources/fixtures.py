@@ -100,23 +100,23 @@ CTE = {
       CASE WHEN l_returnflag = 'R' THEN 0 ELSE round(l_extendedprice * 100)::BIGINT END AS amount1_in,
       CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_quantity::BIGINT END AS amount0_out,
       CASE WHEN l_returnflag = 'R' THEN round(l_extendedprice * 100)::BIGINT ELSE 0 END AS amount1_out
-      FROM (SELECT *, l_partkey % 16 AS pool, epoch(l_shipdate)::BIGINT // {WEEK} AS block FROM lineitem))""",
-    "v_liq": f"""v_liq AS (SELECT l_partkey % 16 AS pool, epoch(l_shipdate)::BIGINT // {WEEK} AS block,
+      FROM (SELECT *, l_partkey % 16 AS pool, floor(epoch(l_shipdate))::BIGINT // {WEEK} AS block FROM lineitem))""",
+    "v_liq": f"""v_liq AS (SELECT l_partkey % 16 AS pool, floor(epoch(l_shipdate))::BIGINT // {WEEK} AS block,
       (l_suppkey % 10 * 60)::INTEGER AS tick_lower, (l_suppkey % 10 * 60 + 600)::INTEGER AS tick_upper,
       (CASE WHEN l_linestatus = 'O' THEN l_quantity ELSE -l_quantity END)::BIGINT AS liquidity_delta FROM lineitem)""",
-    "v_transfers": f"""v_transfers AS (SELECT o_orderkey AS log_index, epoch(o_orderdate)::BIGINT // {WEEK} AS block,
-      epoch(o_orderdate)::BIGINT AS ts, o_custkey % 7 AS token, o_custkey AS from_address, o_custkey % 97 AS to_address,
+    "v_transfers": f"""v_transfers AS (SELECT o_orderkey AS log_index, floor(epoch(o_orderdate))::BIGINT // {WEEK} AS block,
+      floor(epoch(o_orderdate))::BIGINT AS ts, o_custkey % 7 AS token, o_custkey AS from_address, o_custkey % 97 AS to_address,
       round(o_totalprice * 100)::BIGINT AS value FROM orders)""",
     "v_blocks": """v_blocks AS (SELECT event_id AS number, md5(event_id::VARCHAR) AS hash,
-      md5((event_id - 1)::VARCHAR || CASE WHEN event_id % 97 = 0 THEN 'x' ELSE '' END) AS parent_hash, epoch(ts)::BIGINT AS ts
+      md5((event_id - 1)::VARCHAR || CASE WHEN event_id % 97 = 0 THEN 'x' ELSE '' END) AS parent_hash, floor(epoch(ts))::BIGINT AS ts
       FROM events WHERE event_id % 50 <> 49)""",
     "v_calls": """v_calls AS (SELECT event_id // 10 AS block_number, event_id % 10 AS log_index, user_id AS target,
       event_type AS function_name, event_id AS value, event_id % 33 = 0 AS is_reverted FROM events WHERE event_id % 3 = 0)""",
-    "v_logs": """v_logs AS (SELECT event_id // 10 AS block_number, event_id % 10 AS log_index, epoch(ts)::BIGINT AS block_timestamp,
+    "v_logs": """v_logs AS (SELECT event_id // 10 AS block_number, event_id % 10 AS log_index, floor(epoch(ts))::BIGINT AS block_timestamp,
       user_id AS emitter, event_type, value, event_id, event_id % 23 <> 0 AS has_topics FROM events)""",
     "v_edges": """v_edges AS (SELECT l_partkey % 40 AS a, l_suppkey % 40 AS b, sum(round(l_extendedprice * 100)::BIGINT)::BIGINT AS liquidity
       FROM lineitem WHERE l_partkey % 40 <> l_suppkey % 40 AND abs(l_partkey % 40 - l_suppkey % 40) <= 2 GROUP BY ALL)""",
-    "v_progress": "v_progress AS (SELECT DISTINCT o_orderpriority AS handler, epoch(o_orderdate)::BIGINT // 86400 AS range_index FROM orders)",
+    "v_progress": "v_progress AS (SELECT DISTINCT o_orderpriority AS handler, floor(epoch(o_orderdate))::BIGINT // 86400 AS range_index FROM orders)",
 }
 
 
