@@ -98,7 +98,9 @@ def static(value: Column, kind: str) -> Column:
 
 
 def is_dynamic(kind: str) -> bool:
-    return kind in ("string", "bytes") or "[" in kind or kind.startswith("(") and any(is_dynamic(p) for p in split_top(kind[1 : kind.rindex(")")]))
+    if kind.endswith("]"):
+        return kind.endswith("[]") or is_dynamic(kind[: kind.rindex("[")])
+    return kind in ("string", "bytes") or kind.startswith("(") and any(is_dynamic(p) for p in split_top(kind[1:-1]))
 
 
 def decode_static(logs: DataFrame, event: dict) -> tuple[DataFrame, DataFrame]:

@@ -95,10 +95,10 @@ REGISTRY = (
 def registry(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """JSON files of contracts -> contracts, events, calls and factories as flat tables."""
     raw = spark.read.schema(REGISTRY).option("multiLine", "true").json(path)
-    base = ["name", "address", F.coalesce("start_block", F.lit(0).cast("bigint")).alias("start_block")]
+    base = [F.col("name").alias("contract"), "address", F.coalesce("start_block", F.lit(0).cast("bigint")).alias("start_block")]
 
     def flat(column: str) -> DataFrame:
-        return raw.select(*[F.col(c).alias("contract") if c == "name" else c for c in base], F.explode(column).alias("x")).select("contract", "address", "start_block", "x.*")
+        return raw.select(*base, F.explode(column).alias("x")).select("contract", "address", "start_block", "x.*")
 
     return {"contracts": raw.select(*base), "events": flat("events"), "calls": flat("calls"), "factories": flat("factories")}
 
