@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerloom.llm.common import held_out, labelled_sample
 
@@ -196,3 +196,14 @@ def score_quality(docs: DataFrame, model: dict, *, key: str = "doc_id", threshol
     rows = docs.select(key, "text")
     out = rows.mapInPandas(run, f"{key} {rows.schema[key].dataType.simpleString()}, score double")
     return out.select(key, held_out(F.col(key)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, model: dict, *, threshold: float = 0.7) -> DataFrame:
+    """The rows of docs, all columns, whose text scores at least the threshold. Only the text goes through Python."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf(T.DoubleType())
+    def scored(texts: pd.Series) -> pd.Series:
+        return pd.Series(score(shared.value, list(texts)))
+
+    return docs.filter(scored("text") >= threshold)

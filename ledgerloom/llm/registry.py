@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from ledgerloom.llm import decontam, language, line_dedup, mixing, pii, quality, simhash, topk, toxicity, url_filter
 from ledgerloom.llm.common import table
 
@@ -109,4 +110,5 @@ QUERIES = {
         op1_mixing, op2_line_dedup, op3_toxicity, op4_topk, op5_quality, op6_simhash, op7_language, op8_pii, op9_url_filter, op10_decontam,
     )
 }
+QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES = {"op1_mixing": OP1_SQL, "op2_line_dedup": OP2_SQL, "op4_topk": OP4_SQL}
