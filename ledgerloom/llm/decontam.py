@@ -56,8 +56,13 @@ def infix_distance(item: np.ndarray, stretch: np.ndarray) -> int:
     return int(row.min())
 
 
+def moves(word: np.ndarray, factor: np.uint64) -> np.ndarray:
+    """A walk's bit for a word at a step (the step's odd factor): the top bit of a multiplicative hash."""
+    return (((word.astype(np.uint64) + np.uint64(1)) * factor) >> np.uint64(63)).astype(np.int64)
+
+
 class Index:
-    """The items of one block by length, with the walks' bits, the sampled steps and the items' keys."""
+    """The items of one block by length, with the walks' factors, the sampled steps and the items' keys."""
 
     def __init__(self, items: list[tuple[int, str]], edit_rate: float, target_recall: float, seed: int = 5):
         split = [(i, words_of(t)) for i, t in items]
@@ -76,16 +81,15 @@ class Index:
         for n, group in sorted(by_length.items()):
             walks = []
             for w in range(WALKS):
-                bits = rng.integers(0, 2, (3 * n, self.end + 1)).astype(np.int64)
+                factors = rng.integers(0, 1 << 63, 3 * n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
                 mine = tables // WALKS + (w < tables % WALKS)
-                walks.append((bits, np.sort(rng.integers(0, 3 * n, (mine, SAMPLED)), axis=1)))
+                walks.append((factors, np.sort(rng.integers(0, 3 * n, (mine, SAMPLED)), axis=1)))
             x = np.stack([v for _, v in group])
-            known = np.zeros(self.end + 1, bool)
-            known[x.ravel()] = True
+            known = np.unique(x)
             keys = [[np.unique(col, return_inverse=True) for col in self.keys(x, *walk).T] for walk in walks]
             self.groups.append((n, [i for i, _ in group], x, known, walks, keys))
 
-    def keys(self, x: np.ndarray, bits: np.ndarray, picks: np.ndarray) -> np.ndarray:
+    def keys(self, x: np.ndarray, factors: np.ndarray, picks: np.ndarray) -> np.ndarray:
         """x (strings, n) -> (strings, tables): the CGK walk's words at the sampled steps, as one number each."""
         x = np.concatenate([x, np.full((len(x), 1), self.end)], axis=1)
         place, who, needed = np.zeros(len(x), np.int64), np.arange(len(x)), np.unique(picks)
@@ -94,7 +98,7 @@ class Index:
             word = x[who, np.minimum(place, x.shape[1] - 1)]
             if step in needed:
                 seen[step] = word
-            place += bits[step, word]
+            place += moves(word, factors[step])
         out = np.zeros((len(x), len(picks)), np.int64)
         for t, pick in enumerate(picks):
             for s in pick:
@@ -107,7 +111,9 @@ class Index:
             k = int(self.edit_rate * n)
             if len(ids) < n:
                 continue
-            count = np.concatenate(([0], np.cumsum(known[ids], dtype=np.int64)))
+            own = np.zeros(self.end + 1, bool)
+            own[known] = True
+            count = np.concatenate(([0], np.cumsum(own[ids], dtype=np.int64)))
             starts = np.flatnonzero(count[n:] - count[:-n] >= n - k)
             starts = starts[owner[starts] == owner[starts + n - 1]]
             pairs: dict[tuple[int, int], list[int]] = defaultdict(list)
