@@ -47,19 +47,26 @@ def hook_swaps(events: DataFrame, calls: DataFrame, *, strict: bool = False) ->
     return out.withColumn("missing", missing).drop("is_reverted")
 
 
-def cumulative_to_delta(events: DataFrame, totals: list[str], checkpoint: DataFrame | None = None, *, key: str = "pool") -> DataFrame:
+def cumulative_to_delta(events: DataFrame, totals: list[str], checkpoint: DataFrame | None = None, *, key: str = "pool", bucket: int = 10_000) -> DataFrame:
     """Cumulative totals per key in (block, log_index) order to differences; a fall means a restart and counts in full.
 
     checkpoint: the key's last totals before these events. Rows to be dropped later must still be here: they move the total on.
+    Each bucket of blocks is ordered apart and takes its start from the last row of the bucket before, so a busy key's events
+    are never ordered in one task.
     """
-    order = Window.partitionBy(key).orderBy(*EVENT)
+    events = events.withColumn("_b", F.expr(f"block div {bucket}"))
+    ends = events.groupBy(key, "_b").agg(F.max_by(F.struct(*totals), F.struct(*EVENT)).alias("_end"))
+    starts = ends.select(key, "_b", F.lag("_end").over(Window.partitionBy(key).orderBy("_b")).alias("_start"))
     if checkpoint is not None:
-        events = events.join(checkpoint.select(key, *[F.col(c).alias(f"_was_{c}") for c in totals]), key, "left")
+        starts = starts.join(checkpoint.select(key, F.struct(*totals).alias("_seed")), key, "left")
+    else:
+        starts = starts.withColumn("_seed", F.col("_start"))
+    inside = Window.partitionBy(key, "_b").orderBy(*EVENT)
+    out = events.join(starts, [key, "_b"])
     for c in totals:
-        seed = F.coalesce(F.col(f"_was_{c}"), F.lit(0)) if checkpoint is not None else F.lit(0)
-        before = F.coalesce(F.lag(c).over(order), seed)
-        events = events.withColumn(f"{c}_delta", F.when(F.col(c) >= before, F.col(c) - before).otherwise(F.col(c)))
-    return events.drop(*[f"_was_{c}" for c in totals])
+        before = F.coalesce(F.lag(c).over(inside), F.col(f"_start.{c}"), F.col(f"_seed.{c}"), F.lit(0))
+        out = out.withColumn(f"{c}_delta", F.when(F.col(c) >= before, F.col(c) - before).otherwise(F.col(c)))
+    return out.drop("_b", "_start", "_seed")
 
 
 def last_per_block(swaps: DataFrame) -> DataFrame:

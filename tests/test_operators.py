@@ -35,6 +35,9 @@ def test_cumulative_totals_restart(spark):
     seed = spark.createDataFrame([(1, 3)], "pool long, t long")
     got = swaps.cumulative_to_delta(spark.createDataFrame(rows, "pool long, block long, log_index long, t long"), ["t"], seed).orderBy("pool", "block").collect()
     assert [r["t_delta"] for r in got] == [2, 4, 4, 7]
+    many = spark.createDataFrame([(1, b, i, 100 * b + 7 * i) for b in range(0, 90, 4) for i in range(3)], "pool long, block long, log_index long, t long")
+    small, large = (swaps.cumulative_to_delta(many, ["t"], bucket=n) for n in (7, 10_000))
+    assert scan.differing_rows(small, large).isEmpty()
 
 
 def test_tick_range_bounds(spark):
