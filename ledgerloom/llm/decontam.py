@@ -2,8 +2,9 @@
 
 Texts are runs of lower-cased words. A document is contaminated by an item of n words if some stretch of it is within
 floor(edit_rate * n) word edits of the item. Windows of the item's length slide over the whole document, one word at a
-time. A window in which more than that many words are foreign to all items of its length cannot match and is dropped
-(a count filter, without loss). The rest are embedded by random walks (Chakraborty, Goldenberg, Koucky): at each of 3n steps
+time. Windows that cannot match are dropped without loss: k edits spoil at most 3k of an item's n - 2 three-word runs, so a window
+with fewer than n - 2 - 3k runs of items of its length goes, and so does one in which more than k words are foreign to
+them. The rest are embedded by random walks (Chakraborty, Goldenberg, Koucky): at each of 3n steps
 the walk puts out its current word and a random bit of (step, word) says whether it moves on, so a small edit distance
 becomes a small Hamming distance. Words at sampled steps form the keys of as many tables as reach `target_recall` for
 an embedding that differs in half of its steps. Windows and items that share a key are candidates, and an exact
@@ -61,6 +62,12 @@ def moves(word: np.ndarray, factor: np.uint64) -> np.ndarray:
     return (((word.astype(np.uint64) + np.uint64(1)) * factor) >> np.uint64(63)).astype(np.int64)
 
 
+def _among(values: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
+    if not len(sorted_):
+        return np.zeros(len(values), bool)
+    return sorted_[np.minimum(np.searchsorted(sorted_, values), len(sorted_) - 1)] == values
+
+
 class Index:
     """The items of one block by length, with the walks' factors, the sampled steps and the items' keys."""
 
@@ -78,6 +85,7 @@ class Index:
         self.longest = max(by_length, default=0)
         self.pad = int(edit_rate * self.longest)
         self.groups = []
+        self.runs, self.least = np.zeros(0, np.int64), 1 << 30  # three-word runs of the items whose windows must share some, and how many
         for n, group in sorted(by_length.items()):
             walks = []
             for w in range(WALKS):
@@ -87,7 +95,13 @@ class Index:
             x = np.stack([v for _, v in group])
             known = np.unique(x)
             keys = [[np.unique(col, return_inverse=True) for col in self.keys(x, *walk).T] for walk in walks]
-            self.groups.append((n, [i for i, _ in group], x, known, walks, keys))
+            k = int(edit_rate * n)
+            least = max(0, n - 2 - 3 * k)
+            runs = np.unique(self.run_ids(x))
+            if least:
+                self.runs = np.union1d(self.runs, runs)
+                self.least = min(self.least, least)
+            self.groups.append((n, [i for i, _ in group], x, known, walks, keys, runs, least))
 
     def keys(self, x: np.ndarray, factors: np.ndarray, picks: np.ndarray) -> np.ndarray:
         """x (strings, n) -> (strings, tables): the CGK walk's words at the sampled steps, as one number each."""
@@ -105,46 +119,82 @@ class Index:
                 out[:, t] = out[:, t] * (self.end + 1) + seen[int(s)]
         return out
 
+    def run_ids(self, x: np.ndarray) -> np.ndarray:
+        """Each three consecutive words as one number."""
+        return (x[..., :-2] * (self.end + 1) + x[..., 1:-1]) * (self.end + 1) + x[..., 2:]
+
+    def near_runs(self, ids: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The words within reach of enough shared runs, as (ids, segment, document of each segment)."""
+        at = np.flatnonzero((ids[:-2] > 0) & (ids[1:-1] > 0) & (ids[2:] > 0))
+        at = at[_among((ids[at] * (self.end + 1) + ids[at + 1]) * (self.end + 1) + ids[at + 2], self.runs)]
+        reach = self.longest + self.pad + 3
+        close = np.searchsorted(at, at + self.longest, "right") - np.searchsorted(at, at - self.longest)
+        at = at[close >= self.least]
+        edge = np.zeros(len(ids) + 1, np.int64)
+        np.add.at(edge, np.maximum(at - reach, 0), 1)
+        np.add.at(edge, np.minimum(at + reach, len(ids)), -1)
+        keep = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+        if not len(keep):
+            return ids[:0], keep, keep
+        begins = np.concatenate(([True], (np.diff(keep) > 1) | (np.diff(owner[keep]) != 0)))
+        return ids[keep], np.cumsum(begins) - 1, owner[keep][begins]
+
     def matches(self, ids: np.ndarray, owner: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """ids: words of several documents, each followed by `pad` foreign words; owner: the document of each word."""
-        for n, items, x, known, walks, keys in self.groups:
-            k = int(self.edit_rate * n)
-            if len(ids) < n:
-                continue
-            own = np.zeros(self.end + 1, bool)
-            own[known] = True
-            count = np.concatenate(([0], np.cumsum(own[ids], dtype=np.int64)))
-            starts = np.flatnonzero(count[n:] - count[:-n] >= n - k)
-            starts = starts[owner[starts] == owner[starts + n - 1]]
-            pairs: dict[tuple[int, int], list[int]] = defaultdict(list)
-            for at in range(0, len(starts), 50_000):
-                some = starts[at : at + 50_000]
-                strings = ids[some[:, None] + np.arange(n)]
-                hit = np.zeros((len(some), len(items)), bool)
-                for walk, filed in zip(walks, keys):
-                    mine = self.keys(strings, *walk)
-                    for t, (values, which) in enumerate(filed):
-                        place = np.minimum(np.searchsorted(values, mine[:, t]), len(values) - 1)
-                        row = np.flatnonzero(values[place] == mine[:, t])
-                        if len(row):
-                            hit[row] |= which[None, :] == place[row][:, None]
-                for r, c in zip(*np.nonzero(hit)):
-                    pairs[int(owner[some[r]]), int(c)].append(int(some[r]))
-            for (doc, c), at in pairs.items():
-                best, lo = None, at[0]
-                for prev, s in zip(at, at[1:] + [None]):  # windows close together are aligned as one stretch
-                    if s is None or s - prev > n:
-                        a, b = max(0, lo - k), min(len(ids), prev + n + k)
-                        d = infix_distance(x[c], np.where(owner[a:b] == doc, ids[a:b], 0))
-                        best, lo = d if best is None else min(best, d), s
-                if best <= k:
-                    yield doc, items[c], best
+        part, segment, documents = self.near_runs(ids, owner) if len(ids) > 2 else (ids[:0], ids[:0], ids[:0])
+        for group in self.groups:
+            if group[-1]:  # its windows must share runs
+                for where, item, d in self._group_matches(part, segment, group):
+                    yield int(documents[where]), item, d
+            else:
+                yield from self._group_matches(ids, owner, group)
+
+    def _group_matches(self, ids: np.ndarray, owner: np.ndarray, group: tuple) -> Iterator[tuple[int, int, int]]:
+        n, items, x, known, walks, keys, runs, least = group
+        k = int(self.edit_rate * n)
+        if len(ids) < n:
+            return
+        own = np.zeros(self.end + 1, bool)
+        own[known] = True
+        count = np.concatenate(([0], np.cumsum(own[ids], dtype=np.int64)))
+        starts = np.flatnonzero(count[n:] - count[:-n] >= n - k)
+        starts = starts[owner[starts] == owner[starts + n - 1]]
+        if least and len(starts):
+            shared = np.concatenate(([0], np.cumsum(_among(self.run_ids(ids), runs))))
+            starts = starts[shared[starts + n - 2] - shared[starts] >= least]
+        pairs: dict[tuple[int, int], list[int]] = defaultdict(list)
+        for at in range(0, len(starts), 50_000):
+            some = starts[at : at + 50_000]
+            strings = ids[some[:, None] + np.arange(n)]
+            hit = np.zeros((len(some), len(items)), bool)
+            for walk, filed in zip(walks, keys):
+                mine = self.keys(strings, *walk)
+                for t, (values, which) in enumerate(filed):
+                    place = np.minimum(np.searchsorted(values, mine[:, t]), len(values) - 1)
+                    row = np.flatnonzero(values[place] == mine[:, t])
+                    if len(row):
+                        hit[row] |= which[None, :] == place[row][:, None]
+            for r, c in zip(*np.nonzero(hit)):
+                pairs[int(owner[some[r]]), int(c)].append(int(some[r]))
+        for (where, c), at in pairs.items():
+            best, lo, item = None, at[0], x[c].tolist()
+            for prev, s in zip(at, at[1:] + [None]):  # windows close together are aligned as one stretch
+                if s is None or s - prev > n:
+                    a, b = max(0, lo - k), min(len(ids), prev + n + k)
+                    stretch = np.where(owner[a:b] == where, ids[a:b], 0)
+                    there = set(stretch.tolist())
+                    if sum(w not in there for w in item) <= k:  # else more than k edits for sure
+                        d = infix_distance(x[c], stretch)
+                        best = d if best is None else min(best, d)
+                    lo = s
+            if best is not None and best <= k:
+                yield where, items[c], best
 
 
 def _scan(index: Index, keys: list, texts: list[str | None]) -> Iterator[tuple]:
-    ids, owner, size, base = [], [], 0, 0
+    ids, owner, size = [], [], 0
 
-    def flush(upto: int) -> Iterator[tuple]:
+    def flush() -> Iterator[tuple]:
         if ids:
             found = {}
             for doc, item, d in index.matches(np.concatenate(ids), np.concatenate(owner)):
@@ -161,11 +211,11 @@ def _scan(index: Index, keys: list, texts: list[str | None]) -> Iterator[tuple]:
             owner.append(np.full(len(ids[-1]), i))
             size += len(ids[-1])
             if size >= STRETCH:
-                for doc, item, d in flush(i):
+                for doc, item, d in flush():
                     best[doc, item] = min(d, best.get((doc, item), d))
                 ids.clear(), owner.clear()
                 size = 0
-    for doc, item, d in flush(len(texts)):
+    for doc, item, d in flush():
         best[doc, item] = min(d, best.get((doc, item), d))
     for (doc, item), d in sorted(best.items()):
         yield keys[doc], item, d
