@@ -13,9 +13,14 @@ from ledgerloom.llm.common import cut, table
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _known(spark: SparkSession, docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Semi or anti join on doc_id."""
-    return docs.join(ids, "doc_id", how).select(*COLUMNS)
+#: Ids that may be sent to all tasks (8 bytes each); more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs but for the ids (written, distinct, not null). While they are few the texts stay where they are."""
+    few = ids.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +44,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     found = cut(simhash.near_duplicates_similar(docs))
     ids = found.filter("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("c"), F.count(F.lit(1)).alias("n"))
     ids = cut(ids)
-    gone = ids.filter("doc_id <> c").select("doc_id")
-    kept = _known(spark, docs, gone, "left_anti")
+    kept = _without(docs, ids.filter("doc_id <> c").select("doc_id"))
     if ids.filter("n > 1 and doc_id = c").isEmpty():
         return kept
     order = [F.col(c) for c in COLUMNS]
@@ -51,7 +55,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item (within a fifth of its words in edits)."""
     leaks = cut(decontam.find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct())
-    return _known(spark, docs, leaks, "left_anti")
+    return _without(docs, leaks)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,6 +28,8 @@ from ledgerloom.llm.components import components
 
 #: Bucket members compared at once in one task.
 BLOCK = 4096
+#: Keys of crowded buckets that may go to all tasks (16 bytes each); beyond it a join finds their members.
+CROWDED = 2_000_000
 #: Shingles hashed and counted at once, which bounds a task's memory for very long texts.
 CHUNK = 1 << 16
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -146,7 +148,14 @@ def _bucket_links(filed: DataFrame, fp_of, limit: int, ring: int, fp_type: str)
     crowd = crowd.withColumn("b", F.pmod(F.xxhash64("fp"), blocks).cast("int"))
     other = F.explode(F.sequence(F.lit(0), blocks - 1))
     crowd = crowd.withColumn("o", other).select("bucket", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "fp")
-    crowd = crowd.repartition("bucket", "i", "j")  # by block pair: the join left whole buckets together
+
+    return cut(pairs.unionByName(_compare_blocks(crowd, limit, ring, fp_type)))
+
+
+def _compare_blocks(crowd: DataFrame, limit: int, ring: int, fp_type: str) -> DataFrame:
+    """(bucket, i, j, fp) -> links of each block pair's spanning forest."""
+    n = int(crowd.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    crowd = crowd.repartition(n, "bucket", "i", "j")  # by block pair; the work is not in proportion to the bytes
 
     def compare(p: pd.DataFrame) -> pd.DataFrame:
         fps = p["fp"].to_numpy()
@@ -157,7 +166,7 @@ def _bucket_links(filed: DataFrame, fp_of, limit: int, ring: int, fp_type: str)
         links = forest(rows, limit, ring)
         return pd.DataFrame({"u": [fps[a] for a, _ in links], "v": [fps[b] for _, b in links]}, dtype=None if links else object)
 
-    return cut(pairs.unionByName(crowd.groupBy("bucket", "i", "j").applyInPandas(compare, f"u {fp_type}, v {fp_type}")))
+    return crowd.groupBy("bucket", "i", "j").applyInPandas(compare, f"u {fp_type}, v {fp_type}")
 
 
 def chains64(fp: Column) -> Column:
@@ -220,20 +229,23 @@ def near_duplicates_similar(docs: DataFrame, *, key: str = "doc_id", words: int
     picks = [np.sort(rng.choice(256, sampled, replace=False)) for _ in range(tables)]
     limit = similar_limit(similarity)
 
+    weight = (1 << np.arange(sampled)).astype(np.int64)
+
+    def buckets(fps) -> np.ndarray:
+        """(fingerprints, tables)"""
+        bits = np.unpackbits(np.frombuffer(b"".join(fps), np.uint8).reshape(len(fps), -1), axis=1)
+        return np.stack([(bits[:, pick] @ weight) + (t << sampled) for t, pick in enumerate(picks)], axis=1)
+
     def file(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weight = (1 << np.arange(sampled)).astype(np.int64)
         for p in parts:
             for at in range(0, len(p), 2000):
                 some = p.iloc[at : at + 2000]
-                bits = np.unpackbits(np.frombuffer(b"".join(some["fp"]), np.uint8).reshape(len(some), -1), axis=1)
-                keys = np.stack([(bits[:, pick] @ weight) + (t << sampled) for t, pick in enumerate(picks)], axis=1)
-                yield pd.DataFrame({"id": np.repeat(some["id"].to_numpy(), tables), "bucket": keys.ravel()})
+                yield pd.DataFrame({"id": np.repeat(some["id"].to_numpy(), tables), "bucket": buckets(some["fp"]).ravel()})
 
-    ids = nodes.select(F.xxhash64("fp").alias("id"), "fp")
-    filed = ids.mapInPandas(file, "id long, bucket long")
+    fp = cut(nodes.select(F.xxhash64("fp").alias("id"), "fp"))
+    filed = fp.mapInPandas(file, "id long, bucket long")
     sizes = filed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("u"), F.max("id").alias("v")).filter("n > 1")
     sizes = cut(sizes)
-    fp = cut(ids)
     two = sizes.filter("n = 2").select("u", "v").distinct()
     two = two.join(fp.select(F.col("id").alias("u"), F.col("fp").alias("fu")), "u").join(fp.select(F.col("id").alias("v"), F.col("fp").alias("fv")), "v")
 
@@ -245,7 +257,28 @@ def near_duplicates_similar(docs: DataFrame, *, key: str = "doc_id", words: int
             yield p[["fu", "fv"]].rename(columns={"fu": "u", "fv": "v"})
 
     pairs = two.select("fu", "fv").mapInPandas(near, "u binary, v binary")
-    # the members of crowded buckets, with the fingerprint itself
-    crowd = filed.join(sizes.filter("n > 2").select("bucket"), "bucket").join(fp, "id").select("bucket", "fp")
-    more = _bucket_links(crowd, lambda u, v: F.lit(0), limit, 1, "binary")
-    return _resolve(made, nodes, cut(pairs).unionByName(more), key)
+    crowded = sizes.filter("n > 2").select("bucket", "n")
+    if crowded.count() <= CROWDED:  # the crowded buckets' keys go to the tasks, which file their fingerprints again
+        keys = crowded.orderBy("bucket").toPandas()
+        shared = docs.sparkSession.sparkContext.broadcast((keys["bucket"].to_numpy(), -(-keys["n"].to_numpy() // BLOCK)))
+
+        def refile(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            known, blocks = shared.value
+            for p in parts:
+                for at in range(0, len(p) if len(known) else 0, 2000):
+                    fps = p["fp"].to_numpy()[at : at + 2000]
+                    all_ = buckets(fps)
+                    place = np.minimum(np.searchsorted(known, all_), len(known) - 1)
+                    row, col = np.nonzero(known[place] == all_)
+                    count = blocks[place[row, col]]
+                    own = p["id"].to_numpy()[at : at + 2000][row] % count
+                    again = np.repeat(np.arange(len(row)), count)
+                    other = np.arange(len(again)) - np.repeat(np.cumsum(count) - count, count)
+                    mine = own[again]
+                    yield pd.DataFrame({"bucket": all_[row, col][again], "i": np.minimum(mine, other), "j": np.maximum(mine, other), "fp": fps[row[again]]})
+
+        more = _compare_blocks(fp.mapInPandas(refile, "bucket long, i int, j int, fp binary"), limit, 1, "binary")
+    else:
+        crowd = filed.join(crowded.select("bucket"), "bucket").join(fp, "id").select("bucket", "fp")
+        more = _bucket_links(crowd, lambda u, v: F.lit(limit + 1), limit, 1, "binary")
+    return _resolve(made, nodes, cut(pairs.unionByName(more)), key)
