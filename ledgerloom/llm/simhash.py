@@ -7,9 +7,9 @@ A fingerprint has a bit set where over half of the shingles' hashes have it. Two
   segments, at most l * 3 / 8 differing bits (the pigeonring principle). So the first two segments are equal, and at
   most one of the next three differs. Every fingerprint is filed under its 8 * 3 chains of four equal segments
   (32 bits); those that share a chain meet, and only there the full Hamming distance is counted.
-* `link_similar`: 256-bit fingerprints for a similarity threshold (Jaccard of word shingles). A chain cannot be bound to
-  equal segments there without loss, so `tables` chains of 24 sampled bits are filed; candidates then pass the
-  pigeonring chain test over 8 segments and the full Hamming test.
+* `near_duplicates_similar`: 256-bit fingerprints for a similarity threshold (Jaccard of the sets of word shingles). A chain
+  cannot be bound to equal segments there without loss, so `tables` chains of 24 sampled bits are filed; what meets passes
+  the pigeonring chain test over 8 segments, then the full Hamming test, and is linked by its exact Jaccard similarity.
 
 Equal fingerprints are one node throughout. Within a bucket only the links of a spanning forest are emitted, and large
 buckets are compared block against block, so neither rows nor memory grow with the square of a group.
@@ -28,6 +28,8 @@ from ledgerloom.llm.components import components
 
 #: Bucket members compared at once in one task.
 BLOCK = 4096
+#: As BLOCK, where all pairs of a block may be put out.
+SMALL_BLOCK = 1024
 #: Keys of crowded buckets that may go to all tasks (16 bytes each); beyond it a join finds their members.
 CROWDED = 2_000_000
 #: Shingles hashed and counted at once, which bounds a task's memory for very long texts.
@@ -69,23 +71,50 @@ def _xxh64():
     return [lambda b: xxhash.xxh64_digest(b, 42)]
 
 
-def _wide():
+def shingle_set(text: str | None, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles' 64-bit hashes in order, and the 256-bit digests (four words each) of the same shingles."""
     import xxhash
 
-    return [lambda b: xxhash.xxh3_128_digest(b, 42), lambda b: xxhash.xxh3_128_digest(b, 43)]
+    joined, starts, ends = shingle_bounds(text, words)
+    digest, chunks = xxhash.xxh3_128_digest, []
+    for at in range(0, len(starts), CHUNK):
+        parts = [joined[a:b] for a, b in zip(starts[at : at + CHUNK], ends[at : at + CHUNK])]
+        both = [np.frombuffer(b"".join([digest(p, seed) for p in parts]), np.uint64).reshape(-1, 2) for seed in (42, 43)]
+        chunks.append(np.concatenate(both, axis=1))
+    digests = np.concatenate(chunks) if chunks else np.zeros((0, 4), np.uint64)
+    hashes, first = np.unique(digests[:, 0], return_index=True)
+    return hashes, digests[first]
+
+
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """The hashes of `shingle_set` alone."""
+    import xxhash
+
+    joined, starts, ends = shingle_bounds(text, words)
+    digest = xxhash.xxh3_128_digest
+    return np.unique(np.frombuffer(b"".join([digest(joined[a:b], 42)[:8] for a, b in zip(starts, ends)]), np.uint64))
+
 
+def wide_fingerprint(digests: np.ndarray) -> bytes:
+    """The majority bits of 256-bit digests; zeros for none."""
+    ones, offsets = np.zeros(256, np.int64), np.arange(32) * 256
+    for at in range(0, len(digests), CHUNK):
+        bytes_ = np.ascontiguousarray(digests[at : at + CHUNK]).view(np.uint8).reshape(-1, 32)
+        ones += (np.bincount((bytes_ + offsets).ravel(), minlength=256 * 32).reshape(32, 256) @ _BITS).ravel()
+    return np.packbits(ones * 2 > len(digests)).tobytes()
 
-def fingerprints(docs: DataFrame, *, key: str = "doc_id", words: int = 3, wide: bool = False) -> DataFrame:
-    """(key, fp): 64-bit fingerprints as a signed long, or 256-bit ones as binary. Null text counts as no words."""
+
+def fingerprints(docs: DataFrame, *, key: str = "doc_id", words: int = 3) -> DataFrame:
+    """(key, fp): 64-bit fingerprints as a signed long. Null text counts as no words."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashers = _wide() if wide else _xxh64()
+        hashers = _xxh64()
         for p in parts:
             fps = [fingerprint(t, words, hashers) for t in p["text"]]
-            yield pd.DataFrame({key: p[key], "fp": fps if wide else np.frombuffer(b"".join(fps), ">i8").astype(np.int64)})
+            yield pd.DataFrame({key: p[key], "fp": np.frombuffer(b"".join(fps), ">i8").astype(np.int64)})
 
     rows = docs.select(key, "text")
-    return rows.mapInPandas(run, f"{key} {rows.schema[key].dataType.simpleString()}, fp {'binary' if wide else 'long'}")
+    return rows.mapInPandas(run, f"{key} {rows.schema[key].dataType.simpleString()}, fp long")
 
 
 def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -96,8 +125,8 @@ def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def forest(words: np.ndarray, limit: int, ring: int = 0) -> list[tuple[int, int]]:
-    """Index pairs of a spanning forest over the rows within `limit` bits (ring: that also pass the chain test)."""
+def forest(words: np.ndarray, limit: int, also=None) -> list[tuple[int, int]]:
+    """Index pairs of a spanning forest over the rows within `limit` bits (and that pass `also`, a test of two index arrays)."""
     n, links = len(words), []
     left = np.ones(n, bool)
     while left.any():
@@ -110,8 +139,8 @@ def forest(words: np.ndarray, limit: int, ring: int = 0) -> list[tuple[int, int]
                 if not len(rest):
                     break
                 near = _differing(words[some], words[rest]) <= limit
-                if ring:
-                    near &= chain_test(words[some], words[rest], limit)
+                if also:
+                    near &= also(some, rest)
                 hit = near.any(axis=0)
                 links += zip(some[near[:, hit].argmax(axis=0)].tolist(), rest[hit].tolist())
                 found.append(rest[hit])
@@ -121,22 +150,31 @@ def forest(words: np.ndarray, limit: int, ring: int = 0) -> list[tuple[int, int]
     return links
 
 
-def chain_test(a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
-    """Whether some start on the ring of 32-bit segments keeps every chain of l segments within l * limit / segments."""
-    sa, sb = a.view(np.uint32), b.view(np.uint32)
-    m = sa.shape[1]
-    d = np.stack([np.bitwise_count(sa[:, s][:, None] ^ sb[:, s][None, :]) for s in range(m)]).astype(np.int16)
-    ok = np.zeros(d.shape[1:], bool)
+def chain_test(segments: np.ndarray, limit: int, longest: int = 2) -> np.ndarray:
+    """Whether some start on the ring keeps every chain of l <= longest segments within l * limit / segments.
+
+    segments: differing bits, a row per segment. By the pigeonring principle this loses nothing that is within `limit`.
+    """
+    m = len(segments)
+    ok = np.zeros(segments.shape[1:], bool)
     for start in range(m):
-        good, total = np.ones_like(ok), np.zeros(d.shape[1:], np.int16)
-        for length in range(1, m + 1):
-            total += d[(start + length - 1) % m]
+        good, total = np.ones_like(ok), np.zeros(ok.shape, np.int16)
+        for length in range(1, longest + 1):
+            total = total + segments[(start + length - 1) % m]
             good &= total * m <= length * limit
         ok |= good
     return ok
 
 
-def _bucket_links(filed: DataFrame, fp_of, limit: int, ring: int, fp_type: str) -> DataFrame:
+def _within(a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
+    """For rows of a and b, one by one: the chain test over 32-bit segments, then the full Hamming test."""
+    segments = np.bitwise_count(a.view(np.uint32) ^ b.view(np.uint32)).astype(np.int16).T
+    ok = chain_test(segments, limit)
+    ok[ok] = segments[:, ok].sum(axis=0) <= limit
+    return ok
+
+
+def _bucket_links(filed: DataFrame, fp_of, limit: int) -> DataFrame:
     """filed (bucket, fp) -> links (u, v) of fingerprints within `limit` bits that share a bucket.
 
     Buckets of two are compared in place; larger ones by blocks, each task two blocks at most.
@@ -149,24 +187,20 @@ def _bucket_links(filed: DataFrame, fp_of, limit: int, ring: int, fp_type: str)
     other = F.explode(F.sequence(F.lit(0), blocks - 1))
     crowd = crowd.withColumn("o", other).select("bucket", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "fp")
 
-    return cut(pairs.unionByName(_compare_blocks(crowd, limit, ring, fp_type)))
+    return cut(pairs.unionByName(_compare_blocks(crowd, limit)))
 
 
-def _compare_blocks(crowd: DataFrame, limit: int, ring: int, fp_type: str) -> DataFrame:
-    """(bucket, i, j, fp) -> links of each block pair's spanning forest."""
+def _compare_blocks(crowd: DataFrame, limit: int) -> DataFrame:
+    """(bucket, i, j, fp long) -> links of each block pair's spanning forest."""
     n = int(crowd.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     crowd = crowd.repartition(n, "bucket", "i", "j")  # by block pair; the work is not in proportion to the bytes
 
     def compare(p: pd.DataFrame) -> pd.DataFrame:
         fps = p["fp"].to_numpy()
-        if fp_type == "long":
-            rows = fps.astype(np.int64).view(np.uint64).reshape(-1, 1)
-        else:
-            rows = np.frombuffer(b"".join(fps), np.uint64).reshape(len(fps), -1)
-        links = forest(rows, limit, ring)
+        links = forest(fps.astype(np.int64).view(np.uint64).reshape(-1, 1), limit)
         return pd.DataFrame({"u": [fps[a] for a, _ in links], "v": [fps[b] for _, b in links]}, dtype=None if links else object)
 
-    return crowd.groupBy("bucket", "i", "j").applyInPandas(compare, f"u {fp_type}, v {fp_type}")
+    return crowd.groupBy("bucket", "i", "j").applyInPandas(compare, "u long, v long")
 
 
 def chains64(fp: Column) -> Column:
@@ -186,7 +220,7 @@ def chains64(fp: Column) -> Column:
 def link_fingerprints(fps: DataFrame) -> DataFrame:
     """fps (fp long), distinct -> links (u, v) whose components are those of all pairs within 3 bits."""
     filed = fps.select("fp", F.explode(chains64(F.col("fp"))).alias("bucket"))
-    return _bucket_links(filed, lambda u, v: F.bit_count(u.bitwiseXOR(v)), 3, 0, "long")
+    return _bucket_links(filed, lambda u, v: F.bit_count(u.bitwiseXOR(v)), 3)
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", words: int = 3) -> DataFrame:
@@ -197,15 +231,15 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", words: int = 3) ->
     """
     made = cut(fingerprints(docs, key=key, words=words))
     nodes = cut(made.groupBy("fp").agg(F.min(key).alias("least")))
-    return _resolve(made, nodes, link_fingerprints(nodes), key)
+    named = _named(nodes.withColumnRenamed("fp", "id"), cut(components(link_fingerprints(nodes)))).withColumnRenamed("id", "fp")
+    return made.join(named, "fp").select(key, "fp", "component_id")
 
 
-def _resolve(made: DataFrame, nodes: DataFrame, links: DataFrame, key: str) -> DataFrame:
-    roots = cut(components(links)).withColumnRenamed("u", "fp")
-    rooted = cut(nodes.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least"))
+def _named(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """nodes (id, least), roots (u, root) of those with links -> (id, component_id), the least of each component."""
+    rooted = cut(nodes.join(roots.withColumnRenamed("u", "id"), "id", "left").select("id", F.coalesce("root", "id").alias("root"), "least"))
     names = cut(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
-    named = cut(rooted.join(names, "root").select("fp", "component_id"))
-    return made.join(named, "fp").select(key, "fp", "component_id")
+    return cut(rooted.join(names, "root").select("id", "component_id"))
 
 
 def hex16(fp: Column) -> Column:
@@ -213,18 +247,71 @@ def hex16(fp: Column) -> Column:
 
 
 def similar_limit(similarity: float, bits: int = 256) -> int:
-    """Differing bits expected for shingle sets of this Jaccard similarity, and half a deviation more."""
+    """Differing bits expected for shingle sets of this Jaccard similarity, and three deviations more."""
     p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    return int(bits * p + 0.5 * (bits * p * (1 - p)) ** 0.5)
+    return int(bits * p + 3 * (bits * p * (1 - p)) ** 0.5)
 
 
-def near_duplicates_similar(docs: DataFrame, *, key: str = "doc_id", words: int = 5, similarity: float = 0.8, tables: int = 96, sampled: int = 24) -> DataFrame:
-    """As near_duplicates, for a similarity of word shingles: key, fp (binary, 256 bits), component_id.
+def _shingled(docs: DataFrame, key: str, words: int) -> DataFrame:
+    """(key, id, n, fp, text_id): a hash of the shingle set and its size, the 256-bit fingerprint, a hash of the text."""
 
-    Recall of a pair by similarity, from the sampled bits alone (96 tables of 24): 0.85 at 0.8, 0.97 at 0.85, 1.00 at 0.9.
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
+
+        for p in parts:
+            made = []
+            for t in p["text"]:
+                hashes, digests = shingle_set(t, words)
+                made.append((xxhash.xxh3_64_intdigest(hashes.tobytes()), len(hashes), wide_fingerprint(digests)))
+            ids = np.array([m[0] for m in made], np.uint64).view(np.int64)
+            yield pd.DataFrame({key: p[key], "text_id": p["text_id"], "id": ids, "n": [m[1] for m in made], "fp": [m[2] for m in made]})
+
+    rows = docs.select(key, "text", F.xxhash64("text").alias("text_id"))
+    return rows.mapInPandas(run, f"{key} {rows.schema[key].dataType.simpleString()}, text_id long, id long, n long, fp binary")
+
+
+def alike(met: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (u, v) of `met` whose shingle sets have a Jaccard similarity of at least `similarity`, counted exactly.
+
+    Shingles are made again for the texts that met, one text per node.
     """
-    made = cut(fingerprints(docs, key=key, words=words, wide=True))
-    nodes = cut(made.groupBy("fp").agg(F.min(key).alias("least")))
+    ids = met.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+    wanted = cut(nodes.join(ids, "id").select("text_id"))
+    few = wanted.count() <= CROWDED
+    texts = docs.select("text").filter("text is not null").withColumn("text_id", F.xxhash64("text"))
+    texts = texts.join(F.broadcast(wanted) if few else wanted, "text_id", "left_semi").select("text")
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
+
+        done = set()  # copies within a task
+        for p in parts:
+            for at in range(0, len(p), 256):
+                made = []
+                for t in p["text"].iloc[at : at + 256]:
+                    text = xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace"))
+                    if text not in done:
+                        done.add(text)
+                        made.append(shingle_hashes(t, words))
+                ids = np.array([xxhash.xxh3_64_intdigest(h.tobytes()) for h in made], np.uint64).view(np.int64)
+                yield pd.DataFrame({"id": ids, "shingles": [h.view(np.int64) for h in made]})
+
+    sets = texts.mapInPandas(run, "id long, shingles array<long>")
+    sets = cut(sets.groupBy("id").agg(F.first("shingles").alias("shingles")))
+    both = met.join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("su")), "u")
+    both = both.join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("sv")), "v")
+    shared = F.size(F.array_intersect("su", "sv"))
+    return both.filter(shared / (F.size("su") + F.size("sv") - shared) >= similarity).select("u", "v")
+
+
+def near_duplicates_similar(docs: DataFrame, *, key: str = "doc_id", words: int = 5, similarity: float = 0.8, tables: int = 256, sampled: int = 24) -> DataFrame:
+    """As near_duplicates, for a Jaccard similarity of the sets of word shingles: key, fp (binary, 256 bits), component_id.
+
+    Only pairs whose exact similarity is high enough are linked. Chance that a pair is met, by similarity, from the sampled
+    bits alone (256 tables of 24): 0.993 at 0.8, 1.000 at 0.85. Texts with the same shingles are one node.
+    """
+    made = cut(_shingled(docs, key, words))
+    nodes = cut(made.groupBy("id").agg(F.min(key).alias("least"), F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("text_id").alias("text_id")))
     rng = np.random.default_rng(11)
     picks = [np.sort(rng.choice(256, sampled, replace=False)) for _ in range(tables)]
     limit = similar_limit(similarity)
@@ -242,43 +329,99 @@ def near_duplicates_similar(docs: DataFrame, *, key: str = "doc_id", words: int
                 some = p.iloc[at : at + 2000]
                 yield pd.DataFrame({"id": np.repeat(some["id"].to_numpy(), tables), "bucket": buckets(some["fp"]).ravel()})
 
-    fp = cut(nodes.select(F.xxhash64("fp").alias("id"), "fp"))
+    def sized(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether sets of these sizes can be similar enough."""
+        return np.minimum(a, b) >= similarity * np.maximum(a, b) - 1e-6
+
+    fp = cut(nodes.select("id", "fp", "n"))
     filed = fp.mapInPandas(file, "id long, bucket long")
     sizes = filed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("u"), F.max("id").alias("v")).filter("n > 1")
     sizes = cut(sizes)
     two = sizes.filter("n = 2").select("u", "v").distinct()
-    two = two.join(fp.select(F.col("id").alias("u"), F.col("fp").alias("fu")), "u").join(fp.select(F.col("id").alias("v"), F.col("fp").alias("fv")), "v")
+    for c in ("u", "v"):
+        two = two.join(fp.select(F.col("id").alias(c), F.col("fp").alias(f"f{c}"), F.col("n").alias(f"n{c}")), c)
 
     def near(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
+            p = p[sized(p["nu"].to_numpy(), p["nv"].to_numpy())]
             if len(p):
                 a, b = (np.frombuffer(b"".join(p[c]), np.uint64).reshape(len(p), -1) for c in ("fu", "fv"))
-                p = p[np.bitwise_count(a ^ b).sum(axis=1) <= limit]
-            yield p[["fu", "fv"]].rename(columns={"fu": "u", "fv": "v"})
+                p = p[_within(a, b, limit)]
+            yield p[["u", "v"]]
 
-    pairs = two.select("fu", "fv").mapInPandas(near, "u binary, v binary")
-    crowded = sizes.filter("n > 2").select("bucket", "n")
-    if crowded.count() <= CROWDED:  # the crowded buckets' keys go to the tasks, which file their fingerprints again
+    pairs = two.select("u", "v", "fu", "fv", "nu", "nv").mapInPandas(near, "u long, v long")
+    crowded = sizes.filter("n > 2").select("bucket", F.ceil(F.col("n") / SMALL_BLOCK).cast("long").alias("blocks"))
+    few = crowded.count() <= CROWDED
+    if few:  # the crowded buckets' keys go to the tasks, which file their fingerprints again
         keys = crowded.orderBy("bucket").toPandas()
-        shared = docs.sparkSession.sparkContext.broadcast((keys["bucket"].to_numpy(), -(-keys["n"].to_numpy() // BLOCK)))
-
-        def refile(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            known, blocks = shared.value
-            for p in parts:
-                for at in range(0, len(p) if len(known) else 0, 2000):
-                    fps = p["fp"].to_numpy()[at : at + 2000]
-                    all_ = buckets(fps)
-                    place = np.minimum(np.searchsorted(known, all_), len(known) - 1)
-                    row, col = np.nonzero(known[place] == all_)
-                    count = blocks[place[row, col]]
-                    own = p["id"].to_numpy()[at : at + 2000][row] % count
-                    again = np.repeat(np.arange(len(row)), count)
-                    other = np.arange(len(again)) - np.repeat(np.cumsum(count) - count, count)
-                    mine = own[again]
-                    yield pd.DataFrame({"bucket": all_[row, col][again], "i": np.minimum(mine, other), "j": np.maximum(mine, other), "fp": fps[row[again]]})
-
-        more = _compare_blocks(fp.mapInPandas(refile, "bucket long, i int, j int, fp binary"), limit, 1, "binary")
-    else:
-        crowd = filed.join(crowded.select("bucket"), "bucket").join(fp, "id").select("bucket", "fp")
-        more = _bucket_links(crowd, lambda u, v: F.lit(limit + 1), limit, 1, "binary")
-    return _resolve(made, nodes, cut(pairs.unionByName(more)), key)
+        shared = docs.sparkSession.sparkContext.broadcast((keys["bucket"].to_numpy(), keys["blocks"].to_numpy()))
+
+    def refile(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, blocks = shared.value
+        for p in parts:
+            for at in range(0, len(p) if len(known) else 0, 2000):
+                some = p.iloc[at : at + 2000]
+                all_ = buckets(some["fp"])
+                place = np.minimum(np.searchsorted(known, all_), len(known) - 1)
+                row, col = np.nonzero(known[place] == all_)
+                count = blocks[place[row, col]]
+                own = some["id"].to_numpy()[row] % count
+                again = np.repeat(np.arange(len(row)), count)
+                other = np.arange(len(again)) - np.repeat(np.cumsum(count) - count, count)
+                mine = own[again]
+                out = some.iloc[row[again]]
+                yield out.assign(bucket=all_[row, col][again], i=np.minimum(mine, other), j=np.maximum(mine, other))
+
+    def crowd(nodes: DataFrame, pairs_of) -> DataFrame:
+        """nodes (id, fp, n, root) by pairs of blocks of the crowded buckets -> what pairs_of gives for each."""
+        if few:
+            spread = nodes.mapInPandas(refile, "id long, fp binary, n long, root long, bucket long, i int, j int")
+        else:
+            own, other = F.pmod("id", "blocks").cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))
+            spread = filed.join(crowded, "bucket").join(nodes, "id").select("id", "fp", "n", "root", "bucket", own.alias("b"), other.alias("o"))
+            spread = spread.select("id", "fp", "n", "root", "bucket", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"))
+        parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spread = spread.repartition(parts, "bucket", "i", "j")  # by block pair; the work is not in proportion to the bytes
+        return spread.groupBy("bucket", "i", "j").applyInPandas(pairs_of, "u long, v long")
+
+    def ordered(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"u": np.minimum(a, b), "v": np.maximum(a, b)})
+
+    def tree(p: pd.DataFrame) -> pd.DataFrame:
+        """Pairs of a spanning forest: in a tight group they link nearly all members."""
+        ids, n = p["id"].to_numpy(), p["n"].to_numpy()
+        links = np.array(forest(_words(p["fp"]), limit, lambda a, b: sized(n[a][:, None], n[b][None, :])), int).reshape(-1, 2)
+        return ordered(ids[links[:, 0]], ids[links[:, 1]])
+
+    def rest(p: pd.DataFrame) -> pd.DataFrame:
+        """All pairs that are not in one component yet."""
+        ids, n, root, fps = p["id"].to_numpy(), p["n"].to_numpy(), p["root"].to_numpy(), _words(p["fp"])
+        us, vs = [np.array([], np.int64)], [np.array([], np.int64)]
+        if (root != root[0]).any():
+            for at in range(0, len(p), 256):
+                a = slice(at, at + 256)
+                open_ = (root[a][:, None] != root[None, at:]) & sized(n[a][:, None], n[None, at:])
+                x, y = np.nonzero(open_)
+                x, y = x + at, y + at
+                for part in range(0, len(x), CHUNK):
+                    i, j = x[part : part + CHUNK], y[part : part + CHUNK]
+                    ok = _within(fps[i], fps[j], limit)
+                    us.append(ids[i[ok]])
+                    vs.append(ids[j[ok]])
+        return ordered(np.concatenate(us), np.concatenate(vs)).drop_duplicates()
+
+    ground = fp.withColumn("root", F.col("id"))
+    met = cut(pairs.unionByName(crowd(ground, tree)).distinct())
+    links = cut(alike(met, nodes, docs, words, similarity))
+    roots = cut(components(links))
+    ground = cut(fp.join(roots.withColumnRenamed("u", "id"), "id", "left").select("id", "fp", "n", F.coalesce("root", "id").alias("root")))
+    more = cut(crowd(ground, rest).distinct().join(met, ["u", "v"], "left_anti"))
+    if not more.isEmpty():
+        links = cut(links.unionByName(alike(more, nodes, docs, words, similarity)))
+        roots = cut(components(links))
+    return made.join(_named(nodes.select("id", "least"), roots), "id").select(key, "fp", "component_id")
+
+
+def _words(fps) -> np.ndarray:
+    """Binary fingerprints as rows of 64-bit words."""
+    return np.frombuffer(b"".join(fps), np.uint64).reshape(len(fps), -1)

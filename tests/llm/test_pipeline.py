@@ -1,10 +1,11 @@
 """The pipeline's stages against brute force on the smallest tables, and on odd input."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
-from ledgerloom.llm import decontam, quality
+from ledgerloom.llm import decontam, quality, simhash
 from ledgerloom.llm.common import cut, table
 
 
@@ -64,3 +65,34 @@ def test_odd_input(spark, sf, rows):
         assert docs.columns[:5] == list(P.COLUMNS), name
     if rows:
         assert 2 in {r["doc_id"] for r in docs.collect()}
+
+
+def test_near_copies_are_those_of_the_exact_similarity(spark):
+    rng = np.random.default_rng(4)
+    texts, family = [], []
+    for f in range(120):  # families of three to six, edited so that similarities lie around 0.8
+        base = rng.integers(0, 30_000, 300)
+        for k in range(3 + f % 4):
+            version = base.copy()
+            at = rng.choice(300, int(rng.integers(0, 9)) if k else 0, replace=False)
+            version[at] = rng.integers(0, 30_000, len(at))
+            texts.append(" ".join(f"w{x}" for x in version))
+            family.append(f)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates_similar(rows).collect()}
+    sets, parent = [shingles(t) for t in texts], list(range(len(texts)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    likeness = {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in range(len(texts)) for j in range(i) if family[i] == family[j]}
+    for (i, j), s in likeness.items():
+        if s >= 0.8:
+            a, b = find(i), find(j)
+            parent[max(a, b)] = min(a, b)
+    assert all(find(i) == find(got[i]) for i in got), "documents that are no near copies were linked"
+    edge = [p for p, s in likeness.items() if 0.8 <= s < 0.85]
+    assert len(edge) > 100 and len([1 for i, j in edge if got[i] == got[j]]) >= 0.9 * len(edge)
+    assert len({find(i) for i in got}) > 150  # families fall apart where they should
