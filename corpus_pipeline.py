@@ -13,14 +13,19 @@ from ledgerloom.llm.common import cut, table
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-#: Ids that may be sent to all tasks (8 bytes each); more are joined by a shuffle.
+#: Keys that may be sent to all tasks (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs but for the ids (written, distinct, not null). While they are few the texts stay where they are."""
-    few = ids.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_anti").select(*COLUMNS)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """docs with a key of their content, which tells rows apart whose doc_id is null or shared; equal rows have equal keys."""
+    return docs.select(*COLUMNS, F.xxhash64(*COLUMNS).alias("row_key"))
+
+
+def _by_keys(keyed: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """keyed with or without the rows of the keys (written, distinct). While they are few the texts stay where they are."""
+    few = keys.count() <= BROADCAST_IDS
+    return keyed.join(F.broadcast(keys) if few else keys, "row_key", how)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,25 +42,28 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the least doc_id) of each group of near copies: five-word shingles, similarity 0.8 or more.
+    """One document (the least doc_id, null last) of each group of near copies: five-word shingles, similarity 0.8 or more.
 
-    Rows without a doc_id stay. Of rows that share a doc_id one stays.
+    Of equal rows one stays; different texts under one doc_id stay.
     """
-    found = cut(simhash.near_duplicates_similar(docs))
-    ids = found.filter("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("c"), F.count(F.lit(1)).alias("n"))
-    ids = cut(ids)
-    kept = _without(docs, ids.filter("doc_id <> c").select("doc_id"))
-    if ids.filter("n > 1 and doc_id = c").isEmpty():
-        return kept
-    order = [F.col(c) for c in COLUMNS]
-    one = kept.filter("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct(*order)).alias("d")).select("d.*")
-    return one.unionByName(kept.filter("doc_id is null"))
+    keyed = _keyed(docs)
+    found = simhash.near_duplicates_similar(keyed, key="row_key").groupBy("row_key").agg(F.min("component_id").alias("c"), F.count(F.lit(1)).alias("n"))
+    found = cut(found.join(keyed.groupBy("row_key").agg(F.min("doc_id").alias("doc_id")), "row_key"))
+    first = found.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).getField("row_key").alias("first"))
+    gone = cut(found.join(first, "c").filter("row_key <> first").select("row_key"))
+    kept = _by_keys(keyed, gone, "left_anti")
+    repeated = cut(found.filter("n > 1").select("row_key"))
+    if repeated.isEmpty():
+        return kept.select(*COLUMNS)
+    one = _by_keys(kept, repeated, "left_semi").dropDuplicates(["row_key"])
+    return one.unionByName(_by_keys(kept, repeated, "left_anti")).select(*COLUMNS)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item (within a fifth of its words in edits)."""
-    leaks = cut(decontam.find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct())
-    return _without(docs, leaks)
+    """Documents that contain no benchmark item (within a fifth of its words in edits), whatever their doc_id."""
+    keyed = _keyed(docs)
+    leaks = cut(decontam.find_leaks(keyed, table(spark, sf_dir, "benchmark"), key="row_key").select("row_key").distinct())
+    return _by_keys(keyed, leaks, "left_anti").select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -96,3 +96,15 @@ def test_near_copies_are_those_of_the_exact_similarity(spark):
     edge = [p for p, s in likeness.items() if 0.8 <= s < 0.85]
     assert len(edge) > 100 and len([1 for i, j in edge if got[i] == got[j]]) >= 0.9 * len(edge)
     assert len({find(i) for i in got}) > 150  # families fall apart where they should
+
+
+def test_decisions_fall_on_rows_not_on_ids(spark, sf):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    long = [" ".join(f"w{k}x{i}" for i in range(100)) for k in range(4)]
+    rows = [(None, long[0], "en", "s", 1), (None, long[0], "en", "t", 1), (5, long[1], "en", "s", 1), (5, long[2], "en", "s", 1), (6, long[3], "en", "s", 1), (6, long[3], "en", "s", 1), (None, long[3], "en", "s", 1)]
+    kept = P.without_near_copies(spark, spark.createDataFrame(rows, schema), sf).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted([(0, long[0]), (5, long[1]), (5, long[2]), (6, long[3])])
+    item = table(spark, sf, "benchmark").orderBy("item_id").first()["text"]
+    rows = [(None, item, "en", "s", 1), (None, long[0], "en", "s", 1), (5, item, "en", "s", 1), (5, long[1], "en", "s", 1)]
+    safe = P.without_benchmark(spark, spark.createDataFrame(rows, schema), sf).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in safe) == sorted([(0, long[0]), (5, long[1])])
