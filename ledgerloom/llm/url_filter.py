@@ -2,20 +2,23 @@
 
 1. Segments that look variable (digits, hex, long ids) become `*`: a raw template.
    Pages are counted by (host, raw template) first; all later steps work on that far smaller table.
-2. Level by level, children of a node that are rare and numerous become `*` too.
-3. Sibling branches whose labelled rates do not differ (two-proportion z test against
-   the rest of their parent) are merged into one wildcard branch.
+2. Level by level, sibling branches whose labelled rates do not differ (two-proportion z test
+   against the rest of their parent) are merged into one wildcard branch.
+3. Rare children of a node with many are merged too while they have too few labels for that test.
 4. A template is rejected when its smoothed share of bad labels passes a threshold.
 
 Explicit rules come first: the longest rule that fits a URL decides.
 
 Defined cases: a null URL or one without `://` has empty host and path, no rule, and the method's
 verdict for the empty host; null labels do not count; repeated rows each count; an empty table gives none;
-other columns of the input are ignored; path levels below `max_depth` count as one `*`.
+other columns of the input are ignored; path levels below `max_depth` are taken while a node there has
+both good and bad labels, and count as one `*` from then on.
 """
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.llm.common import cut
@@ -28,6 +31,8 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
+#: Labels below which the test of rates tells nothing about a rare branch.
+FEW_LABELS = 5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -50,20 +55,22 @@ def rule_for(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def raw_template(path: Column, max_depth: int) -> Column:
-    """The path's segments with variable ones as `*` (an extension stays); at most max_depth of them."""
+def raw_template(path: Column) -> Column:
+    """The path's segments with variable ones as `*` (an extension stays)."""
     segments = F.split(F.regexp_replace(path, r"^/", ""), "/")
     variable = r"^(?:[^.]*[0-9][^.]*|[0-9a-fA-F-]{16,}|[^.]{40,})(\.[A-Za-z]{1,5})?$"
-    segments = F.transform(segments, lambda s: F.regexp_replace(s, variable, "*$1"))
-    return F.when(
-        F.size(segments) > max_depth, F.concat(F.slice(segments, 1, max_depth - 1), F.array(F.lit("*")))
-    ).otherwise(segments)
+    return F.transform(segments, lambda s: F.regexp_replace(s, variable, "*$1"))
 
 
 def template_verdicts(counts: DataFrame, max_depth: int, min_children: int, min_share: float, z: float, strength: float, threshold: float) -> DataFrame:
     """(host, raw, n, good, bad) -> (host, raw, template, purity, rejected)."""
     tree = counts.withColumn("node", F.lit("")).withColumn("level", F.lit(None).cast("string"))
-    for depth in range(1, max_depth + 1):
+    for depth in count(1):
+        if depth > max_depth:
+            deeper = tree.filter(F.size("raw") >= depth).groupBy("host", "node").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+            if deeper.filter("good > 0 and bad > 0").isEmpty():
+                tree = tree.withColumn("node", F.when(F.size("raw") >= depth, F.concat("node", F.lit("/*"))).otherwise(F.col("node")))
+                break
         tree = tree.withColumn("level", F.get(F.col("raw"), F.lit(depth - 1)))
         child = tree.groupBy("host", "node", "level").agg(*[F.sum(c).alias(c) for c in ("n", "good", "bad")])
         siblings = Window.partitionBy("host", "node")
@@ -73,7 +80,7 @@ def template_verdicts(counts: DataFrame, max_depth: int, min_children: int, min_
             "all_bad": F.sum("bad").over(siblings),
             "width": F.count("level").over(siblings),
         })
-        # rare children of a wide node are values, not structure
+        # rare children of a wide node are values, not structure, unless their labels tell otherwise
         rare = (F.col("width") > min_children) & (F.col("n") < min_share * F.col("all_n"))
         # a branch is merged with its siblings unless its labelled rate differs from theirs
         mine, rest = F.col("good") + F.col("bad"), F.col("all_good") + F.col("all_bad") - F.col("good") - F.col("bad")
@@ -81,7 +88,7 @@ def template_verdicts(counts: DataFrame, max_depth: int, min_children: int, min_
         gap = F.col("bad") / F.greatest(mine, F.lit(1)) - (F.col("all_bad") - F.col("bad")) / F.greatest(rest, F.lit(1))
         error = F.sqrt(rate * (1 - rate) * (1 / F.greatest(mine, F.lit(1)) + 1 / F.greatest(rest, F.lit(1))))
         alike = (F.col("width") > 1) & ((mine == 0) | (rest == 0) | (F.abs(gap) < z * error))
-        name = F.when(F.col("level").isNull(), F.lit("")).when(rare | alike, F.lit("/*")).otherwise(F.concat(F.lit("/"), F.col("level")))
+        name = F.when(F.col("level").isNull(), F.lit("")).when(alike | (rare & (mine < FEW_LABELS)), F.lit("/*")).otherwise(F.concat(F.lit("/"), F.col("level")))
         child = child.select("host", "node", "level", name.alias("step"))
         tree = (
             tree.alias("t")
@@ -105,7 +112,7 @@ def filter_urls(
     Returns key, host, path, rule, template, purity, verdict.
     """
     host, path = host_and_path(F.col("url"))
-    urls = pages.select(F.col(key), host.alias("host"), path.alias("path")).withColumn("raw", raw_template(F.col("path"), max_depth))
+    urls = pages.select(F.col(key), host.alias("host"), path.alias("path")).withColumn("raw", raw_template(F.col("path")))
     marks = labels.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.col("bad").cast("int")).alias("bad"))
     counts = cut(
         urls.join(marks, key, "left").groupBy("host", "raw").agg(

@@ -291,3 +291,13 @@ def test_url_templates_reject_bad_branches(spark):
     got = url_filter.filter_urls(spark.createDataFrame(pages, "page_id long, url string"), labels).collect()
     assert all(r["verdict"] == ("block" if r["page_id"] % 2 else "allow") for r in got)
     assert {r["template"] for r in got} == {"/shop/*.html", "/news/*.html"}
+
+
+def test_url_sections_of_wide_hosts_and_deep_paths_are_told_apart(spark):
+    name = lambda k: "section" + chr(97 + k // 26) + chr(97 + k % 26)
+    wide = [(i, f"http://h.org/{name(i % 60)}/{i}.html", i % 60 == 7) for i in range(1800)]  # each section under 2%
+    deep = [(i, f"http://d.org/a/b/c/d/{'shop' if i % 2 else 'news'}/{i}.html", i % 2 == 1) for i in range(2000, 2200)]
+    pages = spark.createDataFrame(wide + deep, "page_id long, url string, bad boolean")
+    got = url_filter.filter_urls(pages, pages.select("page_id", "bad").filter("page_id % 7 < 4")).collect()
+    bad = {i for i, _, b in wide + deep if b}
+    assert {r["page_id"] for r in got if r["verdict"] == "block"} == bad
