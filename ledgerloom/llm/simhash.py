@@ -8,7 +8,7 @@ A fingerprint has a bit set where over half of the shingles' hashes have it. Two
   most one of the next three differs. Every fingerprint is filed under its 8 * 3 chains of four equal segments
   (32 bits); those that share a chain meet, and only there the full Hamming distance is counted.
 * `near_duplicates_similar`: 256-bit fingerprints for a similarity threshold (Jaccard of the sets of word shingles). A chain
-  cannot be bound to equal segments there without loss, so `tables` chains of 24 sampled bits are filed; what meets passes
+  cannot be bound to equal segments there without loss, so samples of 20 bits are filed in many tables; what meets passes
   the pigeonring chain test over 8 segments, then the full Hamming test, and is linked by its exact Jaccard similarity.
 
 Equal fingerprints are one node throughout. Within a bucket only the links of a spanning forest are emitted, and large
@@ -28,10 +28,8 @@ from ledgerloom.llm.components import components
 
 #: Bucket members compared at once in one task.
 BLOCK = 4096
-#: As BLOCK, where all pairs of a block may be put out.
-SMALL_BLOCK = 1024
-#: Keys of crowded buckets that may go to all tasks (16 bytes each); beyond it a join finds their members.
-CROWDED = 2_000_000
+#: Keys of texts that may go to all tasks (8 bytes each); beyond it a join finds the texts.
+BROADCAST_IDS = 2_000_000
 #: Shingles hashed and counted at once, which bounds a task's memory for very long texts.
 CHUNK = 1 << 16
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -277,7 +275,7 @@ def alike(met: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, similar
     """
     ids = met.select(F.explode(F.array("u", "v")).alias("id")).distinct()
     wanted = cut(nodes.join(ids, "id").select("text_id"))
-    few = wanted.count() <= CROWDED
+    few = wanted.count() <= BROADCAST_IDS
     texts = docs.select("text").filter("text is not null").withColumn("text_id", F.xxhash64("text"))
     texts = texts.join(F.broadcast(wanted) if few else wanted, "text_id", "left_semi").select("text")
 
@@ -293,8 +291,9 @@ def alike(met: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, similar
                     if text not in done:
                         done.add(text)
                         made.append(shingle_hashes(t, words))
-                ids = np.array([xxhash.xxh3_64_intdigest(h.tobytes()) for h in made], np.uint64).view(np.int64)
-                yield pd.DataFrame({"id": ids, "shingles": [h.view(np.int64) for h in made]})
+                if made:
+                    ids = np.array([xxhash.xxh3_64_intdigest(h.tobytes()) for h in made], np.uint64).view(np.int64)
+                    yield pd.DataFrame({"id": ids, "shingles": [h.view(np.int64) for h in made]})
 
     sets = texts.mapInPandas(run, "id long, shingles array<long>")
     sets = cut(sets.groupBy("id").agg(F.first("shingles").alias("shingles")))
@@ -304,122 +303,220 @@ def alike(met: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, similar
     return both.filter(shared / (F.size("su") + F.size("sv") - shared) >= similarity).select("u", "v")
 
 
-def near_duplicates_similar(docs: DataFrame, *, key: str = "doc_id", words: int = 5, similarity: float = 0.8, tables: int = 256, sampled: int = 24) -> DataFrame:
+#: A bucket of more members is dealt to blocks of this size; it has more than a thousandth of all fingerprints besides, so there are
+#: at most a thousand of them in a table, and their list may go to all tasks.
+HOT = 8192
+#: Fingerprints that a task reads at once for one table, about.
+SHARD = 1 << 17
+#: Tables whose buckets are only linked to their first member, before all tables are searched between different groups.
+FIRST_TABLES = 16
+
+
+class Tables:
+    """Samples of fingerprint bits that file a fingerprint under one bucket in each table."""
+
+    def __init__(self, tables: int, sampled: int, similarity: float, seed: int = 11):
+        rng = np.random.default_rng(seed)
+        self.picks = np.stack([np.sort(rng.choice(256, sampled, replace=False)) for _ in range(tables)])
+        self.sampled, self.similarity = sampled, similarity
+        self.weight = (1 << np.arange(sampled)).astype(np.int64)
+        self.limit, self.part_limit = similar_limit(similarity), similar_limit(similarity, 64)
+        #: sizes are kept as a thousandth of their logarithm; similar sets differ by at most this
+        self.size_limit = int(np.ceil(-1000 * np.log(similarity))) + 1
+
+    def buckets(self, fps, first: int | None = None) -> np.ndarray:
+        """(fingerprints, tables), with the table's number in the bucket's."""
+        bits = np.unpackbits(np.frombuffer(b"".join(fps), np.uint8).reshape(len(fps), 32), axis=1).astype(np.int64)
+        return np.stack([(bits[:, pick] @ self.weight) + (t << self.sampled) for t, pick in enumerate(self.picks[:first])], axis=1)
+
+    def near(self, part_a, part_b, size_a, size_b) -> np.ndarray:
+        """Whether 64 bits of the fingerprints and the sizes of the sets leave room for the similarity."""
+        fits = np.abs(size_a.astype(np.int32) - size_b.astype(np.int32)) <= self.size_limit
+        return fits & (np.bitwise_count(part_a ^ part_b) <= self.part_limit)
+
+
+def star(tables: Tables, bucket, ids, part, size) -> np.ndarray:
+    """Pairs of every member with its bucket's first one, or where that is not near, with the one before it: at most one a member."""
+    order = np.lexsort((ids, bucket))
+    bucket, ids, part, size = bucket[order], ids[order], part[order], size[order]
+    begins = np.append(True, bucket[1:] != bucket[:-1])
+    at = np.flatnonzero(~begins)
+    first = np.flatnonzero(begins)[np.cumsum(begins)[at] - 1]
+    ok = tables.near(part[first], part[at], size[first], size[at])
+    pairs = [np.stack([ids[first[ok]], ids[at[ok]]], axis=1)]
+    at = at[~ok]
+    at = at[tables.near(part[at - 1], part[at], size[at - 1], size[at])]
+    pairs.append(np.stack([ids[at - 1], ids[at]], axis=1))
+    return np.concatenate(pairs)
+
+
+def across(tables: Tables, bucket, ids, part, size, root, small: int = 64) -> np.ndarray:
+    """All near pairs of a bucket whose members are not in one group yet. Members lie by group, so a group is never compared within."""
+    order = np.lexsort((ids, root, bucket))
+    bucket, ids, part, size, root = (x[order] for x in (bucket, ids, part, size, root))
+    begin = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    count = np.diff(np.append(begin, len(bucket)))
+    mixed = root[begin] != root[begin + count - 1]
+    pairs = [np.zeros((0, 2), np.int64)]
+    little = np.repeat(mixed & (count <= small), count)
+    b, i, p, n, r = (x[little] for x in (bucket, ids, part, size, root))
+    for d in range(1, small):
+        same = b[d:] == b[:-d]
+        if not same.any():
+            break
+        at = np.flatnonzero(same & (r[d:] != r[:-d]))
+        at = at[tables.near(p[at], p[at + d], n[at], n[at + d])]
+        pairs.append(np.stack([i[at], i[at + d]], axis=1))
+    for lo, c in zip(begin[mixed & (count > small)], count[mixed & (count > small)]):
+        for at in range(lo, lo + c, 256):
+            end = min(at + 256, lo + c)
+            other = max(at, int(np.searchsorted(root[lo : lo + c], root[at], "right")) + lo)
+            if other < lo + c:  # those of another group than the first of these
+                ok = tables.near(part[at:end, None], part[None, other : lo + c], size[at:end, None], size[None, other : lo + c])
+                x, y = np.nonzero(ok & (root[at:end, None] != root[None, other : lo + c]))
+                pairs.append(np.stack([ids[at + x], ids[other + y]], axis=1))
+    return np.concatenate(pairs)
+
+
+def _local_counts(values: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Values with a share of at least 0.04 % of the rows at hand, and their counts."""
+    found, n = np.unique(values, return_counts=True)
+    keep = n >= max(2, rows * 0.0004)
+    return found[keep], n[keep]
+
+
+def _hot_buckets(fp: DataFrame, tables: Tables, n: int) -> dict[int, int]:
+    """The crowded buckets and about how many members they have: what is frequent in the data that a task reads at once, added up."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            for at in range(0, len(p), 4000):
+                some = p["fp"].iloc[at : at + 4000]
+                found, count = _local_counts(tables.buckets(some).ravel(), len(some))
+                yield pd.DataFrame({"bucket": found, "n": count})
+
+    found = fp.select("fp").mapInPandas(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    return {r["bucket"]: r["n"] for r in found.filter(F.col("n") >= max(HOT, n // 1000)).collect()}
+
+
+def _filed(fp: DataFrame, tables: Tables, n: int, hot: dict[int, int], first: int | None, main: dict[int, int] | None = None) -> DataFrame:
+    """fp (id, fp, n[, root]) packed: one row per batch of fingerprints, table and range of its buckets, with arrays of what is filed there.
+
+    A hot bucket's members are dealt to blocks. Where their groups are known (main: each hot bucket's largest group), only members of
+    the largest are; the others go to every block, as they have to meet all of them.
+    """
+    bits = max(1, int(np.ceil(np.log2(max(2, n / SHARD)))))
+    known = np.array(sorted(hot), np.int64)
+    blocks = np.array([-(-hot[b] // HOT) for b in sorted(hot)], np.int64)
+    mains = None if main is None else np.array([main.get(b, 0) for b in sorted(hot)], np.int64)
+    rooted = "root" in fp.columns
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            for at in range(0, len(p), 4000):
+                some = p.iloc[at : at + 4000]
+                bucket = tables.buckets(some["fp"], first)
+                who = np.repeat(np.arange(len(some)), bucket.shape[1])
+                bucket = bucket.ravel()
+                shard = bucket >> max(0, tables.sampled - bits)
+                ids = some["id"].to_numpy(np.int64)
+                part = np.frombuffer(b"".join(x[:8] for x in some["fp"]), np.uint64)
+                size = (1000 * np.log(np.maximum(some["n"].to_numpy(), 1))).astype(np.uint16)
+                root = some["root"].to_numpy(np.int64) if rooted else ids
+                if len(known):
+                    place = np.minimum(np.searchsorted(known, bucket), len(known) - 1)
+                    is_hot = known[place] == bucket
+                    block = (ids[who].view(np.uint64) >> np.uint64(20)).astype(np.int64) % blocks[place]
+                    shard = np.where(is_hot, -1 - (place * (1 << 24) + block), shard)
+                    if mains is not None:  # the others to all other blocks too
+                        rest = np.flatnonzero(is_hot & (root[who] != mains[place]))
+                        times = blocks[place[rest]] - 1
+                        turn = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                        again = np.repeat(rest, times)
+                        turn += turn >= block[again]
+                        who, bucket = np.append(who, who[again]), np.append(bucket, bucket[again])
+                        shard = np.append(shard, -1 - (place[again] * (1 << 24) + turn))
+                order = np.argsort(shard, kind="stable")
+                shard, who, bucket = shard[order], who[order], bucket[order].astype(np.uint32)
+                cuts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else np.array([], int)
+                out = {"shard": shard[cuts]}
+                for name, x in (("bucket", bucket), ("id", ids[who]), ("part", part[who]), ("size", size[who]), *((("root", root[who]),) if rooted else ())):
+                    out[name] = [y.tobytes() for y in np.split(x, cuts[1:])]
+                yield pd.DataFrame(out)
+
+    columns = ["bucket", "id", "part", "size"] + ["root"] * rooted
+    return fp.mapInPandas(run, "shard long, " + ", ".join(f"{c} binary" for c in columns))
+
+
+def _met(filed: DataFrame, tables: Tables) -> DataFrame:
+    """(u, v), u < v: the pairs that `star` or, where groups are known, `across` finds."""
+    kinds = {"bucket": np.uint32, "id": np.int64, "part": np.uint64, "size": np.uint16, "root": np.int64}
+    names = [c for c in filed.columns if c != "shard"]
+
+    def run(p: pd.DataFrame) -> pd.DataFrame:
+        found = {c: np.concatenate([np.frombuffer(x, kinds[c]) for x in p[c]]) for c in names}
+        pairs = (across if "root" in names else star)(tables, found["bucket"], found["id"], *[found[c] for c in names[2:]])
+        pairs = np.unique(np.sort(pairs, axis=1), axis=0)
+        return pd.DataFrame({"u": pairs[:, 0], "v": pairs[:, 1]})
+
+    return filed.groupBy("shard").applyInPandas(run, "u long, v long").distinct()
+
+
+def near_duplicates_similar(docs: DataFrame, *, key: str = "doc_id", words: int = 5, similarity: float = 0.8, tables: int = 96, sampled: int = 20) -> DataFrame:
     """As near_duplicates, for a Jaccard similarity of the sets of word shingles: key, fp (binary, 256 bits), component_id.
 
     Only pairs whose exact similarity is high enough are linked. Chance that a pair is met, by similarity, from the sampled
-    bits alone (256 tables of 24): 0.993 at 0.8, 1.000 at 0.85. Texts with the same shingles are one node.
+    bits alone (96 tables of 20): 0.974 at 0.8, 0.998 at 0.85. Texts with the same shingles are one node.
+
+    First the members of a bucket are linked to one of them, in a few tables: that joins most of every group at the cost of one
+    candidate a member. Then all tables are searched, but only between members that are not in one group yet.
     """
     made = cut(_shingled(docs, key, words))
     nodes = cut(made.groupBy("id").agg(F.min(key).alias("least"), F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("text_id").alias("text_id")))
-    rng = np.random.default_rng(11)
-    picks = [np.sort(rng.choice(256, sampled, replace=False)) for _ in range(tables)]
-    limit = similar_limit(similarity)
-
-    weight = (1 << np.arange(sampled)).astype(np.int64)
-
-    def buckets(fps) -> np.ndarray:
-        """(fingerprints, tables)"""
-        bits = np.unpackbits(np.frombuffer(b"".join(fps), np.uint8).reshape(len(fps), -1), axis=1)
-        return np.stack([(bits[:, pick] @ weight) + (t << sampled) for t, pick in enumerate(picks)], axis=1)
-
-    def file(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in parts:
-            for at in range(0, len(p), 2000):
-                some = p.iloc[at : at + 2000]
-                yield pd.DataFrame({"id": np.repeat(some["id"].to_numpy(), tables), "bucket": buckets(some["fp"]).ravel()})
-
-    def sized(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether sets of these sizes can be similar enough."""
-        return np.minimum(a, b) >= similarity * np.maximum(a, b) - 1e-6
-
-    fp = cut(nodes.select("id", "fp", "n"))
-    filed = fp.mapInPandas(file, "id long, bucket long")
-    sizes = filed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("u"), F.max("id").alias("v")).filter("n > 1")
-    sizes = cut(sizes)
-    two = sizes.filter("n = 2").select("u", "v").distinct()
-    for c in ("u", "v"):
-        two = two.join(fp.select(F.col("id").alias(c), F.col("fp").alias(f"f{c}"), F.col("n").alias(f"n{c}")), c)
+    fp, filing = nodes.select("id", "fp", "n"), Tables(tables, sampled, similarity)
+    n = nodes.count()
+    hot = _hot_buckets(fp, filing, n)
 
     def near(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
-            p = p[sized(p["nu"].to_numpy(), p["nv"].to_numpy())]
             if len(p):
-                a, b = (np.frombuffer(b"".join(p[c]), np.uint64).reshape(len(p), -1) for c in ("fu", "fv"))
-                p = p[_within(a, b, limit)]
+                p = p[_within(_words(p["fu"]), _words(p["fv"]), filing.limit)]
             yield p[["u", "v"]]
 
-    pairs = two.select("u", "v", "fu", "fv", "nu", "nv").mapInPandas(near, "u long, v long")
-    crowded = sizes.filter("n > 2").select("bucket", F.ceil(F.col("n") / SMALL_BLOCK).cast("long").alias("blocks"))
-    few = crowded.count() <= CROWDED
-    if few:  # the crowded buckets' keys go to the tasks, which file their fingerprints again
-        keys = crowded.orderBy("bucket").toPandas()
-        shared = docs.sparkSession.sparkContext.broadcast((keys["bucket"].to_numpy(), keys["blocks"].to_numpy()))
+    def tested(met: DataFrame) -> DataFrame:
+        """The pairs that pass the chain test and the full Hamming test."""
+        for c in ("u", "v"):
+            met = met.join(fp.select(F.col("id").alias(c), F.col("fp").alias(f"f{c}")), c)
+        return cut(met.select("u", "v", "fu", "fv").mapInPandas(near, "u long, v long"))
 
-    def refile(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, blocks = shared.value
-        for p in parts:
-            for at in range(0, len(p) if len(known) else 0, 2000):
-                some = p.iloc[at : at + 2000]
-                all_ = buckets(some["fp"])
-                place = np.minimum(np.searchsorted(known, all_), len(known) - 1)
-                row, col = np.nonzero(known[place] == all_)
-                count = blocks[place[row, col]]
-                own = some["id"].to_numpy()[row] % count
-                again = np.repeat(np.arange(len(row)), count)
-                other = np.arange(len(again)) - np.repeat(np.cumsum(count) - count, count)
-                mine = own[again]
-                out = some.iloc[row[again]]
-                yield out.assign(bucket=all_[row, col][again], i=np.minimum(mine, other), j=np.maximum(mine, other))
-
-    def crowd(nodes: DataFrame, pairs_of) -> DataFrame:
-        """nodes (id, fp, n, root) by pairs of blocks of the crowded buckets -> what pairs_of gives for each."""
-        if few:
-            spread = nodes.mapInPandas(refile, "id long, fp binary, n long, root long, bucket long, i int, j int")
-        else:
-            own, other = F.pmod("id", "blocks").cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))
-            spread = filed.join(crowded, "bucket").join(nodes, "id").select("id", "fp", "n", "root", "bucket", own.alias("b"), other.alias("o"))
-            spread = spread.select("id", "fp", "n", "root", "bucket", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"))
-        parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        spread = spread.repartition(parts, "bucket", "i", "j")  # by block pair; the work is not in proportion to the bytes
-        return spread.groupBy("bucket", "i", "j").applyInPandas(pairs_of, "u long, v long")
-
-    def ordered(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
-        return pd.DataFrame({"u": np.minimum(a, b), "v": np.maximum(a, b)})
-
-    def tree(p: pd.DataFrame) -> pd.DataFrame:
-        """Pairs of a spanning forest: in a tight group they link nearly all members."""
-        ids, n = p["id"].to_numpy(), p["n"].to_numpy()
-        links = np.array(forest(_words(p["fp"]), limit, lambda a, b: sized(n[a][:, None], n[b][None, :])), int).reshape(-1, 2)
-        return ordered(ids[links[:, 0]], ids[links[:, 1]])
-
-    def rest(p: pd.DataFrame) -> pd.DataFrame:
-        """All pairs that are not in one component yet."""
-        ids, n, root, fps = p["id"].to_numpy(), p["n"].to_numpy(), p["root"].to_numpy(), _words(p["fp"])
-        us, vs = [np.array([], np.int64)], [np.array([], np.int64)]
-        if (root != root[0]).any():
-            for at in range(0, len(p), 256):
-                a = slice(at, at + 256)
-                open_ = (root[a][:, None] != root[None, at:]) & sized(n[a][:, None], n[None, at:])
-                x, y = np.nonzero(open_)
-                x, y = x + at, y + at
-                for part in range(0, len(x), CHUNK):
-                    i, j = x[part : part + CHUNK], y[part : part + CHUNK]
-                    ok = _within(fps[i], fps[j], limit)
-                    us.append(ids[i[ok]])
-                    vs.append(ids[j[ok]])
-        return ordered(np.concatenate(us), np.concatenate(vs)).drop_duplicates()
-
-    ground = fp.withColumn("root", F.col("id"))
-    met = cut(pairs.unionByName(crowd(ground, tree)).distinct())
+    met = tested(_met(_filed(fp, filing, n, hot, FIRST_TABLES), filing))
     links = cut(alike(met, nodes, docs, words, similarity))
     roots = cut(components(links))
-    ground = cut(fp.join(roots.withColumnRenamed("u", "id"), "id", "left").select("id", "fp", "n", F.coalesce("root", "id").alias("root")))
-    more = cut(crowd(ground, rest).distinct().join(met, ["u", "v"], "left_anti"))
-    if not more.isEmpty():
-        links = cut(links.unionByName(alike(more, nodes, docs, words, similarity)))
-        roots = cut(components(links))
-    return made.join(_named(nodes.select("id", "least"), roots), "id").select(key, "fp", "component_id")
+    rooted = cut(fp.join(roots.withColumnRenamed("u", "id"), "id", "left").select("id", "fp", "n", F.coalesce("root", "id").alias("root")))
+    more = _met(_filed(rooted, filing, n, hot, None, _main_groups(rooted, filing, hot)), filing)
+    more = tested(more.join(met, ["u", "v"], "left_anti"))
+    links = cut(links.unionByName(alike(more, nodes, docs, words, similarity)))
+    return made.join(_named(nodes.select("id", "least"), cut(components(links))), "id").select(key, "fp", "component_id")
+
+
+def _main_groups(rooted: DataFrame, tables: Tables, hot: dict[int, int]) -> dict[int, int]:
+    """Of each hot bucket the group that most of its members are in."""
+    if not hot:
+        return {}
+    known = np.array(sorted(hot), np.int64)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            for at in range(0, len(p), 4000):
+                some = p.iloc[at : at + 4000]
+                bucket = tables.buckets(some["fp"])
+                row, col = np.nonzero(np.isin(bucket, known))
+                pairs, count = np.unique(np.stack([bucket[row, col], some["root"].to_numpy(np.int64)[row]], axis=1), axis=0, return_counts=True)
+                keep = count > 1
+                yield pd.DataFrame({"bucket": pairs[keep, 0], "root": pairs[keep, 1], "n": count[keep]})
+
+    counts = rooted.select("fp", "root").mapInPandas(run, "bucket long, root long, n long").groupBy("bucket", "root").agg(F.sum("n").alias("n"))
+    return {r["bucket"]: r["root"] for r in counts.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("root")).collect()}
 
 
 def _words(fps) -> np.ndarray:
