@@ -4,21 +4,22 @@ Texts are cut into windows of fixed length; each window's bytes are embedded, co
 max-pooled and put through a softmax. The network is trained in numpy on a bounded sample of labelled texts. A document's
 prediction is the mean of its windows' log-probabilities, over every window of the whole text.
 
-Defined cases: a null text or one without a letter is `und` with score 1; repeated rows are each predicted; null labels are
-not learned from; with no labels at all every text is `und`; other columns are ignored; very long texts go through in
-batches of windows, so memory is bounded.
+Defined cases: a null text or one without a letter (Unicode category L: no digits, fractions or numerals) is `und` with score 1;
+repeated rows are each predicted; null labels are not learned from; with no labels at all every text is `und`; other columns are
+ignored; very long texts go through in batches of windows, so memory is bounded.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerloom.llm.common import held_out, labelled_sample
+from ledgerloom.llm.common import cut, held_out
 
 WINDOW = 256
 WIDTHS, FILTERS, DIM = (2, 3, 4, 5), 8, 6
@@ -27,6 +28,10 @@ BATCH = 512
 _LETTER = re.compile(r"[^\W\d_]")
 
 
+def has_letter(text: str) -> bool:
+    return any(m.group().isalpha() for m in _LETTER.finditer(text))
+
+
 def windows_of(raw: bytes, window: int = WINDOW) -> np.ndarray:
     """The text's bytes in rows of `window`, the last one shifted back to be full; short texts are padded with spaces."""
     if len(raw) <= window:
@@ -55,12 +60,6 @@ def log_softmax(z: np.ndarray) -> np.ndarray:
     return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
 
-def fast_tables(net: dict) -> list[np.ndarray]:
-    """Per offset, each byte's contribution to every filter: the embedding and the filters multiplied out."""
-    k = _kernel(net).reshape(max(WIDTHS), DIM, -1)
-    return [np.ascontiguousarray(net["embed"] @ k[j]) for j in range(len(k))]
-
-
 def window_scores(net: dict, x: np.ndarray) -> np.ndarray:
     out = []
     for at in range(0, len(x), BATCH):
@@ -114,26 +113,49 @@ def train(x: np.ndarray, y: np.ndarray, classes: int, *, epochs: int = 10, rate:
     return net
 
 
+def sampled_windows(docs: DataFrame, key: str, bound: int, per_text: int) -> DataFrame:
+    """(lang, turn, windows): up to `per_text` windows of each text of a sample, about bound / languages texts (one at least) of each
+    language, by a hash of the key. A language none of whose sampled texts has a letter is left out."""
+    marked = docs.select(F.col(key).alias("id"), "lang").filter(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id")))
+    marked = marked.withColumn("turn", F.xxhash64("id"))
+    sizes = cut(marked.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
+    share = max(1, bound // max(1, sizes.count()))
+    # the least hashes of each language: most rows are left out by their hash alone before the rest is ranked
+    few = F.col("turn") < F.lit(-(2.0**63)) + F.lit(2.0**64 * (4 * share + 100)) / F.col("n")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("turn", "id"))
+    chosen = marked.join(sizes, "lang").filter(few).select("id", "lang", "turn").distinct().withColumn("rank", rank).filter(F.col("rank") <= share)
+    texts = docs.select(F.col(key).alias("id"), "lang", "text").filter(F.col("text").isNotNull())
+    texts = texts.join(F.broadcast(cut(chosen.select("id", "lang", "turn"))), ["id", "lang"]).select("lang", "turn", "text")
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            made = []
+            for lang, turn, text in zip(p["lang"], p["turn"], p["text"]):
+                if has_letter(text):
+                    raw = text.encode("utf-8", "replace")
+                    w = windows_of(raw)
+                    picked = np.random.default_rng(zlib.crc32(raw)).permutation(len(w))[:per_text]
+                    made.append((lang, turn, w[np.sort(picked)].tobytes()))
+            yield pd.DataFrame(made, columns=["lang", "turn", "windows"]) if made else pd.DataFrame({"lang": [], "turn": [], "windows": []}, dtype=object).astype({"turn": "int64"})
+
+    found = texts.mapInPandas(run, "lang string, turn long, windows binary")
+    # rows that share an id and a language count once: the least
+    return found.groupBy("lang", "turn").agg(F.min("windows").alias("windows"))
+
+
 def fit_language(docs: DataFrame, *, key: str = "doc_id", bound: int = 3000, per_text: int = 4, seed: int = 3) -> dict:
-    """Trained on up to `per_text` windows of at most `bound` labelled whole texts (the bound is shared out evenly by label)."""
-    marked = docs.select(F.col(key).alias("doc_id"), "lang")
-    langs = [r["lang"] for r in marked.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(200).collect()]
-    rng = np.random.default_rng(seed)
-    xs, ys = [], []
-    for i, lang in enumerate(langs):
-        mine = marked.filter(F.col("lang") == lang).select("doc_id", F.lit(i).alias("label"))
-        texts = docs.select(F.col(key).alias("doc_id"), "text")
-        for r in sorted(labelled_sample(texts, mine, "label", max(1, bound // len(langs))).collect()):
-            if not _LETTER.search(r["text"]):
-                continue
-            w = windows_of(r["text"].encode("utf-8", "replace"))
-            w = w[rng.permutation(len(w))[:per_text]]
-            xs.append(w)
-            ys += [i] * len(w)
-    if not xs:
+    """Trained on up to `per_text` windows of at most `bound` labelled whole texts (or one of each language, if those are more).
+
+    The windows are cut on the executors: at most `per_text` * WINDOW bytes of a text reach the driver.
+    """
+    rows = sorted((r["lang"], r["turn"], bytes(r["windows"])) for r in sampled_windows(docs, key, bound, per_text).collect())
+    langs = sorted({r[0] for r in rows})
+    if not langs:
         return {"langs": []}
-    net = train(np.concatenate(xs), np.array(ys), len(langs))
-    return {"langs": langs, "net": net}
+    number = {lang: i for i, lang in enumerate(langs)}
+    xs = [np.frombuffer(w, np.uint8).reshape(-1, WINDOW) for _, _, w in rows]
+    ys = np.repeat([number[lang] for lang, _, _ in rows], [len(x) for x in xs])
+    return {"langs": langs, "net": train(np.concatenate(xs), ys, len(langs), seed=seed)}
 
 
 def predict(model: dict, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
@@ -154,7 +176,7 @@ def predict(model: dict, texts: list[str | None]) -> tuple[list[str], np.ndarray
             held.clear(), owner.clear()
             n = 0
 
-    live = [i for i, t in enumerate(texts) if t is not None and _LETTER.search(t)]
+    live = [i for i, t in enumerate(texts) if t is not None and has_letter(t)]
     for i in live:
         w = windows_of(texts[i].encode("utf-8", "replace"))
         count[i] = len(w)
