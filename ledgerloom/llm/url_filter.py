@@ -2,17 +2,19 @@
 
 1. Segments that look variable (digits, hex, long ids) become `*`: a raw template.
    Pages are counted by (host, raw template) first; all later steps work on that far smaller table.
-2. Level by level, sibling branches whose labelled rates do not differ (two-proportion z test
+2. Level by level, as deep as the paths go, sibling branches whose labelled rates do not differ (two-proportion z test
    against the rest of their parent) are merged into one wildcard branch.
 3. Rare children of a node with many are merged too while they have too few labels for that test.
 4. A template is rejected when its smoothed share of bad labels passes a threshold.
 
 Explicit rules come first: the longest rule that fits a URL decides.
 
+Pages carry no labels of their own. `label_pages` derives them from their text: every line of a labelled document has the share of bad
+ones among the documents that hold it; a page most of whose text is such lines is bad where they are, weighted by length.
+
 Defined cases: a null URL or one without `://` has empty host and path, no rule, and the method's
 verdict for the empty host; null labels do not count; repeated rows each count; an empty table gives none;
-other columns of the input are ignored; path levels below `max_depth` are taken while a node there has
-both good and bad labels, and count as one `*` from then on.
+other columns of the input are ignored, whatever their names; a page without a key has no label.
 """
 
 from __future__ import annotations
@@ -62,49 +64,86 @@ def raw_template(path: Column) -> Column:
     return F.transform(segments, lambda s: F.regexp_replace(s, variable, "*$1"))
 
 
-def template_verdicts(counts: DataFrame, max_depth: int, min_children: int, min_share: float, z: float, strength: float, threshold: float) -> DataFrame:
-    """(host, raw, n, good, bad) -> (host, raw, template, purity, rejected)."""
-    tree = counts.withColumn("node", F.lit("")).withColumn("level", F.lit(None).cast("string"))
+def _step(tree: DataFrame, depth: int, min_children: int, min_share: float, z: float) -> DataFrame:
+    """tree (host, raw, n, good, bad, node), the node of level depth - 1 -> with the node of level depth."""
+    tree = tree.withColumn("level", F.get(F.col("raw"), F.lit(depth - 1)))
+    child = cut(tree.groupBy("host", "node", "level").agg(*[F.sum(c).alias(c) for c in ("n", "good", "bad")]))
+    sums = [F.sum(c).alias(f"all_{c}") for c in ("n", "good", "bad")]
+    parent = child.groupBy("host", "node").agg(*sums, F.count("level").alias("width"))
+    child = child.join(parent, ["host", "node"])
+    # rare children of a wide node are values, not structure, unless their labels tell otherwise
+    rare = (F.col("width") > min_children) & (F.col("n") < min_share * F.col("all_n"))
+    # a branch is merged with its siblings unless its labelled rate differs from theirs
+    mine, rest = F.col("good") + F.col("bad"), F.col("all_good") + F.col("all_bad") - F.col("good") - F.col("bad")
+    rate = (F.col("all_bad") + 0.5) / (F.col("all_good") + F.col("all_bad") + 1.0)
+    gap = F.col("bad") / F.greatest(mine, F.lit(1)) - (F.col("all_bad") - F.col("bad")) / F.greatest(rest, F.lit(1))
+    error = F.sqrt(rate * (1 - rate) * (1 / F.greatest(mine, F.lit(1)) + 1 / F.greatest(rest, F.lit(1))))
+    alike = (F.col("width") > 1) & ((mine == 0) | (rest == 0) | (F.abs(gap) < z * error))
+    name = F.when(F.col("level").isNull(), F.lit("")).when(alike | (rare & (mine < FEW_LABELS)), F.lit("/*")).otherwise(F.concat(F.lit("/"), F.col("level")))
+    child = child.select("host", "node", "level", name.alias("step"))
+    same = (F.col("t.host") == F.col("c.host")) & (F.col("t.node") == F.col("c.node")) & F.col("t.level").eqNullSafe(F.col("c.level"))
+    return tree.alias("t").join(child.alias("c"), same).select("t.host", "t.raw", "t.n", "t.good", "t.bad", F.concat("t.node", "c.step").alias("node"))
+
+
+def template_verdicts(counts: DataFrame, min_children: int, min_share: float, z: float, strength: float, threshold: float) -> DataFrame:
+    """(host, raw, n, good, bad), written, one row per (host, raw) -> (host, raw, template, purity, rejected)."""
+    columns = ["host", "raw", "n", "good", "bad", "node"]
+    tree = counts.withColumn("node", F.lit(""))
+    done = None
     for depth in count(1):
-        if depth > max_depth:
-            deeper = tree.filter(F.size("raw") >= depth).groupBy("host", "node").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-            if deeper.filter("good > 0 and bad > 0").isEmpty():
-                tree = tree.withColumn("node", F.when(F.size("raw") >= depth, F.concat("node", F.lit("/*"))).otherwise(F.col("node")))
-                break
-        tree = tree.withColumn("level", F.get(F.col("raw"), F.lit(depth - 1)))
-        child = tree.groupBy("host", "node", "level").agg(*[F.sum(c).alias(c) for c in ("n", "good", "bad")])
-        siblings = Window.partitionBy("host", "node")
-        child = child.withColumns({
-            "all_n": F.sum("n").over(siblings),
-            "all_good": F.sum("good").over(siblings),
-            "all_bad": F.sum("bad").over(siblings),
-            "width": F.count("level").over(siblings),
-        })
-        # rare children of a wide node are values, not structure, unless their labels tell otherwise
-        rare = (F.col("width") > min_children) & (F.col("n") < min_share * F.col("all_n"))
-        # a branch is merged with its siblings unless its labelled rate differs from theirs
-        mine, rest = F.col("good") + F.col("bad"), F.col("all_good") + F.col("all_bad") - F.col("good") - F.col("bad")
-        rate = (F.col("all_bad") + 0.5) / (F.col("all_good") + F.col("all_bad") + 1.0)
-        gap = F.col("bad") / F.greatest(mine, F.lit(1)) - (F.col("all_bad") - F.col("bad")) / F.greatest(rest, F.lit(1))
-        error = F.sqrt(rate * (1 - rate) * (1 / F.greatest(mine, F.lit(1)) + 1 / F.greatest(rest, F.lit(1))))
-        alike = (F.col("width") > 1) & ((mine == 0) | (rest == 0) | (F.abs(gap) < z * error))
-        name = F.when(F.col("level").isNull(), F.lit("")).when(alike | (rare & (mine < FEW_LABELS)), F.lit("/*")).otherwise(F.concat(F.lit("/"), F.col("level")))
-        child = child.select("host", "node", "level", name.alias("step"))
-        tree = (
-            tree.alias("t")
-            .join(child.alias("c"), (F.col("t.host") == F.col("c.host")) & (F.col("t.node") == F.col("c.node")) & F.col("t.level").eqNullSafe(F.col("c.level")))
-            .select("t.host", "t.raw", "t.n", "t.good", "t.bad", F.concat("t.node", "c.step").alias("node"))
-        )
-        tree = cut(tree.withColumn("level", F.lit(None).cast("string")))  # each level uses the one above twice
+        # a path is done at its end, and where it is the only one of its node: there is nothing left to merge it with
+        alone = tree.groupBy("host", "node").agg((F.count(F.lit(1)) == 1).alias("alone"))
+        here = cut(tree.join(alone, ["host", "node"]).withColumn("over", F.col("alone") | (F.size("raw") < depth)).select(*columns, "alone", "over"))
+        rest = F.concat(F.lit("/"), F.array_join(F.slice("raw", depth, F.greatest(F.size("raw") - depth + 1, F.lit(0))), "/"))
+        last = here.filter("over").withColumn("node", F.when(F.size("raw") < depth, F.col("node")).otherwise(F.concat("node", rest)))
+        done = last.select(*columns) if done is None else done.unionByName(last.select(*columns))
+        # ended paths count as siblings of those that go on, so a node is taken as a whole
+        open_ = here.filter("not alone")
+        if here.filter("not over").isEmpty():
+            break
+        tree = cut(_step(open_.select(*columns), depth, min_children, min_share, z).filter(F.size("raw") >= depth))
     prior = counts.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 1.0) / (F.coalesce(F.sum("good") + F.sum("bad"), F.lit(0)) + 2.0)).alias("prior"))
+    tree = cut(done)
     leaf = tree.groupBy("host", "node").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).join(F.broadcast(prior))
     purity = (F.col("bad") + strength * F.col("prior")) / (F.col("good") + F.col("bad") + strength)
     leaf = leaf.select("host", "node", purity.alias("purity"), (purity > threshold).alias("rejected"))
     return tree.select("host", "raw", "node").join(leaf, ["host", "node"]).select("host", "raw", F.col("node").alias("template"), "purity", "rejected")
 
 
+def page_lines(html: Column) -> Column:
+    """The visible lines of a page: block elements and line breaks part them, other tags go, white space is one space."""
+    text = F.regexp_replace(html, r"(?is)<(script|style|head)\b.*?</\1\s*>|<!--.*?-->", "\n")
+    text = F.regexp_replace(text, r"(?i)</?(?:p|br|div|li|ul|ol|h[1-6]|tr|td|th|table|nav|article|section|header|footer|main|body|html)\b[^>]*>", "\n")
+    text = F.regexp_replace(text, r"<[^>]*>", " ")
+    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(entity), F.lit(char))
+    return F.filter(F.transform(F.split(text, "\n"), _tidy), lambda s: s != "")
+
+
+def _tidy(line: Column) -> Column:
+    return F.trim(F.regexp_replace(line, r"[ \t\r\f\u000B\u00A0]+", " "))
+
+
+def label_pages(pages: DataFrame, docs: DataFrame, labels: DataFrame, *, key: str = "page_id", least: float = 0.5) -> DataFrame:
+    """(key, bad): pages at least `least` of whose text (by length) is lines of labelled documents.
+
+    labels: doc_id, bad. A line's rate is the share of bad ones among the labelled documents that hold it; a page is bad where the
+    length-weighted mean of its known lines' rates is over a half.
+    """
+    marks = labels.filter(F.col("doc_id").isNotNull() & F.col("bad").isNotNull()).groupBy("doc_id").agg(F.max(F.col("bad").cast("int")).alias("bad"))
+    lines = F.array_distinct(F.filter(F.transform(F.split("text", "\n"), lambda s: F.xxhash64(_tidy(s))), lambda h: h != F.xxhash64(F.lit(""))))
+    known = docs.select("doc_id", lines.alias("lines")).join(marks, "doc_id").select(F.explode("lines").alias("line"), "bad").groupBy("line").agg(F.avg("bad").alias("rate"))
+    held = pages.filter(F.col(key).isNotNull()).select(F.col(key).alias("page"), F.explode(page_lines(F.col("html"))).alias("s"))
+    held = held.select("page", F.xxhash64("s").alias("line"), F.length("s").alias("size"))
+    # lines that many pages share are counted once per page before they meet their rate
+    met = held.groupBy("page", "line").agg(F.sum("size").alias("size")).join(known, "line", "left")
+    seen = F.when(F.col("rate").isNotNull(), F.col("size")).otherwise(0)
+    sums = met.groupBy("page").agg(F.sum("size").alias("all"), F.sum(seen).alias("seen"), F.sum(F.col("rate") * seen).alias("bad"))
+    return sums.filter((F.col("seen") > 0) & (F.col("seen") >= least * F.col("all"))).select(F.col("page").alias(key), (F.col("bad") > 0.5 * F.col("seen")).alias("bad"))
+
+
 def filter_urls(
-    pages: DataFrame, labels: DataFrame, *, key: str = "page_id", rules=RULES, max_depth: int = 4,
+    pages: DataFrame, labels: DataFrame, *, key: str = "page_id", rules=RULES,
     min_children: int = 20, min_share: float = 0.02, z: float = 1.96, strength: float = 4.0, threshold: float = 0.5,
 ) -> DataFrame:
     """Judge every row of pages (key, url). labels: (key, bad boolean), at most one row per key is used.
@@ -112,19 +151,19 @@ def filter_urls(
     Returns key, host, path, rule, template, purity, verdict.
     """
     host, path = host_and_path(F.col("url"))
-    urls = pages.select(F.col(key), host.alias("host"), path.alias("path")).withColumn("raw", raw_template(F.col("path")))
-    marks = labels.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.col("bad").cast("int")).alias("bad"))
+    urls = pages.select(F.col(key).alias("page"), host.alias("host"), path.alias("path")).withColumn("raw", raw_template(F.col("path")))
+    marks = labels.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("page")).agg(F.max(F.col("bad").cast("int")).alias("bad"))
     counts = cut(
-        urls.join(marks, key, "left").groupBy("host", "raw").agg(
+        urls.join(marks, "page", "left").groupBy("host", "raw").agg(
             F.count(F.lit(1)).alias("n"), F.count_if(F.col("bad") == 0).alias("good"), F.count_if(F.col("bad") == 1).alias("bad")
         )
     )
-    verdicts = cut(template_verdicts(counts, max_depth, min_children, min_share, z, strength, threshold))
+    verdicts = cut(template_verdicts(counts, min_children, min_share, z, strength, threshold))
     rule, decided = rule_for(F.col("host"), F.col("path"), rules)
     return (
         urls.join(verdicts, ["host", "raw"], "left")
         .select(
-            key, "host", "path", rule.alias("rule"), "template", "purity",
+            F.col("page").alias(key), "host", "path", rule.alias("rule"), "template", "purity",
             F.coalesce(decided, F.when(F.col("rejected"), "block").otherwise("allow")).alias("verdict"),
         )
     )
