@@ -29,9 +29,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-ITEMS = 5000
+ITEMS = 20_000
 #: Words of documents handled at once.
 STRETCH = 2_000_000
+#: Pairs of window and item that a table of keys may put out at once.
+PAIRS = 2_000_000
 SAMPLED, WALKS = 3, 4
 _WORD = re.compile(r"\w+")
 
@@ -68,6 +70,13 @@ def _among(values: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
     return sorted_[np.minimum(np.searchsorted(sorted_, values), len(sorted_) - 1)] == values
 
 
+def filed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A table's distinct keys in order, where each one's members begin (and the last ends), and the members."""
+    members = np.argsort(keys, kind="stable")
+    values, begins = np.unique(keys[members], return_index=True)
+    return values, np.append(begins, len(keys)), members
+
+
 class Index:
     """The items of one block by length, with the walks' factors, the sampled steps and the items' keys."""
 
@@ -94,7 +103,7 @@ class Index:
                 walks.append((factors, np.sort(rng.integers(0, 3 * n, (mine, SAMPLED)), axis=1)))
             x = np.stack([v for _, v in group])
             known = np.unique(x)
-            keys = [[np.unique(col, return_inverse=True) for col in self.keys(x, *walk).T] for walk in walks]
+            keys = [[filed(col) for col in self.keys(x, *walk).T] for walk in walks]
             k = int(edit_rate * n)
             least = max(0, n - 2 - 3 * k)
             runs = np.unique(self.run_ids(x))
@@ -166,15 +175,20 @@ class Index:
         for at in range(0, len(starts), 50_000):
             some = starts[at : at + 50_000]
             strings = ids[some[:, None] + np.arange(n)]
-            hit = np.zeros((len(some), len(items)), bool)
-            for walk, filed in zip(walks, keys):
+            met = []  # window * items + item, for those that share a key in some table
+            for walk, tables in zip(walks, keys):
                 mine = self.keys(strings, *walk)
-                for t, (values, which) in enumerate(filed):
+                for t, (values, bounds, members) in enumerate(tables):
                     place = np.minimum(np.searchsorted(values, mine[:, t]), len(values) - 1)
                     row = np.flatnonzero(values[place] == mine[:, t])
-                    if len(row):
-                        hit[row] |= which[None, :] == place[row][:, None]
-            for r, c in zip(*np.nonzero(hit)):
+                    for some_rows in np.array_split(row, 1 + int(np.diff(bounds)[place[row]].sum()) // PAIRS) if len(row) else ():
+                        first, n_items = bounds[place[some_rows]], np.diff(bounds)[place[some_rows]]
+                        again = np.repeat(np.arange(len(some_rows)), n_items)
+                        turn = np.arange(len(again)) - np.repeat(np.cumsum(n_items) - n_items, n_items)
+                        met.append(some_rows[again] * len(items) + members[first[again] + turn])
+                        if sum(map(len, met)) > 4 * PAIRS:  # keys repeat pairs
+                            met = [np.unique(np.concatenate(met))]
+            for r, c in zip(*np.divmod(np.unique(np.concatenate(met)), len(items))) if met else ():
                 pairs[int(owner[some[r]]), int(c)].append(int(some[r]))
         for (where, c), at in pairs.items():
             best, lo, item = None, at[0], x[c].tolist()
@@ -227,7 +241,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", ed
     n = items.count()
     blocks = max(1, -(-n // ITEMS))
     rows = docs.select(key, "text")
-    schema = f"{key} {rows.schema[key].dataType.simpleString()}, item_id long, edits int"
+    schema = f"{key} {rows.schema[key].dataType.simpleString()}, item_id {items.schema['item_id'].dataType.simpleString()}, edits int"
     out = None
     for b in range(blocks):
         mine = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
