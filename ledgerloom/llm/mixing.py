@@ -5,20 +5,24 @@ the smallest a whose weights repeat no source more than `max_repeats` times, and
 are less even than `evenness` * ln(number of sources), the a whose entropy is that target; the larger of both.
 
 Realisation: source i gets w_i * budget tokens. It is read in whole passes (epochs), each a permutation
-of its documents by a keyed hash, and then part of one more pass, up to its budget. A permutation is cut into
+of its documents by a keyed hash of key and text, and then part of one more pass, up to its budget. A permutation is cut into
 about sqrt(documents) blocks by hash range: only block sums are ordered per source, and only the one block that
-the budget ends in is ordered row by row, so no task sees a whole source.
+the budget ends in is ordered document by document, with equal documents as one; its last place is the source's bound. So no task
+sees a whole source, and a second pass over the documents only compares each with its source's bound.
 
 Defined cases: tokens are runs of non-space characters; documents without tokens (null, empty, blank) are never
-emitted; null sources form one source; repeated rows each take part; ties of the hash go by doc_id, tokens and text;
-an empty table gives none; other columns are passed on, and mix_epoch, mix_block and mix_tokens are replaced.
+emitted; null sources form one source; repeated rows each take part, and where the budget ends among copies as many of them as it
+asks for; ties of the hash go by key, tokens and a digest of the text; an empty table gives none; other columns are passed on,
+whatever their names, and mix_epoch, mix_block and mix_tokens are replaced.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerloom.llm.common import SPACE, cut
+from ledgerloom.llm.common import SPACE, col, cut, prefix
 
 GRID = 1 << 20  # exponents are multiples of 1 / GRID
 
@@ -32,8 +36,6 @@ def exponent(sources: DataFrame, budget: int, evenness: float, max_repeats: floa
     total, n, least = sources.agg(F.sum("tokens"), F.count(F.lit(1)), F.min("tokens")).first()
     if not n or n == 1:
         return GRID
-    import math
-
     share = F.col("tokens") / F.lit(float(total))
     lo, hi = 0, GRID
     while hi - lo > 1:
@@ -63,35 +65,56 @@ def mix_sources(
 ) -> DataFrame:
     """The rows of the mixture: docs' columns, mix_epoch (from 0), mix_block and mix_tokens, one row per use."""
     own = [c for c in docs.columns if c not in ("mix_epoch", "mix_block", "mix_tokens")]
-    name = F.coalesce(F.col(source).cast("string"), F.lit("\u0000"))
-    rows = docs.select(*own).withColumn("_source", name).withColumn("mix_tokens", count_tokens(F.col("text"))).filter("mix_tokens > 0")
-    sources = cut(rows.groupBy("_source").agg(F.sum("mix_tokens").alias("tokens"), F.count(F.lit(1)).alias("n")))
+    name = F.coalesce(col(source).cast("string"), F.lit("\u0000"))
+    facts = [name.alias("src"), col(key).alias("key"), count_tokens(F.col("text")).alias("tokens"), F.md5("text").alias("digest")]
+    slim = cut(docs.select(*facts).filter("tokens > 0"))
+    sources = cut(slim.groupBy("src").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("n")))
     total = sources.agg(F.sum("tokens")).first()[0] or 0
     budget = total if budget_tokens is None else budget_tokens
     a = exponent(sources, budget, evenness, max_repeats) / GRID
     part = F.pow(F.col("tokens") / F.lit(float(total or 1)), F.lit(a))
     whole = sources.agg(F.sum(part)).first()[0] or 1.0
     need = F.round(part / F.lit(whole) * F.lit(float(budget))).cast("bigint")
-    plan = cut(sources.select(
-        "_source", "tokens", need.alias("_need"), F.ceil(F.sqrt("n")).cast("bigint").alias("_blocks")
-    )).select("_source", "_blocks", F.expr("cast(_need div tokens as int)").alias("_full"), (F.col("_need") % F.col("tokens")).alias("_rest"))
-
-    def dealt(df: DataFrame) -> DataFrame:
-        """One row per document and pass, with its place in that pass."""
-        df = df.join(plan, "_source").withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), F.col("_full"))))
-        digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("mix_epoch"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
-        df = df.withColumn("_place", F.conv(F.substring(digest, 1, 10), 16, 10).cast("bigint"))
-        return df.withColumn("mix_block", F.shiftright(F.col("_place") * F.col("_blocks"), 40))
-
-    last = dealt(rows.select("_source", key, "mix_tokens")).filter("mix_epoch = _full")
-    sums = cut(last.groupBy("_source", "mix_block").agg(F.sum("mix_tokens").alias("_sum")))
-    before = F.coalesce(F.sum("_sum").over(Window.partitionBy("_source").orderBy("mix_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    blocks = cut(sums.select("_source", "mix_block", "_sum", before.alias("_before")))
-    used = dealt(rows).join(blocks, ["_source", "mix_block"], "left")
-    partial = F.col("mix_epoch") == F.col("_full")
-    inside = F.col("_before") + F.col("_sum") <= F.col("_rest")
-    taken = used.filter(~partial | inside)
-    edge = used.filter(partial & ~inside & (F.col("_before") < F.col("_rest")))
-    order = Window.partitionBy("_source").orderBy("_place", key, "mix_tokens", "text").rowsBetween(Window.unboundedPreceding, -1)
-    edge = edge.withColumn("_at", F.col("_before") + F.coalesce(F.sum("mix_tokens").over(order), F.lit(0))).filter("_at < _rest").drop("_at")
-    return taken.unionByName(edge).select(*own, "mix_epoch", "mix_block", "mix_tokens")
+    plan = sources.select("src", "tokens", need.alias("need"), F.ceil(F.sqrt("n")).cast("bigint").alias("blocks"))
+    plan = cut(plan.select("src", "blocks", F.expr("cast(need div tokens as int)").alias("full"), (F.col("need") % F.col("tokens")).alias("rest")))
+
+    def place(epoch: Column, key: Column, digest: Column) -> Column:
+        """Where a pass has a document, of 2^40 places."""
+        text = F.concat_ws(":", F.lit(str(seed)), epoch, F.coalesce(key.cast("string"), F.lit("")), digest)
+        return F.conv(F.substring(F.md5(text), 1, 10), 16, 10).cast("bigint")
+
+    # the last pass: the block that the budget ends in, and there the last place
+    last = slim.join(plan, "src").withColumn("place", place(F.col("full"), F.col("key"), F.col("digest")))
+    last = last.withColumn("block", F.shiftright(F.col("place") * F.col("blocks"), 40))
+    sums = cut(last.groupBy("src", "block").agg(F.sum("tokens").alias("sum"), F.max("rest").alias("rest")))
+    upto = F.sum("sum").over(Window.partitionBy("src").orderBy("block"))
+    ends = sums.withColumn("upto", upto).filter("upto > rest").groupBy("src").agg(F.min(F.struct("block", (F.col("upto") - F.col("sum")).alias("before"), "rest")).alias("e"))
+    ends = cut(ends.select("src", F.col("e.block").alias("end"), F.col("e.before").alias("before"), F.col("e.rest").alias("rest")))
+    edge = last.drop("rest").join(ends, "src").filter("block = end").groupBy("src", "before", "rest", "place", "key", "tokens", "digest").agg(F.count(F.lit(1)).alias("copies"))
+    order = Window.partitionBy("src").orderBy("place", "key", "tokens", "digest").rowsBetween(Window.unboundedPreceding, -1)
+    edge = edge.withColumn("at", F.col("before") + F.coalesce(F.sum(F.col("tokens") * F.col("copies")).over(order), F.lit(0))).filter("at < rest")
+    edge = edge.withColumn("uses", F.least("copies", F.ceil((F.col("rest") - F.col("at")) / F.col("tokens"))))
+    tip = F.max(F.struct(F.struct("place", "key", "tokens", "digest").alias("bound"), "copies", "uses")).alias("t")
+    bounds = cut(edge.groupBy("src").agg(tip).select("src", "t.*"))
+    plan = cut(plan.drop("rest").join(ends.select("src", "end"), "src").join(bounds, "src", "left"))
+
+    p = prefix(own)
+    rows = docs.select(*[col(c) for c in own], *[f.alias(p + n) for f, n in zip(facts, ("src", "key", "tokens", "digest"))]).filter(F.col(p + "tokens") > 0)
+    used = rows.join(plan.select(*[F.col(c).alias(p + c) for c in plan.columns]), p + "src")
+    used = used.withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), F.col(p + "full"))))
+    used = used.withColumn(p + "place", place(F.col("mix_epoch"), F.col(p + "key"), F.col(p + "digest")))
+    used = used.withColumn("mix_block", F.shiftright(F.col(p + "place") * F.col(p + "blocks"), 40)).withColumn("mix_tokens", F.col(p + "tokens"))
+    here = F.struct(*[F.col(p + c).alias(c) for c in ("place", "key", "tokens", "digest")])
+    bound, whole_pass = F.col(p + "bound"), F.col("mix_epoch") < F.col(p + "full")
+    at_end = ~whole_pass & (F.col("mix_block") == F.col(p + "end"))
+    all_copies = F.col(p + "uses") >= F.col(p + "copies")
+    inside = whole_pass | (F.col("mix_block") < F.col(p + "end")) | (at_end & F.coalesce((here < bound) | (here.eqNullSafe(bound) & all_copies), F.lit(False)))
+    result = [*[col(c) for c in own], F.col("mix_epoch"), F.col("mix_block"), F.col("mix_tokens")]
+    taken = used.filter(inside).select(*result)
+    if bounds.filter("uses < copies").isEmpty():
+        return taken
+    # of the copies that a budget ends among as many as it asks for; equal rows are one row with a count
+    split = used.filter(at_end & here.eqNullSafe(bound) & ~all_copies).groupBy(*result, p + "src", p + "uses").agg(F.count(F.lit(1)).alias(p + "n"))
+    before = F.coalesce(F.sum(p + "n").over(Window.partitionBy(p + "src").orderBy(F.xxhash64(*result), *[col(c) for c in own]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    split = split.withColumn(p + "n", F.least(F.col(p + "n"), F.col(p + "uses") - before)).filter(F.col(p + "n") > 0)
+    return taken.unionByName(split.withColumn(p + "n", F.explode(F.sequence(F.lit(1), F.col(p + "n").cast("int")))).select(*result))
