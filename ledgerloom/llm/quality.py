@@ -180,9 +180,8 @@ def score(model: dict, texts: list[str | None]) -> np.ndarray:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, *, label: str = "quality", bound: int = 2000) -> dict:
-    """A model fitted on at most `bound` labelled whole texts that are not held out."""
-    rows = labelled_sample(docs, labels, label, bound).collect()
-    return train(sorted((r["text"], int(r["label"])) for r in rows))
+    """A model fitted on at most `bound` labelled whole texts (and SAMPLE_BYTES of them) that are not held out."""
+    return train(labelled_sample(docs, labels, label, bound))
 
 
 def score_quality(docs: DataFrame, model: dict, *, key: str = "doc_id", threshold: float = 0.7) -> DataFrame:

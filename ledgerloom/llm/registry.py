@@ -34,9 +34,9 @@ a AS (SELECT CASE WHEN (SELECT n FROM t) = 1 THEN 1.0 ELSE min(hi) / 1048576.0 E
 v AS (SELECT src, s.tokens, s.n, round(pow(s.tokens / t.total, a.a) / (SELECT sum(pow(share, (SELECT a FROM a))) FROM p) * t.total)::BIGINT AS need FROM s, t, a),
 plan AS (SELECT src, ceil(sqrt(n))::BIGINT AS blocks, need // tokens AS passes, need % tokens AS rest FROM v),
 e AS (SELECT d.*, blocks, passes, rest, unnest(range(passes + 1)) AS epoch FROM d JOIN plan USING (src) WHERE d.tokens > 0),
-f AS (SELECT *, ('0x' || left(md5('7:' || epoch || ':' || coalesce(doc_id::VARCHAR, '')), 10))::BIGINT AS place FROM e),
+f AS (SELECT *, ('0x' || left(md5('7:' || epoch || ':' || coalesce(doc_id::VARCHAR, '') || ':' || md5(text)), 10))::BIGINT AS place FROM e),
 g AS (SELECT *, (place * blocks) >> 40 AS block FROM f),
-h AS (SELECT *, sum(tokens) OVER (PARTITION BY src, epoch ORDER BY place, doc_id, tokens, text ROWS UNBOUNDED PRECEDING) - tokens AS before FROM g)
+h AS (SELECT *, sum(tokens) OVER (PARTITION BY src, epoch ORDER BY place, doc_id, tokens, md5(text) ROWS UNBOUNDED PRECEDING) - tokens AS before FROM g)
 SELECT doc_id, source, epoch::INTEGER AS mix_epoch, block AS mix_block, tokens AS mix_tokens FROM h WHERE epoch < passes OR before < rest
 """
 
@@ -91,7 +91,8 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.replace_entities(table(spark, sf_dir, "documents"))
+    """The key is the session's `spark.surrogates.key`; without one the public key of this demonstration."""
+    return pii.replace_entities(table(spark, sf_dir, "documents"), secret=spark.conf.get("spark.surrogates.key", "demonstration"))
 
 
 def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,9 +100,10 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page counts as bad where its document's label says low quality or toxic."""
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
-    return url_filter.filter_urls(table(spark, sf_dir, "pages"), labels)
+    """A document is bad where its label says low quality or toxic; a page where the labelled documents' lines in its text are."""
+    pages = table(spark, sf_dir, "pages")
+    labels = table(spark, sf_dir, "labels").select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    return url_filter.filter_urls(pages, url_filter.label_pages(pages, table(spark, sf_dir, "documents"), labels))
 
 
 QUERIES = {

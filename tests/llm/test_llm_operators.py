@@ -21,7 +21,8 @@ EDGE = [None, "", "   ", "a", "same line\nother", "same line\nother", "é" * 50,
 
 
 def clashing(df):
-    for c in ("score", "fp", "u", "v", "bucket", "n", "line", "host", "block", "rank", "component_id", "held_out", "label", "mix_epoch", "_source_x"):
+    internal = "_host _bad _kept _hsrc _hbad _h _htokens _before _sum _full _rest _source _place src tokens digest plan key h held other page raw node level host path"
+    for c in ("score", "fp", "u", "v", "bucket", "n", "line", "block", "rank", "component_id", "held_out", "label", "mix_epoch", "_source_x", "a.b", *internal.split()):
         df = df.withColumn(c, F.lit("x"))
     return df
 
@@ -36,12 +37,18 @@ def test_edge_cases(spark, form):
     assert quality.score_quality(d, quality.fit_quality(d, labels)).filter("score between 0 and 1").count() == n
     assert toxicity.score_toxicity(d, toxicity.fit_toxicity(d, labels)).filter("score between 0 and 1").count() == n
     assert language.identify(d, language.fit_language(d)).filter("score between 0 and 1").count() == n
-    assert pii.replace_entities(d).count() == n
-    assert line_dedup.dedup_lines(d).count() == n
+    assert pii.replace_entities(d, secret="s").count() == n
+    cleaned = line_dedup.dedup_lines(d)
+    assert cleaned.count() == n and cleaned.columns == [*d.columns, "lines_total", "lines_dropped"]
+    urls = clashing(d.select(F.col("doc_id").alias("page_id"), F.concat(F.lit("http://x.org/"), F.coalesce("text", F.lit(""))).alias("url"), F.col("text").alias("html")))
+    marks = url_filter.label_pages(urls, d, labels.select("doc_id", (F.col("quality") == 0).alias("bad")))
+    assert url_filter.filter_urls(urls, marks).count() == n
+    vectors = clashing(d.select(F.col("doc_id").alias("vec_id"), F.array(F.lit(1.0), F.col("doc_id").cast("float")).alias("embedding")))
+    assert topk.top_k(vectors, F.lit(True)).count() == (5 * n)
     assert decontam.find_leaks(d, spark.createDataFrame([(1, None), (2, "")], "item_id long, text string")).count() == 0
     mixed = mixing.mix_sources(d)
     assert mixed.count() == (5 if n else 0)  # the texts with tokens, once each: one source
-    assert mixed.columns.count("mix_epoch") == 1
+    assert mixed.columns.count("mix_epoch") == 1 and set(d.columns) < set(mixed.columns)
 
 
 def brute_fingerprint(text):
@@ -131,6 +138,35 @@ def test_top_k_equals_brute_force(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).count() == 0
 
 
+def test_top_k_of_large_components_and_of_one_region(spark):
+    rng = np.random.default_rng(7)
+    vec = np.concatenate([rng.normal(size=(150, 6)) * 1e6, np.tile(rng.normal(size=(1, 6)) * 1e6, (50, 1)), rng.normal(size=(50, 6)) * 1e10])
+    q = [[int(np.floor(256 * c)) for c in v] for v in vec]
+    got = topk.top_k(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vec)], "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).collect()
+    clip = lambda s: min(max(s, -(1 << 63)), (1 << 63) - 1)
+    want = []
+    for i in range(0, 250, 50):
+        order = sorted((-clip(sum(a * b for a, b in zip(q[i], q[j]))), j) for j in range(250) if j != i)[:5]
+        want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(order)]
+    assert sorted(map(tuple, got)) == want
+
+
+def test_top_k_skips_regions_without_loss(spark, monkeypatch):
+    monkeypatch.setattr(topk, "ROWS", 40)
+    monkeypatch.setattr(topk, "QUERIES", 8)
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=(12, 8)) * 20
+    vec = (centre[rng.integers(0, 12, 900)] + rng.normal(size=(900, 8))).round(2)
+    got = topk.top_k(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vec)], "vec_id long, embedding array<double>"), F.col("vec_id") % 10 == 0).collect()
+    q = np.floor(256 * vec).astype(np.int64)
+    want = []
+    for i in range(0, 900, 10):
+        s = q @ q[i]
+        order = sorted((j for j in range(900) if j != i), key=lambda j: (-s[j], j))[:5]
+        want += [(i, r + 1, j, int(s[j])) for r, j in enumerate(order)]
+    assert sorted(map(tuple, got)) == want
+
+
 def test_top_k_block_stops_early_without_loss():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(2000, 16)) * 100 + rng.normal(size=(5, 16))[rng.integers(0, 5, 2000)] * 400
@@ -221,6 +257,63 @@ def test_toxic_grammar():
     assert g.document("All is well. Not a thing said.")[0] == 0
 
 
+def test_isolated_words_do_not_score():
+    g = toxicity.Grammar({"vequ-": 3.0})
+    for text in ("vequma", "Vequma!", "I kill time here.", "quite vequma\nyou", "kill"):
+        assert g.document(text)[:3] == (0.0, 0.0, 0), text
+    assert g.document("I will kill you.")[0] > 0 and g.document("The vequma left.")[0] > 0 and g.document("vequma vequmo")[0] > 0
+    assert g.document("A vequma you are not.")[0] < g.document("A vequma you are.")[0]
+    assert g.document("I will kill the time.")[0] == 0  # a threat needs a person
+
+
+def test_composed_grammar_equals_its_patterns():
+    """All clauses of up to five classes: the machine against the patterns searched for word by word."""
+    from itertools import product
+
+    words = {toxicity.OTHER: "xx", toxicity.INSULT: "vequma", toxicity.THREAT: "kill", toxicity.PERSON: "you", toxicity.REFERENCE: "the", toxicity.NEGATION: "not", toxicity.REPORT: "said"}
+    g = toxicity.Grammar({"vequma": 2.0})
+
+    def direct(clause):
+        total = 0.0
+        for i, kind in enumerate(clause):
+            factors = {toxicity.INSULT: toxicity.INSULTED, toxicity.THREAT: toxicity.THREATENED}.get(kind)
+            if factors is None:
+                continue
+            found = [factors[c][abs(i - j) > toxicity.NEAR] for j, c in enumerate(clause) if j != i and c in factors]
+            f = max(found, default=0.0)
+            if any(c == toxicity.NEGATION and abs(i - j) <= toxicity.NEGATION_REACH for j, c in enumerate(clause)):
+                f *= toxicity.NEGATED
+            if any(c == toxicity.REPORT and (j < i or j - i <= toxicity.REPORT_BEFORE) for j, c in enumerate(clause)):
+                f *= toxicity.REPORTED
+            total += f * (2.0 if kind == toxicity.INSULT else 3.0)
+        return total
+
+    rng = np.random.default_rng(3)
+    clauses = [c for n in range(1, 6) for c in product(toxicity.ALPHABET, repeat=n)] + [tuple(rng.integers(0, 7, n)) for n in range(6, 40) for _ in range(40)]
+    for clause in clauses:
+        assert g.clause([words[c] for c in clause]) == pytest.approx(direct(clause)), clause
+
+
+def test_toxicity_query_equals_row_by_row(spark, sf):
+    d, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    toxic = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    texts = {r["doc_id"]: r["text"] for r in d.collect()}
+    model = toxicity.fit(sorted((texts[i], y) for i, y in toxic.items() if i in texts and zlib.crc32(str(i).encode()) % 4 != 2))
+    g = toxicity.Grammar(model["lexicon"])
+    for r in registry.op3_toxicity(spark, sf).collect():
+        want = 1 / (1 + np.exp(-(toxicity._inputs([g.document(texts[r["doc_id"]])]) @ model["curve"])[0]))
+        assert r["score"] == pytest.approx(want) and r["predicted"] == (want >= 0.3)
+
+
+def test_samples_keep_their_bounds(spark, monkeypatch):
+    from ledgerloom.llm import common
+
+    d = docs(spark, [f"text {i}" for i in range(30)])
+    labels = spark.range(30).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("toxic"))
+    assert len(common.labelled_sample(d.unionByName(d).unionByName(d), labels, "toxic", 2)) == 2
+    assert 0 < len(common.labelled_sample(d, labels, "toxic", 20, max_bytes=50)) <= 8
+
+
 def test_crf_marginals_equal_enumeration():
     rng = np.random.default_rng(5)
     s, t = rng.normal(size=(1, 4, 2)), rng.normal(size=(2, 2))
@@ -235,7 +328,7 @@ def test_crf_marginals_equal_enumeration():
 def test_surrogates(spark):
     text = "Mail anna.b@mail.example.com or +1 (017) 555-7713 from 10.20.30.40; card 4539578763621486, token = \"abc123def456\". Frau Meier and Frau Meier."
     d = docs(spark, [text, "clean text 12", text.replace("anna", "berta"), None])
-    rows = {r["doc_id"]: r for r in pii.replace_entities(d).collect()}
+    rows = {r["doc_id"]: r for r in pii.replace_entities(d, secret="s").collect()}
     out = rows[0]["text"]
     for secret in ("anna.b", "555-7713", "10.20.30.40", "4539578763621486", "abc123def456", "Meier"):
         assert secret not in out
@@ -255,6 +348,44 @@ def test_surrogates_are_one_to_one():
         assert len({pii.surrogate(kind, v, key) for v in values}) == len(values)
 
 
+def test_surrogates_of_one_entity_agree(spark):
+    texts = ["+1 (017) 555-7713 and +10175557713, Anna.B@Mail.example.com", "anna.b@mail.EXAMPLE.com or +1 017 555 7713", "Mr Smith, Dr Smith, MR X", "Frau Anna SMITH and Prof Anna Smith; PASSWORD: abcdef1", "4111 1111 1111 1111 or 4111111111111111; order 4111111111111112"]
+    rows = [r["text"] for r in sorted(pii.replace_entities(docs(spark, texts), secret="s").collect(), key=lambda r: r["doc_id"])]
+    digits = {re.sub(r"\D", "", m) for t in rows[:2] for m in re.findall(r"\+[\d ()-]+\d", t)}
+    assert len(digits) == 1 and "5557713" not in digits.pop()
+    mails = [m for t in rows[:2] for m in re.findall(r"\S+@\S+\.com", t)]
+    assert mails[0].lower() == mails[1].lower() and mails[0][0].isupper() and "anna" not in mails[0].lower()
+    names = re.findall(r"(?:Mr|Dr) (\w+)", rows[2]) + [m.title() for m in re.findall(r"\w+ (\w+)(?: and|;)", rows[3])]
+    assert len(set(names)) == 1 and names[0] != "Smith" and "SMITH".isupper() and re.search(r"Anna|abcdef1", rows[3]) is None
+    assert {n.lower() for n in re.findall(r"(?:Frau|Prof) (\w+)", rows[3])} <= set(pii.GIVEN[1])
+    cards = re.findall(r"\d[\d ]{14,}\d", rows[4])
+    assert cards[0].replace(" ", "") == cards[1] != "4111111111111111" and cards[2] == "4111111111111112"
+
+
+def test_full_classes_of_names_stay_distinct(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [a.upper() + b for a in letters for b in letters]
+    d = docs(spark, [f"Dr {n} came." for n in names])
+    out = [re.search(r"Dr (\w+) came", r["text"]).group(1) for r in pii.replace_entities(d, secret="s").collect()]
+    assert len(set(out)) == len(names) and not set(out) & set(names)
+
+
+@pytest.mark.parametrize("limit", ["-1", "10m"])
+def test_redrawn_surrogates_by_join_and_by_broadcast(spark, limit):
+    """Both plans of the join that brings redrawn entities to their texts, and of the boilerplate lines to their pages."""
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        vowels = "aeiou"
+        names = [a.upper() + b for a in vowels for b in vowels]
+        got = sorted(r["text"] for r in pii.replace_entities(docs(spark, [f"Dr {n} came." for n in names]), secret="s").collect())
+        cleaned = sorted(r["text"] for r in line_dedup.dedup_lines(docs(spark, [f"header\nown {i}" for i in range(30)]), ratio=0.5).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert len({re.search(r"Dr (\w+)", t).group(1) for t in got} | set(names)) == 50
+    assert cleaned == sorted(f"own {i}" for i in range(30))
+
+
 def test_line_dedup(spark):
     d = docs(spark, [f"header\nown {i}\n\nfooter {i % 3}" for i in range(30)] + ["header\nown 0\n\nfooter 0"] * 20)
     got = line_dedup.dedup_lines(d, ratio=0.5, min_pages=5).collect()
@@ -272,6 +403,17 @@ def test_mixing_meets_its_budgets(spark):
     assert -(p * np.log(p)).sum() <= 0.96 * np.log(5) + 0.02
 
 
+def test_mixing_of_null_and_repeated_keys(spark):
+    rows = [(None, f"t u {i % 7}", "en", "s", 0) for i in range(400)] + [(5, "a b c", "en", "s", 0)] * 400 + [(5, "a b c", "en", "t", 1)] * 10
+    d = spark.createDataFrame(rows, DOCS)
+    total = 3 * len(rows)
+    for budget in (1, 100, 1201, total + 700):
+        got = mixing.mix_sources(d, budget_tokens=budget).groupBy("source").agg(F.sum("mix_tokens").alias("t"), F.count("*").alias("n")).collect()
+        assert sum(r["t"] for r in got) in range(budget - 2, budget + 7), budget
+    again = mixing.mix_sources(d, budget_tokens=1201)
+    assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, mixing.mix_sources(d, budget_tokens=1201).collect()), key=str)
+
+
 def test_url_rules(spark):
     urls = [None, "nothing", "http://A.Example.COM/en/1?x", "https://www.example.com/en/2", "http://x.net/es/1#t", "http://x.net/de/1", "http://com?q", "http://notexample.com/en/3"]
     pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
@@ -301,3 +443,68 @@ def test_url_sections_of_wide_hosts_and_deep_paths_are_told_apart(spark):
     got = url_filter.filter_urls(pages, pages.select("page_id", "bad").filter("page_id % 7 < 4")).collect()
     bad = {i for i, _, b in wide + deep if b}
     assert {r["page_id"] for r in got if r["verdict"] == "block"} == bad
+
+
+def brute_templates(counts, min_children=20, min_share=0.02, z=1.96, strength=4.0, threshold=0.5):
+    """{(host, raw): (n, good, bad)} -> {(host, raw): (template, rejected)}, level by level over dictionaries."""
+    node = dict.fromkeys(counts, "")
+    for depth in range(1, 1 + max((len(raw) for _, raw in counts), default=0)):
+        groups = {}
+        for (host, raw), c in counts.items():
+            level = raw[depth - 1] if len(raw) >= depth else None
+            child = groups.setdefault((host, node[host, raw]), {}).setdefault(level, [0, 0, 0])
+            child[:] = [a + b for a, b in zip(child, c)]
+        step = {}
+        for parent, children in groups.items():
+            n, good, bad = (sum(c[i] for c in children.values()) for i in range(3))
+            width = sum(level is not None for level in children)
+            for level, (cn, cg, cb) in children.items():
+                mine, rest = cg + cb, good + bad - cg - cb
+                rate = (bad + 0.5) / (good + bad + 1)
+                gap = cb / max(mine, 1) - (bad - cb) / max(rest, 1)
+                alike = width > 1 and (mine == 0 or rest == 0 or abs(gap) < z * (rate * (1 - rate) * (1 / max(mine, 1) + 1 / max(rest, 1))) ** 0.5)
+                rare = width > min_children and cn < min_share * n and mine < url_filter.FEW_LABELS
+                step[parent, level] = "" if level is None else "/*" if alike or rare else f"/{level}"
+        node = {(h, raw): at + step[(h, at), raw[depth - 1] if len(raw) >= depth else None] for (h, raw), at in node.items()}
+    good, bad = (sum(c[i] for c in counts.values()) for i in (1, 2))
+    prior, leaves = (bad + 1) / (good + bad + 2), {}
+    for (host, raw), (_, g, b) in counts.items():
+        leaf = leaves.setdefault((host, node[host, raw]), [0, 0])
+        leaf[0] += g
+        leaf[1] += b
+    rejected = {k: (b + strength * prior) / (g + b + strength) > threshold for k, (g, b) in leaves.items()}
+    return {k: (t, rejected[k[0], t]) for k, t in node.items()}
+
+
+def test_url_tree_equals_brute_force(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(3000):
+        host = ["a.org", "b.org", "c.org"][min(2, int(rng.integers(0, 6)) // 2)]
+        depth = int(rng.integers(0, 8))
+        segments = [str(rng.choice(["news", "shop", "blog", "faq", "p7", f"s{chr(97 + int(rng.integers(0, 26)))}{chr(97 + int(rng.integers(0, 3)))}"])) for _ in range(depth)]
+        bad = bool(rng.random() < (0.9 if "shop" in segments[:3] else 0.1)) if rng.random() < 0.6 else None
+        rows.append((i, f"http://{host}" + "".join("/" + s for s in segments), bad))
+    pages = spark.createDataFrame(rows, "page_id long, url string, bad boolean")
+    got = {r["page_id"]: (r["template"], r["verdict"]) for r in url_filter.filter_urls(pages, pages.select("page_id", "bad").filter("bad is not null")).collect()}
+    raws = {r["page_id"]: tuple(r["raw"]) for r in pages.select("page_id", url_filter.raw_template(url_filter.host_and_path(F.col("url"))[1]).alias("raw")).collect()}
+    counts = {}
+    for i, url, bad in rows:
+        c = counts.setdefault((url.split("/")[2], raws[i]), [0, 0, 0])
+        c[:] = [c[0] + 1, c[1] + (bad is False), c[2] + (bad is True)]
+    want = brute_templates(counts)
+    for i, url, _ in rows:
+        template, rejected = want[url.split("/")[2], raws[i]]
+        assert got[i] == (template, "block" if rejected else "allow"), url
+    assert {v for _, v in got.values()} == {"block", "allow"}
+
+
+def test_pages_get_the_labels_of_their_text(spark):
+    d = docs(spark, ["bad line one\nbad line  two\nshared", "good line\nshared\nother & more", None, "unlabelled line"])
+    marks = spark.createDataFrame([(0, True), (1, False), (2, True), (7, True)], "doc_id long, bad boolean")
+    html = [
+        "<html><head><title>good line</title></head><body><p>bad <b>line</b> one</p><div>bad line two</div></body></html>",
+        "<p>good line<br>other &amp; more<p>shared", "<p>unlabelled line</p><p>shared</p>", None, "<script>bad line one</script><p>nothing known</p>",
+    ]
+    pages = spark.createDataFrame([(i, h) for i, h in enumerate(html)] + [(None, html[0])], "page_id long, html string")
+    assert {r["page_id"]: r["bad"] for r in url_filter.label_pages(pages, d, marks).collect()} == {0: True, 1: False}
