@@ -268,48 +268,13 @@ def _shingled(docs: DataFrame, key: str, words: int) -> DataFrame:
     return rows.mapInPandas(run, f"{key} {rows.schema[key].dataType.simpleString()}, text_id long, id long, n long, fp binary")
 
 
-def alike(met: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs (u, v) of `met` whose shingle sets have a Jaccard similarity of at least `similarity`, counted exactly.
-
-    Shingles are made again for the texts that met, one text per node.
-    """
-    ids = met.select(F.explode(F.array("u", "v")).alias("id")).distinct()
-    wanted = cut(nodes.join(ids, "id").select("text_id"))
-    few = wanted.count() <= BROADCAST_IDS
-    texts = docs.select("text").filter("text is not null").withColumn("text_id", F.xxhash64("text"))
-    texts = texts.join(F.broadcast(wanted) if few else wanted, "text_id", "left_semi").select("text")
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import xxhash
-
-        done = set()  # copies within a task
-        for p in parts:
-            for at in range(0, len(p), 256):
-                made = []
-                for t in p["text"].iloc[at : at + 256]:
-                    text = xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace"))
-                    if text not in done:
-                        done.add(text)
-                        made.append(shingle_hashes(t, words))
-                if made:
-                    ids = np.array([xxhash.xxh3_64_intdigest(h.tobytes()) for h in made], np.uint64).view(np.int64)
-                    yield pd.DataFrame({"id": ids, "shingles": [h.view(np.int64) for h in made]})
-
-    sets = texts.mapInPandas(run, "id long, shingles array<long>")
-    sets = cut(sets.groupBy("id").agg(F.first("shingles").alias("shingles")))
-    both = met.join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("su")), "u")
-    both = both.join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("sv")), "v")
-    shared = F.size(F.array_intersect("su", "sv"))
-    return both.filter(shared / (F.size("su") + F.size("sv") - shared) >= similarity).select("u", "v")
-
-
-#: A bucket of more members is dealt to blocks of this size; it has more than a thousandth of all fingerprints besides, so there are
-#: at most a thousand of them in a table, and their list may go to all tasks.
+#: A bucket that has more members than this, and than a thousandth of all fingerprints, is hot: so there are at most a thousand hot
+#: ones in a table, and their list may go to all tasks.
 HOT = 8192
 #: Fingerprints that a task reads at once for one table, about.
 SHARD = 1 << 17
-#: Tables whose buckets are only linked to their first member, before all tables are searched between different groups.
-FIRST_TABLES = 16
+#: Texts, and shingles in them, that are compared exactly at once.
+TOGETHER, SHINGLES = 2048, 1 << 20
 
 
 class Tables:
@@ -318,207 +283,256 @@ class Tables:
     def __init__(self, tables: int, sampled: int, similarity: float, seed: int = 11):
         rng = np.random.default_rng(seed)
         self.picks = np.stack([np.sort(rng.choice(256, sampled, replace=False)) for _ in range(tables)])
-        self.sampled, self.similarity = sampled, similarity
+        self.sampled, self.limit = sampled, similar_limit(similarity)
         self.weight = (1 << np.arange(sampled)).astype(np.int64)
-        self.limit, self.part_limit = similar_limit(similarity), similar_limit(similarity, 64)
         #: sizes are kept as a thousandth of their logarithm; similar sets differ by at most this
         self.size_limit = int(np.ceil(-1000 * np.log(similarity))) + 1
 
-    def buckets(self, fps, first: int | None = None) -> np.ndarray:
+    def buckets(self, fps) -> np.ndarray:
         """(fingerprints, tables), with the table's number in the bucket's."""
         bits = np.unpackbits(np.frombuffer(b"".join(fps), np.uint8).reshape(len(fps), 32), axis=1).astype(np.int64)
-        return np.stack([(bits[:, pick] @ self.weight) + (t << self.sampled) for t, pick in enumerate(self.picks[:first])], axis=1)
+        return np.stack([(bits[:, pick] @ self.weight) + (t << self.sampled) for t, pick in enumerate(self.picks)], axis=1)
 
-    def near(self, part_a, part_b, size_a, size_b) -> np.ndarray:
-        """Whether 64 bits of the fingerprints and the sizes of the sets leave room for the similarity."""
-        fits = np.abs(size_a.astype(np.int32) - size_b.astype(np.int32)) <= self.size_limit
-        return fits & (np.bitwise_count(part_a ^ part_b) <= self.part_limit)
+    def near(self, fp, size, i, j) -> np.ndarray:
+        """Which of the pairs (i, j) have sets of sizes that leave room for the similarity, and pass the chain and the Hamming test."""
+        ok = np.abs(size[i].astype(np.int32) - size[j].astype(np.int32)) <= self.size_limit
+        at = np.flatnonzero(ok)
+        for part in range(0, len(at), CHUNK):
+            some = at[part : part + CHUNK]
+            ok[some] = _within(fp[i[some]], fp[j[some]], self.limit)
+        return ok
 
 
-def star(tables: Tables, bucket, ids, part, size) -> np.ndarray:
-    """Pairs of every member with its bucket's first one, or where that is not near, with the one before it: at most one a member."""
+def bucket_links(tables: Tables, bucket, ids, fp, size, small: int = 8) -> np.ndarray:
+    """Pairs (u, v) that hold together whatever is near in a bucket: all near pairs of small buckets, a spanning forest of larger ones."""
     order = np.lexsort((ids, bucket))
-    bucket, ids, part, size = bucket[order], ids[order], part[order], size[order]
-    begins = np.append(True, bucket[1:] != bucket[:-1])
-    at = np.flatnonzero(~begins)
-    first = np.flatnonzero(begins)[np.cumsum(begins)[at] - 1]
-    ok = tables.near(part[first], part[at], size[first], size[at])
-    pairs = [np.stack([ids[first[ok]], ids[at[ok]]], axis=1)]
-    at = at[~ok]
-    at = at[tables.near(part[at - 1], part[at], size[at - 1], size[at])]
-    pairs.append(np.stack([ids[at - 1], ids[at]], axis=1))
-    return np.concatenate(pairs)
-
-
-def across(tables: Tables, bucket, ids, part, size, root, small: int = 64) -> np.ndarray:
-    """All near pairs of a bucket whose members are not in one group yet. Members lie by group, so a group is never compared within."""
-    order = np.lexsort((ids, root, bucket))
-    bucket, ids, part, size, root = (x[order] for x in (bucket, ids, part, size, root))
-    begin = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    bucket, ids, fp, size = bucket[order], ids[order], fp[order], size[order]
+    begin = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.array([], int)
     count = np.diff(np.append(begin, len(bucket)))
-    mixed = root[begin] != root[begin + count - 1]
     pairs = [np.zeros((0, 2), np.int64)]
-    little = np.repeat(mixed & (count <= small), count)
-    b, i, p, n, r = (x[little] for x in (bucket, ids, part, size, root))
+    little = np.flatnonzero(np.repeat((count > 1) & (count <= small), count))
     for d in range(1, small):
-        same = b[d:] == b[:-d]
-        if not same.any():
+        at = little[:-d][(bucket[little[:-d]] == bucket[little[d:]])]
+        if not len(at):
             break
-        at = np.flatnonzero(same & (r[d:] != r[:-d]))
-        at = at[tables.near(p[at], p[at + d], n[at], n[at + d])]
-        pairs.append(np.stack([i[at], i[at + d]], axis=1))
-    for lo, c in zip(begin[mixed & (count > small)], count[mixed & (count > small)]):
-        for at in range(lo, lo + c, 256):
-            end = min(at + 256, lo + c)
-            other = max(at, int(np.searchsorted(root[lo : lo + c], root[at], "right")) + lo)
-            if other < lo + c:  # those of another group than the first of these
-                ok = tables.near(part[at:end, None], part[None, other : lo + c], size[at:end, None], size[None, other : lo + c])
-                x, y = np.nonzero(ok & (root[at:end, None] != root[None, other : lo + c]))
-                pairs.append(np.stack([ids[at + x], ids[other + y]], axis=1))
+        at = at[tables.near(fp, size, at, at + d)]
+        pairs.append(np.stack([ids[at], ids[at + d]], axis=1))
+    for lo, c in zip(begin[count > small], count[count > small]):
+        n = size[lo : lo + c].astype(np.int32)
+        links = forest(fp[lo : lo + c], tables.limit, lambda x, y, n=n: np.abs(n[x][:, None] - n[y][None, :]) <= tables.size_limit)
+        pairs.append(ids[lo + np.array(links, int).reshape(-1, 2)])
     return np.concatenate(pairs)
 
 
-def _local_counts(values: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Values with a share of at least 0.04 % of the rows at hand, and their counts."""
-    found, n = np.unique(values, return_counts=True)
-    keep = n >= max(2, rows * 0.0004)
-    return found[keep], n[keep]
-
-
 def _hot_buckets(fp: DataFrame, tables: Tables, n: int) -> dict[int, int]:
-    """The crowded buckets and about how many members they have: what is frequent in the data that a task reads at once, added up."""
+    """The hot buckets, each with the least id of those members that gave it away: what has a share of at least 0.04 % of the data that a
+    task reads at once is added up."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
             for at in range(0, len(p), 4000):
-                some = p["fp"].iloc[at : at + 4000]
-                found, count = _local_counts(tables.buckets(some).ravel(), len(some))
-                yield pd.DataFrame({"bucket": found, "n": count})
+                some = p.iloc[at : at + 4000].sort_values("id")
+                bucket = tables.buckets(some["fp"]).ravel()
+                found, first, count = np.unique(bucket, return_index=True, return_counts=True)
+                keep = count >= max(2, len(some) * 0.0004)
+                yield pd.DataFrame({"bucket": found[keep], "n": count[keep], "id": some["id"].to_numpy()[first[keep] // tables.picks.shape[0]]})
 
-    found = fp.select("fp").mapInPandas(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    return {r["bucket"]: r["n"] for r in found.filter(F.col("n") >= max(HOT, n // 1000)).collect()}
+    found = fp.select("id", "fp").mapInPandas(run, "bucket long, n long, id long").groupBy("bucket").agg(F.sum("n").alias("n"), F.min("id").alias("id"))
+    return {r["bucket"]: r["id"] for r in found.filter(F.col("n") >= max(HOT, n // 1000)).collect()}
 
 
-def _filed(fp: DataFrame, tables: Tables, n: int, hot: dict[int, int], first: int | None, main: dict[int, int] | None = None) -> DataFrame:
-    """fp (id, fp, n[, root]) packed: one row per batch of fingerprints, table and range of its buckets, with arrays of what is filed there.
+def _hot_links(fp: DataFrame, tables: Tables, hot: dict[int, int]) -> DataFrame:
+    """(u, v): the members of a hot bucket with its named one. They count as held together without a test; exact comparison decides."""
+    known = np.array(sorted(hot), np.int64)
+    named = np.array([hot[b] for b in sorted(hot)], np.int64)
 
-    A hot bucket's members are dealt to blocks. Where their groups are known (main: each hot bucket's largest group), only members of
-    the largest are; the others go to every block, as they have to meet all of them.
-    """
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            for at in range(0, len(p), 4000):
+                some = p.iloc[at : at + 4000]
+                bucket = tables.buckets(some["fp"])
+                place = np.minimum(np.searchsorted(known, bucket), len(known) - 1)
+                row, col = np.nonzero(known[place] == bucket)
+                pairs = np.unique(np.stack([some["id"].to_numpy(np.int64)[row], named[place[row, col]]], axis=1), axis=0)
+                yield pd.DataFrame({"u": pairs[:, 0], "v": pairs[:, 1]})
+
+    return fp.select("id", "fp").mapInPandas(run, "u long, v long").filter("u <> v").distinct()
+
+
+def _filed(fp: DataFrame, tables: Tables, n: int, hot: dict[int, int]) -> DataFrame:
+    """fp (id, fp, n) packed: one row per batch of fingerprints, table and range of its buckets, with arrays of what is filed there."""
     bits = max(1, int(np.ceil(np.log2(max(2, n / SHARD)))))
     known = np.array(sorted(hot), np.int64)
-    blocks = np.array([-(-hot[b] // HOT) for b in sorted(hot)], np.int64)
-    mains = None if main is None else np.array([main.get(b, 0) for b in sorted(hot)], np.int64)
-    rooted = "root" in fp.columns
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
             for at in range(0, len(p), 4000):
                 some = p.iloc[at : at + 4000]
-                bucket = tables.buckets(some["fp"], first)
+                bucket = tables.buckets(some["fp"])
                 who = np.repeat(np.arange(len(some)), bucket.shape[1])
                 bucket = bucket.ravel()
                 shard = bucket >> max(0, tables.sampled - bits)
-                ids = some["id"].to_numpy(np.int64)
-                part = np.frombuffer(b"".join(x[:8] for x in some["fp"]), np.uint64)
-                size = (1000 * np.log(np.maximum(some["n"].to_numpy(), 1))).astype(np.uint16)
-                root = some["root"].to_numpy(np.int64) if rooted else ids
-                if len(known):
-                    place = np.minimum(np.searchsorted(known, bucket), len(known) - 1)
-                    is_hot = known[place] == bucket
-                    block = (ids[who].view(np.uint64) >> np.uint64(20)).astype(np.int64) % blocks[place]
-                    shard = np.where(is_hot, -1 - (place * (1 << 24) + block), shard)
-                    if mains is not None:  # the others to all other blocks too
-                        rest = np.flatnonzero(is_hot & (root[who] != mains[place]))
-                        times = blocks[place[rest]] - 1
-                        turn = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                        again = np.repeat(rest, times)
-                        turn += turn >= block[again]
-                        who, bucket = np.append(who, who[again]), np.append(bucket, bucket[again])
-                        shard = np.append(shard, -1 - (place[again] * (1 << 24) + turn))
                 order = np.argsort(shard, kind="stable")
+                order = order[~np.isin(bucket[order], known)] if len(known) else order
                 shard, who, bucket = shard[order], who[order], bucket[order].astype(np.uint32)
-                cuts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else np.array([], int)
-                out = {"shard": shard[cuts]}
-                for name, x in (("bucket", bucket), ("id", ids[who]), ("part", part[who]), ("size", size[who]), *((("root", root[who]),) if rooted else ())):
-                    out[name] = [y.tobytes() for y in np.split(x, cuts[1:])]
-                yield pd.DataFrame(out)
+                if not len(shard):
+                    continue
+                cuts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+                size = (1000 * np.log(np.maximum(some["n"].to_numpy(), 1))).astype(np.uint16)
+                filed = {"bucket": bucket, "id": some["id"].to_numpy(np.int64)[who], "fp": _words(some["fp"])[who], "size": size[who]}
+                yield pd.DataFrame({"shard": shard[cuts], **{name: [y.tobytes() for y in np.split(x, cuts[1:])] for name, x in filed.items()}})
 
-    columns = ["bucket", "id", "part", "size"] + ["root"] * rooted
-    return fp.mapInPandas(run, "shard long, " + ", ".join(f"{c} binary" for c in columns))
+    return fp.mapInPandas(run, "shard long, bucket binary, id binary, fp binary, size binary")
 
 
-def _met(filed: DataFrame, tables: Tables) -> DataFrame:
-    """(u, v), u < v: the pairs that `star` or, where groups are known, `across` finds."""
-    kinds = {"bucket": np.uint32, "id": np.int64, "part": np.uint64, "size": np.uint16, "root": np.int64}
-    names = [c for c in filed.columns if c != "shard"]
+def _held_together(filed: DataFrame, tables: Tables) -> DataFrame:
+    """(u, v) of `bucket_links` in all tables."""
 
     def run(p: pd.DataFrame) -> pd.DataFrame:
-        found = {c: np.concatenate([np.frombuffer(x, kinds[c]) for x in p[c]]) for c in names}
-        pairs = (across if "root" in names else star)(tables, found["bucket"], found["id"], *[found[c] for c in names[2:]])
-        pairs = np.unique(np.sort(pairs, axis=1), axis=0)
+        bucket, ids, fp, size = (np.concatenate([np.frombuffer(x, kind) for x in p[c]]) for c, kind in (("bucket", np.uint32), ("id", np.int64), ("fp", np.uint64), ("size", np.uint16)))
+        pairs = np.unique(np.sort(bucket_links(tables, bucket, ids, fp.reshape(-1, 4), size), axis=1), axis=0)
         return pd.DataFrame({"u": pairs[:, 0], "v": pairs[:, 1]})
 
     return filed.groupBy("shard").applyInPandas(run, "u long, v long").distinct()
 
 
-def near_duplicates_similar(docs: DataFrame, *, key: str = "doc_id", words: int = 5, similarity: float = 0.8, tables: int = 96, sampled: int = 20) -> DataFrame:
-    """As near_duplicates, for a Jaccard similarity of the sets of word shingles: key, fp (binary, 256 bits), component_id.
+def exact_links(sets: list[np.ndarray], similarity: float, roots: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Index pairs of sets whose Jaccard similarity is high enough: a spanning forest of them.
+
+    With roots, only sets of different roots are compared, and of a set's links to another root one is put out.
+    """
+    c = len(sets)
+    size = np.array([len(s) for s in sets])
+    begin = np.concatenate(([0], np.cumsum(size)))
+    _, word = np.unique(np.concatenate(sets), return_inverse=True) if begin[-1] else (None, np.array([], int))
+    owners = np.repeat(np.arange(c), size)[np.argsort(word, kind="stable")]
+    held = np.bincount(word, minlength=1)
+    first = np.cumsum(held) - held
+
+    def like(u: int) -> np.ndarray:
+        mine = word[begin[u] : begin[u + 1]]
+        times = held[mine]
+        at = np.arange(times.sum()) + np.repeat(first[mine] - (np.cumsum(times) - times), times)
+        shared = np.bincount(owners[at], minlength=c)
+        return shared >= similarity * (size[u] + size - shared) - 1e-9
+
+    links = []
+    if roots is not None:
+        main = pd.Series(roots).mode().iloc[0]
+        for u in np.flatnonzero(roots != main):
+            hits = np.flatnonzero(like(u) & (roots != roots[u]))
+            links += [(int(u), int(h)) for h in hits[np.unique(roots[hits], return_index=True)[1]]]
+        return links
+    left = np.ones(c, bool)
+    while left.any():
+        front = [int(np.argmax(left))]
+        left[front] = False
+        while front and left.any():
+            u = front.pop()
+            hits = np.flatnonzero(left & like(u))
+            left[hits] = False
+            links += [(u, int(h)) for h in hits]
+            front += hits.tolist()
+    return links
+
+
+def _shingle_sets(wanted: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """(id, shingles) of the wanted nodes (text_id), made again from one text each."""
+    wanted = cut(wanted.select("text_id"))
+    few = wanted.count() <= BROADCAST_IDS
+    texts = docs.select("text").filter("text is not null").withColumn("text_id", F.xxhash64("text"))
+    texts = texts.join(F.broadcast(wanted) if few else wanted, "text_id", "left_semi").select("text")
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
+
+        done = set()  # copies within a task
+        for p in parts:
+            for at in range(0, len(p), 256):
+                made = []
+                for t in p["text"].iloc[at : at + 256]:
+                    text = xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace"))
+                    if text not in done:
+                        done.add(text)
+                        made.append(shingle_hashes(t, words))
+                if made:
+                    ids = np.array([xxhash.xxh3_64_intdigest(h.tobytes()) for h in made], np.uint64).view(np.int64)
+                    yield pd.DataFrame({"id": ids, "shingles": [h.view(np.int64) for h in made]})
+
+    sets = texts.mapInPandas(run, "id long, shingles array<long>")
+    return cut(sets.groupBy("id").agg(F.first("shingles").alias("shingles")))
 
-    Only pairs whose exact similarity is high enough are linked. Chance that a pair is met, by similarity, from the sampled
-    bits alone (96 tables of 20): 0.974 at 0.8, 0.998 at 0.85. Texts with the same shingles are one node.
 
-    First the members of a bucket are linked to one of them, in a few tables: that joins most of every group at the cost of one
-    candidate a member. Then all tables are searched, but only between members that are not in one group yet.
+def _compared(rows: DataFrame, similarity: float) -> DataFrame:
+    """rows (family, part, id, shingles[, root]) -> (u, v): the links of `exact_links` within each (family, part)."""
+    rooted = "root" in rows.columns
+
+    def run(p: pd.DataFrame) -> pd.DataFrame:
+        ids = p["id"].to_numpy()
+        links = exact_links([np.asarray(s, np.int64) for s in p["shingles"]], similarity, p["root"].to_numpy() if rooted else None)
+        u, v = (np.array([ids[x[k]] for x in links], np.int64) for k in (0, 1))
+        return pd.DataFrame({"u": u, "v": v})
+
+    return rows.groupBy("family", "part").applyInPandas(run, "u long, v long")
+
+
+def _family_links(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """members (id, family, n) -> links (u, v) whose components are those of all similar pairs within a family.
+
+    A family of more than TOGETHER texts or SHINGLES shingles is dealt to blocks at random, three times: within them most of each group
+    of similar texts comes together at a cost in proportion to the family. Then the texts that are not in the family's largest group
+    are compared with all blocks; the largest group is never compared with itself.
+    """
+    sizes = members.groupBy("family").agg(F.greatest(F.ceil(F.count(F.lit(1)) / TOGETHER), F.ceil(F.sum("n") / SHINGLES)).cast("int").alias("blocks"))
+    members = cut(members.join(sizes, "family"))
+    salts = F.explode(F.when(F.col("blocks") > 1, F.array(*map(F.lit, range(3)))).otherwise(F.array(F.lit(0))))
+    dealt = members.withColumn("salt", salts).withColumn("part", F.concat_ws(":", "salt", F.pmod(F.xxhash64("id", "salt"), "blocks")))
+    links = cut(_compared(dealt.join(sets, "id").select("family", "part", "id", "shingles"), similarity))
+    large = members.filter("blocks > 1")
+    if large.isEmpty():
+        return links
+    roots = cut(components(links))
+    large = cut(large.join(roots.withColumnRenamed("u", "id"), "id", "left").withColumn("root", F.coalesce("root", "id")))
+    groups = large.groupBy("family", "root").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"))
+    main = groups.groupBy("family").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
+    need = F.greatest(F.ceil(F.sum("c") / (TOGETHER / 2)), F.ceil(F.sum("n") / (SHINGLES / 2))).cast("int")
+    need = groups.join(main, "family").groupBy("family", (F.col("root") == F.col("main")).alias("inside")).agg(need.alias("parts"))
+    need = need.groupBy("family").agg(F.max(F.when(F.col("inside"), F.col("parts"))).alias("inner"), F.max(F.when(~F.col("inside"), F.col("parts"))).alias("outer"))
+    large = large.join(main, "family").join(need.filter(F.col("outer").isNotNull()), "family")
+    inside, upto = F.col("root") == F.col("main"), lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    own = F.pmod(F.xxhash64("id", F.lit(9)), F.when(inside, F.col("inner")).otherwise(F.col("outer")))
+    # a part is an inner block with an outer one, or two outer ones
+    with_outer = F.transform(upto("outer"), lambda o: F.concat_ws(":", F.lit("i"), own, o))
+    with_inner = F.transform(upto("inner"), lambda i: F.concat_ws(":", F.lit("i"), i, own))
+    with_other = F.transform(upto("outer"), lambda o: F.concat_ws(":", F.lit("o"), F.least(own, o), F.greatest(own, o)))
+    large = large.withColumn("part", F.explode(F.when(inside, with_outer).otherwise(F.concat(with_inner, with_other))))
+    more = _compared(large.join(sets, "id").select("family", "part", "id", "shingles", "root"), similarity)
+    return cut(links.unionByName(more))
+
+
+def near_duplicates_similar(docs: DataFrame, *, key: str = "doc_id", words: int = 5, similarity: float = 0.8, tables: int = 64, sampled: int = 18) -> DataFrame:
+    """As near_duplicates, for a Jaccard similarity of the sets of word shingles: key, fp (binary, 256 bits), component_id.
+
+    What meets in a table and passes the chain test and the Hamming test is held together as a family; families are spanning forests of
+    such pairs, so their number is in proportion to the texts. Within a family all texts are compared exactly, and only pairs
+    whose similarity is high enough are linked. Chance that a pair is met, by similarity, from the sampled bits alone
+    (64 tables of 18): 0.967 at 0.8, 0.996 at 0.85. Texts with the same shingles are one node.
     """
     made = cut(_shingled(docs, key, words))
     nodes = cut(made.groupBy("id").agg(F.min(key).alias("least"), F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("text_id").alias("text_id")))
     fp, filing = nodes.select("id", "fp", "n"), Tables(tables, sampled, similarity)
     n = nodes.count()
     hot = _hot_buckets(fp, filing, n)
-
-    def near(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in parts:
-            if len(p):
-                p = p[_within(_words(p["fu"]), _words(p["fv"]), filing.limit)]
-            yield p[["u", "v"]]
-
-    def tested(met: DataFrame) -> DataFrame:
-        """The pairs that pass the chain test and the full Hamming test."""
-        for c in ("u", "v"):
-            met = met.join(fp.select(F.col("id").alias(c), F.col("fp").alias(f"f{c}")), c)
-        return cut(met.select("u", "v", "fu", "fv").mapInPandas(near, "u long, v long"))
-
-    met = tested(_met(_filed(fp, filing, n, hot, FIRST_TABLES), filing))
-    links = cut(alike(met, nodes, docs, words, similarity))
-    roots = cut(components(links))
-    rooted = cut(fp.join(roots.withColumnRenamed("u", "id"), "id", "left").select("id", "fp", "n", F.coalesce("root", "id").alias("root")))
-    more = _met(_filed(rooted, filing, n, hot, None, _main_groups(rooted, filing, hot)), filing)
-    more = tested(more.join(met, ["u", "v"], "left_anti"))
-    links = cut(links.unionByName(alike(more, nodes, docs, words, similarity)))
+    held = _held_together(_filed(fp, filing, n, hot), filing)
+    held = cut(held.unionByName(_hot_links(fp, filing, hot)) if hot else held)
+    family = cut(components(held))
+    heads = family.select(F.col("root").alias("id"), F.col("root").alias("family")).distinct()
+    family = family.select(F.col("u").alias("id"), F.col("root").alias("family")).unionByName(heads)
+    members = cut(nodes.select("id", "n", "text_id").join(family, "id"))
+    links = _family_links(members.select("id", "family", "n"), _shingle_sets(members, docs, words), similarity)
     return made.join(_named(nodes.select("id", "least"), cut(components(links))), "id").select(key, "fp", "component_id")
 
 
-def _main_groups(rooted: DataFrame, tables: Tables, hot: dict[int, int]) -> dict[int, int]:
-    """Of each hot bucket the group that most of its members are in."""
-    if not hot:
-        return {}
-    known = np.array(sorted(hot), np.int64)
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in parts:
-            for at in range(0, len(p), 4000):
-                some = p.iloc[at : at + 4000]
-                bucket = tables.buckets(some["fp"])
-                row, col = np.nonzero(np.isin(bucket, known))
-                pairs, count = np.unique(np.stack([bucket[row, col], some["root"].to_numpy(np.int64)[row]], axis=1), axis=0, return_counts=True)
-                keep = count > 1
-                yield pd.DataFrame({"bucket": pairs[keep, 0], "root": pairs[keep, 1], "n": count[keep]})
-
-    counts = rooted.select("fp", "root").mapInPandas(run, "bucket long, root long, n long").groupBy("bucket", "root").agg(F.sum("n").alias("n"))
-    return {r["bucket"]: r["root"] for r in counts.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("root")).collect()}
-
-
 def _words(fps) -> np.ndarray:
     """Binary fingerprints as rows of 64-bit words."""
     return np.frombuffer(b"".join(fps), np.uint64).reshape(len(fps), -1)

@@ -108,3 +108,41 @@ def test_decisions_fall_on_rows_not_on_ids(spark, sf):
     rows = [(None, item, "en", "s", 1), (None, long[0], "en", "s", 1), (5, item, "en", "s", 1), (5, long[1], "en", "s", 1)]
     safe = P.without_benchmark(spark, spark.createDataFrame(rows, schema), sf).collect()
     assert sorted((r["doc_id"] or 0, r["text"]) for r in safe) == sorted([(0, long[0]), (5, long[1])])
+
+
+def _families(rng, sizes, length=200, edits=12):
+    texts = []
+    for size in sizes:
+        base = rng.integers(0, 30_000, length)
+        for k in range(size):
+            version = base.copy()
+            at = rng.choice(length, int(rng.integers(0, edits)) if k else 0, replace=False)
+            version[at] = rng.integers(0, 30_000, len(at))
+            texts.append(" ".join(f"w{x}" for x in version))
+    return texts
+
+
+def test_hot_buckets_and_large_families_lose_no_link(spark, monkeypatch):
+    """All texts' exact components, with hot buckets, blocks of a few texts, and texts that are found by a join."""
+    rng = np.random.default_rng(9)
+    texts = _families(rng, [60, 25, 8, *[1] * 20])
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    plain = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates_similar(rows).collect()}
+    for name, value in (("HOT", 6), ("TOGETHER", 7), ("BROADCAST_IDS", 0)):
+        monkeypatch.setattr(simhash, name, value)
+    forced = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates_similar(rows).collect()}
+    sets = [shingles(t) for t in texts]
+    parent = list(range(len(texts)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    want = {i: find(i) for i in range(len(texts))}
+    assert forced == want and plain == want and 3 < len(set(want.values())) < len(texts) - 20
