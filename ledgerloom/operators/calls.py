@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
@@ -24,31 +25,80 @@ def every_n(blocks: DataFrame, n: int) -> DataFrame:
     return blocks.filter(F.col("number") % n == 0)
 
 
-def throttle(blocks: DataFrame, seconds: int, last_taken: DataFrame | None = None, *, key: str = "key") -> DataFrame:
+def _whole_groups(parts: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Batches of sorted rows -> one frame per run of equal keys, also where a run goes over several batches."""
+    held: list[pd.DataFrame] = []
+    for p in parts:
+        if not len(p):
+            continue
+        change = (p[keys] != p[keys].shift()).any(axis=1).to_numpy()
+        change[0] = bool(held) and tuple(held[-1][keys].iloc[-1]) != tuple(p[keys].iloc[0])
+        for at in np.split(np.arange(len(p)), np.flatnonzero(change)):
+            if held and (not len(at) or change[at[0]]):
+                yield pd.concat(held) if len(held) > 1 else held[0]
+                held = []
+            if len(at):
+                held.append(p.iloc[at])
+    if held:
+        yield pd.concat(held) if len(held) > 1 else held[0]
+
+
+def throttle(blocks: DataFrame, seconds: int, last_taken: DataFrame | None = None, *, key: str = "key", span: int = 512) -> DataFrame:
     """Blocks to call at when a call is due `seconds` after the last taken one, per key, from `last_taken` (0 at first).
 
-    In a bucket of `seconds` at most two blocks can be taken: candidates are thinned to those buckets' blocks at or
-    after each possible due time, and a sequential pass per key runs over Arrow batches of its ordered candidates.
+    Which blocks are taken depends on the one before, but only through its time. So a key's time is cut into buckets of `span` *
+    seconds that are worked on apart: for every block that a bucket can begin with (those of its first `seconds`, and the first
+    one after) it is found where it would leave the bucket, and blocks that lead to the same end are put together. Only these few
+    rows are gone through in order, key by key; then each bucket takes its blocks from its known beginning.
     """
-    rows = blocks.select(key, "number", "ts")
-    seed = rows.select(key).distinct().withColumn("taken", F.lit(0).cast("bigint")) if last_taken is None else last_taken.select(key, "taken")
-    rows = rows.join(seed, key, "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("bigint")))
-    rows = rows.filter(F.col("ts") >= F.col("taken") + seconds).repartition(key).sortWithinPartitions(key, "ts", "number")
-    kind = rows.schema[key].dataType.simpleString()
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, taken = object(), 0  # state carried over batches of one key
-        for p in parts:
-            keep = []
-            for k, t, start in zip(p[key], p["ts"], p["taken"]):
-                if k != now:
-                    now, taken = k, start
-                due = t >= taken + seconds
-                keep.append(due)
-                taken = t if due else taken
-            yield p.loc[keep, [key, "number", "ts"]]
-
-    return rows.mapInPandas(run, f"{key} {kind}, number long, ts long")
+    rows = blocks.select(F.col(key).alias("key"), "number", "ts").filter(F.col("ts").isNotNull())
+    if last_taken is not None:
+        rows = rows.join(last_taken.select(F.col(key).alias("key"), "taken"), "key", "left")
+    else:
+        rows = rows.withColumn("taken", F.lit(None).cast("bigint"))
+    rows = rows.withColumn("taken", F.coalesce(F.col("taken").cast("bigint"), F.lit(0).cast("bigint"))).filter(F.col("ts") >= F.col("taken") + seconds)
+    width, kind = seconds * span, rows.schema["key"].dataType.simpleString()
+    rows = rows.withColumn("bucket", F.floor(F.col("ts") / width))
+    ordered = lambda df, by, *then: df.repartition(*by).sortWithinPartitions(*by, *then)
+
+    def ends(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in _whole_groups(parts, ["key", "bucket"]):
+            times = np.unique(p["ts"].to_numpy())
+            after = times.searchsorted(times + seconds)
+            end = np.where(after == len(times), np.arange(len(times)), after)
+            while (end[end] != end).any():  # each step doubles the blocks skipped
+                end = end[end]
+            begin = int(p["bucket"].iloc[0]) * width
+            first = times[: int(times.searchsorted(begin + seconds)) + 1]
+            last = times[end[: len(first)]]
+            keep = np.append(last[1:] != last[:-1], True)  # of blocks with one end the latest
+            n = int(keep.sum())
+            yield pd.DataFrame({"key": [p["key"].iloc[0]] * n, "bucket": [p["bucket"].iloc[0]] * n, "upto": first[keep], "end": last[keep], "taken": [p["taken"].iloc[0]] * n})
+
+    steps = ordered(rows, ["key", "bucket"], "ts").mapInPandas(ends, f"key {kind}, bucket long, upto long, end long, taken long")
+
+    def starts(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, taken = object(), 0
+        for p in _whole_groups(parts, ["key", "bucket"]):
+            if p["key"].iloc[0] != now:
+                now, taken = p["key"].iloc[0], int(p["taken"].iloc[0])
+            at = int(p["upto"].to_numpy().searchsorted(taken + seconds))
+            if at < len(p):
+                yield pd.DataFrame({"key": [now], "bucket": [p["bucket"].iloc[0]], "start": [taken]})
+                taken = int(p["end"].iloc[at])
+
+    known = ordered(steps, ["key"], "bucket", "upto").mapInPandas(starts, f"key {kind}, bucket long, start long")
+
+    def walk(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in _whole_groups(parts, ["key", "bucket"]):
+            times, taken, keep = p["ts"].to_numpy(), int(p["start"].iloc[0]), []
+            while (at := int(times.searchsorted(taken + seconds))) < len(times):
+                keep.append(at)
+                taken = int(times[at])
+            yield p.iloc[keep][["key", "number", "ts"]]
+
+    both = ordered(rows.drop("taken").join(known, ["key", "bucket"]), ["key", "bucket"], "ts", "number")
+    return both.mapInPandas(walk, f"key {kind}, number long, ts long").withColumnRenamed("key", key)
 
 
 def once_per_address(addresses: DataFrame, done: DataFrame) -> DataFrame:
@@ -71,14 +121,35 @@ def event_plan(triggers: DataFrame, config: DataFrame, members: DataFrame | None
 
 
 def event_parameters(events: DataFrame, place: str, index: int = 0) -> DataFrame:
-    """The parameter word taken from an event: 'emitter', 'topic' i or 'data' word i; events too short for it go."""
+    """The parameter taken from an event: 'emitter', 'topic' i, 'data' word i, 'pool_id' (the hash of the pool key in the first five
+    data words) or 'pool_key' (the five words from word i on, encoded as a tuple). Events too short for it go.
+
+    The pool id is computed once per distinct key.
+    """
+    if place == "pool_id":
+        from ledgerloom.functions.keccak import with_hash
+
+        short = events.filter(F.octet_length("data") >= 160)
+        return with_hash(short.withColumn("_key", _pool_key(0)), "_key", "param").drop("_key")
     if place == "emitter":
         value = F.col("address")
+    elif place == "pool_key":
+        value = F.when(F.octet_length("data") >= (index + 5) * 32, _pool_key(index))
     else:
         value = F.get(F.col("topics"), F.lit(index)) if place == "topic" else words.word(F.col("data"), index)
     return events.withColumn("param", value).filter(F.col("param").isNotNull())
 
 
+def _pool_key(at: int):
+    """Five data words as the encoding of a pool key: addresses in 20 bytes, a fee in 3 and a signed spacing in 3, each in its word."""
+    word = lambda i: words.word(F.col("data"), at + i)
+    address = lambda w: F.concat(F.unhex(F.lit("00" * 12)), words.address(w))
+    low = lambda w: F.substring(w, 30, 3)
+    fee = F.concat(F.unhex(F.lit("00" * 29)), low(word(2)))
+    fill = F.when(F.hex(F.substring(word(3), 30, 1)) >= "80", F.unhex(F.lit("FF" * 29))).otherwise(F.unhex(F.lit("00" * 29)))
+    return F.concat(address(word(0)), address(word(1)), fee, F.concat(fill, low(word(3))), address(word(4)))
+
+
 def audit(expected: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Per key: expected and stored multiplicity, and what to do: none, index (present, only to be listed) or recollect."""
     e = expected.groupBy(*keys).agg(F.count(F.lit(1)).alias("expected"))

@@ -32,24 +32,25 @@ def reorgs(blocks: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(chain_id, number, kind, ancestor): a block whose number is known under another hash ('replaced') or whose parent hash is not
     the tracked one ('detached'); the ancestor is the tracked block it builds on, null when that is deeper than `depth`.
 
-    State per chain: the last `depth` (number, hash).
+    State per chain: the last `depth` (number, hash). A chain's new blocks come in several Arrow batches in no order: they are put in
+    order of their numbers first. That is one micro-batch of one chain, which maxFilesPerTrigger bounds.
     """
 
     def step(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         tracked = dict(zip(*state.get)) if state.exists else {}
         out = []
-        for p in parts:
-            for n, h, parent in p.sort_values("number")[["number", "hash", "parent_hash"]].itertuples(index=False):
-                n = int(n)
-                kind = "replaced" if tracked.get(n, h) != h else "detached" if tracked.get(n - 1, parent) != parent else None
-                if kind:
-                    found = [k for k, v in tracked.items() if v == parent]
-                    out.append((key[0], n, kind, max(found) if found else None))
-                    for k in [k for k in tracked if k >= n]:
-                        del tracked[k]
-                tracked[n] = h
-                for k in [k for k in tracked if k <= n - depth]:
+        p = pd.concat(list(parts)).sort_values("number", kind="stable")
+        for n, h, parent in p[["number", "hash", "parent_hash"]].itertuples(index=False):
+            n = int(n)
+            kind = "replaced" if tracked.get(n, h) != h else "detached" if tracked.get(n - 1, parent) != parent else None
+            if kind:
+                found = [k for k, v in tracked.items() if v == parent]
+                out.append((key[0], n, kind, max(found) if found else None))
+                for k in [k for k in tracked if k >= n]:
                     del tracked[k]
+            tracked[n] = h
+            for k in [k for k in tracked if k <= n - depth]:
+                del tracked[k]
         order = sorted(tracked)
         state.update((order, [tracked[k] for k in order]))
         frame = pd.DataFrame(out, columns=["chain_id", "number", "kind", "ancestor"])
@@ -63,18 +64,21 @@ def reorgs(blocks: DataFrame, depth: int = DEPTH) -> DataFrame:
 
 
 def throttled(blocks: DataFrame, seconds: int) -> DataFrame:
-    """Blocks (key, number, ts) that a call falls due at; state: the time of the last taken one."""
+    """Blocks (key, number, ts) that a call falls due at; state: the time of the last taken one.
+
+    A key's new blocks come in several Arrow batches in no order: they are put in order of their times first.
+    """
 
     def step(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         (taken,) = state.get if state.exists else (0,)
-        for p in parts:
-            p = p.sort_values(["ts", "number"])
-            keep = []
-            for t in p["ts"]:
-                due = t >= taken + seconds
-                keep.append(due)
-                taken = int(t) if due else taken
-            yield p.loc[keep, ["key", "number", "ts"]]
+        p = pd.concat(list(parts)).sort_values(["ts", "number"], ignore_index=True)
+        times, keep = p["ts"].to_numpy(), []
+        at = int(times.searchsorted(taken + seconds))
+        while at < len(times):
+            keep.append(at)
+            taken = int(times[at])
+            at = int(times.searchsorted(taken + seconds))
+        yield p.loc[keep, ["key", "number", "ts"]]
         state.update((taken,))
 
     rows = blocks.select("key", "number", "ts")
@@ -95,34 +99,89 @@ def once(rows: DataFrame, late: str = "1 hour") -> DataFrame:
     return rows.withWatermark("time", late).dropDuplicatesWithinWatermark(["chain_id", "block", "log_index"])
 
 
-def merge_sink(path: str, keys: list[str], version: str, on_change: Callable[[DataFrame, DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: a keyed table in version folders <path>/v=<n>, each the merge of the one before and the batch.
+def merge_sink(path: str, keys: list[str], version: str, on_change: Callable[[DataFrame, DataFrame, int], None] | None = None, buckets: int = 64, keep: int = 2) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: a keyed table below `path` that every batch is merged into; `read_sink` reads it.
 
-    A batch that is replayed writes the same folder anew, so the result is exactly once. on_change sees (table, batch, id) first,
-    to capture before-images.
+    Rows lie in buckets by a hash of their keys. A batch rewrites only the buckets it touches, as files of its own version
+    (<path>/bucket=<b>/v=<batch>), and then puts the new state, one file that names each bucket's version, in place
+    (<path>/_state/v=<batch>). A batch that is replayed starts from the state before it and writes the same files anew, so the result is
+    exactly once. The last `keep` states and what they name stay for readers; older files go. on_change sees (the touched part of
+    the table, batch, id) first, to capture before-images.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        files, folder = _files(spark, path)
+        own = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
         last = batch.groupBy(*keys).agg(F.max_by(F.struct(*batch.columns), version).alias("s")).select("s.*")
-        if batch_id:
-            table = spark.read.schema(batch.schema).parquet(f"{path}/v={batch_id - 1}")
+        touched = sorted(r[0] for r in batch.select(own).distinct().collect())  # at most `buckets`
+        before = [v for v in _versions(files, folder, path) if v < batch_id]
+        state = _named(spark, path, before[-1]) if before else {}
+        olds = [f"{path}/bucket={b}/v={state[b]}" for b in touched if b in state]
+        if olds:
+            table = spark.read.schema(batch.schema).parquet(*olds)
             if on_change is not None:
                 on_change(table, batch, batch_id)
             last = newer_wins(table, last, keys, version)
-        last.select(*batch.columns).write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+        new = f"{path}/_new/v={batch_id}"
+        last.select(*batch.columns, own.alias("bucket")).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(new)
+        for b in touched:
+            target = folder(f"{path}/bucket={b}/v={batch_id}")
+            files.delete(target, True)
+            files.mkdirs(target.getParent())
+            files.rename(folder(f"{new}/bucket={b}"), target)
+        files.delete(folder(new), True)
+        state = state | dict.fromkeys(touched, batch_id)
+        spark.createDataFrame(sorted(state.items()) or [], "bucket int, v long").coalesce(1).write.mode("overwrite").parquet(f"{path}/_state/v={batch_id}")
+        kept = [*before, batch_id][-keep:]
+        named = {(b, v) for at in kept for b, v in _named(spark, path, at).items()}
+        for b in touched:
+            for status in files.listStatus(folder(f"{path}/bucket={b}")):
+                if (b, int(status.getPath().getName()[2:])) not in named:
+                    files.delete(status.getPath(), True)
+        for v in before:
+            if v not in kept:
+                files.delete(folder(f"{path}/_state/v={v}"), True)
 
     return write
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and what makes a path of it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    return folder(path).getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _versions(files, folder, path: str) -> list[int]:
+    """The finished states in order: those whose write was committed."""
+    root = folder(f"{path}/_state")
+    found = files.listStatus(root) if files.exists(root) else []
+    return sorted(int(s.getPath().getName()[2:]) for s in found if files.exists(folder(f"{s.getPath().toString()}/_SUCCESS")))
+
+
+def _named(spark: SparkSession, path: str, version: int) -> dict[int, int]:
+    """Each bucket's version in a state: at most one row per bucket."""
+    return {r["bucket"]: r["v"] for r in spark.read.schema("bucket int, v long").parquet(f"{path}/_state/v={version}").collect()}
+
+
+def read_sink(spark: SparkSession, path: str) -> DataFrame:
+    """The table that merge_sink keeps."""
+    files, folder = _files(spark, path)
+    state = _named(spark, path, _versions(files, folder, path)[-1])
+    return spark.read.parquet(*[f"{path}/bucket={b}/v={v}" for b, v in sorted(state.items())])
+
+
 def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """Run a stream over all that is there now and read what it put out (in complete mode the last result)."""
+    """Run a stream over all that is there now and read what it put out (in complete mode the last result).
+
+    Each batch writes a folder of its own number, so a batch that is replayed after a failure puts nothing out twice.
+    """
     spark = stream.sparkSession
     base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{base}/out")
+        batch.write.mode("overwrite").parquet(f"{base}/out" if mode == "complete" else f"{base}/out/batch={batch_id}")
 
     q = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).foreachBatch(write).start()
     q.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{base}/out")
+    return spark.read.schema(stream.schema).option("basePath", f"{base}/out").parquet(f"{base}/out").select(*stream.columns)
