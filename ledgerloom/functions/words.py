@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 #: 256-bit integers are decimal text at rest; sums run over three limbs of this many digits.
 LIMB = 26
@@ -63,9 +64,14 @@ def narrow(text: Column, bits: int, signed: bool = False) -> Column:
 # -- 256-bit decimal text ------------------------------------------------------------------------------------------
 
 
-def _limb(text: Column, i: int) -> Column:
-    padded = F.lpad(F.regexp_replace(text, "^-", ""), 3 * LIMB, "0")
-    return F.substring(padded, i * LIMB + 1, LIMB).cast("decimal(38,0)")
+def _limbs(text: Column) -> list[Column]:
+    """The three limbs of unsigned decimal text, the highest first."""
+    padded = F.lpad(text, 3 * LIMB, "0")
+    return [F.substring(padded, i * LIMB + 1, LIMB).cast("decimal(38,0)") for i in range(3)]
+
+
+def _magnitude(text: Column) -> Column:
+    return F.ltrim(text, F.lit("-"))
 
 
 def _join(high: Column, mid: Column, low: Column) -> Column:
@@ -73,7 +79,7 @@ def _join(high: Column, mid: Column, low: Column) -> Column:
     mid = mid + _div(low)
     high = high + _div(mid)
     digits = F.concat(high.cast("string"), F.lpad(_rem(mid).cast("string"), LIMB, "0"), F.lpad(_rem(low).cast("string"), LIMB, "0"))
-    return F.regexp_replace(digits, "^0+(?=.)", "")
+    return F.when(digits.isNotNull(), F.coalesce(F.nullif(F.ltrim(digits, F.lit("0")), F.lit("")), F.lit("0")))
 
 
 def _rem(x: Column) -> Column:
@@ -88,18 +94,86 @@ def _div(x: Column) -> Column:
 
 def sum_u256(text: Column) -> Column:
     """Aggregate: exact sum of unsigned decimal text (up to 10^11 rows), as decimal text."""
-    return _join(*[F.coalesce(F.sum(_limb(text, i)), F.lit(0).cast("decimal(38,0)")) for i in range(3)])
+    return _join(*[F.coalesce(F.sum(limb), F.lit(0).cast("decimal(38,0)")) for limb in _limbs(text)])
 
 
 def sum_abs(text: Column) -> Column:
     """Aggregate: sum of the magnitudes of signed decimal text."""
-    return sum_u256(F.regexp_replace(text, "^-", ""))
+    return sum_u256(_magnitude(text))
 
 
 def sum_signed(text: Column) -> tuple[Column, Column]:
     """Aggregates: (sum of the positive ones, magnitude of the sum of the negative ones)."""
     negative = text.startswith("-")
-    return sum_u256(F.when(negative, "0").otherwise(text)), sum_u256(F.when(negative, text).otherwise("0"))
+    return sum_u256(F.when(negative, "0").otherwise(text)), sum_u256(F.when(negative, _magnitude(text)).otherwise("0"))
+
+
+def window_u256(text: Column, upto, before) -> Column:
+    """Sum of unsigned decimal text over the rows of one window frame that another, within it, lacks."""
+    zero = F.lit(0).cast("decimal(38,0)")
+    return _join(*[F.coalesce(F.sum(limb).over(upto), zero) - F.coalesce(F.sum(limb).over(before), zero) for limb in _limbs(text)])
+
+
+_UNIT, _ZERO = "1" + "0" * LIMB, "0"
+
+
+def _decimal(text: str) -> Column:
+    return F.lit(text).cast("decimal(38,0)")
+
+
+def staged(df: DataFrame, *steps: dict[str, Column], drop: list[str]) -> DataFrame:
+    """Columns in steps, each over the columns of the one before. An expression that is used many times is a column of its own, so that
+    the generated code holds it once."""
+    for step in steps:
+        df = df.withColumns(step)
+    return df.drop(*drop)
+
+
+def _signed(d: Column) -> Column:
+    """Whether limb differences (h, m, l) make a negative number."""
+    return (d["h"] < 0) | ((d["h"] == 0) & ((d["m"] < 0) | ((d["m"] == 0) & (d["l"] < 0))))
+
+
+def _sizes(d: Column) -> Column:
+    sign = lambda c: F.when(_signed(d), -c).otherwise(c)
+    return F.struct(*[sign(d[k]).alias(k) for k in "hml"], _signed(d).alias("negative"))
+
+
+def _borrowed(m: Column) -> Column:
+    """Signed decimal text of the limbs of a magnitude, some of them below zero."""
+    one = lambda c: F.when(c, _decimal("1")).otherwise(_decimal(_ZERO))
+    unit = lambda c: F.when(c, _decimal(_UNIT)).otherwise(_decimal(_ZERO))
+    mid = m["m"] - one(m["l"] < 0)
+    size = _join(m["h"] - one(mid < 0), mid + unit(mid < 0), m["l"] + unit(m["l"] < 0))
+    return F.when(m["negative"], F.concat(F.lit("-"), size)).otherwise(size)
+
+
+def with_differences(df: DataFrame, names: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """df with name = a - b of unsigned decimal text, signed, for each name: (a, b)."""
+    gaps = {f"_d_{n}": F.struct(*[(x - y).alias(k) for k, x, y in zip("hml", _limbs(a), _limbs(b))]) for n, (a, b) in names.items()}
+    sizes = {f"_m_{n}": _sizes(F.col(f"_d_{n}")) for n in names}
+    return staged(df, gaps, sizes, {n: _borrowed(F.col(f"_m_{n}")) for n in names}, drop=[*gaps, *sizes])
+
+
+@F.pandas_udf(T.StringType())
+def u256_text(word: pd.Series) -> pd.Series:
+    """An unsigned 32-byte word as decimal text, in Arrow batches: in built-in expressions the eight parts' products outgrow what is compiled."""
+    return word.map(lambda w: None if w is None else str(int.from_bytes(w, "big"))).astype(object)
+
+
+@F.pandas_udf(T.StringType())
+def int256_text(word: pd.Series) -> pd.Series:
+    """A signed 32-byte word (two's complement) as decimal text."""
+    return word.map(lambda w: None if w is None else str(int.from_bytes(w, "big", signed=True))).astype(object)
+
+
+def flexible(value: Column, bits: int = 256, signed: bool = False) -> Column:
+    """A number of a narrower type, or numeric text, as decimal text of `bits`; null where it is no integer or out of range."""
+    text = F.regexp_extract(F.trim(value.cast("string")), r"^\+?(-?)0*(\d+)$", 2)
+    negative = F.trim(value.cast("string")).startswith("-")
+    most = (1 << (bits - 1)) if signed else (1 << bits)
+    fits = (text != "") & (F.length(text) <= 3 * LIMB) & F.when(negative & (text != "0"), F.lit(signed) & (sort_key(text) <= F.lit(str(most).zfill(3 * LIMB)))).otherwise(sort_key(text) < F.lit(str(most).zfill(3 * LIMB)))
+    return F.when(fits, F.when(negative & (text != "0"), F.concat(F.lit("-"), text)).otherwise(text))
 
 
 def sort_key(text: Column) -> Column:
