@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ledgerloom.functions.fixedpoint import position_udf
+from ledgerloom.functions.words import sum_u256
+from ledgerloom.operators.swaps import live_positions
+
 RANGE = ["pool", "tick_lower", "tick_upper"]
 
 
@@ -21,14 +25,22 @@ def validity(liquidity: DataFrame) -> DataFrame:
     )
 
 
-def tick_map(liquidity: DataFrame, targets: DataFrame) -> DataFrame:
+def tick_map(liquidity: DataFrame, targets: DataFrame, bucket: int = 1024) -> DataFrame:
     """The tick map of each target (pool, block): ranges with positive net liquidity up to and with that block.
 
-    The changes are summed per block once and turned into validity intervals; a target meets one interval per range.
+    The changes are summed per block once and turned into validity intervals; a target meets one interval per range. Blocks are
+    dealt to buckets: an interval goes to those of its pool's buckets that hold targets and that it touches, so targets and
+    intervals meet by (pool, bucket), and the rows in between are of the order of the result.
     """
     live = validity(liquidity).filter("liquidity > 0")
-    inside = (F.col("t.pool") == F.col("v.pool")) & (F.col("t.block") >= F.col("v.from_block")) & (F.col("v.to_block").isNull() | (F.col("t.block") < F.col("v.to_block")))
-    return targets.alias("t").join(live.alias("v"), inside).select("t.pool", "t.block", "v.tick_lower", "v.tick_upper", "v.liquidity")
+    targets = targets.withColumn("_bucket", F.floor(F.col("block") / bucket))
+    wanted = targets.groupBy("pool").agg(F.collect_set("_bucket").alias("_wanted"))
+    first, last = F.floor(F.col("from_block") / bucket), F.floor((F.col("to_block") - 1) / bucket)
+    touched = F.filter("_wanted", lambda b: (b >= first) & (F.col("to_block").isNull() | (b <= last)))
+    live = live.join(wanted, "pool").withColumn("_bucket", F.explode(touched))
+    inside = (F.col("t.block") >= F.col("v.from_block")) & (F.col("v.to_block").isNull() | (F.col("t.block") < F.col("v.to_block")))
+    same = (F.col("t.pool") == F.col("v.pool")) & (F.col("t._bucket") == F.col("v._bucket"))
+    return targets.alias("t").join(live.alias("v"), same & inside).select("t.pool", "t.block", "v.tick_lower", "v.tick_upper", "v.liquidity")
 
 
 def active_liquidity(ticks: DataFrame) -> DataFrame:
@@ -38,35 +50,57 @@ def active_liquidity(ticks: DataFrame) -> DataFrame:
 
 
 def position_totals(ticks: DataFrame, prices: DataFrame) -> DataFrame:
-    """Per (pool, block) the sums of both tokens over its positions at its square-root price, as decimal text.
+    """Per (pool, block) the sums of both tokens over its positions at its square-root price, as decimal text, and of those
+    whose range holds its tick (active0, active1).
 
-    ticks: pool, block, tick_lower, tick_upper, liquidity; prices: pool, block, sqrt_price. Position amounts are computed once
-    per distinct (price, range, liquidity). Targets without positions or price have no row.
+    ticks: pool, block, tick_lower, tick_upper, liquidity; prices: pool, block, sqrt_price and, for the active sums, tick. Position
+    amounts are computed once per distinct (price, range, liquidity). Targets without positions or price have no row.
     """
-    from ledgerloom.functions.fixedpoint import position_udf
-    from ledgerloom.functions.words import sum_u256
-
     asked = ["sqrt_price", "tick_lower", "tick_upper", "liquidity"]
     rows = ticks.join(prices.filter(F.col("sqrt_price").isNotNull()), ["pool", "block"])
     amounts = rows.select(*asked).distinct().withColumn("a", position_udf(*[F.col(c) for c in asked])).select(*asked, "a.*")
-    return rows.join(amounts, asked).groupBy("pool", "block").agg(sum_u256(F.col("amount0")).alias("amount0"), sum_u256(F.col("amount1")).alias("amount1"))
+    sums = [sum_u256(F.col(f"amount{i}")).alias(f"amount{i}") for i in (0, 1)]
+    if "tick" in prices.columns:
+        active = (F.col("tick_lower") <= F.col("tick")) & (F.col("tick") < F.col("tick_upper"))
+        sums += [sum_u256(F.when(active, F.col(f"amount{i}")).otherwise("0")).alias(f"active{i}") for i in (0, 1)]
+        sums.append(sum_u256(F.when(active, F.col("liquidity")).otherwise("0")).alias("active_liquidity"))
+    return rows.join(amounts, asked).groupBy("pool", "block").agg(*sums)
+
 
+def embedded_totals(calls: DataFrame) -> DataFrame:
+    """position_totals where the positions come with the call's result: pool, block, tick, sqrt_price, positions (an array of
+    tick_lower, tick_upper, liquidity). Positions without liquidity take no part; a result without any has no row."""
+    live = live_positions(calls).withColumn("liquidity", F.col("liquidity").cast("string"))
+    return position_totals(live.select("pool", "block", "tick_lower", "tick_upper", "liquidity"), calls.select("pool", "block", "tick", "sqrt_price"))
 
-def value_usd(base, quote, price, usd, supply=None) -> dict:
-    """TVL and market cap from token amounts (already scaled by decimals): null without a USD price of the quote."""
+
+def value_usd(base, quote, price, usd, supply=None, active=None) -> dict:
+    """TVL, market cap and active value from token amounts (already scaled by decimals; active: the pair of active ones): null
+    without a USD price of the quote."""
     out = {"tvl_usd": (base * price + quote) * usd}
-    return out | ({"market_cap_usd": supply * price * usd} if supply is not None else {})
+    if supply is not None:
+        out["market_cap_usd"] = supply * price * usd
+    if active is not None:
+        out["active_liquidity_usd"] = (active[0] * price + active[1]) * usd
+    return out
 
 
-def fill_snapshots(snapshots: DataFrame, tvl: DataFrame) -> DataFrame:
+def fill_snapshots(snapshots: DataFrame, tvl: DataFrame, bucket: int = 10_000) -> DataFrame:
     """TVL into snapshots. A row that exists keeps prices and volumes and gets the TVL columns; where only liquidity moved, a row
     comes in with the previous close (or the bootstrap price) in all four prices and no volume; without either it does not.
 
+    The previous close is looked for in the row's bucket of blocks, and otherwise carried along the ends of the pool's buckets.
+
     snapshots: pool, block, ts, price_open/close/high/low, volume1, swap_count; tvl: pool, block, tvl_ts, tvl_usd, bootstrap.
     """
-    both = snapshots.withColumn("_swap", F.lit(True)).join(tvl, ["pool", "block"], "full_outer")
-    before = Window.partitionBy("pool").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = F.coalesce(F.last("price_close", ignorenulls=True).over(before), F.col("bootstrap"))
+    both = snapshots.withColumn("_swap", F.lit(True)).join(tvl, ["pool", "block"], "full_outer").withColumn("_bucket", F.floor(F.col("block") / bucket))
+    ends = snapshots.filter(F.col("price_close").isNotNull()).groupBy("pool", F.floor(F.col("block") / bucket).alias("_bucket")).agg(F.max(F.struct("block", "price_close")).alias("_end"))
+    there = both.select("pool", "_bucket").distinct().join(ends, ["pool", "_bucket"], "left")
+    earlier = Window.partitionBy("pool").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried_in = there.select("pool", "_bucket", F.max("_end").over(earlier)["price_close"].alias("_carried"))
+    before = Window.partitionBy("pool", "_bucket").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    both = both.join(carried_in, ["pool", "_bucket"])
+    carried = F.coalesce(F.last("price_close", ignorenulls=True).over(before), F.col("_carried"), F.col("bootstrap"))
     both = both.withColumn("_p", F.when(F.col("_swap"), None).otherwise(carried)).filter(F.col("_swap") | F.col("_p").isNotNull())
     prices = [F.coalesce(c, "_p").alias(c) for c in ("price_open", "price_close", "price_high", "price_low")]
     return both.select(
