@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.sources.shared import cut
+from ledgerloom.functions.fixedpoint import approximate_price, price_udf
+from ledgerloom.sources.shared import cut, shared_dir
 
 MIN_LIQUIDITY = 1000
 MAX_HOPS = 5
@@ -19,13 +22,42 @@ def oracle_price(calls: DataFrame, decimals: int = 8) -> DataFrame:
 
 
 def price_pools(contracts: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Pools named <Base><Quote>Pool in the registry: base and quote by the longest quote symbol that ends the name."""
+    """Pools named <Base><Quote>Pool in the registry: base and quote by the longest quote symbol that ends the name.
+
+    contracts: name and, where the registry has it, functions (an array of its calls): only pools with a slot0-like call count. Every
+    proper ending of a name is looked up among the symbols, so names meet symbols by equality.
+    """
     stem = F.regexp_extract("name", "^(.*)Pool$", 1)
-    pairs = contracts.withColumn("stem", stem).filter("stem <> ''").join(tokens.select(F.col("symbol").alias("quote")), F.col("stem").endswith(F.col("quote")) & (F.length("stem") > F.length("quote")))
+    rows = contracts.withColumn("stem", stem).filter("stem <> ''")
+    if "functions" in contracts.columns:
+        plain = F.transform("functions", lambda f: F.regexp_extract(f, r"^([^(]*)", 1))
+        rows = rows.filter(F.arrays_overlap(plain, F.array(F.lit("slot0"), F.lit("getSlot0"))))
+    ends = F.transform(F.sequence(F.lit(2), F.greatest(F.length("stem"), F.lit(2))), lambda i: F.substring(F.col("stem"), i, F.length("stem")))
+    pairs = rows.select("name", "stem", F.explode(ends).alias("quote")).join(tokens.select(F.col("symbol").alias("quote")).distinct(), "quote")
     best = pairs.groupBy("name", "stem").agg(F.max_by("quote", F.length("quote")).alias("quote"))
     return best.select("name", F.expr("left(stem, length(stem) - length(quote))").alias("base"), "quote")
 
 
+def slot0_prices(pools: DataFrame, calls: DataFrame, tokens: DataFrame, *, exact: bool = False) -> DataFrame:
+    """Price rows (token, quote, block, ts, price) of the pools' slot0 results; zero prices give none.
+
+    pools: name, base, quote (symbols); calls: source (the pool's name), block, ts, sqrt_price; tokens: symbol, address, decimals. The token
+    order is that of the addresses. exact: decimal text, computed once per distinct price; else a double, without Python. Several
+    results of one token at one time count as one: that of the greatest block.
+    """
+    side = lambda c: tokens.select(F.col("symbol").alias(c), F.col("address").alias(f"{c}_address"), F.col("decimals").alias(f"{c}_decimals"))
+    known = pools.join(side("base"), "base").join(side("quote"), "quote").withColumn("is_token_0", F.col("base_address") < F.col("quote_address"))
+    rows = calls.join(known.withColumnRenamed("name", "source"), "source")
+    if exact:
+        asked = ["sqrt_price", "is_token_0", "base_decimals", "quote_decimals"]
+        rows = rows.join(rows.select(*asked).distinct().withColumn("price", price_udf(*asked)), asked)
+    else:
+        rows = rows.withColumn("price", approximate_price(F.col("sqrt_price"), F.col("is_token_0")) * F.pow(F.lit(10.0), (F.col("base_decimals") - F.col("quote_decimals")).cast("double")))
+    best = rows.filter(F.col("price").isNotNull()).groupBy(F.col("base_address").alias("token"), "ts")
+    best = best.agg(F.max_by(F.struct("block", F.col("quote_address").alias("quote"), "price"), F.struct("block", "source")).alias("s"))
+    return best.select("token", "s.quote", "s.block", "ts", "s.price")
+
+
 def latest_prices(prices: DataFrame, before: int) -> DataFrame:
     """The last (token, quote) price strictly before a block."""
     rest = [c for c in prices.columns if c not in ("token", "quote")]
@@ -33,24 +65,30 @@ def latest_prices(prices: DataFrame, before: int) -> DataFrame:
     return best.select("token", "quote", *[F.col(f"s.{c}").alias(c) for c in rest])
 
 
-def resolve_usd(prices: DataFrame, known: DataFrame, max_rounds: int = 64) -> DataFrame:
+def resolve_usd(prices: DataFrame, known: DataFrame) -> DataFrame:
     """Transitive prices: usd(token) = price * usd(quote) until nothing is added. The first resolution of a token stays.
 
     prices: token, quote, price, block; known: token, usd, block. The block of a result is the greatest one used. Each round
-    joins only the tokens resolved in the round before, and is written to the shared folder.
+    joins only the tokens resolved in the round before and adds its own folder to the result, so nothing is written twice; there are
+    as many rounds as the longest chain, and every round resolves a token more, so they end.
     """
-    done = cut(known.select("token", "usd", "block", F.lit(0).alias("hops")))
-    front = done
-    for hop in range(1, max_rounds + 1):
+    spark = prices.sparkSession
+    path = f"{shared_dir(spark)}/usd-{uuid.uuid4().hex}"
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in known.select("token", "usd", "block").schema) + ", hops int"
+    known.select("token", "usd", "block").write.parquet(f"{path}/hops=0")
+    hop = 0
+    while True:
+        done = spark.read.schema(schema).parquet(path)
+        front = done.filter(F.col("hops") == hop)
+        hop += 1
         step = prices.alias("p").join(front.alias("k"), F.col("p.quote") == F.col("k.token")).select(
             F.col("p.token").alias("token"), (F.col("p.price") * F.col("k.usd")).alias("usd"), F.greatest("p.block", "k.block").alias("block"), F.col("p.quote").alias("via")
         )
         step = step.join(done.select("token"), "token", "left_anti")
-        front = cut(step.groupBy("token").agg(F.min_by(F.struct("usd", "block"), F.struct(-F.col("block"), "via")).alias("s")).select("token", "s.usd", "s.block", F.lit(hop).alias("hops")))
-        if front.isEmpty():
-            break
-        done = cut(done.unionByName(front))
-    return done
+        step = step.groupBy("token").agg(F.min_by(F.struct("usd", "block"), F.struct(-F.col("block"), "via")).alias("s")).select("token", "s.usd", "s.block")
+        step.select(*[F.col(f.name).cast(f.dataType) for f in known.select("token", "usd", "block").schema]).write.parquet(f"{path}/hops={hop}")
+        if spark.read.schema(schema).parquet(f"{path}/hops={hop}").isEmpty():
+            return spark.read.schema(schema).parquet(path)
 
 
 def by_precedence(*sources: DataFrame) -> DataFrame:
@@ -62,6 +100,20 @@ def by_precedence(*sources: DataFrame) -> DataFrame:
     return all_.groupBy("token").agg(F.min_by(F.struct("usd", "rank"), "rank").alias("s")).select("token", "s.usd", "s.rank")
 
 
+def usd_prices(stable: DataFrame, oracle: DataFrame, stored: DataFrame, cache: DataFrame, *, bound: int, native=None, wrapped=None) -> DataFrame:
+    """(token, usd, rank): stable coins at one, then oracle answers, then stored prices, then the cache; cached and stored rows count
+    only if what they rest on (`block`) lies before `bound`. The native coin has the wrapped coin's price unless it has its own.
+
+    stable: token; the others: token, usd, block.
+    """
+    before = lambda df: df.filter(F.col("block") < bound)
+    found = by_precedence(stable.select("token", F.lit(1.0).alias("usd")), oracle, before(stored), before(cache))
+    if native is None:
+        return found
+    as_native = found.filter(F.col("token") == F.lit(wrapped)).select(F.lit(native).alias("token"), "usd", "rank")
+    return found.unionByName(as_native.join(found.filter(F.col("token") == F.lit(native)).select("token"), "token", "left_anti"))
+
+
 def frontier_edges(snapshots: DataFrame, before: int) -> DataFrame:
     """Each pool's latest snapshot before a block, then the liquidity filter: USD liquidity of at least 1000, or unknown with raw liquidity (weight 0)."""
     rest = [c for c in snapshots.columns if c != "pool"]
@@ -75,31 +127,47 @@ def undirected(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b", "pool", "weight").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "pool", "weight"))
 
 
+def hops_to(edges: DataFrame, anchors: DataFrame, max_hops: int) -> DataFrame:
+    """(token, away): how many hops a token is from the nearest anchor, up to max_hops. edges (a, b) in both directions.
+
+    Each round joins only the tokens of the round before and adds its own folder.
+    """
+    spark = edges.sparkSession
+    path, kind = f"{shared_dir(spark)}/hops-{uuid.uuid4().hex}", edges.schema["a"].dataType
+    anchors.select(F.col("token").cast(kind)).distinct().write.parquet(f"{path}/away=0")
+    for hop in range(1, max_hops + 1):
+        done = spark.read.schema(f"token {kind.simpleString()}, away int").parquet(path)
+        front = done.filter(F.col("away") == hop - 1).select(F.col("token").alias("b"))
+        step = edges.join(front, "b").select(F.col("a").alias("token")).distinct().join(done.select("token"), "token", "left_anti")
+        step.write.parquet(f"{path}/away={hop}")
+    return spark.read.schema(f"token {kind.simpleString()}, away int").parquet(path)
+
+
 def best_paths(edges: DataFrame, targets: DataFrame, anchors: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
     """(target, anchor, bottleneck, hops, path): for each target token the pools to an anchor at the first hop that meets one,
     with the greatest bottleneck weight; ties by the smaller anchor and path.
 
-    All targets advance together, one join per hop; of the ways to one token at one hop only the best stays.
+    The hops from every token to its nearest anchor are found first, from the few anchors outward. A path that meets an anchor at the
+    first hop possible comes a hop nearer with every pool, so only such pools are followed: the targets advance together along
+    them, one join per hop, and of the ways to one token only the best stays. Targets out of reach never start.
     """
     both = cut(undirected(edges).groupBy("a", "b").agg(F.max_by(F.struct("weight", "pool"), F.struct("weight", -F.col("pool"))).alias("e")).select("a", "b", "e.weight", "e.pool"))
-    state = cut(targets.select(F.col("token").alias("target"), F.col("token").alias("at"), F.lit(None).cast("bigint").alias("bottleneck"), F.array().cast("array<bigint>").alias("path")))
-    seen = state.select("target", "at")
+    away = cut(hops_to(both.select("a", "b"), anchors, max_hops))
+    side = lambda c: away.select(F.col("token").alias(c), F.col("away").alias(f"away_{c}"))
+    down = cut(both.join(side("a"), "a").join(side("b"), "b").filter("away_b = away_a - 1").select("a", "b", "weight", F.col("pool").cast("bigint").alias("pool")))
+    state = targets.select("token").distinct().join(away, "token").filter("away > 0").select(
+        F.col("token").alias("target"), F.col("token").alias("at"), F.col("away").alias("hops"), F.lit(None).cast("bigint").alias("bottleneck"), F.array().cast("array<bigint>").alias("path"))
     found = None
     for hop in range(1, max_hops + 1):
-        step = state.join(both, F.col("at") == F.col("a")).select(
-            "target", F.col("b").alias("at"), F.coalesce(F.least("bottleneck", "weight"), F.col("weight")).alias("bottleneck"), F.concat("path", F.array(F.col("pool").cast("bigint"))).alias("path")
+        step = state.join(down, F.col("at") == F.col("a")).select(
+            "target", F.col("b").alias("at"), "hops", F.coalesce(F.least("bottleneck", "weight"), F.col("weight")).alias("bottleneck"), F.concat("path", F.array("pool")).alias("path")
         )
-        step = step.join(seen, ["target", "at"], "left_anti")
         order = F.struct(-F.col("bottleneck"), F.col("path"))
-        step = cut(step.groupBy("target", "at").agg(F.min_by(F.struct("bottleneck", "path"), order).alias("s")).select("target", "at", "s.bottleneck", "s.path"))
-        hit = step.join(anchors.select(F.col("token").alias("at")), "at")
-        hit = hit.groupBy("target").agg(F.min_by(F.struct(F.col("at").alias("anchor"), "bottleneck", "path"), F.struct(-F.col("bottleneck"), "at", "path")).alias("s")).select("target", "s.*", F.lit(hop).alias("hops"))
-        hit = cut(hit)
+        step = cut(step.groupBy("target", "at").agg(F.min_by(F.struct("hops", "bottleneck", "path"), order).alias("s")).select("target", "at", "s.hops", "s.bottleneck", "s.path"))
+        hit = step.filter(F.col("hops") == hop).groupBy("target").agg(F.min_by(F.struct(F.col("at").alias("anchor"), "bottleneck", "path"), F.struct(-F.col("bottleneck"), "at", "path")).alias("s"))
+        hit = hit.select("target", "s.*", F.lit(hop).alias("hops"))
         found = hit if found is None else found.unionByName(hit)
-        state = cut(step.join(hit.select("target"), "target", "left_anti"))
-        seen = cut(seen.unionByName(step.select("target", "at")))
-        if state.isEmpty():
-            break
+        state = step.filter(F.col("hops") > hop)
     return found
 
 
