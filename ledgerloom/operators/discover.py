@@ -11,13 +11,26 @@ from ledgerloom.operators.matching import topic0
 
 
 def created(logs: DataFrame, matchers: DataFrame) -> DataFrame:
-    """(collection, address, created_block): addresses in factory events, in a topic or a data word.
+    """(collection, address, created_block): addresses in factory events, in a topic or in the data.
 
-    matchers: factory address, topic0, collection, place ('topic' or 'data'), index. Several events may feed one collection; an
-    address counts from its first block.
+    matchers: factory address, topic0, collection, place ('topic' or 'data'), index, and optionally start_block and inner. data[i] is
+    the i-th word. data[i][j] (inner = j) is the j-th word of the array or tuple that the i-th word points to: its offset in
+    bytes, where an array begins with its length (dynamic_array: skip it; data past it gives nothing). Several events may feed one
+    collection; an address counts from its first block.
     """
     hit = topic0(logs).join(matchers, ["address", "topic0"])
-    word = F.when(F.col("place") == "topic", F.get(F.col("topics"), F.col("index"))).otherwise(words.word(F.col("data"), F.col("index")))
+    if "start_block" in matchers.columns:
+        hit = hit.filter(F.col("start_block").isNull() | (F.col("block_number") >= F.col("start_block")))
+    data = words.word(F.col("data"), F.col("index"))
+    if "inner" in matchers.columns:
+        # an offset that does not fit the data points nowhere
+        at = F.when(words.uint64(data) < F.octet_length("data"), words.uint64(data).cast("int"))
+        length = F.when(F.octet_length("data") >= at + 32, words.uint64(F.substring(F.col("data"), at + 1, F.lit(32))))
+        array = F.coalesce(F.col("dynamic_array"), F.lit(False)) if "dynamic_array" in matchers.columns else F.lit(False)
+        begin = at + F.when(array, 32).otherwise(0) + F.col("inner") * 32
+        there = (F.octet_length("data") >= begin + 32) & (~array | (F.col("inner") < length))
+        data = F.when(F.col("inner").isNull(), data).when(there, F.substring(F.col("data"), begin + 1, F.lit(32)))
+    word = F.when(F.col("place") == "topic", F.get(F.col("topics"), F.col("index"))).otherwise(data)
     found = hit.select("collection", words.address(word).alias("address"), "block_number").filter(F.col("address").isNotNull())
     return found.groupBy("collection", "address").agg(F.min("block_number").alias("created_block"))
 

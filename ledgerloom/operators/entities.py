@@ -49,30 +49,101 @@ def pools_from(creates: DataFrame, pool_type: str, fee: Column | None = None, ex
     )
 
 
-def hook_state(creates: DataFrame, state: DataFrame, positions: DataFrame, beneficiaries: DataFrame) -> DataFrame:
-    """Creates joined to the three calls of the same (block, log_index): state, the lowest and highest tick of the positions
-    and the start tick on their far side, beneficiaries."""
-    key = ["block_number", "log_index"]
-    ticks = positions.select(
-        *key, F.array_min(F.transform("positions", lambda p: p["tick_lower"])).alias("lower"), F.array_max(F.transform("positions", lambda p: p["tick_upper"])).alias("upper")
+#: What a V4 auction's configuration row holds of its hook's once call.
+AUCTION = (
+    "num_tokens_to_sell", "min_proceeds", "max_proceeds", "starting_time", "ending_time", "starting_tick", "ending_tick", "epoch_length", "gamma",
+    "is_token_0", "num_pd_slugs",
+)
+POOL_KEY = ("currency0", "currency1", "fee", "tick_spacing", "hooks")
+
+
+def v4_creates(creates: DataFrame, hook_calls: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """V4 auctions: (pools, configurations, missing) of creation events (hook, asset, numeraire, block_number, creator and what an
+    asset's metadata gives: integrator, initializer, migrator, migration_pool).
+
+    hook_calls: hook, the five parts of the pool key and AUCTION. The pool's address is the id of its key; the token order is the one the hook
+    says. Events whose hook has no call are missing.
+    """
+    from ledgerloom.operators.decode import pool_ids
+
+    known = pool_ids(hook_calls)
+    rows = creates.join(known, "hook")
+    extra = [c for c in ("integrator", "initializer", "migrator", "migration_pool") if c in creates.columns]
+    pools = rows.select(
+        F.col("pool_id").alias("address"), F.col("asset").alias("base_token"), F.col("numeraire").alias("quote_token"), "is_token_0", F.lit("v4").alias("type"), "fee",
+        F.col("min_proceeds").alias("min_threshold"), F.col("max_proceeds").alias("max_threshold"), "starting_time", "ending_time",
+        F.col("block_number").alias("created_block"), "creator", *extra,
     )
-    out = creates.join(state, key).join(ticks, key).join(beneficiaries, key, "left")
+    configs = rows.select("pool_id", F.col("hook").alias("hook_address"), *AUCTION)
+    return pools, configs, creates.join(hook_calls.select("hook"), "hook", "left_anti")
+
+
+def _ticks(positions: DataFrame, key: list[str]) -> DataFrame:
+    low, high = F.transform("positions", lambda p: p["tick_lower"]), F.transform("positions", lambda p: p["tick_upper"])
+    return positions.select(*key, F.array_min(low).alias("lower"), F.array_max(high).alias("upper"))
+
+
+def hook_state(creates: DataFrame, state: DataFrame, positions: DataFrame, beneficiaries: DataFrame, starting: DataFrame | None = None) -> DataFrame:
+    """Creates joined to the calls of the same (block, log_index): state, the lowest and highest tick of the positions
+    and the start tick on their far side, beneficiaries if there are any, and for a scheduled auction its starting_time."""
+    key = ["block_number", "log_index"]
+    out = creates.join(state, key).join(_ticks(positions, key), key).join(beneficiaries, key, "left")
+    out = out if starting is None else out.join(starting.select(*key, "starting_time"), key)
     return out.withColumn("start_tick", F.when(F.col("asset") < F.col("numeraire"), F.col("upper")).otherwise(F.col("lower")))
 
 
+def hook_creates(creates: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Hook pools (pools, configurations): creates (block_number, log_index, asset, numeraire, creator) with the state call of the same event:
+    the pool key, total_tokens_on_bonding_curve, doppler_hook, status, far_tick. The type is rehype where the state says so."""
+    from ledgerloom.operators.decode import pool_ids
+
+    rows = creates.join(pool_ids(state), ["block_number", "log_index"]).withColumn("is_token_0", F.col("asset") < F.col("numeraire"))
+    kind = F.when(F.col("rehype"), "rehype").otherwise("dhook") if "rehype" in state.columns else F.lit("dhook")
+    pools = rows.select(
+        F.col("pool_id").alias("address"), F.col("asset").alias("base_token"), F.col("numeraire").alias("quote_token"), "is_token_0", kind.alias("type"), "fee",
+        F.col("block_number").alias("created_block"), "creator",
+    )
+    names = ("total_tokens_on_bonding_curve", "doppler_hook", "status", "far_tick", "is_token_0")
+    return pools, rows.select("pool_id", F.col("hooks").alias("hook_address"), "numeraire", *names)
+
+
 def coin_creates(creator: DataFrame, content: DataFrame, quotes: DataFrame) -> DataFrame:
     """Creator and content coins as one; known quote tokens only; the pool hash of the event wins over the computed one."""
     both = creator.withColumn("kind", F.lit("creator")).unionByName(content.withColumn("kind", F.lit("content")))
     return both.join(quotes, "numeraire").withColumn("pool", F.coalesce("event_pool", "computed_pool")).drop("event_pool", "computed_pool")
 
 
+#: What a migration pool takes over from its origin, where pools have it.
+INHERITED = ("base_token", "quote_token", "is_token_0", "fee", "integrator", "initializer")
+
+
 def migration_pools(migrations: DataFrame, pools: DataFrame, scopes: DataFrame | None = None, *, kind: str | None = None) -> DataFrame:
     """New pools from migrations: migration.pool = pools.migration_pool (within (source, source_version) scopes, of one migration type),
-    taking over tokens and fee; `migrated_from` names the origin. Zero pools go."""
+    taking over tokens, fee, integrator and initializer; `migrated_from` names the origin. Zero pools go."""
     origin = pools if scopes is None else pools.join(scopes, ["source", "source_version"], "left_semi")
     origin = origin if kind is None else origin.filter(F.col("migration_type") == kind)
-    origin = origin.select(F.col("migration_pool").alias("pool"), F.col("address").alias("migrated_from"), "base_token", "quote_token", "fee")
-    return migrations.filter("pool <> 0").join(origin, "pool").select(F.col("pool").alias("address"), "base_token", "quote_token", "fee", "migrated_from", "block_number")
+    taken = [c for c in INHERITED if c in pools.columns]
+    origin = origin.select(F.col("migration_pool").alias("pool"), F.col("address").alias("migrated_from"), *taken)
+    return migrations.filter("pool <> 0").join(origin, "pool").select(F.col("pool").alias("address"), *taken, "migrated_from", "block_number")
+
+
+def hook_migrations(migrations: DataFrame, pools: DataFrame, source, source_version: int) -> tuple[DataFrame, DataFrame]:
+    """(new pools, migrations without an origin): Migrate events (asset, the five parts of the pool key, block_number) matched to a pool
+    of that source and version by its base token; of several the least address. The new pool's address is the id of the event's key;
+    a rehype origin gives migration_rehype, any other migration_dhook."""
+    from ledgerloom.operators.decode import pool_ids
+
+    taken = [c for c in INHERITED if c in pools.columns]
+    origin = pools.filter((F.col("source") == source) & (F.col("source_version") == source_version))
+    origin = origin.groupBy(F.col("base_token").alias("asset")).agg(F.min_by(F.struct(F.col("address").alias("migrated_from"), "type", *taken), "address").alias("o"))
+    keys = [c for c in POOL_KEY if c != "fee"]
+    rows = pool_ids(migrations).drop(*keys, "fee").join(origin, "asset", "left")
+    rehype = F.col("o.type") == "rehype"
+    new = rows.filter(F.col("o").isNotNull()).select(
+        F.col("pool_id").alias("address"), *[F.col(f"o.{c}").alias(c) for c in taken], F.col("o.migrated_from").alias("migrated_from"),
+        F.when(rehype, "migration_rehype").otherwise("migration_dhook").alias("type"), F.when(rehype, "rehype").otherwise("dhook").alias("migration_type"), "block_number",
+    )
+    return new, rows.filter(F.col("o").isNull()).select("asset", "pool_id", "block_number")
 
 
 def migrate(pools: DataFrame, migrations: DataFrame) -> DataFrame:
@@ -88,6 +159,16 @@ def migrate(pools: DataFrame, migrations: DataFrame) -> DataFrame:
     return first_wins(told, new, ["address"], "created_block")
 
 
+def backfill(pools: DataFrame, migrations: DataFrame, progress: DataFrame, *, copied_from: str, to: str) -> tuple[DataFrame, DataFrame]:
+    """Replay of the migrations that no pool knows of yet, and the progress table with the ranges that `copied_from` has finished
+    taken over for `to`. progress: handler, range_start, range_end."""
+    from ledgerloom.operators.merge import first_wins
+
+    new = migrations.join(pools.select(F.col("address").alias("successor")), "successor", "left_anti")
+    done = progress.filter(F.col("handler") == copied_from).withColumn("handler", F.lit(to)).select(*progress.columns)
+    return migrate(pools, new), first_wins(progress, done, ["handler", "range_start"], "range_end")
+
+
 def pool_metadata(pools: DataFrame, tokens: DataFrame, scopes: DataFrame, addresses: DataFrame | None = None, from_block=None, to_block=None) -> DataFrame:
     """Pools in scope with the base token's decimals and supply: the token is the pool's own, or, for a migrated pool, its origin's."""
     rows = pools.join(scopes, ["source", "source_version"], "left_semi")

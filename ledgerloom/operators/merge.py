@@ -57,9 +57,16 @@ def delete_by_key(target: DataFrame, gone: DataFrame, keys: list[str]) -> DataFr
     return target.join(gone.select(*keys).distinct(), keys, "left_anti")
 
 
-def stamp(df: DataFrame, source: str, version: int) -> DataFrame:
-    """Source and version columns, which become part of every key so that versions live side by side."""
-    return df.withColumns({"source": F.lit(source), "source_version": F.lit(version)})
+STAMP = ("source", "source_version")
+
+
+def stamp(df: DataFrame, source: Column | str, version: int) -> DataFrame:
+    """Source and version columns; with `stamped_keys` they are part of every key, so that versions live side by side."""
+    return df.withColumns({"source": F.lit(source) if isinstance(source, str) else source, "source_version": F.lit(version)})
+
+
+def stamped_keys(keys: list[str]) -> list[str]:
+    return [*keys, *[c for c in STAMP if c not in keys]]
 
 
 def active_version(df: DataFrame, active: DataFrame) -> DataFrame:
@@ -72,11 +79,29 @@ def checkpoint_totals(events: DataFrame, keys: list[str], totals: list[str]) ->
     return events.groupBy(*keys).agg(*[F.max_by(c, F.struct("block", "log_index")).alias(c) for c in totals], F.max(F.struct("block", "log_index")).alias("at")).select(*keys, *totals, "at.block", "at.log_index")
 
 
-def retry_backlog(failures: DataFrame) -> DataFrame:
-    """Open failures per (handler, range): count, first and last time, last error."""
-    return failures.groupBy("handler", "range_index").agg(
+BACKLOG = ("handler", "range_index")
+
+
+def retry_backlog(failures: DataFrame, backlog: DataFrame | None = None, done: DataFrame | None = None) -> DataFrame:
+    """Open failures per (handler, range): count, first and last time, last error.
+
+    They are merged into an existing backlog; ranges that have been finished since (done: handler, range_index) leave it.
+    """
+    new = failures.groupBy(*BACKLOG).agg(
         F.count(F.lit(1)).alias("failure_count"), F.min("ts").alias("first_failed_at"), F.max("ts").alias("last_failed_at"), F.max_by("error", F.struct("ts", "error")).alias("last_error")
     )
+    if backlog is not None:
+        new = backlog.select(*new.columns).unionByName(new).groupBy(*BACKLOG).agg(
+            F.sum("failure_count").alias("failure_count"), F.min("first_failed_at").alias("first_failed_at"), F.max("last_failed_at").alias("last_failed_at"),
+            F.max_by("last_error", F.struct("last_failed_at", "last_error")).alias("last_error"),
+        )
+    return new if done is None else new.join(done.select(*BACKLOG).distinct(), list(BACKLOG), "left_anti")
+
+
+def record_progress(progress: DataFrame, finished: DataFrame) -> DataFrame:
+    """progress (handler, range_start, range_end) with the finished ranges: a range that is there gets its new end."""
+    last = finished.groupBy("handler", "range_start").agg(F.max("range_end").alias("range_end"))
+    return overwrite(progress, last, ["handler", "range_start"], ["range_end"])
 
 
 def completion_watermark(done: DataFrame, key: str = "handler", index: str = "range_index") -> DataFrame:

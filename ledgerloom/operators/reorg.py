@@ -13,32 +13,42 @@ def broken_links(blocks: DataFrame) -> DataFrame:
     return blocks.join(parent, "number").filter("parent_hash <> before").select("number", "hash", "parent_hash", "before")
 
 
-def conflicts(blocks: DataFrame) -> DataFrame:
-    """Numbers seen with more than one hash."""
-    return blocks.groupBy("number").agg(F.countDistinct("hash").alias("hashes")).filter("hashes > 1")
+def canonical(blocks: DataFrame, *, chain: str | None = None, bucket: int = 10_000) -> DataFrame:
+    """Blocks on the chain of the tip: (number, hash), with several hashes per number allowed; per value of the column `chain` if given.
 
-
-def canonical(blocks: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """Blocks on the chain of the tip: (number, hash), with several hashes per number allowed.
-
-    Heights with a single hash that the next height confirms need no walk. Ancestors are found by pointer doubling,
-    so the number of joins is the logarithm of the longest walk.
+    Consecutive heights with a single hash each that fit together are one run, found bucket by bucket of heights; a contested
+    height's blocks stand alone. Only runs and contested blocks are walked, by pointer doubling, so the number of joins is the
+    logarithm of their number on the longest chain. A block that builds on the middle of a run takes in the run up to there.
     """
     from ledgerloom.sources.shared import cut
 
-    rows = blocks.select("number", "hash", "parent_hash").distinct()
-    tip = rows.groupBy().agg(F.max_by("hash", F.struct("number", "hash")).alias("hash"))
-    link = cut(rows.select("hash", F.col("parent_hash").alias("up")).join(rows.select(F.col("hash").alias("up")), "up", "left_semi").select("hash", "up"))
-    reached = cut(tip)
-    jump, known = link, 1
-    for _ in range(max_rounds):
-        more = cut(reached.unionByName(jump.join(reached, "hash").select(F.col("up").alias("hash"))).distinct())
-        n = more.count()
-        if n == known:
-            break
-        reached, known = more, n
-        jump = cut(jump.alias("a").join(jump.alias("b"), F.col("a.up") == F.col("b.hash")).select(F.col("a.hash").alias("hash"), F.col("b.up").alias("up")))
-    return rows.join(reached, "hash", "left_semi").select("number", "hash")
+    by = [chain] if chain else []
+    rows = blocks.select(*by, "number", "hash", "parent_hash").distinct()
+    heights = rows.groupBy(*by, "number").agg((F.count(F.lit(1)) == 1).alias("single"), F.min("hash").alias("only"), F.min("parent_hash").alias("parent"))
+    below = heights.select(*by, (F.col("number") + 1).alias("number"), F.col("single").alias("single_below"), F.col("only").alias("below"))
+    fits = F.coalesce(F.col("single") & F.col("single_below") & (F.col("parent") == F.col("below")), F.lit(False))
+    heights = heights.join(below, [*by, "number"], "left").withColumn("begin", F.when(~fits, F.col("number")))
+    heights = cut(heights.select(*by, "number", "only", "single", "begin", F.floor(F.col("number") / bucket).alias("_b")))
+    ends = heights.groupBy(*by, "_b").agg(F.max("begin").alias("_last"))
+    earlier = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(*by, "_b", F.max("_last").over(earlier).alias("_carried"))
+    upto = Window.partitionBy(*by, "_b").orderBy("number").rowsBetween(Window.unboundedPreceding, 0)
+    runs = heights.join(ends, [*by, "_b"]).select(*by, "number", "single", F.coalesce(F.max("begin").over(upto), "_carried").alias("begin"))
+    first = heights.select(*by, F.col("number").alias("begin"), F.col("only").alias("run"))
+    placed = rows.join(runs, [*by, "number"]).join(first, [*by, "begin"])
+    node, lowest = F.when(F.col("single"), F.col("run")).otherwise(F.col("hash")), ~F.col("single") | (F.col("number") == F.col("begin"))
+    placed = cut(placed.select(*by, "number", "hash", "parent_hash", node.alias("node"), lowest.alias("lowest")))
+    parents = placed.select(*by, F.col("hash").alias("parent_hash"), F.col("node").alias("up"), F.col("number").alias("upto"))
+    jump = cut(placed.filter("lowest").select(*by, "node", "parent_hash").join(parents, [*by, "parent_hash"]).select(*by, "node", "up", "upto"))
+    tips = placed.groupBy(*by).agg(F.max_by(F.struct("node", "number"), F.struct("number", "hash")).alias("t"))
+    reached, known = cut(tips.select(*by, F.col("t.node").alias("node"), F.col("t.number").alias("upto"))), -1
+    while (n := reached.count()) != known:  # ends when nothing is added
+        known = n
+        step = jump.join(reached.select(*by, "node"), [*by, "node"]).select(*by, F.col("up").alias("node"), "upto")
+        reached = cut(reached.unionByName(step).distinct())
+        on = [F.col("a.up") == F.col("b.node"), *[F.col(f"a.{c}") == F.col(f"b.{c}") for c in by]]
+        jump = cut(jump.alias("a").join(jump.alias("b"), on).select(*[f"a.{c}" for c in by], F.col("a.node").alias("node"), F.col("b.up").alias("up"), F.col("b.upto").alias("upto")))
+    return placed.join(reached, [*by, "node"]).filter(F.col("number") <= F.col("upto")).select(*by, "number", "hash").distinct()
 
 
 def orphans(blocks: DataFrame, chain: DataFrame) -> DataFrame:
@@ -68,7 +78,8 @@ def roll_back(target: DataFrame, images: DataFrame, orphaned: DataFrame, keys: l
 
 def uncovered_deletes(tables: DataFrame, orphaned: DataFrame, images: DataFrame) -> DataFrame:
     """(table, block) pairs to delete by block because no image covers them."""
-    pairs = orphaned.select(F.col("number").alias("block")).distinct().crossJoin(F.broadcast(tables))
+    names = tables.agg(F.collect_set("table").alias("t"))  # the tables of a schema: one row
+    pairs = orphaned.select(F.col("number").alias("block")).distinct().crossJoin(F.broadcast(names)).select(F.explode("t").alias("table"), "block")
     return pairs.join(images.select("table", F.col("changed_at").alias("block")).distinct(), ["table", "block"], "left_anti")
 
 
@@ -105,8 +116,3 @@ def complete(status: DataFrame, stages: list[str]) -> DataFrame:
 def first_per_log(rows: DataFrame) -> DataFrame:
     """Idempotent replay: one row per (chain, block, log_index)."""
     return rows.dropDuplicates(["chain_id", "block", "log_index"])
-
-
-def gaps_in(blocks: DataFrame) -> DataFrame:
-    order = Window.partitionBy("chain_id").orderBy("number")
-    return blocks.withColumn("next", F.lead("number").over(order)).filter("next > number + 1")
