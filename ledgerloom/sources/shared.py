@@ -9,12 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a temporary folder where the session names none."""
+    """This application's folder below spark.checkpoint.dir.
+
+    Where the session names none, a local session (one process) gets a temporary folder; a cluster has to name one.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return f"{folder.rstrip('/')}/{spark.conf.get('spark.app.id', 'app')}"
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -22,3 +28,9 @@ def cut(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove all that this application has cut. What was returned lazily from it must have been written or collected."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
