@@ -104,9 +104,9 @@ def b04(spark, sf):
     return matching.from_known(fx.logs(spark, sf), _created(spark, sf), _events(spark)).select("event_id")
 
 
-@query("b05_triggers", with_views(" SELECT event_id, 'any' AS source FROM v_logs WHERE has_topics AND event_type IN ('click', 'view') UNION ALL SELECT event_id, 'one' FROM v_logs WHERE has_topics AND event_type = 'click' AND emitter = 4 AND block_number >= 10", "v_logs"))
+@query("b05_triggers", with_views(" SELECT event_id, 'any' AS source FROM v_logs WHERE has_topics AND event_type IN ('click', 'view') UNION ALL SELECT event_id, 'one' FROM v_logs WHERE has_topics AND event_type = 'click' AND emitter = 4", "v_logs"))
 def b05(spark, sf):
-    rows = [(None, "click", "any", 0), (None, "view", "any", 0), (4, "click", "one", 10), (4, "click", "one", 0)][:3]
+    rows = [(None, "click", "any", 0), (None, "view", "any", 0), (4, "click", "one", 10), (4, "click", "one", 0)]
     m = spark.createDataFrame(rows, "u long, t string, source string, start_block long").select(
         F.expr("unhex(lpad(hex(u), 40, '0'))").alias("address"), F.expr("unhex(rpad(md5(t), 64, '0'))").alias("topic0"), "source", "start_block")
     return matching.triggers(fx.logs(spark, sf), m).select("event_id", "source")
@@ -179,10 +179,19 @@ def c12(spark, sf):
     return e.select("event_id", words.narrow(F.get_json_object("props", "$.k"), 8).alias("k"), words.narrow(F.round(F.col("value") * 1000).cast("bigint").cast("string"), 16, signed=True).alias("v"))
 
 
-@query("c14_strip_nul", "SELECT n_nationkey, n_name AS name FROM nation")
+@query("c12_flexible_numbers", """SELECT event_id, (event_id::HUGEINT * 1000000000000000000)::VARCHAR AS wide, CASE WHEN event_id % 2 = 0 THEN '-' || (event_id * 7 + 1)::VARCHAR ELSE (event_id * 7 + 1)::VARCHAR END AS signed,
+CASE WHEN event_id % 2 <> 0 THEN (event_id * 7 + 1)::VARCHAR END AS unsigned FROM events""")
+def c12_flexible(spark, sf):
+    """Numbers of narrower types and numeric text as 256-bit integers; a negative one is no unsigned number."""
+    e = spark.read.parquet(f"{sf}/events.parquet").select("event_id", F.concat(F.when(F.col("event_id") % 2 == 0, "-").otherwise("+"), F.lit("00"), F.col("event_id") * 7 + 1).alias("t"))
+    zeros = F.concat(F.col("event_id").cast("string"), F.lit("0" * 18))
+    return e.select("event_id", words.flexible(zeros).alias("wide"), words.flexible(F.col("t"), signed=True).alias("signed"), words.flexible(F.col("t")).alias("unsigned"))
+
+
+@query("c14_strip_nul", "SELECT c_custkey, c_name AS name FROM customer")
 def c14(spark, sf):
-    n = spark.read.parquet(f"{sf}/nation.parquet")
-    return n.select("n_nationkey", words.strip_nul(F.concat(F.lit("\u0000"), F.col("n_name"), F.lit("\u0000"))).alias("name"))
+    c = spark.read.parquet(f"{sf}/customer.parquet")
+    return c.select("c_custkey", words.strip_nul(F.concat(F.lit("\u0000"), F.col("c_name"), F.lit("\u0000"))).alias("name"))
 
 
 @query("c15_hex_text", "SELECT c_custkey, '0x' || lower(lpad(to_hex(c_custkey), 40, '0')) AS address FROM customer")
@@ -198,9 +207,9 @@ def c01(spark, sf):
     return keccak.with_hash(e, "signature", "topic0").select("event_id", words.show(F.col("topic0")).alias("topic0"))
 
 
-@query("c04_decode_dynamic")
+@query("c04_decode_dynamic", "SELECT c_custkey AS block_number, 0 AS log_index, c_nationkey AS address, c_name AS name, c_custkey::DECIMAL(20,0) AS id FROM customer")
 def c04(spark, sf):
-    """Customer names as encoded strings with an amount, decoded in Arrow batches; test_decode holds the round trip."""
+    """Customer names as encoded strings with an amount, decoded in Arrow batches."""
     c = spark.read.parquet(f"{sf}/customer.parquet")
     text = F.hex(F.encode("c_name", "UTF-8"))
     data = F.unhex(F.concat(F.lit("40".rjust(64, "0")), F.lpad(F.hex("c_custkey"), 64, "0"), F.lpad(F.hex(F.octet_length("c_name").cast("bigint")), 64, "0"), F.rpad(text, 64 * 3, "0")))
@@ -225,6 +234,19 @@ def d01(spark, sf):
     return discover.created(fx.logs(spark, sf), m).select("collection", F.lower(F.hex("address")).alias("address"), "created_block")
 
 
+@query("d01_nested_data", """SELECT 'coins' AS collection, lower(lpad(to_hex(a), 40, '0')) AS address, min(b) AS created_block FROM
+(SELECT l_orderkey AS b, list(l_partkey ORDER BY l_linenumber, l_partkey) AS l FROM lineitem GROUP BY 1), LATERAL (SELECT l[2] AS a) WHERE len(l) > 1 GROUP BY 2""")
+def d01_nested(spark, sf):
+    """Addresses at data[0][1]: the second element of an array that the first word points to."""
+    line = spark.read.parquet(f"{sf}/lineitem.parquet").groupBy(F.col("l_orderkey").alias("block_number")).agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("l"))
+    word = lambda c: F.lpad(F.hex(c.cast("bigint")), 64, "0")
+    data = F.unhex(F.concat(F.lit("20".rjust(64, "0")), word(F.size("l")), F.array_join(F.transform("l", lambda x: word(x["l_partkey"])), "")))
+    factory, topic = F.unhex(F.lit("11" * 20)), F.unhex(F.lit("22" * 32))
+    logs = line.select("block_number", F.lit(0).alias("log_index"), factory.alias("address"), F.array(topic).alias("topics"), data.alias("data"))
+    m = spark.createDataFrame([("coins", "data", 0, 1, True)], "collection string, place string, index int, inner int, dynamic_array boolean").withColumns({"address": factory, "topic0": topic})
+    return discover.created(logs, m).select("collection", F.lower(F.hex("address")).alias("address"), "created_block")
+
+
 @query("d03_collection_sizes", "SELECT event_type AS collection, count(DISTINCT user_id) AS addresses FROM events GROUP BY 1")
 def d03(spark, sf):
     e = spark.read.parquet(f"{sf}/events.parquet").selectExpr("event_type as collection", "user_id as address")
@@ -249,21 +271,31 @@ def l01(spark, sf):
 
 
 def _fork(spark, sf) -> DataFrame:
-    """The first 49 blocks, and from 30 to 40 a second branch that dies."""
-    b = fx.blocks(spark, sf).filter("number < 49").withColumn("parent_hash", F.expr("md5(cast(number - 1 as string))")).select("number", "hash", "parent_hash")
-    side = b.filter("number between 30 and 40").select("number", F.concat("hash", F.lit("s")).alias("hash"), F.when(F.col("number") == 30, F.col("parent_hash")).otherwise(F.concat("parent_hash", F.lit("s"))).alias("parent_hash"))
+    """Every run of blocks between holes as a chain, each with a second branch, from its 30th to its 40th block, that dies."""
+    b = fx.blocks(spark, sf).select(F.expr("number div 50").alias("chain"), "number", "hash", F.expr("md5(cast(number - 1 as string))").alias("parent_hash"))
+    own = F.col("number") % 50
+    branch = F.when(own == 30, F.col("parent_hash")).otherwise(F.concat("parent_hash", F.lit("s")))
+    side = b.filter(own.between(30, 40)).select("chain", "number", F.concat("hash", F.lit("s")).alias("hash"), branch.alias("parent_hash"))
     return b.unionByName(side)
 
 
-@query("l06_canonical_chain", "SELECT event_id AS number, md5(event_id::VARCHAR) AS hash FROM events WHERE event_id < 49")
+@query("l06_canonical_chain", "SELECT event_id AS number, md5(event_id::VARCHAR) AS hash FROM events WHERE event_id % 50 <> 49")
 def l06(spark, sf):
-    return reorg.canonical(_fork(spark, sf))
+    return reorg.canonical(_fork(spark, sf), chain="chain").select("number", "hash")
+
+
+@query("l02_orphans", "SELECT event_id AS number, md5(event_id::VARCHAR) || 's' AS hash FROM events WHERE event_id % 50 BETWEEN 30 AND 40")
+def l02_orphans(spark, sf):
+    f = _fork(spark, sf)
+    return reorg.orphans(f, reorg.canonical(f, chain="chain").drop("chain")).select("number", "hash")
 
 
-@query("l02_retract_orphans", "SELECT event_id AS number FROM events WHERE event_id BETWEEN 30 AND 40")
+@query("l02_retract_orphans", "SELECT event_id, event_id AS block FROM events WHERE event_id % 50 NOT BETWEEN 30 AND 40")
 def l02(spark, sf):
+    """Derived rows without those of blocks that an orphaned branch touched."""
     f = _fork(spark, sf)
-    return reorg.orphans(f, reorg.canonical(f)).select("number")
+    gone = reorg.orphans(f, reorg.canonical(f, chain="chain").drop("chain"))
+    return reorg.retract(spark.read.parquet(f"{sf}/events.parquet").selectExpr("event_id", "event_id as block"), gone).select("event_id", "block")
 
 
 def _images(spark, sf):
@@ -289,12 +321,12 @@ def l03_l05(spark, sf):
     return reorg.roll_back(final, images, spark.range(10, 21).withColumnRenamed("id", "number"), keys)
 
 
-@query("l04_uncovered_deletes", """SELECT t AS "table", n_nationkey AS block FROM nation, (VALUES ('swaps'), ('prices')) v(t) WHERE NOT (t = 'swaps' AND n_nationkey % 2 = 0)""")
+@query("l04_uncovered_deletes", """SELECT t AS "table", o_orderkey AS block FROM orders, (VALUES ('swaps'), ('prices')) v(t) WHERE NOT (t = 'swaps' AND o_orderkey % 2 = 0)""")
 def l04(spark, sf):
-    n = spark.read.parquet(f"{sf}/nation.parquet")
-    images = n.filter("n_nationkey % 2 = 0").select(F.lit("swaps").alias("table"), F.col("n_nationkey").alias("changed_at"))
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    images = o.filter("o_orderkey % 2 = 0").select(F.lit("swaps").alias("table"), F.col("o_orderkey").alias("changed_at"))
     tables = spark.createDataFrame([("swaps",), ("prices",)], "table string")
-    return reorg.uncovered_deletes(tables, n.select(F.col("n_nationkey").alias("number")), images)
+    return reorg.uncovered_deletes(tables, o.select(F.col("o_orderkey").alias("number")), images)
 
 
 @query("l09_waiting_events", with_views(""" SELECT l.event_id, CASE WHEN c.value IS NOT NULL THEN 'ready' WHEN (SELECT max(block_timestamp) FROM v_logs) - l.block_timestamp > 300 THEN 'backlog' ELSE 'waiting' END AS state

@@ -81,10 +81,11 @@ def h01(spark, sf):
     return _ohlc(spark, sf)
 
 
-@query("h02_v2_inverse_ohlc", with_views(NORM + """ SELECT pool, block, max(p) AS price_high, min(p) AS price_low, count(*) AS swap_count FROM
+@query("h02_v2_inverse_ohlc", with_views(NORM + """ SELECT pool, block, max(p) AS price_high, min(p) AS price_low, count(*) AS swap_count, 0 AS last_tick, '0' AS last_liquidity FROM
 (SELECT *, abs(amount0)::DOUBLE / abs(amount1)::DOUBLE AS p FROM s WHERE amount0 <> 0 AND amount1 <> 0) GROUP BY pool, block""", "v_swaps"))
 def h02(spark, sf):
-    return ohlc.block_ohlc(S.v2_swaps(fx.swaps(spark, sf), base_is_token0=False)).select("pool", "block", "price_high", "price_low", "swap_count")
+    snaps = ohlc.block_ohlc(S.without_ticks(S.v2_swaps(fx.swaps(spark, sf), base_is_token0=False)))
+    return snaps.select("pool", "block", "price_high", "price_low", "swap_count", "last_tick", "last_liquidity")
 
 
 @query("h03_missing_pools", market(" SELECT count(DISTINCT pool) AS pools, count(*) AS rows, list_sort(list(DISTINCT pool))[1:5] AS samples FROM o WHERE pool % 3 = 0"))
@@ -180,13 +181,6 @@ def m04(spark, sf):
     return ohlc.candles(snaps.join(F.broadcast(last)).filter("ts > last - 2592000")).select("pool", "start", "open", "close")
 
 
-@query("m05_tvl_history", market(" SELECT pool, ts, volume0 * price_close AS tvl FROM o WHERE pool = 2 AND ts > (SELECT max(ts) FROM o) - 604800"))
-def m05(spark, sf):
-    snaps = _ohlc(spark, sf)
-    last = snaps.agg(F.max("ts").alias("last"))
-    return snaps.filter("pool = 2").join(F.broadcast(last)).filter("ts > last - 604800").select("pool", "ts", (F.col("volume0") * F.col("price_close")).alias("tvl")).orderBy("ts")
-
-
 @query("m06_protocol_volume", market(" SELECT coalesce(sum(volume1), 0)::BIGINT AS volume, coalesce(sum(swap_count), 0)::BIGINT AS swaps, count(DISTINCT pool) AS pools FROM o"))
 def m06(spark, sf):
     return _ohlc(spark, sf).agg(F.coalesce(F.sum("volume1"), F.lit(0)).alias("volume"), F.coalesce(F.sum("swap_count"), F.lit(0)).alias("swaps"), F.countDistinct("pool").alias("pools"))

@@ -16,13 +16,31 @@ def i01(spark, sf):
     return P.oracle_price(fx.calls(spark, sf))
 
 
-@query("i02_price_pools", """SELECT s_name AS name, replace(s_name, 'Supplier#', 'x') AS base FROM supplier WHERE false
-UNION ALL SELECT 'A' || n_nationkey || 'USDCPool', 'A' || n_nationkey FROM nation WHERE n_nationkey % 2 = 0 UNION ALL SELECT 'B' || n_nationkey || 'axlUSDCPool', 'B' || n_nationkey FROM nation WHERE n_nationkey % 2 = 1""")
+@query("i02_price_pools", """SELECT 'A' || c_custkey || 'USDCPool' AS name, 'A' || c_custkey AS base FROM customer WHERE c_custkey % 2 = 0 AND c_custkey % 5 <> 0
+UNION ALL SELECT 'B' || c_custkey || 'axlUSDCPool', 'B' || c_custkey FROM customer WHERE c_custkey % 2 = 1 AND c_custkey % 5 <> 0""")
 def i02(spark, sf):
-    n = spark.read.parquet(f"{sf}/nation.parquet")
-    contracts = n.select(F.expr("if(n_nationkey % 2 = 0, concat('A', n_nationkey, 'USDCPool'), concat('B', n_nationkey, 'axlUSDCPool'))").alias("name")).unionByName(n.select(F.col("n_name").alias("name")))
-    tokens = spark.createDataFrame([("USDC",), ("axlUSDC",), ("WETH",)], "symbol string")
-    return P.price_pools(contracts, tokens).select("name", "base")
+    """Pools by their names in the registry; those without a slot0-like call do not count."""
+    return P.price_pools(*_registry(spark, sf)).select("name", "base")
+
+
+def _registry(spark, sf) -> tuple[DataFrame, DataFrame]:
+    c = spark.read.parquet(f"{sf}/customer.parquet")
+    functions = F.when(F.col("c_custkey") % 5 == 0, F.array(F.lit("fee()"))).when(F.col("c_custkey") % 2 == 0, F.array(F.lit("fee()"), F.lit("slot0()"))).otherwise(F.array(F.lit("getSlot0(bytes32)")))
+    named = c.select(F.expr("if(c_custkey % 2 = 0, concat('A', c_custkey, 'USDCPool'), concat('B', c_custkey, 'axlUSDCPool'))").alias("name"), functions.alias("functions"))
+    contracts = named.unionByName(c.select(F.col("c_name").alias("name"), functions.alias("functions")))
+    return contracts, spark.createDataFrame([("USDC",), ("axlUSDC",), ("WETH",)], "symbol string")
+
+
+@query("i02_slot0_prices", """SELECT c_custkey AS token, CASE WHEN c_custkey % 2 = 0 THEN 500000 ELSE 5 END AS quote, max(o_orderkey) AS block, o_orderkey % 3 AS ts,
+CASE WHEN c_custkey < CASE WHEN c_custkey % 2 = 0 THEN 500000 ELSE 5 END THEN 16.0 ELSE 1 / 16.0 END::DOUBLE * 1000000000000.0::DOUBLE AS price FROM customer JOIN orders ON o_custkey = c_custkey WHERE c_custkey % 5 <> 0 GROUP BY ALL""")
+def i02_prices(spark, sf):
+    """Price rows of the pools' slot0 results, one per token and time."""
+    pools = P.price_pools(*_registry(spark, sf))
+    c = spark.read.parquet(f"{sf}/customer.parquet")
+    tokens = c.select(F.expr("if(c_custkey % 2 = 0, concat('A', c_custkey), concat('B', c_custkey))").alias("symbol"), F.col("c_custkey").alias("address"), F.lit(18).alias("decimals"))
+    tokens = tokens.unionByName(spark.createDataFrame([("USDC", 500_000, 6), ("axlUSDC", 5, 6)], "symbol string, address long, decimals int"))
+    calls = spark.read.parquet(f"{sf}/orders.parquet").select(F.expr("if(o_custkey % 2 = 0, concat('A', o_custkey, 'USDCPool'), concat('B', o_custkey, 'axlUSDCPool'))").alias("source"), F.col("o_orderkey").alias("block"), (F.col("o_orderkey") % 3).alias("ts"), F.lit(str(4 << 96)).alias("sqrt_price"))
+    return P.slot0_prices(pools, calls, tokens)
 
 
 PRICES = """WITH p AS (SELECT p_partkey % 97 + 3 AS token, (p_partkey % 97 + 3) // 2 AS quote, p_partkey % 400 AS block, (1 + p_size % 4)::DOUBLE / 2.0::DOUBLE AS price FROM part),
@@ -46,11 +64,14 @@ def i04(spark, sf):
     return P.resolve_usd(_prices(spark, sf), known)
 
 
-@query("i05_price_precedence", """SELECT n_nationkey AS token, CASE WHEN n_nationkey < 5 THEN 1.0 WHEN n_nationkey % 2 = 0 THEN 2.0 WHEN n_nationkey % 3 = 0 THEN 3.0 ELSE 4.0 END::DOUBLE AS usd FROM nation""")
+@query("i05_price_precedence", """SELECT p_partkey AS token, CASE WHEN p_partkey < 5 THEN 1.0 WHEN p_partkey % 2 = 0 THEN 2.0 WHEN p_partkey % 3 = 0 AND p_size < 30 THEN 3.0 WHEN p_size < 40 THEN 4.0 END::DOUBLE AS usd FROM part
+WHERE p_partkey < 5 OR p_partkey % 2 = 0 OR (p_partkey % 3 = 0 AND p_size < 30) OR p_size < 40 UNION ALL SELECT -1, 2.0""")
 def i05(spark, sf):
-    n = spark.read.parquet(f"{sf}/nation.parquet").select(F.col("n_nationkey").alias("token"))
-    at = lambda cond, usd: n.filter(cond).withColumn("usd", F.lit(usd))
-    return P.by_precedence(at("token < 5", 1.0), at("token % 2 = 0", 2.0), at("token % 3 = 0", 3.0), at("true", 4.0)).select("token", "usd")
+    """Stable coins, oracle, stored, cache; what rests on a later block does not count; the native coin is the wrapped one (part 10)."""
+    p = spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_partkey").alias("token"), F.col("p_size").alias("block"))
+    at = lambda cond, usd, late=0: p.filter(cond).withColumns({"usd": F.lit(usd), "block": F.col("block") + late})
+    found = P.usd_prices(at("token < 5", 1.0), at("token % 2 = 0", 2.0), at("token % 3 = 0", 3.0, 10), at("true", 4.0), bound=40, native=-1, wrapped=10)
+    return found.select("token", "usd")
 
 
 @query("i06_frontier_edges", """WITH s AS (SELECT l_partkey AS pool, l_orderkey AS block, CASE WHEN l_quantity > 25 THEN l_quantity::BIGINT * 30 END AS liquidity_usd, l_linenumber - 1 AS liquidity FROM lineitem

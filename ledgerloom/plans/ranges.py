@@ -6,8 +6,8 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.functions import fixedpoint as fp
-from ledgerloom.operators import decode, discover, reorg, swaps as S
+from ledgerloom.functions import fixedpoint as fp, words
+from ledgerloom.operators import decode, discover, ohlc, reorg, swaps as S
 from ledgerloom.plans.base import query
 from ledgerloom.sources import fixtures as fx, scan
 from ledgerloom.sources.fixtures import with_views
@@ -46,7 +46,7 @@ def a12(spark, sf):
     e = spark.read.parquet(f"{sf}/events.parquet").select("user_id", "event_id", "event_type")
     sink(e.filter("event_id % 3 <> 0"), 0)
     sink(e.filter("event_id % 3 = 0"), 1)
-    return spark.read.parquet(f"{path}/v=1")
+    return streams.read_sink(spark, path).select("user_id", "event_id", "event_type")
 
 
 @query("a14_compact", with_views(""", c AS (SELECT number // 49 AS range, count(DISTINCT number) AS n, min(number) AS a, max(number) AS b FROM v_blocks GROUP BY 1)
@@ -77,6 +77,67 @@ def g01(spark, sf):
     return good.groupBy("block_number").agg(F.count(F.lit(1)).alias("n"), F.sum("amount0").alias("amount0"), F.sum("amount1").alias("amount1"), F.sum("tick").alias("ticks"))
 
 
+V3_WIDE = decode.parse_event("Swap(address indexed sender, address indexed recipient, int256 amount0, int256 amount1, uint160 sqrtPriceX96, uint128 liquidity, int24 tick)")
+
+
+def _shifted(value: str) -> Column:
+    """A word that holds value * 2^80, in two's complement."""
+    v = F.col(value)
+    return F.concat(F.when(v < 0, "F" * 28).otherwise("0" * 28), F.lpad(F.hex(v.cast("bigint")), 16, "0"), F.lit("0" * 20))
+
+
+def _wide_swaps(spark, sf) -> DataFrame:
+    """V3 swaps with amounts far beyond 64 bits, encoded from the projected swaps and decoded again, in the normal form."""
+    net = S.net_amounts(fx.swaps(spark, sf)).withColumns({"t": F.col("amount0") % 700, "one": F.lit(1)})
+    data = F.unhex(F.concat(_shifted("amount0"), _shifted("amount1"), _shifted("one"), _word(F.abs("amount0")), _word("t", True)))
+    emitter, who = F.expr("unhex(lpad(hex(pool), 40, '0'))"), F.unhex(F.lit("00" * 32))
+    logs = net.select(F.col("block").alias("block_number"), "log_index", emitter.alias("address"), F.array(F.unhex(F.lit(V3_WIDE["topic0"].hex())), who, who).alias("topics"), data.alias("data"), "ts")
+    good, _ = decode.decode_static(logs, V3_WIDE)
+    out = S.v3_swaps(good.join(logs.select("block_number", "log_index", "address", "ts"), ["block_number", "log_index", "address"]))
+    return out.withColumn("pool", F.conv(F.hex("pool"), 16, 10).cast("bigint"))
+
+
+WIDE = """, n AS (SELECT pool, block, ts, log_index, (amount0_in - amount0_out)::HUGEINT * 1208925819614629174706176 AS amount0, (amount1_in - amount1_out)::HUGEINT * 1208925819614629174706176 AS amount1, amount0_in - amount0_out AS a FROM v_swaps)"""
+
+
+@query("g01_wide_swaps", with_views(WIDE + " SELECT pool, block, log_index, amount0::VARCHAR AS amount0, amount1::VARCHAR AS amount1, '1208925819614629174706176' AS sqrt_price, (a % 700)::INTEGER AS tick, abs(a)::VARCHAR AS liquidity FROM n", "v_swaps"))
+def g01_wide(spark, sf):
+    """V3 swaps of 256 bits to the normal form, without Python (G1)."""
+    return _wide_swaps(spark, sf).select("pool", "block", "log_index", "amount0", "amount1", "sqrt_price", "tick", "liquidity")
+
+
+@query("h01_wide_ohlc", with_views(WIDE + """ SELECT pool, block, sum(abs(amount0))::VARCHAR AS volume0, sum(abs(amount1))::VARCHAR AS volume1, count(*) AS swap_count, arg_max((a % 700)::INTEGER, log_index) AS last_tick,
+'1208925819614629174706176' AS last_sqrt_price, arg_max(abs(a)::VARCHAR, log_index) AS last_liquidity FROM n GROUP BY pool, block""", "v_swaps"))
+def h01_wide(spark, sf):
+    """Snapshots of 256-bit swaps with their last tick, price and liquidity (H1)."""
+    return ohlc.block_ohlc(_wide_swaps(spark, sf)).select("pool", "block", "volume0", "volume1", "swap_count", "last_tick", "last_sqrt_price", "last_liquidity")
+
+
+@query("h06_wide_rolling", with_views(WIDE + """, o AS (SELECT pool, block, max(ts) AS ts, sum(abs(amount1)) AS volume1 FROM n GROUP BY pool, block)
+SELECT pool, block, (sum(volume1) OVER (PARTITION BY pool ORDER BY ts RANGE BETWEEN 86399 PRECEDING AND CURRENT ROW))::VARCHAR AS volume_24h FROM o""", "v_swaps"))
+def h06_wide(spark, sf):
+    return ohlc.rolling(ohlc.block_ohlc(_wide_swaps(spark, sf))).select("pool", "block", "volume_24h")
+
+
+@query("g08_wide_net_swaps", with_views(""" SELECT pool, block, log_index, ((amount0_in - amount0_out)::HUGEINT * 10000000000000000000000)::VARCHAR AS amount0, ((amount1_in - amount1_out)::HUGEINT * 10000000000000000000000)::VARCHAR AS amount1 FROM v_swaps""", "v_swaps"))
+def g08_wide(spark, sf):
+    """Net amounts of 256-bit decimal text."""
+    big = {c: F.when(F.col(c) == 0, "0").otherwise(F.concat(F.col(c).cast("string"), F.lit("0" * 22))) for c in ("amount0_in", "amount1_in", "amount0_out", "amount1_out")}
+    return S.net_amounts(fx.swaps(spark, sf).withColumns(big)).select("pool", "block", "log_index", "amount0", "amount1")
+
+
+@query("g05_auction_swaps", """WITH e AS (SELECT user_id AS hook, event_id // 10 AS block, event_id % 10 AS log_index, round(value * 100)::BIGINT AS total, event_id % 13 = 0 AS invalid FROM events WHERE user_id % 3 <> 2),
+d AS (SELECT *, coalesce(lag(total) OVER (PARTITION BY hook ORDER BY block, log_index), 0) AS was FROM e), f AS (SELECT *, (CASE WHEN total >= was THEN total - was ELSE total END)::HUGEINT * 10000000000000000000000 AS delta FROM d)
+SELECT hook + 1000 AS pool, block, log_index, (CASE WHEN hook % 2 = 0 THEN -delta ELSE delta END)::VARCHAR AS amount0, (CASE WHEN hook % 2 = 0 THEN delta ELSE -delta END)::VARCHAR AS amount1, (total % 500)::INTEGER AS tick FROM f WHERE NOT invalid""")
+def g05_auction(spark, sf):
+    """Cumulative auction totals of 256 bits to signed swaps; rows of invalid ticks go but move the totals on."""
+    e = spark.read.parquet(f"{sf}/events.parquet").selectExpr("user_id as hook", "event_id div 10 as block", "event_id % 10 as log_index", "unix_timestamp(ts) as ts", "cast(round(value * 100) as bigint) as total", "event_id")
+    total = F.when(F.col("total") == 0, "0").otherwise(F.concat(F.col("total").cast("string"), F.lit("0" * 22)))
+    e = e.withColumns({"total_proceeds": total, "total_sold": total, "tick": F.when(F.col("event_id") % 13 == 0, 900_000).otherwise(F.col("total") % 500).cast("int")})
+    hooks = e.filter("hook % 3 <> 2").select("hook").distinct().withColumns({"pool": F.col("hook") + 1000, "is_token_0": F.col("hook") % 2 == 0})
+    return S.auction_swaps(e, hooks).select("pool", "block", "log_index", "amount0", "amount1", "tick")
+
+
 MODIFY = decode.parse_event("ModifyLiquidity((uint24 fee, int24 spacing) key, (int24 lower, int24 upper, int64 delta) params)")
 
 
@@ -91,14 +152,29 @@ def g04_c08(spark, sf):
     return good.groupBy(pool.alias("pool"), F.col("`params.lower`").cast("int").alias("tick_lower"), F.col("`params.upper`").cast("int").alias("tick_upper")).agg(F.sum("`params.delta`").alias("delta"), F.count(F.lit(1)).alias("n"))
 
 
+MODIFY_KEY = decode.parse_event("ModifyLiquidity((address currency0, address currency1, uint24 fee, int24 tickSpacing, address hooks) key, (int24 tickLower, int24 tickUpper, int256 liquidityDelta) params)")
+
+
+@query("g04_tuple_liquidity", with_views(" SELECT block, tick_lower, tick_upper, (sum(liquidity_delta)::HUGEINT * 1208925819614629174706176)::VARCHAR AS delta, count(DISTINCT pool) AS pools, count(*) AS n FROM v_liq GROUP BY block, tick_lower, tick_upper", "v_liq"))
+def g04_tuple(spark, sf):
+    """Liquidity events in tuple form: the pool id from the key, 256-bit deltas."""
+    liq = fx.liquidity(spark, sf)
+    data = F.unhex(F.concat(_word("pool"), _word(F.col("pool") + 1), _word(F.lit(3000)), _word(F.lit(60)), _word(F.lit(9)), _word("tick_lower"), _word("tick_upper"), _shifted("liquidity_delta")))
+    logs = liq.select(F.col("block").alias("block_number"), F.lit(0).alias("log_index"), F.unhex(F.lit("11" * 20)).alias("address"), F.array(F.unhex(F.lit(MODIFY_KEY["topic0"].hex()))).alias("topics"), data.alias("data"))
+    moves = S.modify_liquidity(decode.decode_static(logs, MODIFY_KEY)[0])
+    plus, minus = words.sum_signed(F.col("liquidity_delta"))
+    sums = moves.groupBy("block", "tick_lower", "tick_upper").agg(plus.alias("plus"), minus.alias("minus"), F.countDistinct("pool").alias("pools"), F.count(F.lit(1)).alias("n"))
+    sums = words.with_differences(sums, {"delta": (F.col("plus"), F.col("minus"))})
+    return sums.select("block", "tick_lower", "tick_upper", "delta", "pools", "n")
+
+
 @query("g06_coin_swap_ticks", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, (l_partkey % 500 - 250)::INTEGER AS tick FROM lineitem WHERE l_partkey % 11 <> 0")
 def g06(spark, sf):
     """Ticks from square-root prices, those out of range dropped."""
     line = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     prices = cut(line.select((F.col("l_partkey") % 500 - 250).cast("int").alias("t")).distinct().withColumn("sqrt_price", fp.sqrt_price_udf("t")))
     rows = line.withColumn("t", (F.col("l_partkey") % 500 - 250).cast("int")).join(prices, "t").withColumn("sqrt_price", F.when(F.col("l_partkey") % 11 == 0, "1").otherwise(F.col("sqrt_price")))
-    ticks = rows.select("sqrt_price").distinct().withColumn("tick", fp.tick_udf("sqrt_price"))
-    return rows.join(ticks, "sqrt_price").filter(F.col("tick").isNotNull()).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "tick")
+    return S.coin_swaps(rows).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "tick")
 
 
 @query("c11_position_arrays", """SELECT l_orderkey AS block_number, (l_suppkey % 10 * 60)::INTEGER AS lower, l_quantity::BIGINT AS liquidity, count(*) AS n FROM lineitem WHERE l_quantity % 2 = 0 GROUP BY 1, 2, 3""")

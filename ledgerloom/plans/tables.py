@@ -71,9 +71,11 @@ def k05(spark, sf):
 @query("k06_versions", """SELECT s_suppkey, source, source_version FROM (SELECT s_suppkey, 'v' || s_suppkey % 3 AS source, unnest([1, 2]) AS source_version FROM supplier)
 WHERE (source = 'v0' AND source_version = 1) OR (source = 'v1' AND source_version = 2)""")
 def k06_k13(spark, sf):
-    """Stamp two versions side by side, then select each source's active one."""
-    s = spark.read.parquet(f"{sf}/supplier.parquet").select("s_suppkey", F.concat(F.lit("v"), F.col("s_suppkey") % 3).alias("source"))
-    both = s.withColumn("source_version", F.lit(1)).unionByName(s.withColumn("source_version", F.lit(2)))
+    """Two versions stamped and inserted side by side, as their keys hold the stamp; then each source's active one."""
+    s = spark.read.parquet(f"{sf}/supplier.parquet").select("s_suppkey")
+    source = F.concat(F.lit("v"), F.col("s_suppkey") % 3)
+    one, two = (merge.stamp(s, source, v) for v in (1, 2))
+    both = merge.first_wins(one, two.unionByName(two).withColumn("n", F.lit(0)), merge.stamped_keys(["s_suppkey"]), "n")
     active = spark.createDataFrame([("v0", 1), ("v1", 2)], "source string, source_version int")
     return merge.active_version(both, active)
 
@@ -92,6 +94,25 @@ def k12(spark, sf):
     return merge.retry_backlog(o.selectExpr("o_orderpriority as handler", "unix_timestamp(o_orderdate) div 86400 as range_index", "o_orderkey as ts", "o_orderstatus as error"))
 
 
+@query("k12_incremental_backlog", """WITH f AS (SELECT o_orderpriority AS handler, floor(epoch(o_orderdate))::BIGINT // 86400 AS range_index, o_orderkey, o_orderstatus FROM orders WHERE o_custkey % 11 = 0),
+d AS (SELECT DISTINCT o_orderpriority AS handler, floor(epoch(o_orderdate))::BIGINT // 86400 AS range_index FROM orders WHERE o_custkey % 13 = 0)
+SELECT handler, range_index, count(*) AS failure_count, min(o_orderkey) AS first_failed_at, max(o_orderkey) AS last_failed_at FROM f ANTI JOIN d USING (handler, range_index) GROUP BY 1, 2""")
+def k12_incremental(spark, sf):
+    """Failures merged into an existing backlog, and what was finished since taken out."""
+    o = spark.read.parquet(f"{sf}/orders.parquet").selectExpr("o_orderpriority as handler", "unix_timestamp(o_orderdate) div 86400 as range_index", "o_orderkey as ts", "o_orderstatus as error", "o_custkey")
+    f = o.filter("o_custkey % 11 = 0")
+    out = merge.retry_backlog(f.filter("ts % 2 = 1"), merge.retry_backlog(f.filter("ts % 2 = 0")), o.filter("o_custkey % 13 = 0"))
+    return out.drop("last_error")
+
+
+@query("k12_handler_progress", with_views(""", p AS (SELECT handler, range_index AS range_start, range_index + 1 AS range_end FROM v_progress WHERE range_index % 3 <> 0)
+SELECT handler, range_index AS range_start, CASE WHEN range_index % 2 = 0 THEN range_index + 2 ELSE range_index + 1 END AS range_end FROM v_progress WHERE range_index % 3 <> 0 OR range_index % 2 = 0""", "v_progress"))
+def k12_progress(spark, sf):
+    p = fx.progress(spark, sf).selectExpr("handler", "range_index as range_start", "range_index + 1 as range_end")
+    finished = p.filter("range_start % 2 = 0").withColumn("range_end", F.col("range_end") + 1)
+    return merge.record_progress(p.filter("range_start % 3 <> 0"), finished.unionByName(p.filter("range_start % 2 = 0")))
+
+
 @query("h12_row_key_counts", with_views(" SELECT block_number, function_name, count(*) AS n FROM v_calls GROUP BY 1, 2", "v_calls"))
 def h12(spark, sf):
     return fx.calls(spark, sf).groupBy("block_number", "function_name").agg(F.count(F.lit(1)).alias("n"))
@@ -145,10 +166,22 @@ def m10b(spark, sf):
     return entities.balances(fx.transfers(spark, sf)).filter("balance > 0").groupBy("token").agg(F.count(F.lit(1)).alias("holders"))
 
 
-@query("m07_multi_key_sort", "SELECT * FROM nation")
+@query("m07_multi_key_sort", "SELECT * FROM customer")
 def m07(spark, sf):
-    n = spark.read.parquet(f"{sf}/nation.parquet")
-    return n.orderBy(*n.columns)
+    c = spark.read.parquet(f"{sf}/customer.parquet")
+    return c.orderBy("c_nationkey", F.desc("c_acctbal"), "c_custkey")
+
+
+@query("m10_token_tables", """WITH f AS (SELECT p_partkey % 150 AS token, count(*) AS pools, min(p_partkey % 500) AS first_block FROM part GROUP BY 1),
+b AS (SELECT o_custkey % 7 AS token, count(*) AS transfers FROM orders GROUP BY 1)
+SELECT s_suppkey AS token, s_name AS name, coalesce(pools, 0) AS pools, first_block, coalesce(transfers, 0) AS transfers FROM supplier LEFT JOIN f ON f.token = s_suppkey LEFT JOIN b ON b.token = s_suppkey""")
+def m10c(spark, sf):
+    """A token's page: its pools and transfers beside its own row."""
+    token = spark.read.parquet(f"{sf}/supplier.parquet").select(F.col("s_suppkey").alias("token"), F.col("s_name").alias("name"))
+    pools = spark.read.parquet(f"{sf}/part.parquet").selectExpr("p_partkey % 150 as token", "p_partkey % 500 as block")
+    pools = pools.groupBy("token").agg(F.count(F.lit(1)).alias("pools"), F.min("block").alias("first_block"))
+    moves = fx.transfers(spark, sf).groupBy("token").agg(F.count(F.lit(1)).alias("transfers"))
+    return token.join(pools, "token", "left").join(moves, "token", "left").na.fill(0, ["pools", "transfers"])
 
 
 @query("m08_union_with_fallback", """SELECT c_custkey, o_orderkey FROM customer JOIN orders ON o_custkey = c_custkey
