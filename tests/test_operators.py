@@ -1,10 +1,17 @@
 import json
+import os
+import random
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
-from ledgerloom.operators import calls, entities, merge, ohlc, pricing, reorg, swaps, tvl
-from ledgerloom.plans import catalogue
+from ledgerloom.functions import words
+from ledgerloom.operators import calls, decode, discover, entities, merge, ohlc, pricing, reorg, swaps, tvl
+from ledgerloom.plans import catalogue, contracts
 from ledgerloom.sources import scan
 from ledgerloom.streaming import streams
 
@@ -159,7 +166,12 @@ def test_merge_sink_versions(spark, tmp_path):
     sink(make((1, 1, "a"), (1, 2, "b")), 0)
     sink(make((1, 1, "late"), (2, 5, "c")), 1)
     sink(make((1, 1, "late"), (2, 5, "c")), 1)
-    assert {(r["k"], r["v"]) for r in spark.read.parquet(f"{tmp_path}/v=1").collect()} == {(1, "b"), (2, "c")}
+    assert {(r["k"], r["v"]) for r in streams.read_sink(spark, str(tmp_path)).collect()} == {(1, "b"), (2, "c")}
+    for n in range(2, 6):
+        sink(make(*[(k, n, f"v{n}") for k in range(40)]), n)
+    rows = streams.read_sink(spark, str(tmp_path)).collect()
+    assert len(rows) == 40 and {r["v"] for r in rows if r["k"] != 2} == {"v5"}
+    assert len(list((tmp_path / "_state").iterdir())) == 2  # older versions go
 
 
 def test_awaiting_calls(spark, tmp_path):
@@ -175,3 +187,167 @@ def test_awaiting_calls(spark, tmp_path):
 def test_every_query_runs_at_the_least_scale(spark, sf):
     for name, q in catalogue.QUERIES.items():
         assert q(spark, sf).columns, name
+
+
+# -- order over several Arrow batches -------------------------------------------------------------------------------------
+
+
+def _taken(times, seconds, start=0):
+    out, taken = [], start
+    for t in sorted(times):
+        if t >= taken + seconds:
+            out.append(t)
+            taken = t
+    return out
+
+
+def test_throttle_of_one_busy_key(spark):
+    rng = random.Random(2)
+    times = rng.sample(range(1, 2_000_000), 25_000)
+    b = spark.createDataFrame([(7, i, t) for i, t in enumerate(times)] + [(8, 1, 50), (8, 2, 50), (8, 3, None), (9, 1, 3)], "key long, number long, ts long")
+    for span in (3, 64, 100_000):
+        got = calls.throttle(b, 50, span=span).collect()
+        assert sorted(r["ts"] for r in got if r["key"] == 7) == _taken(times, 50)
+        assert [r["number"] for r in got if r["key"] == 8] == [1] and not [r for r in got if r["key"] == 9]
+
+
+def test_stream_throttle_and_reorgs_over_several_batches(spark, tmp_path):
+    rng = random.Random(3)
+    times = rng.sample(range(1, 1_000_000), 25_000)
+    b = spark.createDataFrame([(7, i, t) for i, t in enumerate(times)], "key long, number long, ts long").repartition(8)
+    b.write.parquet(str(tmp_path / "t"))
+    got = streams.drain(streams.throttled(streams.stream_table(spark, str(tmp_path / "t")), 4000)).collect()
+    assert sorted(r["ts"] for r in got) == _taken(times, 4000)
+    bad = set(rng.sample(range(1, 25_000), 25))
+    chain = [(1, n, f"h{n}", "x" if n in bad else f"h{n - 1}") for n in range(25_000)]
+    spark.createDataFrame(chain, "chain_id long, number long, hash string, parent_hash string").repartition(8).write.parquet(str(tmp_path / "c"))
+    found = streams.drain(streams.reorgs(streams.stream_table(spark, str(tmp_path / "c")))).collect()
+    assert {r["number"] for r in found if r["kind"] == "detached"} == bad
+
+
+# -- bucketed forms against the direct ones, on one busy pool -------------------------------------------------------------
+
+
+def _snapshots(spark, n=1500, step=90_000):
+    rng, ts, rows = random.Random(4), 0, []
+    for b in range(n):
+        ts += rng.choice((0, 60, 3600, 9000, step, 4 * step))
+        rows.append((1, b * 7, ts, float(rng.randrange(0, 50)), rng.randrange(1000), 1))
+    return spark.createDataFrame(rows, "pool long, block long, ts long, price_close double, volume1 long, swap_count long")
+
+
+def test_rolling_sums_equal_one_window(spark):
+    snaps = _snapshots(spark)
+    w = Window.partitionBy("pool").orderBy("ts").rangeBetween(-86_399, 0)
+    direct = snaps.withColumns({"volume_24h": F.sum("volume1").over(w), "swaps_24h": F.sum("swap_count").over(w)})
+    assert scan.differing_rows(direct, ohlc.rolling(snaps)).isEmpty()
+    wide = snaps.withColumn("volume1", F.concat(F.col("volume1") + 1, F.lit("0" * 30)))
+    direct = direct.select("block", F.concat((F.col("volume_24h") + F.col("swaps_24h")).cast("string"), F.lit("0" * 30)).alias("volume_24h"))
+    assert scan.differing_rows(direct, ohlc.rolling(wide).select("block", "volume_24h")).isEmpty()
+
+
+def test_changes_equal_one_window(spark):
+    snaps = _snapshots(spark)
+    direct = snaps
+    for seconds, name in ((3600, "change_1h"), (86_400, "change_24h")):
+        w = Window.partitionBy("pool").orderBy("ts").rangeBetween(Window.unboundedPreceding, -seconds)
+        was = F.max(F.struct("ts", "block", "price_close")).over(w)["price_close"]
+        direct = direct.withColumn(name, F.when(was != 0, (F.col("price_close") - was) / was))
+    assert scan.differing_rows(direct, ohlc.price_changes(snaps)).isEmpty()
+
+
+def test_filled_snapshots_equal_one_window(spark):
+    snaps = _snapshots(spark).selectExpr("pool", "block", "ts", "price_close as price_open", "if(price_close > 40, null, price_close) as price_close", "price_close as price_high", "price_close as price_low", "volume1", "swap_count")
+    value = spark.range(0, 12_000, 11).selectExpr("1L as pool", "id as block", "id * 3 as tvl_ts", "cast(id as double) as tvl_usd", "cast(null as double) as bootstrap")
+    one, many = (tvl.fill_snapshots(snaps.filter("block > 300"), value, bucket=n) for n in (10**9, 90))
+    assert scan.differing_rows(one, many).isEmpty() and one.filter("volume1 = 0 and price_close is not null").count() > 100
+
+
+@pytest.mark.parametrize("bucket", [4, 1024])
+def test_bucketed_tick_map_equals_direct_sum(spark, bucket):
+    rng = random.Random(5)
+    liq = spark.createDataFrame([(1, rng.randrange(200), 60 * rng.randrange(3), 600, rng.randrange(-5, 9)) for _ in range(500)], "pool long, block long, tick_lower int, tick_upper int, liquidity_delta long")
+    targets = spark.range(0, 230, 3).selectExpr("1L as pool", "id as block")
+    direct = targets.alias("t").join(liq.alias("l"), F.expr("t.pool = l.pool and l.block <= t.block")).groupBy("t.pool", "t.block", "tick_lower", "tick_upper").agg(F.sum("liquidity_delta").alias("liquidity")).filter("liquidity > 0")
+    assert scan.differing_rows(direct, tvl.tick_map(liq, targets, bucket)).isEmpty()
+
+
+def test_canonical_chain_by_buckets_and_from_the_middle_of_a_run(spark):
+    rows = [("a", n, f"h{n}", f"h{n - 1}") for n in range(95)] + [("a", n, f"s{n}", f"s{n - 1}" if n > 40 else "h30") for n in range(40, 99)]
+    rows += [("b", n, f"h{n}", f"h{n - 1}") for n in range(10)] + [("b", 4, "q4", "h3")]
+    df = spark.createDataFrame(rows, "c string, number long, hash string, parent_hash string")
+    for bucket in (7, 10_000):
+        got = {(r["c"], r["hash"]) for r in reorg.canonical(df, chain="c", bucket=bucket).collect()}
+        assert got == {("a", f"h{n}") for n in range(31)} | {("a", f"s{n}") for n in range(40, 99)} | {("b", f"h{n}") for n in range(10)}
+
+
+# -- 256 bits, keys and ids ----------------------------------------------------------------------------------------------
+
+
+def test_256_bit_text(spark):
+    rng = random.Random(6)
+    numbers = [0, 1, 10**26, 10**52, 10**26 - 1, (1 << 256) - 1, *(rng.getrandbits(rng.randrange(1, 257)) for _ in range(300))]
+    pairs = [(str(a), str(b), a.to_bytes(32, "big"), (b - (1 << 255)).to_bytes(32, "big", signed=True)) for a, b in zip(numbers, reversed(numbers))]
+    df = spark.createDataFrame(pairs, "a string, b string, w binary, s binary")
+    out = words.with_differences(df, {"d": (F.col("a"), F.col("b"))}).select("a", "b", "d", words.u256_text("w").alias("u"), words.int256_text("s").alias("i"))
+    for r in out.collect():
+        assert int(r["d"]) == int(r["a"]) - int(r["b"]) and r["u"] == r["a"] and int(r["i"]) == int(r["b"]) - (1 << 255)
+
+
+def test_flexible_numbers(spark):
+    texts = ["7", "+7", "-7", "007", "-0", "", "x", "1.5", None, str((1 << 256) - 1), str(1 << 256), "-" + str(1 << 255), str(1 << 255)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", words.flexible(F.col("t")).alias("u"), words.flexible(F.col("t"), signed=True).alias("s")).collect()
+    assert [r["u"] for r in rows] == ["7", "7", None, "7", "0", None, None, None, None, texts[9], None, None, texts[12]]
+    assert [r["s"] for r in rows] == ["7", "7", "-7", "7", "0", None, None, None, None, None, None, texts[11], None]
+
+
+def test_amounts_beyond_64_bits_in_snapshots(spark):
+    big = 3 * 10**30
+    rows = [(1, 1, 0, i, str(big * (-1) ** i), str(-big), 2.0 + i, 10 * i, str(i), str(i)) for i in range(3)]
+    df = spark.createDataFrame(rows, "pool long, block long, ts long, log_index long, amount0 string, amount1 string, price double, tick int, sqrt_price string, liquidity string")
+    r = ohlc.block_ohlc(df).first()
+    assert r["volume0"] == str(3 * big) and r["volume1"] == str(3 * big) and (r["last_tick"], r["last_sqrt_price"], r["last_liquidity"]) == (20, "2", "2")
+
+
+def test_pool_ids_of_creations_migrations_and_events(spark, sf):
+    a = lambda n: bytearray(n.to_bytes(20, "big"))
+    key = [(1, a(1), a(2), 3000, -60, a(9))]
+    keys = spark.createDataFrame(key, "hook long, currency0 binary, currency1 binary, fee int, tick_spacing int, hooks binary")
+    want = bytes(decode.pool_ids(keys).first()["pool_id"])
+    calls_ = keys.withColumns({c: F.lit(5) if c != "is_token_0" else F.lit(True) for c in entities.AUCTION})
+    creates = spark.createDataFrame([(1, 7, 8, 100, 3), (2, 7, 8, 100, 3)], "hook long, asset long, numeraire long, block_number long, creator long")
+    pools, configs, missing = entities.v4_creates(creates, calls_)
+    assert bytes(pools.first()["address"]) == want == bytes(configs.first()["pool_id"]) and [r["hook"] for r in missing.collect()] == [2]
+    known = spark.createDataFrame([(20, 7, 8, 500, "rehype", "s", 1), (10, 7, 8, 700, "dhook", "s", 1), (5, 7, 8, 1, "dhook", "t", 1)], "address long, base_token long, quote_token long, fee int, type string, source string, source_version int")
+    moves = keys.select(F.lit(7).cast("bigint").alias("asset"), F.lit(9).alias("block_number"), *entities.POOL_KEY).unionByName(keys.select(F.lit(70).cast("bigint").alias("asset"), F.lit(9).alias("block_number"), *entities.POOL_KEY))
+    new, lost = entities.hook_migrations(moves, known, "s", 1)
+    r = new.first()
+    assert (bytes(r["address"]), r["migrated_from"], r["fee"], r["type"]) == (want, 10, 700, "migration_dhook") and lost.first()["asset"] == 70
+    events = contracts._keyed(spark, sf).withColumn("data", F.expr("substring(data, 33)"))
+    got = {r["p_partkey"]: bytes(r["param"]) for r in calls.event_parameters(events, "pool_id").collect()}
+    p = spark.read.parquet(f"{sf}/part.parquet").selectExpr("p_partkey", *[f"unhex(lpad(hex({n}), 40, '0')) as {c}" for n, c in (("p_size", "currency0"), ("p_size + 1", "currency1"), ("7L", "hooks"))], "p_size * 100 as fee", "p_size - 25 as tick_spacing")
+    assert got == {r["p_partkey"]: bytes(r["pool_id"]) for r in decode.pool_ids(p).collect()}
+
+
+def test_nested_creation_data_out_of_bounds(spark):
+    word = lambda n: n.to_bytes(32, "big")
+    data = [word(32) + word(2) + word(5) + word(6), word(32) + word(1) + word(5) + word(6), word(1 << 200), word(32), b""]
+    topic, factory = bytearray(32), bytearray(20)
+    logs = spark.createDataFrame([(i, factory, [topic], bytearray(d)) for i, d in enumerate(data)], "block_number long, address binary, topics array<binary>, data binary")
+    m = spark.createDataFrame([(factory, topic, "c", "data", 0, 1, True)], "address binary, topic0 binary, collection string, place string, index int, inner int, dynamic_array boolean")
+    got = discover.created(logs, m).collect()
+    assert [(int.from_bytes(r["address"], "big"), r["created_block"]) for r in got] == [(6, 0)]
+
+
+def test_long_price_chains_resolve(spark):
+    prices = spark.createDataFrame([(i + 1, i, 2.0, i) for i in range(70)], "token long, quote long, price double, block long")
+    got = pricing.resolve_usd(prices, spark.createDataFrame([(0, 1.0, 0)], "token long, usd double, block long"))
+    assert {r["token"]: r["usd"] for r in got.collect()} == {i: 2.0**i for i in range(71)}
+
+
+def test_the_rest_works_without_the_training_data_folders(tmp_path):
+    root = Path(__file__).resolve().parents[1]
+    shutil.copytree(root / "ledgerloom", tmp_path / "ledgerloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'h01_block_ohlc' in q and not [n for n in q if n.startswith('op')] and 'pipeline' not in q and set(e.oracle_sql()) <= set(q)"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, check=True, timeout=120)
