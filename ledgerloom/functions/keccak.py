@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F, types as T
 
@@ -28,7 +29,8 @@ def _tables() -> tuple[list[int], list[int]]:
 _ROUND, _ROTATE = _tables()
 
 
-def _permute(a: list[int]) -> list[int]:
+def _permute(a: list) -> list:
+    """The 24 rounds over 25 lanes: integers, or arrays that hold a lane of many messages each."""
     for constant in _ROUND:
         parity = [a[x] ^ a[x + 5] ^ a[x + 10] ^ a[x + 15] ^ a[x + 20] for x in range(5)]
         mixed = [parity[(x - 1) % 5] ^ ((parity[(x + 1) % 5] << 1 | parity[(x + 1) % 5] >> 63) & _MASK) for x in range(5)]
@@ -36,26 +38,52 @@ def _permute(a: list[int]) -> list[int]:
         for x in range(5):
             for y in range(5):
                 v, n = a[x + 5 * y] ^ mixed[x], _ROTATE[x + 5 * y]
-                moved[y + 5 * ((2 * x + 3 * y) % 5)] = (v << n | v >> (64 - n)) & _MASK
+                moved[y + 5 * ((2 * x + 3 * y) % 5)] = (v << n | v >> (64 - n)) & _MASK if n else v
         a = [moved[i] ^ (~moved[(i + 1) % 5 + i // 5 * 5] & moved[(i + 2) % 5 + i // 5 * 5]) & _MASK for i in range(25)]
-        a[0] ^= constant
+        a[0] = a[0] ^ constant
     return a
 
 
-def keccak256(data: bytes) -> bytes:
-    rate, state = 136, [0] * 25
-    padded = bytearray(data) + b"\x01" + bytes(-(len(data) + 1) % rate)
+RATE = 136
+
+
+def _padded(data: bytes) -> bytearray:
+    padded = bytearray(data) + b"\x01" + bytes(-(len(data) + 1) % RATE)
     padded[-1] |= 0x80
-    for at in range(0, len(padded), rate):
-        for i in range(rate // 8):
+    return padded
+
+
+def keccak256(data: bytes) -> bytes:
+    state, padded = [0] * 25, _padded(data)
+    for at in range(0, len(padded), RATE):
+        for i in range(RATE // 8):
             state[i] ^= int.from_bytes(padded[at + 8 * i : at + 8 * i + 8], "little")
         state = _permute(state)
     return b"".join(w.to_bytes(8, "little") for w in state[:4])
 
 
+def keccak256_all(values: list[bytes]) -> list[bytes]:
+    """The hashes of many messages: those of one number of blocks go through the rounds together."""
+    padded = [_padded(v) for v in values]
+    out: list[bytes] = [b""] * len(values)
+    for size in {len(p) for p in padded}:
+        mine = [i for i, p in enumerate(padded) if len(p) == size]
+        lanes = np.frombuffer(b"".join(padded[i] for i in mine), "<u8").reshape(len(mine), size // RATE, RATE // 8).astype(np.uint64)
+        state = [np.zeros(len(mine), np.uint64) for _ in range(25)]
+        for block in range(size // RATE):
+            state = _permute([s ^ lanes[:, block, i] if i < RATE // 8 else s for i, s in enumerate(state)])
+        digests = np.stack(state[:4], axis=1).astype("<u8")
+        for i, row in zip(mine, digests):
+            out[i] = row.tobytes()
+    return out
+
+
 @F.pandas_udf(T.BinaryType())
 def keccak_udf(data: pd.Series) -> pd.Series:
-    return data.map(lambda d: None if d is None else keccak256(d))
+    there = data.notna()
+    out = pd.Series([None] * len(data), dtype=object)
+    out[there.to_numpy()] = keccak256_all([bytes(d) for d in data[there]])
+    return out
 
 
 def with_hash(df, column: str, name: str):

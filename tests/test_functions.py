@@ -83,3 +83,8 @@ def test_raw_to_decimal(spark):
 def test_approximate_price(spark):
     df = spark.createDataFrame([(str(fp.sqrt_price_at(5000)), True)], "s string, b boolean")
     assert math.isclose(df.select(fp.approximate_price(F.col("s"), F.col("b"))).first()[0], 1.0001**5000, rel_tol=1e-9)
+
+
+def test_many_hashes_equal_single_ones():
+    values = [b"", b"a", b"Transfer(address,address,uint256)", bytes(135), bytes(136), bytes(range(256)) * 3, *(i.to_bytes(160, "big") for i in range(50))]
+    assert keccak.keccak256_all(values) == [keccak.keccak256(v) for v in values]
