@@ -98,7 +98,10 @@ def test_near_copies_are_those_of_the_exact_similarity(spark):
     assert len({find(i) for i in got}) > 150  # families fall apart where they should
 
 
-def test_decisions_fall_on_rows_not_on_ids(spark, sf):
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_decisions_fall_on_rows_not_on_ids(spark, sf, monkeypatch, few):
+    """By a join of rows and keys, and by sending the keys to the rows."""
+    monkeypatch.setattr(P, "BROADCAST_IDS", few)
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     long = [" ".join(f"w{k}x{i}" for i in range(100)) for k in range(4)]
     rows = [(None, long[0], "en", "s", 1), (None, long[0], "en", "t", 1), (5, long[1], "en", "s", 1), (5, long[2], "en", "s", 1), (6, long[3], "en", "s", 1), (6, long[3], "en", "s", 1), (None, long[3], "en", "s", 1)]
