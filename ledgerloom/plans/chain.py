@@ -179,6 +179,33 @@ def c12(spark, sf):
     return e.select("event_id", words.narrow(F.get_json_object("props", "$.k"), 8).alias("k"), words.narrow(F.round(F.col("value") * 1000).cast("bigint").cast("string"), 16, signed=True).alias("v"))
 
 
+INDEXED = decode.parse_event("Created((uint24 fee, int24 spacing) indexed key, uint64 id)")
+
+
+@query("c07_indexed_tuple", "SELECT p_partkey AS block_number, md5(p_name) || md5(p_name) AS hash, p_size::DECIMAL(20,0) AS id FROM part")
+def c07(spark, sf):
+    """An indexed tuple is there by its hash alone."""
+    p = spark.read.parquet(f"{sf}/part.parquet")
+    topics = F.array(F.unhex(F.lit(INDEXED["topic0"].hex())), F.unhex(F.concat(F.md5("p_name"), F.md5("p_name"))))
+    data = F.unhex(F.lpad(F.hex(F.col("p_size").cast("bigint")), 64, "0"))
+    logs = p.select(F.col("p_partkey").alias("block_number"), F.lit(0).alias("log_index"), F.unhex(F.lit("11" * 20)).alias("address"), topics.alias("topics"), data.alias("data"))
+    return decode.decode_static(logs, INDEXED)[0].select("block_number", F.lower(F.hex(F.col("`key.hash`"))).alias("hash"), "id")
+
+
+@query("c10_named_results", """SELECT s_suppkey AS address, s_nationkey::DECIMAL(20,0) AS decimals, NULL::VARCHAR AS "name", NULL::DECIMAL(20,0) AS "config.fee" FROM supplier
+UNION ALL SELECT s_suppkey, NULL, s_name, (s_nationkey * 2)::DECIMAL(20,0) FROM supplier""")
+def c10(spark, sf):
+    """Results under their names: a lone scalar by its function, named values and the fields of tuples by theirs."""
+    word = lambda c: F.lpad(F.hex(c.cast("bigint")), 64, "0")
+    s = spark.read.parquet(f"{sf}/supplier.parquet").select(F.col("s_suppkey").alias("address"), "s_nationkey", "s_name")
+    scalar, named = decode.parse_event("f(uint64)")["params"], decode.parse_event("f(string name, (uint64 fee) config)")["params"]
+    text = F.hex(F.encode("s_name", "UTF-8"))
+    one = s.select("address", F.unhex(word(F.col("s_nationkey"))).alias("data"))
+    two = s.select("address", F.unhex(F.concat(F.lit("40".rjust(64, "0")), word(F.col("s_nationkey") * 2), word(F.octet_length("s_name")), F.rpad(text, 64 * 2, "0"))).alias("data"))
+    read = lambda df, f, p: decode.decode_dynamic(df, p, keep=("address",)).toDF("address", *decode.result_names(f, p))
+    return read(one, "decimals", scalar).unionByName(read(two, "getConfig", named), allowMissingColumns=True)
+
+
 @query("c12_flexible_numbers", """SELECT event_id, (event_id::HUGEINT * 1000000000000000000)::VARCHAR AS wide, CASE WHEN event_id % 2 = 0 THEN '-' || (event_id * 7 + 1)::VARCHAR ELSE (event_id * 7 + 1)::VARCHAR END AS signed,
 CASE WHEN event_id % 2 <> 0 THEN (event_id * 7 + 1)::VARCHAR END AS unsigned FROM events""")
 def c12_flexible(spark, sf):

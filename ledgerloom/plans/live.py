@@ -36,6 +36,23 @@ def l01(spark, sf):
     return streams.drain(streams.reorgs(b)).select("chain_id", "number", "kind")
 
 
+@query("l01_stream_ancestors", """SELECT event_id // 1000 AS chain_id, event_id AS number, CASE WHEN event_id % 1000 >= 5 AND (event_id - 5) % 50 <> 49 THEN event_id - 5 END AS ancestor
+FROM events WHERE event_id % 97 = 0 AND event_id % 1000 > 0 AND event_id % 50 NOT IN (0, 49)""")
+def l01_ancestors(spark, sf):
+    """Blocks that build on one five back: the ancestor is the tracked block of that hash."""
+    b = _events(spark, sf).where("event_id % 50 <> 49").selectExpr(
+        "event_id div 1000 as chain_id", "event_id as number", "md5(cast(event_id as string)) as hash", "md5(cast(event_id - if(event_id % 97 = 0, 5, 1) as string)) as parent_hash")
+    return streams.drain(streams.reorgs(b)).select("chain_id", "number", "ancestor")
+
+
+@query("l09_stream_ready", "SELECT event_id AS block_number, event_id * 2 AS value FROM events WHERE event_id % 7 <= 5 AND event_id % 3 <> 0")
+def l09(spark, sf):
+    """Events whose call came within five minutes, by a stream join."""
+    e = _events(spark, sf).selectExpr("event_id as block_number", "0 as log_index", "ts as time")
+    c = _events(spark, sf).where("event_id % 3 <> 0").selectExpr("event_id as block_number", "0 as log_index", "ts + make_interval(0, 0, 0, 0, 0, int(event_id % 7), 0) as call_time", "event_id * 2 as value")
+    return streams.drain(streams.awaiting(e, c)).filter("not backlog").select("block_number", "value")
+
+
 @query("l13_stream_once", "SELECT event_id AS block, user_id AS log_index FROM events")
 def l13(spark, sf):
     e = _events(spark, sf).selectExpr("1 as chain_id", "event_id as block", "user_id as log_index", "ts as time")
