@@ -508,3 +508,87 @@ def test_pages_get_the_labels_of_their_text(spark):
     ]
     pages = spark.createDataFrame([(i, h) for i, h in enumerate(html)] + [(None, html[0])], "page_id long, html string")
     assert {r["page_id"]: r["bad"] for r in url_filter.label_pages(pages, d, marks).collect()} == {0: True, 1: False}
+
+
+def _all_texts(spark, sf):
+    return {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+
+
+def test_quality_query_equals_enumerated_paths(spark, sf):
+    """Scores of short documents from all labellings of their lines."""
+    from itertools import product
+
+    texts = _all_texts(spark, sf)
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    model = quality.train(sorted((texts[i], y) for i, y in labels.items() if i in texts and zlib.crc32(str(i).encode()) % 4 != 2))
+    got, seen = {r["doc_id"]: r for r in registry.op5_quality(spark, sf).collect()}, 0
+    assert set(got) == set(texts)
+    for i, text in texts.items():
+        x, size = quality.line_features(text)
+        if len(x) > 8:
+            continue
+        s = quality.with_neighbours(x) @ model["w"]
+        paths = list(product((0, 1), repeat=len(x)))
+        w = np.exp([sum(s[k, y] for k, y in enumerate(p)) + sum(model["trans"][a, b] for a, b in zip(p, p[1:])) for p in paths])
+        good = [sum(v for v, p in zip(w, paths) if p[k]) / w.sum() for k in range(len(x))]
+        q = sum(g * (n + 1) for g, n in zip(good, size)) / sum(n + 1 for n in size)
+        want = 1 / (1 + np.exp(-(model["a"] * q + model["b"])))
+        assert got[i]["score"] == pytest.approx(want, abs=1e-4) and got[i]["predicted"] == (got[i]["score"] >= 0.7)
+        seen += 1
+    assert seen > 20
+
+
+def test_language_network_equals_direct_convolution():
+    rng = np.random.default_rng(12)
+    net = language.train(rng.integers(0, 256, (16, language.WINDOW)).astype(np.uint8), rng.integers(0, 3, 16), 3, epochs=1)
+    x = rng.integers(0, 256, (3, language.WINDOW)).astype(np.uint8)
+    got = language.window_scores(net, x)
+    for row, scores in zip(x, got):
+        e, pooled = net["embed"][row], []
+        for k, width in zip(net["conv"], language.WIDTHS):
+            # every filter is laid on at the same places: where the widest one fits
+            places = [e[at : at + width] for at in range(language.WINDOW - max(language.WIDTHS) + 1)]
+            pooled += [max((p * k[:, :, f]).sum() for p in places) for f in range(language.FILTERS)]
+        z = np.maximum(np.array(pooled) + net["bias"], 0) @ net["out"] + net["out_bias"]
+        assert np.allclose(scores, z - np.log(np.exp(z - z.max()).sum()) - z.max(), atol=1e-4)
+
+
+def test_language_query_equals_row_by_row(spark, sf):
+    texts = _all_texts(spark, sf)
+    model = language.fit_language(spark.read.parquet(f"{sf}/documents.parquet"))
+    for r in registry.op7_language(spark, sf).collect():
+        (lang,), (score,) = language.predict(model, [texts[r["doc_id"]]])
+        assert r["lang_pred"] == lang and r["score"] == pytest.approx(score, abs=1e-4)
+
+
+def test_every_language_is_learned_and_numerals_are_no_letters(spark):
+    rows = [(i, f"{chr(0x4E00 + i)}{chr(0x4E01 + i)} " * 60, f"l{i:03}") for i in range(250)] + [(1000, "½ ² 12 Ⅷ", "l000")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    windows = language.sampled_windows(d, "doc_id", 100, 2).collect()
+    held = {f"l{i:03}" for i in range(250) if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert {r["lang"] for r in windows} == {f"l{i:03}" for i in range(250)} - held
+    assert language.predict({"langs": ["x"], "net": None}, ["½ ² 12 Ⅷ", None])[0] == ["und", "und"]
+
+
+def test_surrogate_query_equals_row_by_row(spark, sf):
+    texts = _all_texts(spark, sf)
+    found = {(k, v) for t in texts.values() for _, _, k, v in pii.entities(t)}
+    key, attempt = b"demonstration", dict.fromkeys(found, 0)
+    while True:
+        drawn = {e: (e[0], pii.surrogate(*e, key, n)) for e, n in attempt.items()}
+        first = {}
+        for e in sorted(drawn, key=lambda e: e[1]):
+            first.setdefault(drawn[e], e)
+        lost = [e for e, s in drawn.items() if s in found or first[s] != e]
+        if not lost:
+            break
+        for e in lost:
+            attempt[e] += 1
+    assert found and len(set(drawn.values())) == len(found)
+    for r in registry.op8_pii(spark, sf).collect():
+        text, out, at = texts[r["doc_id"]], "", 0
+        mentions = pii.entities(text)
+        for start, end, kind, value in mentions:
+            out += text[at:start] + pii.rendered(kind, drawn[kind, value][1], text[start:end])
+            at = end
+        assert r["text"] == (out + text[at:] if mentions else text) and r["entities"] == len(mentions)
