@@ -272,7 +272,7 @@ def _shingled(docs: DataFrame, key: str, words: int) -> DataFrame:
 #: ones in a table, and their list may go to all tasks.
 HOT = 8192
 #: Fingerprints that a task reads at once for one table, about.
-SHARD = 1 << 17
+SHARD = 1 << 16
 #: Texts, and shingles in them, that are compared exactly at once.
 TOGETHER, SHINGLES = 2048, 1 << 20
 

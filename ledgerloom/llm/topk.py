@@ -6,8 +6,8 @@ Every vector's distances to a few pivots are computed once: the pivot table. For
 1. A row belongs to the region of its nearest pivot, and a region's rows are dealt to blocks. Per region the least and greatest
    distance to every pivot and the greatest norm are kept: PIVOTS rows in all.
 2. Each query searches one block of its own region. Its k-th best score there is its threshold.
-3. A query goes on only to the regions whose bound is not under its threshold. Within a block it looks at the rows in the order
-   of their own bounds and stops when the k-th best score exceeds every bound that is left.
+3. A query goes on only to the regions whose bound is not under its threshold. Within a block it looks at the rows of the greatest
+   bounds first, drops all rows whose bound is under the k-th best score so far, and stops when none is left.
 
 Blocks' best lists are then merged by rank: exact, with no limit on candidates. The pivots are chosen by farthest-first traversal of
 a sample of at most PIVOT_SAMPLE rows; they decide the speed, never the result.
@@ -73,22 +73,29 @@ def search_block(q_id, q, q_piv, x_id, x, x_piv, k: int, floors=None) -> list[tu
     x_id, x, x_piv = x_id[order], x[order], x_piv[order]
     wide = x.astype(float)
     norms, out = (wide * wide).sum(axis=1), []
-    small = float(np.abs(wide).max(initial=0)) * float(np.abs(q.astype(float)).max(initial=0)) * x.shape[1] < 1 << 53
+    wide_q = q.astype(float)
+    small = float(np.abs(wide).max(initial=0)) * float(np.abs(wide_q).max(initial=0)) * x.shape[1] < 1 << 53
+    by_pivot = np.ascontiguousarray(x_piv.T)
     for i in range(len(q_id)):
-        q_norm = float((q[i].astype(float) ** 2).sum())
-        bound = upper_bound(norms, q_norm, np.abs(x_piv - q_piv[i]).max(axis=1))
-        floor = -np.inf if floors is None else floors[i]
-        turn = np.flatnonzero((x_id != q_id[i]) & (bound >= floor))
-        turn = turn[np.argsort(-bound[turn], kind="stable")]
-        ids, scores = np.empty(0, np.int64), np.empty(0, np.int64)
-        for at in range(0, len(turn), STEP):
-            if len(scores) == k and bound[turn[at]] < scores[-1]:
-                break
-            some = turn[at : at + STEP]
-            got = (wide[some] @ q[i].astype(float)).astype(np.int64) if small else scores_of(x[some], q[i])
+        gap = np.abs(by_pivot - q_piv[i][:, None]).max(axis=0)
+        bound = upper_bound(norms, float(wide_q[i] @ wide_q[i]), gap)
+        left = np.flatnonzero((x_id != q_id[i]) & (bound >= (-np.inf if floors is None else floors[i])))
+        ids, scores, step = np.empty(0, np.int64), np.empty(0, np.int64), STEP
+        while len(left):  # the rows of the greatest bounds first; the first few set the mark, and steps grow
+            turn = np.argpartition(-bound[left], step)[:step] if len(left) > step else np.arange(len(left))
+            some, rest = left[turn], np.delete(left, turn)
+            if small:
+                got = wide[some] @ wide_q[i] if 4 * len(some) < len(x) else (wide @ wide_q[i])[some]
+                got = got.astype(np.int64)
+            else:
+                got = scores_of(x[some], q[i])
             ids, scores = np.concatenate([ids, x_id[some]]), np.concatenate([scores, got])
+            if len(scores) > 64:
+                least = np.partition(scores, len(scores) - k)[len(scores) - k]
+                ids, scores = ids[scores >= least], scores[scores >= least]
             best = np.lexsort((ids, ~scores))[:k]
-            ids, scores = ids[best], scores[best]
+            ids, scores, step = ids[best], scores[best], step * 4
+            left = rest[bound[rest] >= scores[-1]] if len(scores) == k else rest  # what is under the mark is out for good
         out += [(int(q_id[i]), int(a), int(s)) for a, s in zip(ids, scores)]
     return out
 
