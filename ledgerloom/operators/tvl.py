@@ -94,8 +94,7 @@ def fill_snapshots(snapshots: DataFrame, tvl: DataFrame, bucket: int = 10_000) -
     snapshots: pool, block, ts, price_open/close/high/low, volume1, swap_count; tvl: pool, block, tvl_ts, tvl_usd, bootstrap.
     """
     both = snapshots.withColumn("_swap", F.lit(True)).join(tvl, ["pool", "block"], "full_outer").withColumn("_bucket", F.floor(F.col("block") / bucket))
-    ends = snapshots.filter(F.col("price_close").isNotNull()).groupBy("pool", F.floor(F.col("block") / bucket).alias("_bucket")).agg(F.max(F.struct("block", "price_close")).alias("_end"))
-    there = both.select("pool", "_bucket").distinct().join(ends, ["pool", "_bucket"], "left")
+    there = both.groupBy("pool", "_bucket").agg(F.max(F.when(F.col("price_close").isNotNull(), F.struct("block", "price_close"))).alias("_end"))
     earlier = Window.partitionBy("pool").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried_in = there.select("pool", "_bucket", F.max("_end").over(earlier)["price_close"].alias("_carried"))
     before = Window.partitionBy("pool", "_bucket").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
