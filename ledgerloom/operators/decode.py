@@ -1,11 +1,12 @@
-"""Logs and call results to typed tables: the event catalogue, native static decoding, dynamic decoding in Arrow batches."""
+"""Logs and call results to typed tables: the event catalogue, native static decoding, dynamic decoding into nested Arrow columns."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerloom.functions import words
@@ -48,23 +49,36 @@ def parse_event(signature: str) -> dict:
     return {"name": name.strip(), "signature": canonical, "topic0": keccak256(canonical.encode()), "params": params}
 
 
-def flat_columns(params: list[dict], prefix: str = "") -> list[tuple[str, str]]:
-    """(column, type): tuples become dotted columns; an indexed value that is hashed on chain becomes `<name>.hash`."""
+def flat_params(params: list[dict], prefix: str = "") -> list[tuple[str, dict]]:
+    """(column, parameter): tuples become dotted columns; an indexed value that is hashed on chain becomes `<name>.hash`."""
     out = []
     for p in params:
         name = prefix + p["name"]
         if p["indexed"] and (p["parts"] or p["type"] in ("string", "bytes") or p["type"].endswith("]")):
-            out.append((name + ".hash" if p["parts"] else name, "bytes32"))
+            out.append((name + ".hash" if p["parts"] else name, {"name": name, "type": "bytes32", "indexed": True, "parts": []}))
         elif p["parts"] and not p["type"].endswith("]"):
-            out += flat_columns(p["parts"], name + ".")
+            out += flat_params(p["parts"], name + ".")
         else:
-            out.append((name, p["type"]))
+            out.append((name, p))
     return out
 
 
+def flat_columns(params: list[dict]) -> list[tuple[str, str]]:
+    return [(name, p["type"]) for name, p in flat_params(params)]
+
+
+def column_type(param: dict) -> str:
+    """The Spark type of a parameter: arrays of arrays of structs as they are nested."""
+    kind = param["type"]
+    if kind.endswith("]"):
+        return f"array<{column_type(dict(param, type=kind[: kind.rindex('[')]))}>"
+    if param["parts"]:
+        return "struct<" + ",".join(f"`{p['name']}`:{column_type(p)}" for p in param["parts"]) + ">"
+    return spark_type(kind)
+
+
 def spark_type(kind: str) -> str:
-    if kind.endswith("]") or kind.startswith("("):
-        return "string" if kind.startswith("(") else f"array<{spark_type(kind[: kind.rindex('[')])}>"
+    """The Spark type of an elementary type."""
     m = re.fullmatch(r"(u?)int(\d+)", kind)
     if m:
         bits = int(m.group(2))
@@ -77,7 +91,7 @@ def catalogue(spark: SparkSession, signatures: list[tuple[str, str]]) -> DataFra
     rows = []
     for source, text in signatures:
         e = parse_event(text)
-        rows.append((source, e["name"], e["signature"], bytearray(e["topic0"]), [f"{c} {spark_type(t)}" for c, t in flat_columns(e["params"])]))
+        rows.append((source, e["name"], e["signature"], bytearray(e["topic0"]), [f"{c} {column_type(q)}" for c, q in flat_params(e["params"])]))
     return spark.createDataFrame(rows, "source string, event_name string, signature string, topic0 binary, columns array<string>")
 
 
@@ -124,16 +138,9 @@ def decode_static(logs: DataFrame, event: dict) -> tuple[DataFrame, DataFrame]:
 
 
 # -- dynamic decoding ----------------------------------------------------------------------------------------------
-
-
-def _elementary(word: bytes, kind: str):
-    m = re.fullmatch(r"(u?)int(\d+)", kind)
-    if m:
-        n = int.from_bytes(word, "big", signed=not m.group(1))
-        return str(n) if int(m.group(2)) > 64 else n
-    if kind == "bool":
-        return word[31] != 0
-    return word[12:] if kind == "address" else word[: int(kind[5:] or 32)]
+# A batch of encodings is one run of bytes. A type is decoded for all rows at once: whatever lies at the places of its values
+# becomes one Arrow array, and arrays and tuples put their children's arrays together with offsets. A row that points outside its
+# data, or claims more elements than its bytes hold, is marked and left out at the end.
 
 
 def _size(kind: str) -> int:
@@ -143,86 +150,141 @@ def _size(kind: str) -> int:
     return sum(_size(p) for p in split_top(kind[1:-1])) if kind.startswith("(") else 32
 
 
-def decode_value(data: bytes, at: int, kind: str):
-    """The value of one type whose encoding begins at `at`; raises ValueError on short data."""
-    if kind.endswith("]"):
-        inner, count = kind[: kind.rindex("[")], kind[kind.rindex("[") + 1 : -1]
-        n = int(count) if count else _word(data, at)
-        at += 0 if count else 32
-        if n * 32 > len(data) * (1 if count else 1) + 32:
-            raise ValueError("array longer than its data")
-        return decode_tuple(data, at, [inner] * n)
-    if kind.startswith("("):
-        return decode_tuple(data, at, split_top(kind[1:-1]))
-    if kind in ("string", "bytes"):
-        n = _word(data, at)
-        raw = data[at + 32 : at + 32 + n]
-        if len(raw) < n:
-            raise ValueError("short data")
-        return raw.decode("utf-8", "replace").replace("\0", "") if kind == "string" else raw
-    if len(data) < at + 32:
-        raise ValueError("short data")
-    return _elementary(data[at : at + 32], kind)
-
-
-def _word(data: bytes, at: int) -> int:
-    if len(data) < at + 32:
-        raise ValueError("short data")
-    return int.from_bytes(data[at : at + 32], "big")
+class Encoded:
+    """Encodings of many rows and which of them have turned out to be wrong."""
+
+    def __init__(self, payloads: pa.Array):
+        parts = [p or b"" for p in payloads.to_pylist()]
+        self.sizes = np.array([len(p) for p in parts], np.int64)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(parts) + bytes(64), np.uint8)
+        self.windows = np.lib.stride_tricks.sliding_window_view(self.bytes, 32)
+        self.bad = np.array(payloads.is_null())
+
+    def inside(self, row: np.ndarray, at: np.ndarray, n: np.ndarray | int) -> np.ndarray:
+        """Whether n bytes from `at` lie in their row; rows where not are wrong."""
+        ok = (at >= 0) & (at + n <= self.sizes[row])
+        self.bad[row[~ok]] = True
+        return ok
+
+    def words(self, row: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The 32 bytes from each place; zeros outside."""
+        ok = self.inside(row, at, 32)
+        return np.where(ok[:, None], self.windows[np.where(ok, self.first[row] + at, 0)], 0).astype(np.uint8)
+
+    def count(self, row: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """An unsigned word that counts bytes or elements; 0 where it exceeds its row's bytes."""
+        w = self.words(row, at)
+        n = _low(w).astype(np.int64)
+        ok = ~w[:, :24].any(axis=1) & (n >= 0) & (n <= self.sizes[row])
+        self.bad[row[~ok]] = True
+        return np.where(ok, n, 0)
+
+
+def _low(w: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(w[:, 24:]).view(">u8").ravel().astype(np.uint64)
+
+
+def _numbers(w: np.ndarray, signed: bool, bits: int) -> pa.Array:
+    """Words as numbers, saturating where the type has 64 bits at most; decimal text beyond."""
+    low, fill = _low(w), np.where(signed & (w[:, 0] >= 128), 255, 0).astype(np.uint8)
+    narrow = (w[:, :24] == fill[:, None]).all(axis=1) & (not signed or ((low >> np.uint64(63)) == (fill == 255)))
+    if bits > 64:
+        fits = narrow & ((low < 1 << 63) | signed)
+        out = low.view(np.int64).astype(str).astype(object)
+        for i in np.flatnonzero(~fits):
+            out[i] = str(int.from_bytes(w[i].tobytes(), "big", signed=signed))
+        return pa.array(out, pa.string())
+    if signed:
+        return pa.array(np.where(narrow, low.view(np.int64), np.where(fill == 255, -(1 << 63), (1 << 63) - 1)))
+    whole = np.where(narrow, low, np.uint64((1 << 64) - 1))
+    return pa.array(whole).cast(pa.decimal128(20, 0)) if bits > 32 else pa.array(np.minimum(whole, np.uint64((1 << 63) - 1)).astype(np.int64))
+
+
+def _elementary(w: np.ndarray, kind: str) -> pa.Array:
+    m = re.fullmatch(r"(u?)int(\d+)", kind)
+    if m:
+        return _numbers(w, not m.group(1), int(m.group(2)))
+    if kind == "bool":
+        return pa.array(w[:, 31] != 0)
+    lo, n = (12, 20) if kind == "address" else (0, int(kind[5:] or 32))
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(n), len(w), [None, pa.py_buffer(np.ascontiguousarray(w[:, lo : lo + n]))]).cast(pa.binary())
 
 
-def decode_tuple(data: bytes, at: int, kinds: list[str]) -> list:
+def decode_column(e: Encoded, row: np.ndarray, at: np.ndarray, param: dict) -> pa.Array:
+    """The values of one type whose encodings begin at the places `at` (from their row's start)."""
+    kind = param["type"]
+    if kind.endswith("]"):
+        inner, count = dict(param, type=kind[: kind.rindex("[")]), kind[kind.rindex("[") + 1 : -1]
+        n = np.full(len(row), int(count)) if count else e.count(row, at)
+        base = at if count else at + 32
+        # elements take 32 bytes each of their own: a row with more of them points to the same bytes over and over
+        e.bad |= np.bincount(row, n, len(e.sizes)) * 32 > e.sizes + 32
+        n = np.where(e.bad[row], 0, n)
+        own = np.repeat(row, n)
+        place = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+        start = np.repeat(base, n)
+        begin = start + e.count(own, start + 32 * place) if is_dynamic(inner["type"]) else start + _size(inner["type"]) * place
+        ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), decode_column(e, own, begin, inner))
+    if param["parts"]:
+        members = decode_members(e, row, at, param["parts"])
+        return pa.StructArray.from_arrays(members, names=[p["name"] for p in param["parts"]])
+    if kind in ("string", "bytes"):
+        n = e.count(row, at)
+        n = np.where(e.inside(row, at + 32, n), n, 0)
+        begin = e.first[row] + at + 32
+        own = np.repeat(np.where(n > 0, begin, 0), n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        raw, ends = e.bytes[own].tobytes(), np.cumsum(n).tolist()
+        parts = [raw[lo:hi] for lo, hi in zip([0, *ends], ends)]
+        return pa.array(parts, pa.binary()) if kind == "bytes" else pa.array([x.decode("utf-8", "replace").replace("\0", "") for x in parts], pa.string())
+    return _elementary(e.words(row, at), kind)
+
+
+def decode_members(e: Encoded, row: np.ndarray, at: np.ndarray, params: list[dict]) -> list[pa.Array]:
+    """The members of tuples that begin at `at`: static ones in place, dynamic ones where their offsets point."""
     out, head = [], at
-    for kind in kinds:
-        if is_dynamic(kind):
-            out.append(decode_value(data, at + _word(data, head), kind))
-            head += 32
-        else:
-            out.append(decode_value(data, head, kind))
-            head += _size(kind)
+    for p in params:
+        moving = is_dynamic(p["type"])
+        out.append(decode_column(e, row, at + e.count(row, head) if moving else head, p))
+        head = head + (32 if moving else _size(p["type"]))
     return out
 
 
-def _flatten(values: list, params: list[dict], prefix: str = "") -> list:
+def _flat(columns: list[pa.Array], params: list[dict]) -> list[pa.Array]:
+    """Tuples outside arrays as a column per member."""
     out = []
-    for v, p in zip(values, params):
-        out += _flatten(v, p["parts"], prefix) if p["parts"] and not p["type"].endswith("]") else [v]
+    for c, p in zip(columns, params):
+        out += _flat(c.flatten(), p["parts"]) if p["parts"] and not p["type"].endswith("]") else [c]
     return out
 
 
 def decode_dynamic(rows: DataFrame, params: list[dict], *, payload: str = "data", keep: tuple[str, ...] = ("block_number", "log_index", "address")) -> DataFrame:
-    """Typed columns of dynamic data, in Arrow batches; rows that cannot be decoded are dropped.
+    """Typed columns of dynamic data, built as nested Arrow columns; rows that cannot be decoded are dropped.
 
-    A lone tuple is read as parameters first, then as one plain value.
+    Arrays of tuples become arrays of structs with the tuples' names. A lone tuple is read as parameters first, then as one plain value.
     """
     plain = [dict(p, indexed=False) for p in params]
-    columns = flat_columns(plain)
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema] + [f"`{c}` {spark_type(t)}" for c, t in columns])
-    kinds, names = [p["type"] for p in plain], [c for c, _ in columns]
-
-    def one(data: bytes) -> list | None:
-        for start in ([0, 32] if len(kinds) == 1 and kinds[0].startswith("(") else [0]):
-            try:
-                got = _flatten(decode_tuple(bytes(data), start, kinds), plain) if not start else _flatten([decode_value(bytes(data), 0, kinds[0])], plain)
-                return [str(v) if t.startswith("(") else v for v, (_, t) in zip(got, columns)]
-            except (ValueError, IndexError):
-                continue
-        return None
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in parts:
-            got = [None if d is None else one(d) for d in p[payload]]
-            ok = [g is not None for g in got]
-            out = p.loc[ok, list(keep)].reset_index(drop=True)
-            values = pd.DataFrame([g for g in got if g is not None], columns=names, dtype=object)
-            for i, (c, t) in enumerate(columns):
-                if spark_type(t) == "decimal(20,0)":
-                    from decimal import Decimal
-
-                    values[c] = values[c].map(Decimal)
-            yield pd.concat([out, values], axis=1)
-
-    return rows.select(*keep, payload).mapInPandas(run, schema)
+    columns = flat_params(plain)
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema] + [f"`{c}` {column_type(p)}" for c, p in columns])
+    lone = len(plain) == 1 and plain[0]["type"].startswith("(") and not plain[0]["type"].endswith("]")
+
+    def decoded(batch: pa.RecordBatch, as_value: bool) -> tuple[pa.RecordBatch, np.ndarray]:
+        e = Encoded(batch.column(payload))
+        row, at = np.arange(len(batch)), np.zeros(len(batch), np.int64)
+        got = [decode_column(e, row, at, plain[0])] if as_value else decode_members(e, row, at, plain)
+        made = pa.RecordBatch.from_arrays([*[batch.column(k) for k in keep], *_flat(got, plain)], names=[*keep, *[c for c, _ in columns]])
+        return made, e.bad
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made, bad = decoded(batch, False)
+            if lone and bad.any():
+                second, worse = decoded(batch.filter(pa.array(bad)), True)
+                yield second.filter(pa.array(~worse))
+            yield made.filter(pa.array(~bad))
+
+    return rows.select(*keep, payload).mapInArrow(run, schema)
 
 
 def pool_ids(keys: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Reading and writing chain tables laid out by block ranges, and the contract registry."""
+"""Reading and writing chain tables laid out by block ranges."""
 
 from __future__ import annotations
 
@@ -84,25 +84,6 @@ def tx_addresses(rows: DataFrame, receipts: DataFrame) -> DataFrame:
     return rows.join(receipts.select("transaction_hash", "from_address", "to_address"), "transaction_hash", "left")
 
 
-REGISTRY = (
-    "name string, address string, start_block bigint, "
-    "events array<struct<name: string, signature: string>>, "
-    "calls array<struct<function: string, output_type: string, frequency: string, params: array<array<string>>>>, "
-    "factories array<struct<collection: string, event: string, place: string, index: int, events: array<struct<name: string, signature: string>>>>"
-)
-
-
-def registry(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """JSON files of contracts -> contracts, events, calls and factories as flat tables."""
-    raw = spark.read.schema(REGISTRY).option("multiLine", "true").json(path)
-    base = [F.col("name").alias("contract"), "address", F.coalesce("start_block", F.lit(0).cast("bigint")).alias("start_block")]
-
-    def flat(column: str) -> DataFrame:
-        return raw.select(*base, F.explode(column).alias("x")).select("contract", "address", "start_block", "x.*")
-
-    return {"contracts": raw.select(*base), "events": flat("events"), "calls": flat("calls"), "factories": flat("factories")}
-
-
 def duration_seconds(text: Column) -> Column:
     """'15m', '5s', '2h', '1d' -> seconds; null otherwise."""
     n, unit = F.regexp_extract(text, r"^(\d+)([smhd])$", 1), F.regexp_extract(text, r"^(\d+)([smhd])$", 2)

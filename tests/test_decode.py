@@ -1,3 +1,8 @@
+from decimal import Decimal
+
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import decode, discover
@@ -60,6 +65,102 @@ def test_position_arrays_and_lone_tuples(spark):
     assert decode.result_names("getState", params) == ["pos.lo", "pos.hi", "pos.l"]
 
 
+SHAPES = "block_number long, log_index long, address binary, data binary"
+
+
+def test_arrays_of_tuples_are_arrays_of_structs(spark):
+    params = decode.parse_event("P((int24 lo, int24 hi, uint128 l)[] pos)")["params"]
+    data = enc(32) + enc(2) + enc(-60) + enc(60) + enc(5) + enc(-120) + enc(120) + enc(1 << 100)
+    rows = spark.createDataFrame([(1, 0, bytearray(20), bytearray(data)), (2, 0, bytearray(20), bytearray(enc(32) + enc(0)))], SHAPES)
+    got = decode.decode_dynamic(rows, params)
+    assert got.schema["pos"].dataType.simpleString() == "array<struct<lo:bigint,hi:bigint,l:string>>"
+    assert [[tuple(p) for p in r["pos"]] for r in got.orderBy("block_number").collect()] == [[(-60, 60, "5"), (-120, 120, str(1 << 100))], []]
+
+
+def reference_encoding(kind, value):
+    """The encoding of a value by its definition, one value at a time."""
+    if kind.endswith("]"):
+        inner, count = kind[: kind.rindex("[")], kind[kind.rindex("[") + 1 : -1]
+        return (b"" if count else enc(len(value))) + reference_tuple([inner] * len(value), value)
+    if kind.startswith("("):
+        return reference_tuple(decode.split_top(kind[1:-1]), value)
+    if kind == "string":
+        return text(value)
+    if kind == "bytes":
+        return enc(len(value)) + value + bytes(-len(value) % 32)
+    return enc(int(value))
+
+
+def reference_tuple(kinds, values):
+    heads, tails = [], []
+    size = sum(32 if decode.is_dynamic(k) else len(reference_encoding(k, v)) for k, v in zip(kinds, values))
+    for k, v in zip(kinds, values):
+        raw = reference_encoding(k, v)
+        if decode.is_dynamic(k):
+            heads.append(enc(size + sum(map(len, tails))))
+            tails.append(raw)
+        else:
+            heads.append(raw)
+    return b"".join(heads + tails)
+
+
+KINDS = ["int24", "uint256", "int256", "uint64", "bool", "string", "bytes"]
+
+
+@st.composite
+def typed_values(draw, depth=2):
+    """(type text with names, type, value, decoded value)."""
+    form = draw(st.sampled_from(["plain", "array", "fixed", "tuple"] if depth else ["plain"]))
+    if form == "plain":
+        kind = draw(st.sampled_from(KINDS))
+        if kind == "string":
+            v = draw(st.text(st.characters(exclude_characters="\0", exclude_categories=["Cs"]), max_size=40))
+            return kind, kind, v, v
+        if kind == "bytes":
+            v = draw(st.binary(max_size=40))
+            return kind, kind, v, v
+        if kind == "bool":
+            v = draw(st.booleans())
+            return kind, kind, v, v
+        bits, signed = int(kind.lstrip("uint")), kind[0] == "i"
+        v = draw(st.integers(-(1 << bits - 1) if signed else 0, (1 << bits - signed) - 1))
+        return kind, kind, v, str(v) if bits > 64 else v
+    if form == "tuple":
+        parts = [draw(typed_values(depth=depth - 1)) for _ in range(draw(st.integers(1, 3)))]
+        named = "(" + ", ".join(f"{p[0]} m{i}" for i, p in enumerate(parts)) + ")"
+        return named, "(" + ",".join(p[1] for p in parts) + ")", [p[2] for p in parts], [p[3] for p in parts]
+    one = draw(typed_values(depth=depth - 1))
+    n = draw(st.integers(1 if form == "fixed" else 0, 3))
+    suffix = f"[{n}]" if form == "fixed" else "[]"
+    return one[0] + suffix, one[1] + suffix, [one[2]] * n, [one[3]] * n
+
+
+def listed(v):
+    """What Arrow gives, with tuples as lists."""
+    if isinstance(v, dict):
+        return [listed(x) for x in v.values()]
+    return [listed(x) for x in v] if isinstance(v, list) else int(v) if isinstance(v, Decimal) else v
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(typed_values(), min_size=1, max_size=3), st.integers(0, 200))
+def test_any_nested_value_round_trips(values, cut):
+    params = decode.parse_event("E(" + ", ".join(f"{v[0]} p{i}" for i, v in enumerate(values)) + ")")["params"]
+    data = reference_tuple([v[1] for v in values], [v[2] for v in values])
+    e = decode.Encoded(pa.array([data, None, data[:cut], data], pa.binary()))
+    got = decode.decode_members(e, np.arange(4), np.zeros(4, np.int64), params)
+    assert not e.bad[0] and e.bad[1] and not e.bad[3]
+    assert [listed(c[0].as_py()) for c in got] == [listed(c[3].as_py()) for c in got] == [listed(v[3]) for v in values]
+
+
+def test_encodings_that_claim_more_than_they_hold_are_dropped(spark):
+    """Ten offsets to one place on each of four levels: 45 words that claim ten thousand numbers."""
+    params = decode.parse_event("B(uint256[][][][] x)")["params"]
+    bomb = enc(32) + (enc(10) + enc(320) * 10) * 4
+    rows = spark.createDataFrame([(1, 0, bytearray(20), bytearray(bomb)), (2, 0, bytearray(20), bytearray(enc(32) + enc(1 << 200)))], SHAPES)
+    assert decode.decode_dynamic(rows, params).count() == 0
+
+
 def test_catalogue_and_pool_id(spark):
     c = decode.catalogue(spark, [("v3", "Mint(address indexed owner, int24 lo, uint128 amount)")]).first()
     assert c["columns"] == ["owner binary", "lo bigint", "amount string"] and len(c["topic0"]) == 32

@@ -12,7 +12,7 @@ from pyspark.sql import Window, functions as F
 from ledgerloom.functions import words
 from ledgerloom.operators import calls, decode, discover, entities, merge, ohlc, pricing, reorg, swaps, tvl
 from ledgerloom.plans import catalogue, contracts
-from ledgerloom.sources import scan
+from ledgerloom.sources import registry, scan
 from ledgerloom.streaming import streams
 
 SWAP = "pool long, block long, ts long, log_index long, amount0 long, amount1 long, price double"
@@ -129,16 +129,58 @@ def test_range_files_round_trip(spark, tmp_path):
         scan.assert_same_rows(logs, logs.limit(3))
 
 
-def test_registry(spark, tmp_path):
-    (tmp_path / "c.json").write_text(json.dumps([{
-        "name": "Coins", "address": "0x0f", "start_block": 5, "events": [{"name": "Swap", "signature": "Swap(int24)"}],
-        "calls": [{"function": "slot0", "output_type": "uint160", "frequency": "15m", "params": [["1", "2"], ["a"]]}],
-        "factories": [{"collection": "coins", "event": "Made(address)", "place": "topic", "index": 1, "events": []}],
-    }]))
-    reg = scan.registry(spark, str(tmp_path))
-    assert reg["events"].first()["signature"] == "Swap(int24)" and reg["factories"].first()["collection"] == "coins"
-    assert calls.parameter_grid(reg["calls"]).count() == 2
-    assert reg["calls"].select(scan.duration_seconds(F.col("frequency"))).first()[0] == 900
+REGISTRY = {
+    "one.json": {
+        "Hub": {
+            "address": ["0x" + "0a" * 20, "0x" + "0b" * 20], "start_block": 7,
+            "events": [{"signature": "Made(address indexed who, (uint256 a, address b) pair)"}, {"name": "Gone", "signature": "Left(uint256)"}],
+            "calls": [
+                {"function": "get(address)", "output_type": "(address, uint96)[]", "frequency": {"on_events": {"source": "Hub", "event": "Made(address)"}}, "params": [{"type": "address", "from_event": "topics[1]"}]},
+                {"function": "f(uint8)", "output_type": "uint256", "frequency": "15M", "params": [{"type": "uint8", "values": ["1", "2"]}]},
+                {"function": "g()", "output_type": "uint256", "frequency": 100},
+            ],
+            "factories": [{
+                "collection_name": "coins", "factory_events": {"name": "Made", "topics_signature": "address", "data_signature": "(uint256,address),string,address[]", "factory_parameters": "data[0][1]"},
+                "calls": [{"function": "name()", "output_type": "string", "frequency": "once"}], "events": [{"signature": "Transfer(address,address,uint256)"}],
+            }],
+        },
+    },
+    "two.json": {
+        "Empty": {"address": "0x" + "0c" * 20},
+        "Twin": {"address": "0x" + "0d" * 20, "factories": [{"collection_name": "pools", "factory_events": [
+            {"name": "A", "topics_signature": "address,address", "factory_parameters": "topics[2]"},
+            {"name": "B", "topics_signature": "", "data_signature": "(uint256,address),string,address[]", "factory_parameters": "data[2][3]"}]}]},
+    },
+}
+
+
+def test_registry_equals_a_walk_of_its_files(spark, tmp_path):
+    for chain in ("x", "y"):
+        (tmp_path / chain).mkdir()
+        for name, content in REGISTRY.items():
+            (tmp_path / chain / name).write_text(json.dumps(content, indent=2))
+    reg = registry.registry(registry.read_registry(spark, str(tmp_path)))
+    assert {k: v.count() for k, v in reg.items()} == {"contracts": 8, "events": 6, "calls": 8, "factories": 6}
+    events = {(r["contract"], r["collection"], r["name"]) for r in reg["events"].filter("chain = 'x'").collect()}
+    assert events == {("Hub", None, "Made"), ("Hub", None, "Gone"), ("Hub", "coins", "Transfer")}
+    found = {r["function"]: r for r in reg["calls"].filter("chain = 'y'").collect()}
+    assert [found[f]["frequency"] for f in ("get(address)", "f(uint8)", "g()", "name()")] == ["on_events", "15m", "100", "once"]
+    assert [t.asDict() for t in found["get(address)"]["triggers"]] == [{"source": "Hub", "event": "Made(address)"}]
+    assert found["f(uint8)"]["params"][0]["values"] == ["1", "2"] and found["get(address)"]["params"][0]["from_event"] == "topics[1]"
+    assert reg["calls"].filter("frequency = '15m'").select(scan.duration_seconds(F.col("frequency"))).first()[0] == 900
+    topics = {r["name"]: bytes(r["topic0"]) for r in registry.event_matchers(reg).collect()}
+    assert topics == {"Made": decode.keccak256(b"Made(address,(uint256,address))"), "Gone": decode.keccak256(b"Left(uint256)")}
+    places = {(r["collection"], r["place"], r["index"], r["inner"], r["dynamic_array"]) for r in registry.factory_matchers(reg).collect()}
+    assert places == {("coins", "data", 1, None, False), ("pools", "topic", 2, None, False), ("pools", "data", 3, 3, True)}
+
+
+def test_registry_refuses_what_it_cannot_read(spark):
+    files = lambda *texts: spark.createDataFrame([("x", t) for t in texts], "chain string, value string")
+    with pytest.raises(ValueError, match="twice"):
+        registry.registry(files('{"A": {"address": "0x01"}}', '{"A": {"address": "0x02"}}'))
+    with pytest.raises(ValueError, match="no JSON"):
+        registry.registry(files("[1"))
+    assert all(t.count() == 0 for t in registry.registry(files("{}")).values())
 
 
 def test_canonical_chain_with_a_long_fork(spark):
