@@ -12,7 +12,7 @@ Defined cases: vectors that are null, empty, hold null or non-finite entries, or
 lengths the shorter counts) take no part; a vector counts once for the fit however many rows hold it, and every row gets its own
 result, null or repeated ids included; components whose eigenvalue is no more than 1e-12 of the trace (constant or dependent
 dimensions, a lone vector) are left out; an empty table gives none; other columns are ignored. A deviation that does not fit a long
-becomes the greatest long.
+becomes the greatest long, as does an entry's 256-fold that does not (the least where it is negative).
 """
 
 from __future__ import annotations
