@@ -39,7 +39,7 @@ def col(name: str) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int, max_bytes: int = SAMPLE_BYTES) -> list[tuple[str, int]]:
     """At most `bound` whole labelled texts of at most `max_bytes` in all, as sorted (text, label), from rows that are not held out.
 
-    They are chosen by a hash of doc_id; of rows that share one the least text counts, and its greatest label. The two bounds are
+    They are chosen by a hash of doc_id, those passed over that do not fit what is left of the bytes; of rows that share one the least text counts, and its greatest label. The two bounds are
     the documented limit of what a classifier is fitted on; all documents are scored.
     """
     ids = (
@@ -51,10 +51,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int,
     texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(F.broadcast(ids), "doc_id")
     texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
     texts = cut(texts.withColumn("turn", F.xxhash64("doc_id")))
-    n, total = 0, 0
+    chosen, total = [], 0
     for r in texts.select("turn", "doc_id", F.octet_length("text").alias("size")).orderBy("turn", "doc_id").collect():
-        total += r["size"]
-        if total > max_bytes:
-            break
-        n += 1
-    return sorted((r["text"], r["label"]) for r in texts.orderBy("turn", "doc_id").limit(n).select("text", "label").collect())
+        if total + r["size"] <= max_bytes:  # one that does not fit is passed over
+            total += r["size"]
+            chosen.append((r["turn"], r["doc_id"]))
+    few = texts.sparkSession.createDataFrame(chosen, texts.select("turn", "doc_id").schema)  # at most `bound` rows
+    return sorted((r["text"], r["label"]) for r in texts.join(F.broadcast(few), ["turn", "doc_id"]).select("text", "label").collect())

@@ -6,7 +6,7 @@ prediction is the mean of its windows' log-probabilities, over every window of t
 
 Defined cases: a null text or one without a letter (Unicode category L: no digits, fractions or numerals) is `und` with score 1;
 repeated rows are each predicted; null labels are not learned from; with no labels at all every text is `und`; other columns are
-ignored; very long texts go through in batches of windows, so memory is bounded.
+ignored; very long texts go through in batches of windows, so memory is bounded; an empty table gives none.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ sees a whole source, and a second pass over the documents only compares each wit
 Defined cases: tokens are runs of non-space characters; documents without tokens (null, empty, blank) are never
 emitted; null sources form one source; repeated rows each take part, and where the budget ends among copies as many of them as it
 asks for; ties of the hash go by key, tokens and a digest of the text; an empty table gives none; other columns are passed on,
-whatever their names, and mix_epoch, mix_block and mix_tokens are replaced.
+whatever their names, and mix_epoch, mix_block and mix_tokens are replaced; a very long text is one row of as many tokens.
 """
 
 from __future__ import annotations

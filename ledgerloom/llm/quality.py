@@ -8,7 +8,7 @@ a score.
 
 Defined cases: null, empty and blank texts have one empty line and get the score of it; repeated rows are each scored;
 null labels are not learned from; with no labels of both kinds every score is the label's mean, or 0.5; other columns
-are ignored; a very long line or a text of very many lines costs memory in proportion to that text alone.
+are ignored; a very long line or a text of very many lines costs memory in proportion to that text alone; an empty table gives none.
 """
 
 from __future__ import annotations

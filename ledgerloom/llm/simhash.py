@@ -268,8 +268,8 @@ def _shingled(docs: DataFrame, key: str, words: int) -> DataFrame:
     return rows.mapInPandas(run, f"{key} {rows.schema[key].dataType.simpleString()}, text_id long, id long, n long, fp binary")
 
 
-#: A bucket that has more members than this, and than a thousandth of all fingerprints, is hot: so there are at most a thousand hot
-#: ones in a table, and their list may go to all tasks.
+#: A bucket of more members than this is not compared: its members are held together as they are, and exact comparison decides. Those
+#: with more than a thousandth of all fingerprints, of which a table has at most a thousand, are known beforehand and filed nowhere.
 HOT = 8192
 #: Fingerprints that a task reads at once for one table, about.
 SHARD = 1 << 16
@@ -304,7 +304,10 @@ class Tables:
 
 
 def bucket_links(tables: Tables, bucket, ids, fp, size, small: int = 8) -> np.ndarray:
-    """Pairs (u, v) that hold together whatever is near in a bucket: all near pairs of small buckets, a spanning forest of larger ones."""
+    """Pairs (u, v) that hold together whatever is near in a bucket: all near pairs of small buckets, a spanning forest of larger ones.
+
+    The members of a hot bucket are all held by its first one.
+    """
     order = np.lexsort((ids, bucket))
     bucket, ids, fp, size = bucket[order], ids[order], fp[order], size[order]
     begin = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.array([], int)
@@ -317,7 +320,10 @@ def bucket_links(tables: Tables, bucket, ids, fp, size, small: int = 8) -> np.nd
             break
         at = at[tables.near(fp, size, at, at + d)]
         pairs.append(np.stack([ids[at], ids[at + d]], axis=1))
-    for lo, c in zip(begin[count > small], count[count > small]):
+    for lo, c in zip(begin[count > HOT], count[count > HOT]):
+        pairs.append(np.stack([np.full(c - 1, ids[lo]), ids[lo + 1 : lo + c]], axis=1))
+    some = (count > small) & (count <= HOT)
+    for lo, c in zip(begin[some], count[some]):
         n = size[lo : lo + c].astype(np.int32)
         links = forest(fp[lo : lo + c], tables.limit, lambda x, y, n=n: np.abs(n[x][:, None] - n[y][None, :]) <= tables.size_limit)
         pairs.append(ids[lo + np.array(links, int).reshape(-1, 2)])

@@ -5,7 +5,7 @@ point at somebody), negation and reporting verbs. Insults are *learned*: words a
 documents far more often than chance allows, weighted by their log odds (the listed ones start the lexicon). Threats and the
 context classes are the listed words.
 
-Four machines read the classes of a clause (a run of at most CLAUSE words up to sentence punctuation or a line end):
+Four machines read the classes of a clause (a run of words up to sentence punctuation or a line end, however long):
 
 * insult -> target: an insult counts only with a person, a reference or another insult in its clause, before or after it;
 * threat -> target: a threat counts only with a person in its clause;
@@ -19,7 +19,7 @@ clauses' weights.
 
 Defined cases: null, empty and blank texts have no clause and get the score of no match; repeated rows are each scored;
 null labels are not learned from; without labels of both kinds the listed words alone decide; other columns are ignored;
-very long texts are read clause by clause.
+very long texts and clauses are read as a whole; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -47,7 +47,6 @@ NEGATIONS = "not no never isn aren nicht kein keine nie ne pas jamais nunca ni".
 REPORTING = "said says claimed called reported quoted sagte sagt nannte dit disait appelé dijo dice llamó".split()
 
 OTHER, INSULT, THREAT, PERSON, REFERENCE, NEGATION, REPORT = ALPHABET = range(7)
-CLAUSE = 40
 #: Words within which a target is close by, a negation weakens, and a reporting verb that follows weakens.
 NEAR, NEGATION_REACH, REPORT_BEFORE = 4, 3, 3
 #: Factors of a completed pattern by what completes it, (close by, further off), and of its context.
@@ -63,10 +62,19 @@ STEMS = (4, 5, 6, 7, 8, 9)
 
 
 def _tail(k: int, n: int, p: float) -> float:
-    """log P(at least k of n) for rate p."""
-    logs = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p) for i in range(k, min(n, k + 60) + 1)]
-    top = max(logs)
-    return top + math.log(sum(math.exp(x - top) for x in logs))
+    """log P(at least k of n) for rate p: the terms from k on, or what those below it leave, until they no longer count."""
+    if k <= 0:
+        return 0.0
+    above = k > n * p
+    i = k if above else k - 1
+    first = math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)
+    total = term = 1.0
+    while term > 1e-17 * total and 0 < i + above <= n:
+        term *= (n - i) / (i + 1) * p / (1 - p) if above else i / (n - i + 1) * (1 - p) / p
+        i += 1 if above else -1
+        total += term
+    found = min(0.0, first + math.log(total))
+    return found if above else math.log1p(-min(math.exp(found), 1 - 1e-16))
 
 
 def pieces(word: str) -> list[str]:
@@ -94,7 +102,7 @@ def learn(sample: list[tuple[str, int]], least: int = 4) -> dict[str, float]:
     out = {}
     for piece, k in toxic.items():
         n = all_[piece]
-        if k >= least and k / n > 0.3 and _tail(k, n, base) + math.log(tried) < math.log(0.05):
+        if k >= least and k / n > max(0.3, base) and _tail(k, n, base) + math.log(tried) < math.log(0.05):
             out[piece] = min(8.0, math.log((k + 0.5) / (n - k + 0.5)) - math.log(base / (1 - base)))
     # of a word and its beginnings the longest that explains nearly all of a shorter one's documents stands for it
     explained = {s for p in out for s in pieces(p.rstrip("-")) if s != p and s in out and toxic[p] >= 0.95 * toxic[s]}
@@ -209,9 +217,8 @@ class Grammar:
             start = i
             while start > end and tokens[start - 1] not in _ENDS:
                 start -= 1
-            start += (i - start) // CLAUSE * CLAUSE
             end = i
-            while end < min(len(tokens), start + CLAUSE) and tokens[end] not in _ENDS:
+            while end < len(tokens) and tokens[end] not in _ENDS:
                 end += 1
             w = self.clause(tokens[start:end])
             best, total, n = max(best, w), total + w, n + (w > 0)

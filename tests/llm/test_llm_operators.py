@@ -1,14 +1,16 @@
 """Each operator on small inputs: brute force, edge cases, nulls, repeats, empty tables, clashing columns."""
 
+import math
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import components, decontam, language, line_dedup, mixing, pii, quality, registry, simhash, topk, toxicity, url_filter
+from ledgerloom.llm import common, components, decontam, language, line_dedup, mixing, pii, quality, registry, simhash, topk, toxicity, url_filter
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -592,3 +594,41 @@ def test_surrogate_query_equals_row_by_row(spark, sf):
             out += text[at:start] + pii.rendered(kind, drawn[kind, value][1], text[start:end])
             at = end
         assert r["text"] == (out + text[at:] if mentions else text) and r["entities"] == len(mentions)
+
+
+def test_binomial_tails_are_whole():
+    exact = lambda k, n, p: math.log(sum(Fraction(math.comb(n, i)) * Fraction(p) ** i * (1 - Fraction(p)) ** (n - i) for i in range(k, n + 1)))
+    for n, p in ((8, 0.5), (60, 0.25), (300, 0.5)):
+        for k in range(n + 1):
+            assert toxicity._tail(k, n, p) == pytest.approx(exact(k, n, p), rel=1e-6, abs=1e-12)
+    assert toxicity._tail(3500, 8000, 0.5) > -1e-9 and toxicity._tail(4500, 8000, 0.5) == pytest.approx(-65.4, abs=1)
+
+
+def test_everyday_words_of_clean_texts_are_no_insults():
+    sample = [(f"w{i} common", 1) for i in range(3500)] + [(f"v{i}", 1) for i in range(500)] + [(f"u{i} common", 0) for i in range(4000)]
+    assert "common" not in toxicity.learn(sample)
+
+
+def test_clauses_are_read_whole():
+    """A target far from its insult, and a clause of very many words."""
+    g = toxicity.Grammar({})
+    assert g.document("idiot " + "word " * 60 + "you")[2] == 1
+    assert g.document("word " * 200_000 + "idiot")[2] == 0 and g.document("you " + "word " * 200_000 + "idiot")[2] == 1
+
+
+def test_a_text_beyond_the_bytes_is_passed_over(spark):
+    """Whatever comes first in hash order, the texts that fit are taken."""
+    for big in range(6):
+        d = docs(spark, ["x" * 5000 if i == big else f"text {i}" for i in range(6)])
+        labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(6)], "doc_id long, quality int, toxic int")
+        sample = common.labelled_sample(d, labels, "quality", 100, max_bytes=1000)
+        known = [i for i in range(6) if zlib.crc32(str(i).encode()) % 4 != 2 and i != big]
+        assert sample == sorted((f"text {i}", i % 2) for i in known)
+
+
+def test_hot_buckets_are_held_together_without_comparison(monkeypatch):
+    monkeypatch.setattr(simhash, "HOT", 20)
+    monkeypatch.setattr(simhash, "forest", None)
+    n, tables = 50, simhash.Tables(2, 18, 0.8)
+    pairs = simhash.bucket_links(tables, np.zeros(n, np.int64), np.arange(n)[::-1].copy(), np.random.default_rng(0).integers(0, 1 << 62, (n, 4)).astype(np.uint64), np.zeros(n, np.uint16))
+    assert sorted(map(tuple, pairs.tolist())) == [(0, i) for i in range(1, n)]
