@@ -139,9 +139,9 @@ def b09(spark, sf):
     return matching.repair_scope(_ranges(spark, sf), from_block=90_000, to_block=92_000, sources=("1-URGENT", "2-HIGH"), functions=("f",))
 
 
-@query("b10_overlapping_files", with_views(f", r AS ({RANGES}) SELECT * FROM r WHERE \"end\" >= 90005 AND start < 91005", "v_progress"))
+@query("b10_overlapping_files", with_views(f", r AS ({RANGES}) SELECT * FROM r WHERE \"end\" >= 92005 AND start < 94005", "v_progress"))
 def b10(spark, sf):
-    return matching.overlapping(_ranges(spark, sf), 90_005, 91_005)
+    return matching.overlapping(_ranges(spark, sf), 92_005, 94_005)
 
 
 @query("b11_role_from_address", """SELECT s_suppkey, CASE WHEN s_nationkey % 2 = 0 THEN 'v2' WHEN s_nationkey % 3 = 0 THEN 'v4' ELSE 'unknown' END AS role FROM supplier""")

@@ -130,9 +130,9 @@ def h14(spark, sf):
     return merge.completion_watermark(fx.progress(spark, sf))
 
 
-@query("h15_handlers_in_range", with_views(" SELECT handler, max(range_index) AS greatest FROM v_progress WHERE range_index BETWEEN 9000 AND 9100 GROUP BY handler", "v_progress"))
+@query("h15_handlers_in_range", with_views(" SELECT handler, max(range_index) AS greatest FROM v_progress WHERE range_index BETWEEN 9200 AND 9400 GROUP BY handler", "v_progress"))
 def h15(spark, sf):
-    return fx.progress(spark, sf).filter("range_index between 9000 and 9100").groupBy("handler").agg(F.max("range_index").alias("greatest"))
+    return fx.progress(spark, sf).filter("range_index between 9200 and 9400").groupBy("handler").agg(F.max("range_index").alias("greatest"))
 
 
 @query("d06_missing_ranges", with_views(""", b AS (SELECT min(range_index) AS lo, max(range_index) AS hi FROM v_progress), h AS (SELECT DISTINCT handler FROM v_progress)
