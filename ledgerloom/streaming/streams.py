@@ -1,26 +1,29 @@
-"""Structured Streaming: block and log sources, live candles, reorg detection, waiting joins, throttled calls, merge sinks."""
+"""Structured Streaming: block and log sources, live candles, waiting joins, replay, merge sinks. What steps through rows is in keyed."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ledgerloom.operators.merge import newer_wins
-from ledgerloom.operators.reorg import DEPTH
 from ledgerloom.sources.shared import shared_dir
+from ledgerloom.streaming.keyed import started_in
 
 
-def stream_table(spark: SparkSession, path: str) -> DataFrame:
+def stream_table(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """New Parquet files below a path (or glob) as a stream, with the schema that its present files have."""
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    return (reader if files_per_batch is None else reader.option("maxFilesPerTrigger", files_per_batch)).parquet(path)
 
 
 def candles(swaps: DataFrame, late: str = "10 minutes", width: str = "1 hour", slide: str | None = None) -> DataFrame:
-    """Windowed OHLC of swaps (time, pool, order, price, volume); a slide shorter than the width gives rolling windows."""
+    """Windowed OHLC of swaps (time, pool, order, price, volume); a slide shorter than the width gives rolling windows.
+
+    In append mode a window comes out once, when the watermark has passed its end, and leaves the state then; swaps that come after
+    that are not in it (see keyed.late_rows, and start the stream within keyed.started_in). In update mode windows come out whenever they change.
+    """
     w = F.window("time", width, slide) if slide else F.window("time", width)
     return swaps.withWatermark("time", late).groupBy("pool", w.alias("w")).agg(
         F.min_by("price", "order").alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", "order").alias("close"),
@@ -28,63 +31,6 @@ def candles(swaps: DataFrame, late: str = "10 minutes", width: str = "1 hour", s
     ).select("pool", F.col("w.start").alias("start"), "open", "high", "low", "close", "volume", "swaps")
 
 
-def reorgs(blocks: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(chain_id, number, kind, ancestor): a block whose number is known under another hash ('replaced') or whose parent hash is not
-    the tracked one ('detached'); the ancestor is the tracked block it builds on, null when that is deeper than `depth`.
-
-    State per chain: the last `depth` (number, hash). A chain's new blocks come in several Arrow batches in no order: they are put in
-    order of their numbers first. That is one micro-batch of one chain, which maxFilesPerTrigger bounds.
-    """
-
-    def step(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        tracked = dict(zip(*state.get)) if state.exists else {}
-        out = []
-        p = pd.concat(list(parts)).sort_values("number", kind="stable")
-        for n, h, parent in p[["number", "hash", "parent_hash"]].itertuples(index=False):
-            n = int(n)
-            kind = "replaced" if tracked.get(n, h) != h else "detached" if tracked.get(n - 1, parent) != parent else None
-            if kind:
-                found = [k for k, v in tracked.items() if v == parent]
-                out.append((key[0], n, kind, max(found) if found else None))
-                for k in [k for k in tracked if k >= n]:
-                    del tracked[k]
-            tracked[n] = h
-            for k in [k for k in tracked if k <= n - depth]:
-                del tracked[k]
-        order = sorted(tracked)
-        state.update((order, [tracked[k] for k in order]))
-        frame = pd.DataFrame(out, columns=["chain_id", "number", "kind", "ancestor"])
-        frame["ancestor"] = frame["ancestor"].astype("Int64")
-        yield frame
-
-    rows = blocks.select("chain_id", "number", "hash", "parent_hash")
-    return rows.groupBy("chain_id").applyInPandasWithState(
-        step, "chain_id long, number long, kind string, ancestor long", "numbers array<long>, hashes array<string>", "append", GroupStateTimeout.NoTimeout
-    )
-
-
-def throttled(blocks: DataFrame, seconds: int) -> DataFrame:
-    """Blocks (key, number, ts) that a call falls due at; state: the time of the last taken one.
-
-    A key's new blocks come in several Arrow batches in no order: they are put in order of their times first.
-    """
-
-    def step(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        (taken,) = state.get if state.exists else (0,)
-        p = pd.concat(list(parts)).sort_values(["ts", "number"], ignore_index=True)
-        times, keep = p["ts"].to_numpy(), []
-        at = int(times.searchsorted(taken + seconds))
-        while at < len(times):
-            keep.append(at)
-            taken = int(times[at])
-            at = int(times.searchsorted(taken + seconds))
-        yield p.loc[keep, ["key", "number", "ts"]]
-        state.update((taken,))
-
-    rows = blocks.select("key", "number", "ts")
-    return rows.groupBy("key").applyInPandasWithState(step, "key long, number long, ts long", "taken long", "append", GroupStateTimeout.NoTimeout)
-
-
 def awaiting(events: DataFrame, calls: DataFrame, wait: str = "5 minutes") -> DataFrame:
     """Events joined to their call of the same (block_number, log_index) within `wait`; those without one come out, null, once
     the watermark passes: the backlog."""
@@ -182,6 +128,7 @@ def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/out" if mode == "complete" else f"{base}/out/batch={batch_id}")
 
-    q = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).foreachBatch(write).start()
+    with started_in(spark):
+        q = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).foreachBatch(write).start()
     q.awaitTermination()
     return spark.read.schema(stream.schema).option("basePath", f"{base}/out").parquet(f"{base}/out").select(*stream.columns)

@@ -189,19 +189,6 @@ def test_canonical_chain_with_a_long_fork(spark):
     assert {r["hash"] for r in chain.collect()} == {f"h{n}" for n in range(300)}
 
 
-def test_stream_reorgs_and_merge(spark, tmp_path):
-    schema = "chain_id long, number long, hash string, parent_hash string"
-    spark.createDataFrame([(1, n, f"h{n}", f"h{n - 1}") for n in range(5)], schema).coalesce(1).write.parquet(str(tmp_path / "b"))
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "b"))
-    seen = []
-    q = streams.reorgs(s).writeStream.option("checkpointLocation", str(tmp_path / "c")).foreachBatch(lambda d, i: seen.extend(d.collect())).start()
-    q.processAllAvailable()
-    spark.createDataFrame([(1, 3, "x3", "h2"), (1, 4, "x4", "x3"), (1, 5, "y5", "zz")], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "b"))
-    q.processAllAvailable()
-    q.stop()
-    assert [(r["number"], r["kind"], r["ancestor"]) for r in seen] == [(3, "replaced", 2), (5, "detached", None)]
-
-
 def test_merge_sink_versions(spark, tmp_path):
     sink = streams.merge_sink(str(tmp_path), ["k"], "b")
     make = lambda *r: spark.createDataFrame(list(r), "k long, b long, v string")
@@ -253,20 +240,6 @@ def test_throttle_of_one_busy_key(spark):
         assert [r["number"] for r in got if r["key"] == 8] == [1] and not [r for r in got if r["key"] == 9]
 
 
-def test_stream_throttle_and_reorgs_over_several_batches(spark, tmp_path):
-    rng = random.Random(3)
-    times = rng.sample(range(1, 1_000_000), 25_000)
-    b = spark.createDataFrame([(7, i, t) for i, t in enumerate(times)], "key long, number long, ts long").repartition(8)
-    b.write.parquet(str(tmp_path / "t"))
-    got = streams.drain(streams.throttled(streams.stream_table(spark, str(tmp_path / "t")), 4000)).collect()
-    assert sorted(r["ts"] for r in got) == _taken(times, 4000)
-    bad = set(rng.sample(range(1, 25_000), 25))
-    chain = [(1, n, f"h{n}", "x" if n in bad else f"h{n - 1}") for n in range(25_000)]
-    spark.createDataFrame(chain, "chain_id long, number long, hash string, parent_hash string").repartition(8).write.parquet(str(tmp_path / "c"))
-    found = streams.drain(streams.reorgs(streams.stream_table(spark, str(tmp_path / "c")))).collect()
-    assert {r["number"] for r in found if r["kind"] == "detached"} == bad
-
-
 # -- bucketed forms against the direct ones, on one busy pool -------------------------------------------------------------
 
 
