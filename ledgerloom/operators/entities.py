@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerloom.operators.running import running_sums
+
 #: The metadata of the native coin, and the decimals of every asset.
 NATIVE = {"name": "Native Ether", "symbol": "ETH", "decimals": 18}
 ASSET_DECIMALS = 18
@@ -206,7 +208,52 @@ def users(transfers: DataFrame) -> DataFrame:
     return sightings(transfers).groupBy("address").agg(F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"))
 
 
+def moves(transfers: DataFrame, *columns: str) -> DataFrame:
+    """(token, holder, value, and the columns): a transfer as what its receiver gets and its sender gives."""
+    sides = F.array(F.struct(F.col("to_address").alias("holder"), F.col("value")), F.struct(F.col("from_address").alias("holder"), (-F.col("value")).alias("value")))
+    return transfers.select("token", *columns, F.explode(sides).alias("m")).select("token", "m.holder", "m.value", *columns)
+
+
 def balances(transfers: DataFrame) -> DataFrame:
     """(token, holder, balance) from transfers in and out."""
-    moves = F.explode(F.array(F.struct(F.col("to_address").alias("holder"), F.col("value")), F.struct(F.col("from_address").alias("holder"), (-F.col("value")).alias("value")))).alias("m")
-    return transfers.select("token", moves).groupBy("token", "m.holder").agg(F.sum("m.value").alias("balance"))
+    return moves(transfers).groupBy("token", "holder").agg(F.sum("value").alias("balance"))
+
+
+def portfolios(transfers: DataFrame) -> DataFrame:
+    """Per holder and token: the balance, and when the holder first and last had to do with the token."""
+    return moves(transfers, "ts").groupBy("holder", "token").agg(F.sum("value").alias("balance"), F.min("ts").alias("first_interacted"), F.max("ts").alias("last_interacted"))
+
+
+def cumulated_fees(fees: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+    """Totals per (pool, beneficiary) of fees (fee0, fee1: decimal text), added to those of earlier batches."""
+    from ledgerloom.functions.words import sum_u256
+
+    new = fees.select("pool", "beneficiary", F.col("fee0").alias("token0_fees"), F.col("fee1").alias("token1_fees"))
+    both = new if totals is None else totals.select(new.columns).unionByName(new)
+    return both.groupBy("pool", "beneficiary").agg(*[sum_u256(F.col(c)).alias(c) for c in ("token0_fees", "token1_fees")])
+
+
+def holder_turns(transfers: DataFrame, at: str, bucket: int) -> DataFrame:
+    """(token, at, turns): by how much the number of a token's holders changes at each value of `at` (a block, a day) that moves it.
+
+    Moves are summed per (token, holder, at); running balances cross zero upwards (a holder more) or downwards (one less). They run by
+    buckets of `at`: a holder with most of a token's moves is not ordered in one task.
+    """
+    steps = moves(transfers, at).groupBy("token", "holder", at).agg(F.sum("value").alias("_step"))
+    held = running_sums(steps, ["token", "holder"], at, {"_balance": F.col("_step")}, bucket)
+    turn = (F.col("_balance") > 0).cast("long") - (F.col("_balance") - F.col("_step") > 0).cast("long")
+    return held.groupBy("token", at).agg(F.sum(turn).alias("turns"))
+
+
+def holder_counts(transfers: DataFrame, at: str, bucket: int) -> DataFrame:
+    """(token, at, holder_count): how many hold a token after each value of `at` at which their number changes."""
+    turns = holder_turns(transfers, at, bucket).filter("turns <> 0")
+    return running_sums(turns, ["token"], at, {"holder_count": F.col("turns")}, bucket).select("token", at, "holder_count")
+
+
+def token_metrics(transfers: DataFrame, seconds: int = 86_400, bucket: int = 64) -> DataFrame:
+    """Per token and day (of `seconds`) with transfers: their number and volume, and the number of holders at its end."""
+    rows = transfers.withColumn("day", F.floor(F.col("ts") / seconds))
+    daily = rows.groupBy("token", "day").agg(F.count(F.lit(1)).alias("transfers"), F.sum("value").alias("volume"))
+    both = daily.join(holder_turns(rows, "day", bucket), ["token", "day"], "left")
+    return running_sums(both, ["token"], "day", {"holder_count": F.col("turns")}, bucket).drop("turns")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.operators.ohlc import latest_state
+from ledgerloom.operators.running import next_values
 
 
 def first_wins(target: DataFrame, incoming: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -104,13 +105,10 @@ def record_progress(progress: DataFrame, finished: DataFrame) -> DataFrame:
     return overwrite(progress, last, ["handler", "range_start"], ["range_end"])
 
 
-def completion_watermark(done: DataFrame, key: str = "handler", index: str = "range_index") -> DataFrame:
-    """Per handler the last range before its first hole, by islands of consecutive ranges."""
-    from pyspark.sql import Window
-
-    order = Window.partitionBy(key).orderBy(index)
-    island = done.select(key, index).distinct().withColumn("_i", F.col(index) - F.row_number().over(order))
-    return island.groupBy(key, "_i").agg(F.max(index).alias("last")).groupBy(key).agg(F.min("last").alias("complete_to"))
+def completion_watermark(done: DataFrame, key: str = "handler", index: str = "range_index", bucket: int = 10_000) -> DataFrame:
+    """Per handler the last range before its first hole: the least one whose successor is not the next number, by buckets of ranges."""
+    steps = next_values(done.select(key, index).distinct(), [key], index, "_next", bucket)
+    return steps.filter(F.col("_next").isNull() | (F.col("_next") > F.col(index) + 1)).groupBy(key).agg(F.min(index).alias("complete_to"))
 
 
 def completeness(rows: DataFrame, index: str, size: int) -> DataFrame:
@@ -134,7 +132,9 @@ def gaps(present: DataFrame, index: str, bucket: int = 100_000) -> DataFrame:
     return inside.unionByName(across).select((F.col("i") + 1).alias("first"), (F.col("next") - 1).alias("last"))
 
 
-def missing_ranges(done: DataFrame, first: Column | int, last: Column | int, step: int, key: str = "handler") -> DataFrame:
-    """(key, range_index) between first and last that are not done."""
-    want = done.select(key).distinct().withColumn("range_index", F.explode(F.sequence(F.lit(first), F.lit(last), F.lit(step))))
+def missing_ranges(done: DataFrame, first: int, last: int, step: int, key: str = "handler") -> DataFrame:
+    """(key, range_index) between first and last that are not done. The ranges are rows of their own, dealt to tasks, before keys meet them."""
+    ranges = done.sparkSession.range(first, last + 1, step).withColumnRenamed("id", "range_index")
+    keys = done.select(key).distinct()  # handlers: configuration
+    want = ranges.crossJoin(F.broadcast(keys.agg(F.collect_list(key).alias("_keys")))).select(F.explode("_keys").alias(key), "range_index")
     return want.join(done.select(key, "range_index"), [key, "range_index"], "left_anti")

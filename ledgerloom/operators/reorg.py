@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 DEPTH = 128
 
@@ -76,6 +79,35 @@ def roll_back(target: DataFrame, images: DataFrame, orphaned: DataFrame, keys: l
     return kept.unionByName(back)
 
 
+def recompute(spark: SparkSession, path: str, rows: DataFrame, orphaned: DataFrame, derive: Callable[[DataFrame], DataFrame], *, size: int = 10_000, behind: int = 0, ahead: int = 0) -> list[int]:
+    """Bring a derived table up to date after a reorganisation, by rewriting its block ranges that the orphaned blocks touch.
+
+    path: the derived table as scan.write_ranges lays it out in ranges of `size` blocks; rows: what it is derived from, without the
+    orphaned blocks' rows and with those that took their place; derive: rows -> derived rows, with the same block column. A derived row
+    may depend on rows up to `behind` blocks before its own and `ahead` blocks after it: ranges that far away are rewritten too, and
+    their neighbours are read along. Ranges whose new content is empty go. Files of other ranges stay as they are. Returns the ranges
+    that were rewritten: they are as many as a reorganisation reaches, a few.
+    """
+    from ledgerloom.sources.scan import BUCKET, block_of
+
+    number = F.col("number")
+    touched = F.sequence(F.floor((number - ahead) / size), F.floor((number + behind) / size))
+    ranges = sorted(r[0] for r in orphaned.select(F.explode(touched).alias("r")).distinct().collect() if r[0] >= 0)
+    if not ranges:
+        return []
+    own = F.col(block_of(rows))
+    needed = [own.between(r * size - behind, (r + 1) * size - 1 + ahead) for r in ranges]
+    made = derive(rows.filter(reduce(Column.__or__, needed)))
+    made = made.withColumn(BUCKET, F.floor(F.col(block_of(made)) / size)).filter(F.col(BUCKET).isin(ranges))
+    made.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
+    filled = {r[0] for r in made.select(BUCKET).distinct().collect()}
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    files = folder(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for r in set(ranges) - filled:
+        files.delete(folder(f"{path}/{BUCKET}={r}"), True)
+    return ranges
+
+
 def uncovered_deletes(tables: DataFrame, orphaned: DataFrame, images: DataFrame) -> DataFrame:
     """(table, block) pairs to delete by block because no image covers them."""
     names = tables.agg(F.collect_set("table").alias("t"))  # the tables of a schema: one row

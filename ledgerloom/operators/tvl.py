@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerloom.functions.fixedpoint import position_udf
 from ledgerloom.functions.words import sum_u256
+from ledgerloom.operators.running import next_values, running_sums
 from ledgerloom.operators.swaps import live_positions
 
 RANGE = ["pool", "tick_lower", "tick_upper"]
@@ -15,14 +16,15 @@ def current_tick_map(liquidity: DataFrame) -> DataFrame:
     return liquidity.groupBy(*RANGE).agg(F.sum("liquidity_delta").alias("liquidity")).filter("liquidity > 0")
 
 
-def validity(liquidity: DataFrame) -> DataFrame:
-    """Per pool and tick range: the net liquidity and the blocks [from_block, to_block) it holds for."""
+def validity(liquidity: DataFrame, bucket: int = 10_000) -> DataFrame:
+    """Per pool and tick range: the net liquidity and the blocks [from_block, to_block) it holds for.
+
+    A range's changes are summed per block, and then run through by buckets of blocks: a full range that holds most of a pool's
+    changes is as many tasks as there are buckets.
+    """
     steps = liquidity.groupBy(*RANGE, "block").agg(F.sum("liquidity_delta").alias("delta"))
-    order = Window.partitionBy(*RANGE).orderBy("block")
-    return steps.select(
-        *RANGE, F.col("block").alias("from_block"), F.lead("block").over(order).alias("to_block"),
-        F.sum("delta").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("liquidity"),
-    )
+    steps = next_values(running_sums(steps, RANGE, "block", {"liquidity": F.col("delta")}, bucket), RANGE, "block", "to_block", bucket)
+    return steps.select(*RANGE, F.col("block").alias("from_block"), "to_block", "liquidity")
 
 
 def tick_map(liquidity: DataFrame, targets: DataFrame, bucket: int = 1024) -> DataFrame:
@@ -114,10 +116,13 @@ def fill_state(state: DataFrame, tvl: DataFrame, snapshots: DataFrame) -> DataFr
 
     state: pool, block, price, tvl_usd, volume_24h, swaps_24h; snapshots: what fill_snapshots returned.
     """
-    from ledgerloom.operators.ohlc import rolling
+    from ledgerloom.operators.ohlc import DAY, rolling
 
     last = tvl.groupBy("pool").agg(F.max_by(F.struct("block", "tvl_usd", "bootstrap"), "block").alias("n")).select("pool", "n")
-    windows = rolling(snapshots).select("pool", F.col("block").alias("w_block"), "volume_24h", "swaps_24h", F.col("price_close").alias("w_price"))
+    # a pool's window ends at one block: of its snapshots only those of a day before that are looked at
+    ends = last.select("pool", F.col("n.block").alias("_block")).join(snapshots.select("pool", F.col("block").alias("_block"), F.col("ts").alias("_ts")), ["pool", "_block"])
+    near = snapshots.join(ends, "pool").filter((F.col("ts") <= F.col("_ts")) & (F.col("ts") > F.col("_ts") - DAY)).select(snapshots.columns)
+    windows = rolling(near).select("pool", F.col("block").alias("w_block"), "volume_24h", "swaps_24h", F.col("price_close").alias("w_price"))
     both = state.withColumn("s", F.struct(*[c for c in state.columns if c != "pool"])).select("pool", "s").join(last, "pool", "full_outer")
     both = both.join(windows, (both["pool"] == windows["pool"]) & (F.col("n.block") == F.col("w_block")), "left").drop(windows["pool"])
     take = F.col("n").isNotNull() & (F.col("s").isNull() | (F.col("n.block") >= F.col("s.block")))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerloom.functions import fixedpoint as fp, words
 from ledgerloom.operators import decode, discover, ohlc, reorg, swaps as S
 from ledgerloom.plans.base import query
-from ledgerloom.sources import fixtures as fx, scan
+from ledgerloom.sources import fixtures as fx, range_files, scan
 from ledgerloom.sources.fixtures import with_views
 from ledgerloom.sources.shared import cut, shared_dir
 from ledgerloom.streaming import streams
@@ -198,3 +198,32 @@ def d02(spark, sf):
     e = spark.read.parquet(f"{sf}/events.parquet").selectExpr("'coins' as collection", "user_id as address", "event_id as block_number", "event_type")
     both = discover.union_all(e.filter("event_type = 'click'"), e.filter("event_type = 'view'"))
     return discover.as_of(both, 1 << 40).select("collection", "address")
+
+
+RECHAINED = """s AS (SELECT * FROM v_swaps WHERE block % 53 <> 0 UNION ALL SELECT pool, block, ts, log_index, amount0_in * 2, amount1_in * 2, amount0_out * 2, amount1_out * 2 FROM v_swaps WHERE block % 53 = 0 AND block % 2 = 0)"""
+
+
+@query("l06_recomputed_ranges", with_views(f""", {RECHAINED} SELECT pool, block, count(*) AS swaps, sum(amount0_in)::BIGINT AS amount0_in, sum(amount1_out)::BIGINT AS amount1_out FROM s GROUP BY 1, 2""", "v_swaps"))
+def l06_recomputed(spark, sf):
+    """A derived table by block ranges after a reorganisation: blocks are orphaned, some of them come again with other swaps, and only
+    their ranges are rewritten; the result is that of a full rebuild (L6)."""
+    old, path = fx.swaps(spark, sf), f"{shared_dir(spark)}/derived-{uuid.uuid4().hex}"
+    derive = lambda rows: rows.groupBy("pool", "block").agg(F.count(F.lit(1)).alias("swaps"), F.sum("amount0_in").alias("amount0_in"), F.sum("amount1_out").alias("amount1_out")).withColumn("block_number", F.col("block"))
+    scan.write_ranges(derive(old), path, 8, "overwrite")
+    orphaned = old.filter("block % 53 = 0").select(F.col("block").alias("number")).distinct()
+    again = old.filter("block % 53 = 0 and block % 2 = 0").select("pool", "block", "ts", "log_index", *[(F.col(c) * 2).alias(c) for c in ("amount0_in", "amount1_in", "amount0_out", "amount1_out")])
+    now = reorg.retract(old, orphaned).unionByName(again).withColumn("block_number", F.col("block"))
+    reorg.recompute(spark, path, now, orphaned, derive, size=8)
+    return spark.read.parquet(path).select("pool", "block", "swaps", "amount0_in", "amount1_out")
+
+
+@query("a06_range_files", """SELECT event_id, event_type AS event_name FROM events WHERE user_id % 3 = 1 AND event_type IN ('click', 'view') AND event_id // 10 >= (SELECT max(event_id) FROM events) // 10 // 4 AND event_id // 10 < (SELECT max(event_id) FROM events) // 10 // 2""")
+def a06_files(spark, sf):
+    """Events in range files by source and name, read for a half-open range: only overlapping files of those names are opened."""
+    e = spark.read.parquet(f"{sf}/events.parquet")
+    top = e.agg(F.max("event_id")).first()[0] // 10
+    path = f"{shared_dir(spark)}/events-{uuid.uuid4().hex}"
+    range_files.write_range_files(e.selectExpr("event_id div 10 as block_number", "event_id", "concat('src', user_id % 3) as source_name", "event_type as event_name"), path, max(1, top // 16))
+    range_files.register(spark)
+    rows = spark.read.format("block_ranges").load(path)
+    return rows.filter((F.col("source_name") == "src1") & F.col("event_name").isin("click", "view") & (F.col("block_number") >= top // 4) & (F.col("block_number") < top // 2)).select("event_id", "event_name")

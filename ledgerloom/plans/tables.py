@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerloom.operators import entities, merge, ohlc
+from ledgerloom.operators.running import running_sums
 from ledgerloom.plans.base import query
 from ledgerloom.plans.market import _ohlc, market
 from ledgerloom.sources import fixtures as fx
@@ -83,7 +84,7 @@ def k06_k13(spark, sf):
 @query("k11_checkpoint_totals", with_views(""", r AS (SELECT *, sum(amount0_in) OVER (PARTITION BY pool ORDER BY block, log_index ROWS UNBOUNDED PRECEDING)::BIGINT AS total FROM v_swaps)
 SELECT pool, arg_max(total, (block, log_index)) AS total, max(block) AS block, max((block, log_index))[2] AS log_index FROM r GROUP BY pool""", "v_swaps"))
 def k11(spark, sf):
-    s = fx.swaps(spark, sf).selectExpr("pool", "block", "log_index", "sum(amount0_in) over (partition by pool order by block, log_index rows unbounded preceding) as total")
+    s = running_sums(fx.swaps(spark, sf), ["pool"], "block", {"total": F.col("amount0_in")}, 16, ("log_index",)).select("pool", "block", "log_index", "total")
     return merge.checkpoint_totals(s, ["pool"], ["total"])
 
 
@@ -166,10 +167,55 @@ def m10b(spark, sf):
     return entities.balances(fx.transfers(spark, sf)).filter("balance > 0").groupBy("token").agg(F.count(F.lit(1)).alias("holders"))
 
 
-@query("m07_multi_key_sort", "SELECT * FROM customer")
+@query("m07_multi_key_sort", "SELECT *, row_number() OVER (ORDER BY c_nationkey, c_acctbal DESC, c_custkey) - 1 AS place FROM customer")
 def m07(spark, sf):
-    c = spark.read.parquet(f"{sf}/customer.parquet")
-    return c.orderBy("c_nationkey", F.desc("c_acctbal"), "c_custkey")
+    """A sorted table with each row's place in it: rows come sorted by range, and are numbered within their partition and by its offset."""
+    from ledgerloom.sources.shared import cut
+
+    c = spark.read.parquet(f"{sf}/customer.parquet").orderBy("c_nationkey", F.desc("c_acctbal"), "c_custkey")
+    c = cut(c.withColumn("_id", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_id", 33))
+    sizes = c.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    offset = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before")
+    placed = c.join(sizes.select("_part", offset), "_part").withColumn("place", F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
+    return placed.drop("_id", "_part", "_before").orderBy("place")
+
+
+DAILY = """v_days AS (SELECT token, day, holder, sum(value)::BIGINT AS value FROM (SELECT token, ts // 86400 AS day, to_address AS holder, value FROM v_transfers
+  UNION ALL SELECT token, ts // 86400, from_address, -value FROM v_transfers) GROUP BY 1, 2, 3),
+v_held AS (SELECT token, day, holder, sum(value) OVER (PARTITION BY token, holder ORDER BY day) > 0 AS held FROM v_days),
+v_turns AS (SELECT token, day, held::INTEGER - coalesce(lag(held::INTEGER) OVER (PARTITION BY token, holder ORDER BY day), 0) AS turn FROM v_held),
+v_tokens AS (SELECT token, day, sum(turn) AS turns FROM v_turns GROUP BY 1, 2)"""
+
+
+@query("m10_token_metrics", with_views(f""", {DAILY}, v AS (SELECT token, ts // 86400 AS day, count(*) AS transfers, sum(value)::BIGINT AS volume FROM v_transfers GROUP BY 1, 2)
+SELECT token, day, transfers, volume, (sum(coalesce(turns, 0)) OVER (PARTITION BY token ORDER BY day))::BIGINT AS holder_count FROM v LEFT JOIN v_tokens USING (token, day)""", "v_transfers"))
+def m10_metrics(spark, sf):
+    """Per token and day: transfers, volume and how many hold the token at the day's end."""
+    return entities.token_metrics(fx.transfers(spark, sf))
+
+
+@query("m10_holders_by_block", with_views(""", m AS (SELECT token, block, holder, sum(value)::BIGINT AS value FROM (SELECT token, block, to_address AS holder, value FROM v_transfers
+  UNION ALL SELECT token, block, from_address, -value FROM v_transfers) GROUP BY 1, 2, 3),
+h AS (SELECT token, block, holder, sum(value) OVER (PARTITION BY token, holder ORDER BY block) > 0 AS held FROM m),
+t AS (SELECT token, block, sum(held::INTEGER - coalesce(before::INTEGER, 0)) AS turns FROM (SELECT *, lag(held) OVER (PARTITION BY token, holder ORDER BY block) AS before FROM h) GROUP BY 1, 2)
+SELECT token, block, (sum(turns) OVER (PARTITION BY token ORDER BY block))::BIGINT AS holder_count FROM t WHERE turns <> 0""", "v_transfers"))
+def m10_by_block(spark, sf):
+    """The number of holders of a token at each block where it changes."""
+    return entities.holder_counts(fx.transfers(spark, sf), "block", 16)
+
+
+@query("m10_portfolios", with_views(""", m AS (SELECT token, to_address AS holder, value, ts FROM v_transfers UNION ALL SELECT token, from_address, -value, ts FROM v_transfers)
+SELECT holder, token, sum(value)::BIGINT AS balance, min(ts) AS first_interacted, max(ts) AS last_interacted FROM m GROUP BY 1, 2""", "v_transfers"))
+def m10_portfolios(spark, sf):
+    return entities.portfolios(fx.transfers(spark, sf))
+
+
+@query("m10_cumulated_fees", with_views(""", f AS (SELECT pool, log_index % 3 AS beneficiary, (amount0_in * 3) // 1000 AS fee0, (amount1_in * 3) // 1000 AS fee1 FROM v_swaps)
+SELECT pool, beneficiary, sum(fee0)::BIGINT::VARCHAR AS token0_fees, sum(fee1)::BIGINT::VARCHAR AS token1_fees FROM f GROUP BY 1, 2""", "v_swaps"))
+def m10_fees(spark, sf):
+    """Fees of pools by beneficiary, batch by batch into a table of totals."""
+    f = fx.swaps(spark, sf).selectExpr("pool", "block", "log_index % 3 as beneficiary", "cast(amount0_in * 3 div 1000 as string) as fee0", "cast(amount1_in * 3 div 1000 as string) as fee1")
+    return entities.cumulated_fees(f.filter("block % 2 = 1"), entities.cumulated_fees(f.filter("block % 2 = 0")))
 
 
 @query("m10_token_tables", """WITH f AS (SELECT p_partkey % 150 AS token, count(*) AS pools, min(p_partkey % 500) AS first_block FROM part GROUP BY 1),
