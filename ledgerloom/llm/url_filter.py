@@ -2,8 +2,9 @@
 
 1. Segments that look variable (digits, hex, long ids) become `*`: a raw template.
    Pages are counted by (host, raw template) first; all later steps work on that far smaller table.
-2. Level by level, as deep as the paths go, sibling branches whose labelled rates do not differ (two-proportion z test
-   against the rest of their parent) are merged into one wildcard branch.
+2. From the root down, as deep as the paths go, sibling branches whose labelled rates do not differ (two-proportion z test
+   against the rest of their parent) are merged into one wildcard branch. The tree is a radix tree: a run of levels that hold one
+   branch only is taken in one step, so there are as many rounds as levels that branch, however long the paths.
 3. Rare children of a node with many are merged too while they have too few labels for that test.
 4. A template is rejected when its smoothed share of bad labels passes a threshold.
 
@@ -14,16 +15,18 @@ ones among the documents that hold it; a page most of whose text is such lines i
 
 Defined cases: a null URL or one without `://` has empty host and path, no rule, and the method's
 verdict for the empty host; null labels do not count; repeated rows each count; an empty table gives none;
-other columns of the input are ignored, whatever their names; a page without a key has no label.
+other columns of the input are ignored, whatever their names; a page without a key has no label; very long URLs are
+branches like any other.
 """
 
 from __future__ import annotations
 
+import uuid
 from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerloom.llm.common import cut
+from ledgerloom.llm.common import cut, shared_dir
 
 #: (verdict, host, path): a rule fits its host and all subdomains.
 RULES = (
@@ -64,9 +67,30 @@ def raw_template(path: Column) -> Column:
     return F.transform(segments, lambda s: F.regexp_replace(s, variable, "*$1"))
 
 
-def _step(tree: DataFrame, depth: int, min_children: int, min_share: float, z: float) -> DataFrame:
-    """tree (host, raw, n, good, bad, node), the node of level depth - 1 -> with the node of level depth."""
-    tree = tree.withColumn("level", F.get(F.col("raw"), F.lit(depth - 1)))
+def _along(tree: DataFrame) -> DataFrame:
+    """tree (host, raw, n, good, bad, node, depth) -> every path moved on to where its node's paths part, and whether it is done.
+
+    All paths of a node are compared with a longest one of it. Where they first part from it they first part at all: up to there each
+    level has one branch, which nothing can be merged with. A path that ends before that is done there.
+    """
+    longest = tree.groupBy("host", "node").agg(F.max_by("raw", F.struct(F.size("raw"), "raw")).alias("m"))
+    rest = lambda c: F.slice(c, F.col("depth") + 1, F.greatest(F.size(c) - F.col("depth"), F.lit(0)))
+    parts = F.zip_with(rest("raw"), rest("m"), lambda x, y: F.coalesce(x != y, F.lit(False)))
+    at = F.array_position(parts, F.lit(True))
+    apart = tree.join(longest, ["host", "node"]).withColumn("at", F.when(at > 0, (at - 1).cast("int"))).drop("m")
+    chain = apart.groupBy("host", "node").agg(F.min("at").alias("chain"))
+    moved = apart.drop("at").join(chain, ["host", "node"])
+    left = F.size("raw") - F.col("depth")
+    steps = F.least(left, F.coalesce("chain", left))
+    taken = F.array_join(F.slice("raw", F.col("depth") + 1, steps), "/")
+    node = F.when(steps > 0, F.concat("node", F.lit("/"), taken)).otherwise(F.col("node"))
+    over = F.col("chain").isNull() | (left < F.col("chain"))
+    return moved.select("host", "raw", "n", "good", "bad", node.alias("node"), (F.col("depth") + steps).cast("int").alias("depth"), over.alias("over"))
+
+
+def _step(tree: DataFrame, min_children: int, min_share: float, z: float) -> DataFrame:
+    """tree (host, raw, n, good, bad, node, depth) -> the same a level further down, and whether the path was at its end."""
+    tree = tree.withColumn("level", F.get(F.col("raw"), F.col("depth")))
     child = cut(tree.groupBy("host", "node", "level").agg(*[F.sum(c).alias(c) for c in ("n", "good", "bad")]))
     sums = [F.sum(c).alias(f"all_{c}") for c in ("n", "good", "bad")]
     parent = child.groupBy("host", "node").agg(*sums, F.count("level").alias("width"))
@@ -82,28 +106,27 @@ def _step(tree: DataFrame, depth: int, min_children: int, min_share: float, z: f
     name = F.when(F.col("level").isNull(), F.lit("")).when(alike | (rare & (mine < FEW_LABELS)), F.lit("/*")).otherwise(F.concat(F.lit("/"), F.col("level")))
     child = child.select("host", "node", "level", name.alias("step"))
     same = (F.col("t.host") == F.col("c.host")) & (F.col("t.node") == F.col("c.node")) & F.col("t.level").eqNullSafe(F.col("c.level"))
-    return tree.alias("t").join(child.alias("c"), same).select("t.host", "t.raw", "t.n", "t.good", "t.bad", F.concat("t.node", "c.step").alias("node"))
+    columns = ["t.host", "t.raw", "t.n", "t.good", "t.bad", F.concat("t.node", "c.step").alias("node"), (F.col("t.depth") + 1).alias("depth")]
+    return tree.alias("t").join(child.alias("c"), same).select(*columns, F.col("t.level").isNull().alias("over"))
 
 
 def template_verdicts(counts: DataFrame, min_children: int, min_share: float, z: float, strength: float, threshold: float) -> DataFrame:
     """(host, raw, n, good, bad), written, one row per (host, raw) -> (host, raw, template, purity, rejected)."""
+    spark, path = counts.sparkSession, f"{shared_dir(counts.sparkSession)}/templates-{uuid.uuid4().hex}"
     columns = ["host", "raw", "n", "good", "bad", "node"]
-    tree = counts.withColumn("node", F.lit(""))
-    done = None
-    for depth in count(1):
-        # a path is done at its end, and where it is the only one of its node: there is nothing left to merge it with
-        alone = tree.groupBy("host", "node").agg((F.count(F.lit(1)) == 1).alias("alone"))
-        here = cut(tree.join(alone, ["host", "node"]).withColumn("over", F.col("alone") | (F.size("raw") < depth)).select(*columns, "alone", "over"))
-        rest = F.concat(F.lit("/"), F.array_join(F.slice("raw", depth, F.greatest(F.size("raw") - depth + 1, F.lit(0))), "/"))
-        last = here.filter("over").withColumn("node", F.when(F.size("raw") < depth, F.col("node")).otherwise(F.concat("node", rest)))
-        done = last.select(*columns) if done is None else done.unionByName(last.select(*columns))
-        # ended paths count as siblings of those that go on, so a node is taken as a whole
-        open_ = here.filter("not alone")
-        if here.filter("not over").isEmpty():
+    tree = counts.withColumn("node", F.lit("")).withColumn("depth", F.lit(0))
+    for turn in count():
+        here = cut(_along(tree))
+        here.filter("over").select(*columns).write.parquet(f"{path}/turn={2 * turn}")
+        # a path that ends where others part counts as their sibling, so the node is taken as a whole
+        open_ = here.filter("not over").drop("over")
+        if open_.isEmpty():
             break
-        tree = cut(_step(open_.select(*columns), depth, min_children, min_share, z).filter(F.size("raw") >= depth))
+        here = cut(_step(open_, min_children, min_share, z))
+        here.filter("over").select(*columns).write.parquet(f"{path}/turn={2 * turn + 1}")
+        tree = here.filter("not over").drop("over")
+    tree = spark.read.schema(here.select(*columns).schema).option("basePath", path).parquet(path)
     prior = counts.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 1.0) / (F.coalesce(F.sum("good") + F.sum("bad"), F.lit(0)) + 2.0)).alias("prior"))
-    tree = cut(done)
     leaf = tree.groupBy("host", "node").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).join(F.broadcast(prior))
     purity = (F.col("bad") + strength * F.col("prior")) / (F.col("good") + F.col("bad") + strength)
     leaf = leaf.select("host", "node", purity.alias("purity"), (purity > threshold).alias("rejected"))
@@ -148,7 +171,7 @@ def filter_urls(
 ) -> DataFrame:
     """Judge every row of pages (key, url). labels: (key, bad boolean), at most one row per key is used.
 
-    Returns key, host, path, rule, template, purity, verdict.
+    Returns key, host, path, rule, verdict, template, purity.
     """
     host, path = host_and_path(F.col("url"))
     urls = pages.select(F.col(key).alias("page"), host.alias("host"), path.alias("path")).withColumn("raw", raw_template(F.col("path")))
@@ -163,7 +186,7 @@ def filter_urls(
     return (
         urls.join(verdicts, ["host", "raw"], "left")
         .select(
-            F.col("page").alias(key), "host", "path", rule.alias("rule"), "template", "purity",
-            F.coalesce(decided, F.when(F.col("rejected"), "block").otherwise("allow")).alias("verdict"),
+            F.col("page").alias(key), "host", "path", rule.alias("rule"),
+            F.coalesce(decided, F.when(F.col("rejected"), "block").otherwise("allow")).alias("verdict"), "template", "purity",
         )
     )

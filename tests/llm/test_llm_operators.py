@@ -2,6 +2,7 @@
 
 import math
 import re
+import time
 import zlib
 from fractions import Fraction
 
@@ -501,6 +502,28 @@ def test_url_tree_equals_brute_force(spark):
     assert {v for _, v in got.values()} == {"block", "allow"}
 
 
+def test_url_chains_and_traps_take_few_rounds(spark, monkeypatch):
+    """500 shared levels and three pages; a trap with a page on each of 300 levels; both as brute force has them, in a few rounds."""
+    deep = "/".join(f"f{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(500))
+    urls = [f"http://x.org/{deep}", f"http://x.org/{deep}/a", f"http://x.org/{deep}/b"]
+    urls += ["http://trap.org/" + "/".join(["calendar"] + ["next"] * i) for i in range(300)] + ["http://trap.org/calendar/next/next/other/end"]
+    urls += ["http://short.org", "http://short.org/", "http://short.org//x", "http://short.org/a/", "http://short.org/a"]
+    rows = [(i, u, [None, True, False][i % 3]) for i, u in enumerate(urls)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, bad boolean")
+    rounds, step = [], url_filter._step
+    monkeypatch.setattr(url_filter, "_step", lambda *a: rounds.append(1) or step(*a))
+    begin = time.time()
+    got = {r["page_id"]: r["template"] for r in url_filter.filter_urls(pages, pages.select("page_id", "bad").filter("bad is not null")).collect()}
+    assert time.time() - begin < 60 and len(rounds) <= 4
+    raws = {r["page_id"]: (r["h"], tuple(r["raw"])) for r in pages.select("page_id", url_filter.host_and_path(F.col("url"))[0].alias("h"), url_filter.raw_template(url_filter.host_and_path(F.col("url"))[1]).alias("raw")).collect()}
+    counts = {}
+    for i, _, bad in rows:
+        c = counts.setdefault(raws[i], [0, 0, 0])
+        c[:] = [c[0] + 1, c[1] + (bad is False), c[2] + (bad is True)]
+    want = brute_templates(counts)
+    assert got == {i: want[raws[i]][0] for i in got}
+
+
 def test_pages_get_the_labels_of_their_text(spark):
     d = docs(spark, ["bad line one\nbad line  two\nshared", "good line\nshared\nother & more", None, "unlabelled line"])
     marks = spark.createDataFrame([(0, True), (1, False), (2, True), (7, True)], "doc_id long, bad boolean")
