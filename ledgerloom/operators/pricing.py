@@ -143,6 +143,15 @@ def hops_to(edges: DataFrame, anchors: DataFrame, max_hops: int) -> DataFrame:
     return spark.read.schema(f"token {kind.simpleString()}, away int").parquet(path)
 
 
+def downhill(edges: DataFrame, anchors: DataFrame, max_hops: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b, weight, pool) of the pools that come a hop nearer to an anchor, the best of each pair, and (token, away). Written."""
+    both = cut(undirected(edges).groupBy("a", "b").agg(F.max_by(F.struct("weight", "pool"), F.struct("weight", -F.col("pool"))).alias("e")).select("a", "b", "e.weight", "e.pool"))
+    away = cut(hops_to(both.select("a", "b"), anchors, max_hops))
+    side = lambda c: away.select(F.col("token").alias(c), F.col("away").alias(f"away_{c}"))
+    down = both.join(side("a"), "a").join(side("b"), "b").filter("away_b = away_a - 1")
+    return cut(down.select("a", "b", "weight", F.col("pool").cast("bigint").alias("pool"))), away
+
+
 def best_paths(edges: DataFrame, targets: DataFrame, anchors: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
     """(target, anchor, bottleneck, hops, path): for each target token the pools to an anchor at the first hop that meets one,
     with the greatest bottleneck weight; ties by the smaller anchor and path.
@@ -151,10 +160,7 @@ def best_paths(edges: DataFrame, targets: DataFrame, anchors: DataFrame, max_hop
     first hop possible comes a hop nearer with every pool, so only such pools are followed: the targets advance together along
     them, one join per hop, and of the ways to one token only the best stays. Targets out of reach never start.
     """
-    both = cut(undirected(edges).groupBy("a", "b").agg(F.max_by(F.struct("weight", "pool"), F.struct("weight", -F.col("pool"))).alias("e")).select("a", "b", "e.weight", "e.pool"))
-    away = cut(hops_to(both.select("a", "b"), anchors, max_hops))
-    side = lambda c: away.select(F.col("token").alias(c), F.col("away").alias(f"away_{c}"))
-    down = cut(both.join(side("a"), "a").join(side("b"), "b").filter("away_b = away_a - 1").select("a", "b", "weight", F.col("pool").cast("bigint").alias("pool")))
+    down, away = downhill(edges, anchors, max_hops)
     state = targets.select("token").distinct().join(away, "token").filter("away > 0").select(
         F.col("token").alias("target"), F.col("token").alias("at"), F.col("away").alias("hops"), F.lit(None).cast("bigint").alias("bottleneck"), F.array().cast("array<bigint>").alias("path"))
     found = None
@@ -200,3 +206,37 @@ def drop_broken(cache: DataFrame, pools: DataFrame) -> DataFrame:
     """Cached paths all of whose pools still exist."""
     broken = cache.select("target", F.explode("path").alias("pool")).join(pools.select("pool"), "pool", "left_anti").select("target").distinct()
     return cache.join(broken, "target", "left_anti")
+
+
+def touched_targets(old: DataFrame, new: DataFrame, anchors: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
+    """(token): those whose best path may differ between two states of the pools (edges as best_paths takes them).
+
+    A token's result is decided by the pools that lead downhill from it. So it is touched where such a pool came, went, or changed its
+    weight, or where downhill pools, of either state, lead from it to a token with that. The search goes uphill from the changes,
+    a join a hop, and sees nothing else of the graph.
+    """
+    (was, _), (is_, _) = downhill(old, anchors, max_hops), downhill(new, anchors, max_hops)
+    changed = was.exceptAll(is_).unionByName(is_.exceptAll(was)).select(F.col("a").alias("token")).distinct()
+    uphill = cut(was.unionByName(is_).select("a", "b").distinct())
+    found = front = cut(changed)
+    for _ in range(max_hops - 1):
+        front = cut(uphill.join(front.withColumnRenamed("token", "b"), "b").select(F.col("a").alias("token")).distinct().join(found, "token", "left_anti"))
+        found = cut(found.unionByName(front))
+    return found
+
+
+def update_paths(cache: DataFrame, old: DataFrame, new: DataFrame, targets: DataFrame, anchors: DataFrame, block: int, max_hops: int = MAX_HOPS) -> DataFrame:
+    """The path cache (target, anchor, bottleneck, hops, path, resolved_block) after the pools went from old to new by `block`.
+
+    Solved again are only targets that the change touches, that the cache does not hold, or whose entry has grown old (fresh_paths).
+    What has no path is kept as an entry without one, and is not looked for again until it is touched or old. Entries of tokens that
+    are no longer targets go.
+    """
+    wanted = targets.select(F.col("token").alias("target")).distinct()
+    held = cache.join(wanted, "target", "left_semi")
+    touched = touched_targets(old, new, anchors, max_hops).select(F.col("token").alias("target"))
+    kept = cut(fresh_paths(held, block).join(touched, "target", "left_anti"))
+    open_ = cut(wanted.join(kept.select("target"), "target", "left_anti"))
+    solved = best_paths(new, open_.select(F.col("target").alias("token")), anchors, max_hops)
+    entries = open_.join(solved, "target", "left").withColumn("resolved_block", F.lit(block).cast(cache.schema["resolved_block"].dataType))
+    return kept.unionByName(entries.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in cache.schema]))

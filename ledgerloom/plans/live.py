@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.plans.base import query
 from ledgerloom.sources.shared import shared_dir
-from ledgerloom.streaming import keyed, streams
+from ledgerloom.streaming import derive, keyed, streams
 
 #: The files that a stream comes in, a share of the events each by their numbers, in the order in which they come.
 PARTS = (1, 0, 3, 2)
@@ -132,3 +132,40 @@ def e03(spark, sf):
     """Calls that fall due a day after the one before, over blocks whose files come out of order."""
     rows = spark.read.parquet(f"{sf}/events.parquet").selectExpr("event_id", "user_id as key", "event_id as number", "unix_timestamp(ts) as ts", "cast(ts as timestamp) as time")
     return streams.drain(keyed.throttled(_arriving(spark, rows), 86_400, late="30 days"))
+
+
+def _pools_and_states() -> list[derive.Derivation]:
+    """Pools by their first swap, and their latest state, which looks its pool's first block up."""
+
+    def pools(t: dict) -> dict:
+        return {"pools": t["swaps"].groupBy("pool").agg(F.min("block").alias("created_block"), F.min_by("price", "block").alias("first_price"))}
+
+    def states(t: dict) -> dict:
+        last = t["swaps"].groupBy("pool").agg(F.max_by(F.struct("block", "price"), "block").alias("s")).select("pool", "s.block", "s.price")
+        return {"pool_state": last.join(t["pools"], "pool").select("pool", "block", "price", (F.col("block") - F.col("created_block")).alias("age"))}
+
+    made = derive.Derivation("pools", ("swaps",), {"pools": derive.Output(("pool",), "created_block", "first", "created_block")}, pools)
+    return [derive.Derivation("states", ("swaps", "pools"), {"pool_state": derive.Output(("pool",), "block", "newest", "block")}, states), made]
+
+
+DERIVED = """SELECT user_id AS pool, max(event_id) AS block, arg_max(value, event_id) AS price, max(event_id) - min(event_id) AS age, min(event_id) AS created_block FROM events GROUP BY 1"""
+
+
+@query("t01_derivations", DERIVED)
+def t01(spark, sf):
+    """Two derivations, one of which reads the other's output, over whole tables."""
+    swaps = spark.read.parquet(f"{sf}/events.parquet").selectExpr("user_id as pool", "event_id as block", "value as price")
+    out = derive.run(_pools_and_states(), {"swaps": swaps})
+    return out["pool_state"].join(out["pools"].select("pool", "created_block"), "pool")
+
+
+@query("t01_stream_derivations", DERIVED)
+def t01_stream(spark, sf):
+    """The same derivations over a stream of several files in order of their blocks."""
+    rows = spark.read.parquet(f"{sf}/events.parquet").selectExpr("event_id", "user_id as pool", "event_id as block", "value as price", "cast(ts as timestamp) as time")
+    path, steps = f"{shared_dir(spark)}/derived-{uuid.uuid4().hex}", _pools_and_states()
+    write = derive.sink(steps, path, lambda batch: {"swaps": batch.filter("pool is not null").select("pool", "block", "price")})
+    stream = _arriving(spark, rows, (0, 1, 2, 3))
+    stream.writeStream.option("checkpointLocation", f"{path}-state").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
+    states, pools = steps
+    return derive.read(spark, path, states, "pool_state").join(derive.read(spark, path, pools, "pools").select("pool", "created_block"), "pool")

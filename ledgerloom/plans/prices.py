@@ -132,3 +132,15 @@ def i09(spark, sf):
     cache = spark.read.parquet(f"{sf}/part.parquet").selectExpr("p_partkey as target", "p_partkey * 1000 as resolved_block", "array(p_partkey % 7, p_partkey % 2) as path")
     pools = spark.range(7).filter("id <> 3").withColumnRenamed("id", "pool")
     return P.drop_broken(P.fresh_paths(cache, 400_000), pools).select("target")
+
+
+@query("i09_updated_cache", with_views(PATHS.replace("liquidity AS weight FROM v_edges", "w AS weight FROM n").replace("SELECT b, a, a * 100 + b, liquidity FROM v_edges", "SELECT b, a, a * 100 + b, w FROM n").replace(", g AS", """, n AS (SELECT a, b, CASE WHEN (a + b) % 7 = 3 THEN liquidity * 2 ELSE liquidity END AS w FROM v_edges WHERE (a * 3 + b) % 11 <> 5)
+, g AS""") + _hops() + """ SELECT t.target, anchor, bottleneck, f.hops, array_to_string(path, '-') AS path FROM (SELECT DISTINCT p_partkey % 40 AS target FROM part WHERE p_partkey % 40 > 0) t LEFT JOIN f USING (target)""", "v_edges"))
+def i09_updated(spark, sf):
+    """A cache of all tokens' paths, then pools that went and pools that grew: only what they touch is solved again, and all is as from scratch."""
+    old, anchor = _edges(spark, sf), spark.range(1).withColumnRenamed("id", "token")
+    tokens = spark.read.parquet(f"{sf}/part.parquet").selectExpr("p_partkey % 40 as token").distinct().filter("token > 0")
+    new = old.filter("(a * 3 + b) % 11 <> 5").withColumn("weight", F.when((F.col("a") + F.col("b")) % 7 == 3, F.col("weight") * 2).otherwise(F.col("weight")))
+    empty = spark.createDataFrame([], "target long, anchor long, bottleneck long, hops int, path array<bigint>, resolved_block long")
+    cache = P.update_paths(empty, old, old, tokens, anchor, 100)
+    return P.update_paths(cache, old, new, tokens, anchor, 200).select("target", "anchor", "bottleneck", "hops", F.array_join("path", "-").alias("path"))
