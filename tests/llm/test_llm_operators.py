@@ -655,3 +655,72 @@ def test_hot_buckets_are_held_together_without_comparison(monkeypatch):
     n, tables = 50, simhash.Tables(2, 18, 0.8)
     pairs = simhash.bucket_links(tables, np.zeros(n, np.int64), np.arange(n)[::-1].copy(), np.random.default_rng(0).integers(0, 1 << 62, (n, 4)).astype(np.uint64), np.zeros(n, np.uint16))
     assert sorted(map(tuple, pairs.tolist())) == [(0, i) for i in range(1, n)]
+
+
+def found_in(text):
+    return [(text[a:b], kind) for a, b, kind, _ in pii.entities(text)]
+
+
+def test_persons_are_known_throughout_their_text():
+    text = "Mr John Smith called. Smith said John Smith is fine; johnson and smith are not. DR. HOUSE met Ms. O'Brien and Frau Müller-Lüdenscheidt. O'Brien left, House stayed, Müller-Lüdenscheidt too."
+    assert found_in(text) == [
+        ("John", "given"), ("Smith", "surname"), ("Smith", "surname"), ("John", "given"), ("Smith", "surname"), ("HOUSE", "surname"), ("O'Brien", "surname"),
+        ("Müller-Lüdenscheidt", "surname"), ("O'Brien", "surname"), ("House", "surname"), ("Müller-Lüdenscheidt", "surname"),
+    ]
+    assert found_in("Smith and John went out.") == []
+
+
+def test_numbers_in_their_local_forms():
+    for mention, kind in {
+        "555-123-4567": "phone", "(212) 555-0199": "phone", "0049 30 123456": "phone", "+49 30 123456": "phone", "3782 822463 10005": "card", "4111 1111 1111 1111": "card",
+        "2001:db8::1": "ip6", "fe80:0:0:0:1:2:3:4": "ip6", "::1": "ip6", "DE89 3704 0044 0532 0130 00": "iban", "GB82WEST12345698765432": "iban",
+    }.items():
+        assert found_in(f"It is {mention}, they say.") == [(mention, kind)]
+    for clean in ("at 10:20:30", "std::vector", "DE00 3704 0044 0532 0130 00", "3782 822463 10006", "1-2-3", "2024-01-02 10:11", "a::b", "abc::def", "pages 100-200", "key::value"):
+        assert found_in(f"It is {clean}, they say.") == []
+
+
+def brute_persons(text):
+    """Titles and names by splitting words, with no pattern of the operator."""
+    words, titles = text.replace(".", " ").replace(",", " ").replace("\n", " ").split(" "), set(pii.TITLES) | {t.upper() for t in pii.TITLES}
+    words = [w for w in words if w]
+    names = set()
+    for i, w in enumerate(words):
+        if w in titles:
+            run = [x for x in words[i + 1 : i + 3]]
+            if run and run[0][:1].isupper() and len(run[0]) > 1:
+                names.add(run[0])
+                if len(run) > 1 and run[1][:1].isupper() and len(run[1]) > 1:
+                    names.add(run[1])
+    return names
+
+
+def test_surrogates_leave_no_named_person(spark):
+    """The same person everywhere, in the case of each mention, and the class of each kind of number."""
+    pick = np.random.default_rng(4)
+    people = [("Mr", "John", "Smith"), ("Frau", "Anna", "Müller-Lüdenscheidt"), ("Ms", "Mary", "O'Brien"), ("DR", "GREGORY", "HOUSE")]
+    texts = []
+    for _ in range(40):
+        title, given, last = people[int(pick.integers(0, 4))]
+        texts.append(f"{title} {given} {last} wrote. {last} and {given} left, said {given} {last}, in the street.")
+    texts += ["call 0049 30 123456 or +49 30 123456", "DE89 3704 0044 0532 0130 00 and DE89370400440532013000", "2001:db8::1 2001:0db8::0001"]
+    got = [r["text"] for r in pii.replace_entities(docs(spark, texts), secret="s").orderBy("doc_id").collect()]
+    for before, after in zip(texts[:40], got):
+        names = brute_persons(before)
+        assert names and not names & set(after.replace(",", " ").replace(".", " ").split(" "))
+        title, given, last = after.split(" ")[:3]
+        assert after == f"{title} {given} {last} wrote. {last} and {given} left, said {given} {last}, in the street."
+    a, b = got[40].split(" or ")
+    assert a.removeprefix("call 00") == b.removeprefix("+") and a[:7] == "call 00" and texts[40] != got[40]
+    a, b = got[41].split(" and ")
+    assert a.replace(" ", "") == b and pii.iban_check(b) == 1 and b[:2] == "DE" and b != "DE89370400440532013000"
+    a, b = got[42].split(" ")
+    assert a == b != "2001:db8::1" and a.count(":") == 3
+
+
+def test_number_surrogates_are_one_to_one():
+    key = b"k"
+    for kind, values in {"ip6": [f"2001:db8::{i:x}" for i in range(1, 200)], "iban": [f"DE{98 - pii.iban_check(f'DE00{i:018d}'):02d}{i:018d}" for i in range(300)]}.items():
+        made = {pii.surrogate(kind, v, key) for v in values}
+        assert len(made) == len(values) and not made & set(values)
+        assert all(pii._holds(kind, m) for m in made if any(c.isdigit() for c in m))
