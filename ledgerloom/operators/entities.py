@@ -96,7 +96,7 @@ def hook_state(creates: DataFrame, state: DataFrame, positions: DataFrame, benef
 
 def hook_creates(creates: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Hook pools (pools, configurations): creates (block_number, log_index, asset, numeraire, creator) with the state call of the same event:
-    the pool key, total_tokens_on_bonding_curve, doppler_hook, status, far_tick. The type is rehype where the state says so."""
+    the pool key, total_tokens_on_bonding_curve, hook_contract, status, far_tick. The type is rehype where the state says so."""
     from ledgerloom.operators.decode import pool_ids
 
     rows = creates.join(pool_ids(state), ["block_number", "log_index"]).withColumn("is_token_0", F.col("asset") < F.col("numeraire"))
@@ -105,7 +105,7 @@ def hook_creates(creates: DataFrame, state: DataFrame) -> tuple[DataFrame, DataF
         F.col("pool_id").alias("address"), F.col("asset").alias("base_token"), F.col("numeraire").alias("quote_token"), "is_token_0", kind.alias("type"), "fee",
         F.col("block_number").alias("created_block"), "creator",
     )
-    names = ("total_tokens_on_bonding_curve", "doppler_hook", "status", "far_tick", "is_token_0")
+    names = ("total_tokens_on_bonding_curve", "hook_contract", "status", "far_tick", "is_token_0")
     return pools, rows.select("pool_id", F.col("hooks").alias("hook_address"), "numeraire", *names)
 
 
@@ -198,6 +198,33 @@ def migrated_only(swaps: DataFrame, pools: DataFrame, kind: str | None = None) -
     return swaps.join(known.select(F.col("address").alias("pool")), "pool", "left_semi")
 
 
+#: The two events by which tokens tell of a transfer, and what their parameters are to it.
+TRANSFER_SHAPES = {
+    "Transfer(address indexed from, address indexed to, uint256 value)": {"from_address": "from", "to_address": "to", "value": "value"},
+    "CoinTransfer(address indexed sender, address indexed recipient, uint256 amount, uint256 senderBalance, uint256 recipientBalance)": {"from_address": "sender", "to_address": "recipient", "value": "amount"},
+}
+
+
+def transfers_of(logs: DataFrame) -> DataFrame:
+    """(token, block_number, log_index, ts, from_address, to_address, value) from raw logs of either shape.
+
+    Rows sent by a precompiled contract do not count; values are decimal text. logs: also block_timestamp.
+    """
+    from ledgerloom.functions.words import u256_text
+    from ledgerloom.operators.decode import decode_static, parse_event
+    from ledgerloom.operators.matching import not_precompiled
+
+    out = None
+    for signature, names in TRANSFER_SHAPES.items():
+        event = parse_event(signature)
+        own = logs.filter(F.get("topics", F.lit(0)) == F.unhex(F.lit(event["topic0"].hex())))
+        good, _ = decode_static(own, event)
+        rows = good.select(F.col("address").alias("token"), "block_number", "log_index", *[F.col(f"`{old}`").alias(new) for new, old in names.items()])
+        out = rows if out is None else out.unionByName(rows)
+    out = out.filter(not_precompiled("from_address", binary=True)).withColumn("value", u256_text("value"))
+    return out.join(logs.select("block_number", F.col("block_timestamp").alias("ts")).distinct(), "block_number")
+
+
 def sightings(transfers: DataFrame) -> DataFrame:
     """(address, ts): senders and receivers."""
     side = F.explode(F.array("from_address", "to_address")).alias("address")

@@ -69,10 +69,12 @@ def overlapping(ranges: DataFrame, from_block: int, to_block: int) -> DataFrame:
     return ranges.filter((F.col("end") >= from_block) & (F.col("start") < to_block))
 
 
-def not_precompiled(*columns: str) -> Column:
+def not_precompiled(*columns: str, binary: bool = False) -> Column:
+    """None of the columns is a precompiled contract's address, as a number or as its 20 bytes."""
+    known = [F.unhex(F.lit(f"{n:040x}")) if binary else n for n in PRECOMPILES]
     keep = F.lit(True)
     for c in columns:
-        keep = keep & ~F.col(c).isin(*PRECOMPILES)
+        keep = keep & ~F.col(c).isin(*known)
     return keep
 
 

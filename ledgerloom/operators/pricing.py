@@ -21,6 +21,15 @@ def oracle_price(calls: DataFrame, decimals: int = 8) -> DataFrame:
     return best.select("target", "block_number", (F.col("answer").cast("double") / F.lit(10.0**decimals)).alias("price"))
 
 
+def oracle_rows(answers: DataFrame, feeds: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Price rows (token, quote, block, ts, price) of oracle answers as they are kept: in US dollars, whose address is zero.
+
+    answers: what oracle_price returned; feeds: target, token; blocks: number, ts.
+    """
+    rows = answers.join(feeds, "target").join(blocks.select(F.col("number").alias("block_number"), "ts"), "block_number")
+    return rows.select("token", F.unhex(F.lit("00" * 20)).alias("quote"), F.col("block_number").alias("block"), "ts", "price")
+
+
 def price_pools(contracts: DataFrame, tokens: DataFrame) -> DataFrame:
     """Pools named <Base><Quote>Pool in the registry: base and quote by the longest quote symbol that ends the name.
 

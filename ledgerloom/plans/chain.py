@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.functions import keccak, words
@@ -9,6 +11,7 @@ from ledgerloom.operators import decode, discover, matching, reorg
 from ledgerloom.plans.base import query
 from ledgerloom.sources import fixtures as fx, scan
 from ledgerloom.sources.fixtures import with_views
+from ledgerloom.sources.shared import shared_dir
 
 HEX = "lower(lpad(to_hex(user_id), 40, '0'))"
 
@@ -24,10 +27,30 @@ def _events(spark) -> DataFrame:
     return df.select(F.expr("unhex(lpad(hex(user_id), 40, '0'))").alias("address"), F.expr("unhex(rpad(md5(event_type), 64, '0'))").alias("topic0"), "start_block", F.col("event_type").alias("name"))
 
 
-@query("a01_scan_blocks", with_views(" SELECT number, hash FROM v_blocks WHERE number >= 200 AND number < 700", "v_blocks"))
+@query("a01_scan_blocks", with_views(""", t AS (SELECT max(number) AS top FROM v_blocks)
+SELECT number, hash, ts AS timestamp, number % 5 AS transaction_count FROM v_blocks, t WHERE number >= top // 5 AND number < top // 2""", "v_blocks"))
 def a01(spark, sf):
+    """Whole headers written as block ranges and scanned for a half-open range: only its ranges' files and the asked columns are read (A1)."""
     b = fx.blocks(spark, sf)
-    return scan.select_fields(b.filter("number >= 200 and number < 700"), ["hash", "number"])
+    top = b.agg(F.max("number")).first()[0]
+    head = b.select("number", F.unhex("hash").alias("hash"), F.unhex("parent_hash").alias("parent_hash"), F.col("ts").alias("timestamp"), (F.col("number") % 5).alias("transaction_count"))
+    path, size = f"{shared_dir(spark)}/blocks-{uuid.uuid4().hex}", max(1, top // 64)
+    scan.write_ranges(scan.as_table(head, "blocks"), path, size)
+    rows = scan.scan(spark, path, "blocks", blocks=(top // 5, top // 2), columns=["number", "hash", "timestamp", "transactions"], range_size=size)
+    return rows.select("number", F.lower(F.hex("hash")).alias("hash"), "timestamp", "transaction_count")
+
+
+@query("a03_scan_receipts", """WITH r AS (SELECT o_orderkey, o_custkey, o_orderkey // 64 AS block FROM orders), t AS (SELECT max(block) AS top FROM r)
+SELECT block AS block_number, lower(lpad(to_hex(o_custkey), 40, '0')) AS from_address, count(*) AS n, sum(o_custkey * 21)::BIGINT AS cumulative_gas_used FROM r, t WHERE block >= top // 4 AND block < top * 3 // 4 GROUP BY 1, 2""")
+def a03_receipts(spark, sf):
+    """Receipts written as block ranges and scanned for a range of blocks (A3)."""
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    receipts = o.selectExpr("o_orderkey div 64 as block_number", "unix_timestamp(o_orderdate) as block_timestamp", "unhex(lpad(hex(o_orderkey), 64, '0')) as transaction_hash", "unhex(lpad(hex(o_custkey), 40, '0')) as from_address", "o_custkey * 21 as cumulative_gas_used")
+    top = receipts.agg(F.max("block_number")).first()[0]
+    path, size = f"{shared_dir(spark)}/receipts-{uuid.uuid4().hex}", max(1, top // 64)
+    scan.write_ranges(scan.as_table(receipts, "receipts"), path, size)
+    rows = scan.scan(spark, path, "receipts", blocks=(top // 4, top * 3 // 4), columns=["block_number", "from", "cumulative_gas_used"], range_size=size)
+    return rows.groupBy("block_number", F.lower(F.hex("from_address")).alias("from_address")).agg(F.count(F.lit(1)).alias("n"), F.sum("cumulative_gas_used").cast("bigint").alias("cumulative_gas_used"))
 
 
 @query("a03_tx_addresses", """SELECT l.l_orderkey AS transaction_hash, l.l_linenumber, o.o_custkey AS from_address, o.o_custkey % 97 AS to_address
@@ -38,10 +61,10 @@ def a03(spark, sf):
     return scan.tx_addresses(rows, receipts).select("transaction_hash", "l_linenumber", "from_address", "to_address")
 
 
-@query("a04_factories_as_of", "SELECT event_type AS collection, user_id AS address, min(event_id // 10) AS created_block FROM events WHERE event_id // 10 <= 400 GROUP BY 1, 2")
+@query("a04_factories_as_of", "SELECT event_type AS collection, user_id AS address, min(event_id // 10) AS created_block FROM events WHERE event_id // 10 <= (SELECT max(event_id) FROM events) // 25 GROUP BY 1, 2")
 def a04(spark, sf):
     f = spark.read.parquet(f"{sf}/events.parquet").selectExpr("event_type as collection", "user_id as address", "event_id div 10 as block_number")
-    return discover.as_of(f, 400)
+    return discover.as_of(f, spark.read.parquet(f"{sf}/events.parquet").agg(F.max("event_id")).first()[0] // 25)
 
 
 def _decoded(spark, sf) -> DataFrame:
@@ -50,9 +73,10 @@ def _decoded(spark, sf) -> DataFrame:
         "event_id div 10 as block_number", "event_id % 10 as log_index", "event_id")
 
 
-@query("a06_query_events", "SELECT event_id FROM events WHERE user_id % 3 = 1 AND event_type = 'click' AND event_id // 10 >= 50 AND event_id // 10 < 600")
+@query("a06_query_events", "SELECT event_id FROM events WHERE user_id % 3 = 1 AND event_type = 'click' AND event_id // 10 >= (SELECT max(event_id) FROM events) // 200 AND event_id // 10 < (SELECT max(event_id) FROM events) // 15")
 def a06(spark, sf):
-    return matching.query_events(_decoded(spark, sf), source="src1", event="click", from_block=50, to_block=600).select("event_id")
+    top = spark.read.parquet(f"{sf}/events.parquet").agg(F.max("event_id")).first()[0]
+    return matching.query_events(_decoded(spark, sf), source="src1", event="click", from_block=top // 200, to_block=top // 15).select("event_id")
 
 
 @query("a07_query_calls", with_views(" SELECT value FROM v_calls WHERE target = 7 AND block_number >= 20", "v_calls"))

@@ -191,7 +191,7 @@ def f08(spark, sf):
     creates = o.selectExpr("o_orderkey as block_number", "0 as log_index", "o_custkey as asset", "o_orderkey % 90 as numeraire", "o_custkey as creator")
     state = o.select(
         F.col("o_orderkey").alias("block_number"), F.lit(0).alias("log_index"), a("o_orderkey").alias("currency0"), a("o_orderkey + 1").alias("currency1"), F.lit(3000).alias("fee"), F.lit(60).alias("tick_spacing"), a("7L").alias("hooks"),
-        F.lit(10).alias("total_tokens_on_bonding_curve"), F.lit(1).alias("doppler_hook"), (F.col("o_orderkey") % 5).alias("status"), (F.col("o_orderkey") % 7 * 60).cast("int").alias("far_tick"), (F.col("o_orderkey") % 3 == 0).alias("rehype"))
+        F.lit(10).alias("total_tokens_on_bonding_curve"), F.lit(1).alias("hook_contract"), (F.col("o_orderkey") % 5).alias("status"), (F.col("o_orderkey") % 7 * 60).cast("int").alias("far_tick"), (F.col("o_orderkey") % 3 == 0).alias("rehype"))
     pools, configs = E.hook_creates(creates, state)
     both = pools.select(F.col("address").alias("pool_id"), F.col("base_token").alias("asset"), "type").join(configs, "pool_id")
     return both.groupBy("asset", "status", "far_tick", "is_token_0", "type").agg(F.count(F.lit(1)).alias("n"))

@@ -16,6 +16,16 @@ def i01(spark, sf):
     return P.oracle_price(fx.calls(spark, sf))
 
 
+@query("i01_oracle_rows", with_views(""", a AS (SELECT target, block_number, value::DOUBLE / 1e8::DOUBLE AS price FROM v_calls WHERE NOT is_reverted
+QUALIFY row_number() OVER (PARTITION BY target ORDER BY block_number DESC, log_index) = 1)
+SELECT target * 2 AS token, repeat('0', 40) AS quote, block_number AS block, ts, price FROM a JOIN v_blocks ON number = block_number""", "v_calls", "v_blocks"))
+def i01_rows(spark, sf):
+    """Oracle answers as rows of the price table, quoted in dollars (the zero address), at their blocks' times."""
+    calls = fx.calls(spark, sf)
+    feeds = calls.select("target", (F.col("target") * 2).alias("token")).distinct()
+    return P.oracle_rows(P.oracle_price(calls), feeds, fx.blocks(spark, sf)).withColumn("quote", F.hex("quote"))
+
+
 @query("i02_price_pools", """SELECT 'A' || c_custkey || 'USDCPool' AS name, 'A' || c_custkey AS base FROM customer WHERE c_custkey % 2 = 0 AND c_custkey % 5 <> 0
 UNION ALL SELECT 'B' || c_custkey || 'axlUSDCPool', 'B' || c_custkey FROM customer WHERE c_custkey % 2 = 1 AND c_custkey % 5 <> 0""")
 def i02(spark, sf):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerloom.operators import entities, merge, ohlc
+from ledgerloom.operators import decode, entities, merge, ohlc
 from ledgerloom.operators.running import running_sums
 from ledgerloom.plans.base import query
 from ledgerloom.plans.market import _ohlc, market
@@ -180,6 +180,24 @@ def m07(spark, sf):
     return placed.drop("_id", "_part", "_before").orderBy("place")
 
 
+@query("f15_transfer_shapes", """SELECT lower(lpad(to_hex(event_id % 7 + 1000), 40, '0')) AS token, event_id AS log_index, floor(epoch(ts))::BIGINT AS ts, lower(lpad(to_hex(user_id + 500), 40, '0')) AS from_address,
+lower(lpad(to_hex(event_id % 97), 40, '0')) AS to_address, (event_id::HUGEINT * 1208925819614629174706176)::VARCHAR AS value FROM events WHERE user_id % 10 <> 3""")
+def f15_shapes(spark, sf):
+    """Transfers from raw logs of both event shapes; those that a precompiled contract sent do not count."""
+    e = spark.read.parquet(f"{sf}/events.parquet")
+    topics = [decode.parse_event(t)["topic0"].hex() for t in entities.TRANSFER_SHAPES]
+    hexed = lambda c, n: F.lpad(F.hex(F.expr(c)), n, "0")
+    sender = hexed("if(user_id % 10 = 3, 4L, user_id + 500)", 64)
+    amount = F.concat(hexed("event_id", 44), F.lit("0" * 20))
+    more = F.when(F.col("event_id") % 2 == 0, "").otherwise(F.lit("0" * 126 + "07"))
+    logs = e.select(
+        F.col("event_id").alias("block_number"), F.col("event_id").alias("log_index"), F.unix_timestamp("ts").alias("block_timestamp"), F.unhex(hexed("event_id % 7 + 1000", 40)).alias("address"),
+        F.transform(F.array(F.when(F.col("event_id") % 2 == 0, topics[0]).otherwise(topics[1]), sender, hexed("event_id % 97", 64)), F.unhex).alias("topics"),
+        F.unhex(F.concat(amount, more)).alias("data"))
+    rows = entities.transfers_of(logs)
+    return rows.select(*[F.lower(F.hex(c)).alias(c) for c in ("token", "from_address", "to_address")], "log_index", "ts", "value")
+
+
 DAILY = """v_days AS (SELECT token, day, holder, sum(value)::BIGINT AS value FROM (SELECT token, ts // 86400 AS day, to_address AS holder, value FROM v_transfers
   UNION ALL SELECT token, ts // 86400, from_address, -value FROM v_transfers) GROUP BY 1, 2, 3),
 v_held AS (SELECT token, day, holder, sum(value) OVER (PARTITION BY token, holder ORDER BY day) > 0 AS held FROM v_days),

@@ -6,13 +6,26 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Schemas of the raw tables.
 SCHEMAS = {
-    "blocks": "number bigint, hash binary, parent_hash binary, timestamp bigint, gas_limit decimal(20,0), gas_used decimal(20,0), base_fee_per_gas decimal(20,0), transaction_count bigint, transaction_hashes array<binary>",
-    "receipts": "block_number bigint, block_timestamp bigint, transaction_hash binary, transaction_index bigint, from_address binary, to_address binary, gas_used decimal(20,0), contract_address binary, status boolean, log_count bigint",
+    "blocks": (
+        "number bigint, hash binary, parent_hash binary, nonce binary, ommers_hash binary, logs_bloom binary, transactions_root binary, "
+        "state_root binary, receipts_root binary, miner binary, difficulty string, total_difficulty string, extra_data binary, "
+        "gas_limit decimal(20,0), gas_used decimal(20,0), timestamp bigint, mix_hash binary, base_fee_per_gas decimal(20,0), "
+        "withdrawals_root binary, blob_gas_used decimal(20,0), excess_blob_gas decimal(20,0), parent_beacon_block_root binary, "
+        "transaction_count bigint, transaction_hashes array<binary>, uncle_count bigint, size decimal(20,0)"
+    ),
+    "receipts": (
+        "block_number bigint, block_timestamp bigint, transaction_hash binary, transaction_index bigint, from_address binary, to_address binary, "
+        "cumulative_gas_used decimal(20,0), gas_used decimal(20,0), contract_address binary, status boolean, log_count bigint"
+    ),
     "logs": "block_number bigint, block_timestamp bigint, transaction_hash binary, log_index bigint, address binary, topics array<binary>, data binary",
     "factories": "block_number bigint, block_timestamp bigint, factory_address binary, collection_name string",
     "calls_regular": "block_number bigint, block_timestamp bigint, contract_address binary, value binary",
     "calls_event": "block_number bigint, block_timestamp bigint, log_index bigint, target_address binary, value binary, is_reverted boolean, revert_reason string",
 }
+#: The names under which a configuration asks for columns, where those are others.
+FIELDS = {
+    "transactions": ("transaction_count", "transaction_hashes"), "uncles": ("uncle_count",), "from": ("from_address",), "to": ("to_address",), "logs": ("log_count",),
+}
 BUCKET = "block_bucket"
 
 
@@ -36,11 +49,31 @@ def scan_once_calls(spark: SparkSession, path: str) -> DataFrame:
 
 
 def select_fields(df: DataFrame, fields: list[str]) -> DataFrame:
-    """The listed fields in table order; unknown ones are an error."""
-    unknown = set(fields) - set(df.columns)
+    """The listed fields in table order; unknown ones are an error. A field is a column, or a name for some (FIELDS)."""
+    asked = {c for f in fields for c in (FIELDS[f] if f in FIELDS and f not in df.columns else (f,))}
+    unknown = asked - set(df.columns)
     if unknown:
         raise ValueError(f"unknown fields: {sorted(unknown)}")
-    return df.select(*[c for c in df.columns if c in fields])
+    return df.select(*[c for c in df.columns if c in asked])
+
+
+def as_table(df: DataFrame, kind: str) -> DataFrame:
+    """df with exactly the columns of a raw table: those it lacks are null, others go."""
+    have = set(df.columns)
+    parts = [c.strip().split(" ", 1) for c in columns_of(SCHEMAS[kind])]
+    return df.select(*[(F.col(name) if name in have else F.lit(None)).cast(kind_).alias(name) for name, kind_ in parts])
+
+
+def columns_of(schema: str) -> list[str]:
+    """The columns of a schema text, at commas outside brackets."""
+    out, depth = [""], 0
+    for c in schema:
+        depth += (c in "(<") - (c in ")>")
+        if c == "," and not depth:
+            out.append("")
+        else:
+            out[-1] += c
+    return out
 
 
 def bucketed(df: DataFrame, size: int) -> DataFrame:
