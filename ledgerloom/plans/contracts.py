@@ -137,9 +137,10 @@ def f02(spark, sf):
     return ready.select("pool", F.lit("ready").alias("route")).unionByName(blocked.select("pool", F.lit("blocked").alias("route"))).unionByName(listed.select("pool", F.lit("skipped").alias("route")))
 
 
-@query("f03_latest_call", with_views(""" SELECT target, function_name, value FROM v_calls WHERE block_number < 800 QUALIFY row_number() OVER (PARTITION BY target, function_name ORDER BY block_number DESC, log_index DESC) = 1""", "v_calls"))
+@query("f03_latest_call", with_views(""" SELECT target, function_name, value FROM v_calls WHERE block_number < (SELECT max(event_id) FROM events) // 12 QUALIFY row_number() OVER (PARTITION BY target, function_name ORDER BY block_number DESC, log_index DESC) = 1""", "v_calls"))
 def f03(spark, sf):
-    return E.latest_call(fx.calls(spark, sf), ["target", "function_name"], before=800).select("target", "function_name", "value")
+    top = spark.read.parquet(f"{sf}/events.parquet").agg(F.max("event_id")).first()[0]
+    return E.latest_call(fx.calls(spark, sf), ["target", "function_name"], before=top // 12).select("target", "function_name", "value")
 
 
 @query("f04_pool_create", CREATES + """ SELECT pool AS address, asset AS base_token, numeraire AS quote_token, asset < numeraire AS is_token_0, 'v3' AS type, 3000 AS fee, block_number AS created_block, o_custkey AS creator

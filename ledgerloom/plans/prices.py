@@ -86,13 +86,13 @@ def i05(spark, sf):
 
 @query("i06_frontier_edges", """WITH s AS (SELECT l_partkey AS pool, l_orderkey AS block, CASE WHEN l_quantity > 25 THEN l_quantity::BIGINT * 30 END AS liquidity_usd, l_linenumber - 1 AS liquidity FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_partkey, l_orderkey ORDER BY l_linenumber, l_quantity, l_suppkey, l_extendedprice) = 1),
-l AS (SELECT * FROM s WHERE block < 4000 QUALIFY row_number() OVER (PARTITION BY pool ORDER BY block DESC) = 1)
+l AS (SELECT * FROM s WHERE block < (SELECT max(l_orderkey) FROM lineitem) // 4 QUALIFY row_number() OVER (PARTITION BY pool ORDER BY block DESC) = 1)
 SELECT pool, block, coalesce(liquidity_usd, 0) AS weight FROM l WHERE liquidity_usd >= 1000 OR (liquidity_usd IS NULL AND liquidity > 0)""")
 def i06(spark, sf):
     line = spark.read.parquet(f"{sf}/lineitem.parquet").selectExpr("l_partkey as pool", "l_orderkey as block", "l_linenumber", "l_quantity", "l_suppkey", "l_extendedprice")
     one = line.groupBy("pool", "block").agg(F.min(F.struct("l_linenumber", "l_quantity", "l_suppkey", "l_extendedprice")).alias("s"))
     snaps = one.selectExpr("pool", "block", "if(s.l_quantity > 25, cast(s.l_quantity as bigint) * 30, null) as liquidity_usd", "s.l_linenumber - 1 as liquidity")
-    return P.frontier_edges(snaps, 4000).select("pool", "block", "weight")
+    return P.frontier_edges(snaps, line.agg(F.max("block")).first()[0] // 4).select("pool", "block", "weight")
 
 
 PATHS = """, g AS (SELECT a, b, a * 100 + b AS pool, liquidity AS weight FROM v_edges UNION ALL SELECT b, a, a * 100 + b, liquidity FROM v_edges),

@@ -19,12 +19,14 @@ def _raw_logs(spark, sf) -> DataFrame:
     return fx.logs(spark, sf).selectExpr("block_number", "block_timestamp", "cast(null as binary) as transaction_hash", "log_index", "address", "topics", "data")
 
 
-@query("a02_scan_logs", with_views(" SELECT block_number, log_index, lower(lpad(to_hex(emitter), 40, '0')) AS address FROM v_logs WHERE block_number >= 120 AND block_number < 480", "v_logs"))
+@query("a02_scan_logs", with_views(" SELECT block_number, log_index, lower(lpad(to_hex(emitter), 40, '0')) AS address FROM v_logs WHERE block_number >= (SELECT max(event_id) FROM events) // 80 AND block_number < (SELECT max(event_id) FROM events) // 20", "v_logs"))
 def a02_a10(spark, sf):
     """Logs written as range files and scanned back for a block range, pruned by partition."""
     path = f"{shared_dir(spark)}/ranges-{uuid.uuid4().hex}"
-    scan.write_ranges(_raw_logs(spark, sf), path, 100)
-    rows = scan.scan(spark, path, "logs", blocks=(120, 480), columns=["block_number", "log_index", "address"], range_size=100)
+    top = spark.read.parquet(f"{sf}/events.parquet").agg(F.max("event_id")).first()[0]
+    size = max(1, top // 640)
+    scan.write_ranges(_raw_logs(spark, sf), path, size)
+    rows = scan.scan(spark, path, "logs", blocks=(top // 80, top // 20), columns=["block_number", "log_index", "address"], range_size=size)
     return rows.select("block_number", "log_index", F.lower(F.hex("address")).alias("address"))
 
 
