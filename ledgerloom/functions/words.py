@@ -10,6 +10,12 @@ LIMB = 26
 U256_MAX = (1 << 256) - 1
 
 
+def per_value(udf, kind: str):
+    """A pandas UDF for distinct values: a filter on what it gives stays above it. Otherwise the filter goes below the `distinct` and is
+    answered by calling the function for every row."""
+    return F.pandas_udf(udf.func, kind).asNondeterministic()
+
+
 def word(data: Column, index: int | Column) -> Column:
     """The index-th 32-byte word (from 0); null where the data ends before it."""
     at = index if isinstance(index, Column) else F.lit(index)
@@ -23,18 +29,17 @@ def address(topic: Column) -> Column:
 
 def uint64(value: Column) -> Column:
     """An unsigned word as decimal(20, 0), saturating at 2^64 - 1."""
-    high, low = F.hex(F.substring(value, 1, 24)), F.hex(F.substring(value, 25, 8))
-    number = F.conv(low, 16, 10).cast("decimal(20,0)")
-    return F.when(high == "0" * 48, number).when(value.isNotNull(), F.lit(str((1 << 64) - 1)).cast("decimal(20,0)"))
+    fits = F.substring(value, 1, 24) == F.lit(bytes(24))
+    number = F.conv(F.hex(F.substring(value, 25, 8)), 16, 10).cast("decimal(20,0)")
+    return F.when(fits, number).when(value.isNotNull(), F.lit(str((1 << 64) - 1)).cast("decimal(20,0)"))
 
 
 def int64(value: Column) -> Column:
     """A signed word as bigint, saturating at the ends of the type."""
-    high, low = F.hex(F.substring(value, 1, 24)), F.hex(F.substring(value, 25, 8))
-    number = F.conv(low, 16, -10).cast("bigint")
-    negative = F.substring(high, 1, 1) >= "8"
-    fits = F.when(negative, (high == "F" * 48) & (number < 0)).otherwise((high == "0" * 48) & (number >= 0))
-    return F.when(fits, number).when(value.isNotNull(), F.when(negative, F.lit(-(1 << 63))).otherwise(F.lit((1 << 63) - 1)))
+    high, low, half = F.substring(value, 1, 24), F.substring(value, 25, 8), F.lit(b"\x80")
+    fits = ((high == F.lit(bytes(24))) & (low < half)) | ((high == F.lit(b"\xff" * 24)) & (low >= half))
+    number = F.conv(F.hex(low), 16, -10).cast("bigint")
+    return F.when(fits, number).when(value >= half, F.lit(-(1 << 63))).when(value.isNotNull(), F.lit((1 << 63) - 1))
 
 
 def boolean(value: Column) -> Column:

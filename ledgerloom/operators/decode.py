@@ -288,14 +288,21 @@ def decode_dynamic(rows: DataFrame, params: list[dict], *, payload: str = "data"
 
 
 def pool_ids(keys: DataFrame) -> DataFrame:
-    """keys (currency0, currency1, hooks binary(20); fee, tick_spacing) with pool_id: the hash of the five encoded words, per distinct key."""
+    """keys (currency0, currency1, hooks binary(20); fee, tick_spacing) with pool_id: the hash of the five encoded words, per distinct key.
+
+    Keys meet as structs, and those with a null go by their missing hash: a join by the five columns asks each for null, and that filter
+    goes below the decoding, where it decodes every word again as often as its expression names it. For the same reason the hash is one
+    `per_value`.
+    """
     from ledgerloom.functions.keccak import keccak_udf
 
     pad = lambda c: F.concat(F.unhex(F.lit("00" * 12)), F.col(c))
     number = lambda c: F.unhex(F.concat(F.when(F.col(c) < 0, "F" * 48).otherwise("0" * 48), F.lpad(F.hex(F.col(c).cast("bigint")), 16, "0")))
     names = ["currency0", "currency1", "fee", "tick_spacing", "hooks"]
-    distinct = keys.select(*names).distinct().withColumn("pool_id", keccak_udf(F.concat(pad("currency0"), pad("currency1"), number("fee"), number("tick_spacing"), pad("hooks"))))
-    return keys.join(distinct, names)
+    keyed = keys.withColumn("_key", F.struct(*names))
+    encoded = F.concat(pad("currency0"), pad("currency1"), number("fee"), number("tick_spacing"), pad("hooks"))
+    distinct = keyed.select("_key").distinct().select("_key", "_key.*").select("_key", words.per_value(keccak_udf, "binary")(encoded).alias("pool_id"))
+    return keyed.join(distinct, "_key").filter(F.col("pool_id").isNotNull()).select(*names, *[f"`{c}`" for c in keys.columns if c not in names], "pool_id")
 
 
 def result_names(function: str, params: list[dict]) -> list[str]:
