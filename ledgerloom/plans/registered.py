@@ -49,10 +49,11 @@ def a08_events(spark, sf):
     return R.match_registry(_logs(spark, sf, "address,uint256"), matchers).select("event_id", "contract", "name")
 
 
-@query("a08_registry_created", f"""WITH {ADDRESSES} SELECT 'made' AS collection, lower(lpad(to_hex(event_id), 40, '0')) AS address, event_id // 10 AS created_block FROM events JOIN a ON user_id = address
-WHERE event_id // 10 >= start_block AND (event_type = 'signup' OR event_type = 'error' AND s_suppkey % 2 = 0)""")
+@query("a08_registry_created", f"""WITH {ADDRESSES} SELECT 'made' AS collection, lower(lpad(to_hex(event_id), 40, '0')) AS address, min(event_id // 10) AS created_block FROM events JOIN a ON user_id = address
+WHERE event_id // 10 >= start_block AND (event_type = 'signup' OR event_type = 'error' AND s_suppkey % 2 = 0) GROUP BY ALL""")
 def a08_created(spark, sf):
-    """Addresses that the registered factories' creation events hold in a member of a tuple in place."""
+    """Addresses that the registered factories' creation events hold in a member of a tuple in place: once each, from their first block, also
+    where several contracts have one factory address."""
     matchers = R.factory_matchers(R.registry(_files(spark, sf)))
     found = discover.created(_logs(spark, sf, "address,uint256,(uint256,address)"), matchers)
     return found.select("collection", F.lower(F.hex("address")).alias("address"), "created_block")
