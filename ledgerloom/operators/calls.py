@@ -59,7 +59,9 @@ def throttle(blocks: DataFrame, seconds: int, last_taken: DataFrame | None = Non
     rows = rows.withColumn("taken", F.coalesce(F.col("taken").cast("bigint"), F.lit(0).cast("bigint"))).filter(F.col("ts") >= F.col("taken") + seconds)
     width, kind = seconds * span, rows.schema["key"].dataType.simpleString()
     rows = rows.withColumn("bucket", F.floor(F.col("ts") / width))
-    ordered = lambda df, by, *then: df.repartition(*by).sortWithinPartitions(*by, *then)
+    # dealt by a struct: a shuffle by the columns themselves is left out after a join by them, and nothing then keeps adaptive execution from
+    # reading that join's other side where it lies, a group in as many parts as there were map tasks
+    ordered = lambda df, by, *then: df.repartition(F.struct(*by)).sortWithinPartitions(*by, *then)
 
     def ends(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in _whole_groups(parts, ["key", "bucket"]):
