@@ -149,7 +149,8 @@ def hook_migrations(migrations: DataFrame, pools: DataFrame, source, source_vers
 
 
 def migrate(pools: DataFrame, migrations: DataFrame) -> DataFrame:
-    """A liquidity migration (address, successor, block_number): the successor comes in and the origin learns of it."""
+    """A liquidity migration (address, successor, block_number): the successor comes in, where no pool has its address yet (the first row
+    of an address stays), and the origin learns of it."""
     from ledgerloom.operators.merge import first_wins, update_by_key
 
     rest = [c for c in pools.columns if c not in ("address", "migration_pool", "migrated_at", "migrated_from", "created_block")]
