@@ -16,18 +16,24 @@ PARTS = (1, 0, 3, 2)
 
 def _arriving(spark: SparkSession, rows: DataFrame, parts: tuple[int, ...] = PARTS) -> DataFrame:
     """rows (event_id, time, ..) as a stream of one file after the other, a batch each, and a last one that only moves the watermark:
-    one row, null but for its time, long after the others."""
+    one row, null but for its time, further after the others than these lie apart."""
     path = f"{shared_dir(spark)}/arriving-{uuid.uuid4().hex}"
-    top, last = rows.agg(F.max("event_id"), F.max("time")).first()
+    top, first, last = rows.agg(F.max("event_id"), F.min("time"), F.max("time")).first()
     part = F.expr(f"event_id * {len(parts)} div {top + 1}")
     for n in parts:
         rows.filter(part == n).coalesce(1).write.mode("append").parquet(path)
     names = {f.name: f.dataType for f in rows.schema}
-    end = spark.range(1).select(*[((F.lit(last) + F.expr("interval 400 days")) if c == "time" else F.lit(None)).cast(t).alias(c) for c, t in names.items()])
+    end = spark.range(1).select(*[((F.lit(last) + F.expr(f"interval {(last - first).days + 400} days")) if c == "time" else F.lit(None)).cast(t).alias(c) for c, t in names.items()])
     end.coalesce(1).write.mode("append").parquet(path)
     return streams.stream_table(spark, path, 1)
 
 
+def _lateness(*tables: DataFrame) -> str:
+    """How late a row may come when files come in any order: as long as the times of all rows lie apart."""
+    ends = [t.agg(F.min("time"), F.max("time")).first() for t in tables]
+    return f"{(max(last for _, last in ends) - min(first for first, _ in ends)).days + 1} days"
+
+
 def _events(spark, sf) -> DataFrame:
     return streams.stream_table(spark, f"{sf}/events.parque[t]").withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -72,26 +78,27 @@ def l12_late(spark, sf):
     return streams.drain(keyed.late_rows(_arriving(spark, rows), "1 day")).filter("event_id is not null").select("event_id")
 
 
-def _chain(spark, sf, parent: str) -> DataFrame:
-    """Chains of a thousand blocks, twelve seconds each, with a hole every 50th; parent: the number that a block builds on."""
+def _chain(spark, sf, parent: str) -> tuple[DataFrame, str]:
+    """Chains of a thousand blocks, twelve seconds each, with a hole every 50th, and how late they may come; parent: the number that a block
+    builds on."""
     rows = spark.read.parquet(f"{sf}/events.parquet").where("event_id % 50 <> 49").selectExpr(
         "event_id", "event_id div 1000 as chain_id", "event_id as number", "md5(cast(event_id as string)) as hash", f"md5({parent}) as parent_hash", "timestamp_seconds(event_id * 12) as time")
-    return _arriving(spark, rows)
+    return _arriving(spark, rows), _lateness(rows)
 
 
 @query("l01_stream_reorgs", """SELECT event_id // 1000 AS chain_id, event_id AS number, 'detached' AS kind FROM events WHERE event_id % 97 = 0 AND event_id % 1000 > 0 AND event_id % 50 NOT IN (0, 49)""")
 def l01(spark, sf):
     """Reorgs in a block stream of several chains, whose files come out of order."""
-    b = _chain(spark, sf, "concat(cast(event_id - 1 as string), if(event_id % 97 = 0, 'x', ''))")
-    return streams.drain(keyed.reorgs(b, late="400 days")).select("chain_id", "number", "kind")
+    b, late = _chain(spark, sf, "concat(cast(event_id - 1 as string), if(event_id % 97 = 0, 'x', ''))")
+    return streams.drain(keyed.reorgs(b, late=late)).select("chain_id", "number", "kind")
 
 
 @query("l01_stream_ancestors", """SELECT event_id // 1000 AS chain_id, event_id AS number, CASE WHEN event_id % 1000 >= 5 AND (event_id - 5) % 50 <> 49 THEN event_id - 5 END AS ancestor
 FROM events WHERE event_id % 97 = 0 AND event_id % 1000 > 0 AND event_id % 50 NOT IN (0, 49)""")
 def l01_ancestors(spark, sf):
     """Blocks that build on one five back: the ancestor is the tracked block of that hash."""
-    b = _chain(spark, sf, "cast(event_id - if(event_id % 97 = 0, 5, 1) as string)")
-    return streams.drain(keyed.reorgs(b, late="400 days")).select("chain_id", "number", "ancestor")
+    b, late = _chain(spark, sf, "cast(event_id - if(event_id % 97 = 0, 5, 1) as string)")
+    return streams.drain(keyed.reorgs(b, late=late)).select("chain_id", "number", "ancestor")
 
 
 @query("l09_stream_ready", "SELECT event_id AS block_number, event_id * 2 AS value FROM events WHERE event_id % 7 <= 5 AND event_id % 3 <> 0")
@@ -115,7 +122,7 @@ def l09_several(spark, sf):
     after = lambda n: f"ts + make_interval(0, 0, 0, 0, 0, int(event_id % {n}), 0) as time"
     calls = e.where("event_id % 3 <> 0").selectExpr("event_id", "event_id as block_number", "0 as log_index", "'slot0' as name", "event_id as result", after(7))
     calls = calls.unionByName(e.where("event_id % 5 <> 0").selectExpr("event_id", "event_id as block_number", "0 as log_index", "'fee' as name", "event_id as result", after(11)))
-    out = streams.drain(keyed.awaited(_arriving(spark, events), _arriving(spark, calls, (0, 2, 1, 3)), late="30 days"))
+    out = streams.drain(keyed.awaited(_arriving(spark, events), _arriving(spark, calls, (0, 2, 1, 3)), late=_lateness(events, calls)))
     return out.select("block_number", "state", F.array_join("missing", ",").alias("missing"), F.size("calls").cast("bigint").alias("came"))
 
 
@@ -131,7 +138,7 @@ UNION ALL SELECT r.key, n.number, n.ts FROM r, LATERAL (SELECT number, ts FROM e
 def e03(spark, sf):
     """Calls that fall due a day after the one before, over blocks whose files come out of order."""
     rows = spark.read.parquet(f"{sf}/events.parquet").selectExpr("event_id", "user_id as key", "event_id as number", "unix_timestamp(ts) as ts", "cast(ts as timestamp) as time")
-    return streams.drain(keyed.throttled(_arriving(spark, rows), 86_400, late="30 days"))
+    return streams.drain(keyed.throttled(_arriving(spark, rows), 86_400, late=_lateness(rows)))
 
 
 def _pools_and_states() -> list[derive.Derivation]:
