@@ -66,7 +66,7 @@ def v3_swaps(decoded: DataFrame, metadata: DataFrame | None = None) -> DataFrame
 
 def coin_swaps(decoded: DataFrame) -> DataFrame:
     """Coin swaps (with sqrt_price as text): the tick of the price, computed once per distinct price; prices out of range go."""
-    ticks = decoded.select("sqrt_price").distinct().withColumn("tick", tick_udf("sqrt_price"))
+    ticks = decoded.select("sqrt_price").distinct().withColumn("tick", words.per_value(tick_udf, "int")("sqrt_price"))
     return decoded.join(ticks, "sqrt_price").filter(F.col("tick").isNotNull())
 
 
