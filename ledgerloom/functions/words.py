@@ -71,8 +71,12 @@ def narrow(text: Column, bits: int, signed: bool = False) -> Column:
 
 def _limbs(text: Column) -> list[Column]:
     """The three limbs of unsigned decimal text, the highest first."""
-    padded = F.lpad(text, 3 * LIMB, "0")
-    return [F.substring(padded, i * LIMB + 1, LIMB).cast("decimal(38,0)") for i in range(3)]
+    n, zero = F.length(text), F.lit(0).cast("decimal(38,0)")
+    part = lambda begin, size: F.substring(text, begin, size).cast("decimal(38,0)")
+    high = F.when(n > 2 * LIMB, part(F.lit(1), n - 2 * LIMB)).when(text.isNotNull(), zero)
+    mid = F.when(n > 2 * LIMB, part(n - 2 * LIMB + 1, F.lit(LIMB))).when(n > LIMB, part(F.lit(1), n - LIMB)).when(text.isNotNull(), zero)
+    low = F.when(n > LIMB, part(n - LIMB + 1, F.lit(LIMB))).when(n > 0, part(F.lit(1), F.lit(LIMB))).when(text.isNotNull(), zero)
+    return [high, mid, low]
 
 
 def _magnitude(text: Column) -> Column:
@@ -126,14 +130,6 @@ def _decimal(text: str) -> Column:
     return F.lit(text).cast("decimal(38,0)")
 
 
-def staged(df: DataFrame, *steps: dict[str, Column], drop: list[str]) -> DataFrame:
-    """Columns in steps, each over the columns of the one before. An expression that is used many times is a column of its own, so that
-    the generated code holds it once."""
-    for step in steps:
-        df = df.withColumns(step)
-    return df.drop(*drop)
-
-
 def _signed(d: Column) -> Column:
     """Whether limb differences (h, m, l) make a negative number."""
     return (d["h"] < 0) | ((d["h"] == 0) & ((d["m"] < 0) | ((d["m"] == 0) & (d["l"] < 0))))
@@ -153,11 +149,24 @@ def _borrowed(m: Column) -> Column:
     return F.when(m["negative"], F.concat(F.lit("-"), size)).otherwise(size)
 
 
+def _let(value: Column, body) -> Column:
+    """body(value), with value bound once. It is evaluated as it stands and adds nothing to the generated code."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def with_differences(df: DataFrame, names: dict[str, tuple[Column, Column]]) -> DataFrame:
-    """df with name = a - b of unsigned decimal text, signed, for each name: (a, b)."""
-    gaps = {f"_d_{n}": F.struct(*[(x - y).alias(k) for k, x, y in zip("hml", _limbs(a), _limbs(b))]) for n, (a, b) in names.items()}
-    sizes = {f"_m_{n}": _sizes(F.col(f"_d_{n}")) for n in names}
-    return staged(df, gaps, sizes, {n: _borrowed(F.col(f"_m_{n}")) for n in names}, drop=[*gaps, *sizes])
+    """df with name = a - b of unsigned decimal text, signed, for each name: (a, b). Up to 37 digits it is one decimal subtraction; the limbs of
+    longer ones are bound step by step, as they would make the generated code too long to be compiled."""
+
+    def long(a: Column, b: Column) -> Column:
+        gaps = lambda t: F.struct(*[(x - y).alias(k) for k, x, y in zip("hml", _limbs(t["a"]), _limbs(t["b"]))])
+        return _let(F.struct(a.alias("a"), b.alias("b")), lambda t: _let(gaps(t), lambda d: _let(_sizes(d), _borrowed)))
+
+    def difference(a: Column, b: Column) -> Column:
+        short = F.length(a).between(1, 37) & F.length(b).between(1, 37)
+        return F.when(short, (a.cast("decimal(37,0)") - b.cast("decimal(37,0)")).cast("string")).otherwise(long(a, b))
+
+    return df.withColumns({n: difference(a, b) for n, (a, b) in names.items()})
 
 
 @F.pandas_udf(T.StringType())
