@@ -117,10 +117,10 @@ def is_dynamic(kind: str) -> bool:
     return kind in ("string", "bytes") or kind.startswith("(") and any(is_dynamic(p) for p in split_top(kind[1:-1]))
 
 
-def decode_static(logs: DataFrame, event: dict) -> tuple[DataFrame, DataFrame]:
+def decode_static(logs: DataFrame, event: dict, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """(decoded, rejected) for an event whose data words are all static: topics and data in signature order, in one projection.
 
-    A log with too few topics or too little data is rejected as a whole; the others go on.
+    keep: further columns of the logs that the decoded rows keep. A log with too few topics or too little data is rejected as a whole; the others go on.
     """
     columns, topic, at, needed = [], 1, 0, F.lit(True)
     for p in event["params"]:
@@ -134,7 +134,7 @@ def decode_static(logs: DataFrame, event: dict) -> tuple[DataFrame, DataFrame]:
                 at += 1
     needed = (F.size("topics") >= topic) & (F.octet_length("data") >= 32 * at)
     base = ["block_number", "log_index", "address"]
-    return logs.filter(needed).select(*base, *columns), logs.filter(~needed).select(*base, "topics", "data")
+    return logs.filter(needed).select(*base, *keep, *columns), logs.filter(~needed).select(*base, "topics", "data")
 
 
 # -- dynamic decoding ----------------------------------------------------------------------------------------------

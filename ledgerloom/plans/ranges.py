@@ -94,8 +94,8 @@ def _wide_swaps(spark, sf) -> DataFrame:
     data = F.unhex(F.concat(_shifted("amount0"), _shifted("amount1"), _shifted("one"), _word(F.abs("amount0")), _word("t", True)))
     emitter, who = F.expr("unhex(lpad(hex(pool), 40, '0'))"), F.unhex(F.lit("00" * 32))
     logs = net.select(F.col("block").alias("block_number"), "log_index", emitter.alias("address"), F.array(F.unhex(F.lit(V3_WIDE["topic0"].hex())), who, who).alias("topics"), data.alias("data"), "ts")
-    good, _ = decode.decode_static(logs, V3_WIDE)
-    out = S.v3_swaps(good.join(logs.select("block_number", "log_index", "address", "ts"), ["block_number", "log_index", "address"]))
+    good, _ = decode.decode_static(logs, V3_WIDE, keep=("ts",))
+    out = S.v3_swaps(good)
     return out.withColumn("pool", F.conv(F.hex("pool"), 16, 10).cast("bigint"))
 
 
