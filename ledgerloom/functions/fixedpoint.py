@@ -7,6 +7,7 @@ callers apply to distinct values and join back.
 from __future__ import annotations
 
 from decimal import Decimal, localcontext
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -25,6 +26,7 @@ def _ratios() -> list[int]:
 _RATIO = _ratios()
 
 
+@lru_cache(maxsize=1 << 16)
 def sqrt_price_at(tick: int) -> int:
     """Square-root price of a tick; raises outside the range."""
     if not MIN_TICK <= tick <= MAX_TICK:
@@ -93,11 +95,12 @@ def tick_udf(price: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.StructType().add("amount0", "string").add("amount1", "string"))
 def position_udf(sqrt_price: pd.Series, lower: pd.Series, upper: pd.Series, liquidity: pd.Series) -> pd.DataFrame:
-    out = [
-        (None, None) if any(pd.isna(v) for v in x) or x[1] >= x[2] else tuple(map(str, position_amounts(int(x[0]), int(x[1]), int(x[2]), int(x[3]))))
-        for x in zip(sqrt_price, lower, upper, liquidity)
-    ]
-    return pd.DataFrame(out, columns=["amount0", "amount1"], dtype=object)
+    def one(x: tuple) -> tuple:
+        return (None, None) if any(pd.isna(v) for v in x) or x[1] >= x[2] else tuple(map(str, position_amounts(int(x[0]), int(x[1]), int(x[2]), int(x[3]))))
+
+    asked = list(zip(sqrt_price.tolist(), lower.tolist(), upper.tolist(), liquidity.tolist()))
+    found = {x: one(x) for x in set(asked)}
+    return pd.DataFrame([found[x] for x in asked], columns=["amount0", "amount1"], dtype=object)
 
 
 @F.pandas_udf(T.StringType())

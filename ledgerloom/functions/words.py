@@ -84,11 +84,15 @@ def _magnitude(text: Column) -> Column:
 
 
 def _join(high: Column, mid: Column, low: Column) -> Column:
-    """Limb sums with carries, as decimal text without leading zeros."""
+    """Limb sums with carries, as decimal text without leading zeros. Sums that stay within the lowest limb are written as they are: the carries
+    name each sum over and over."""
+    short = (high == 0) & (mid == 0) & (low < F.lit(_UNIT).cast("decimal(38,0)"))
+    plain = low.cast("string")
     mid = mid + _div(low)
     high = high + _div(mid)
     digits = F.concat(high.cast("string"), F.lpad(_rem(mid).cast("string"), LIMB, "0"), F.lpad(_rem(low).cast("string"), LIMB, "0"))
-    return F.when(digits.isNotNull(), F.coalesce(F.nullif(F.ltrim(digits, F.lit("0")), F.lit("")), F.lit("0")))
+    long = F.when(digits.isNotNull(), F.coalesce(F.nullif(F.ltrim(digits, F.lit("0")), F.lit("")), F.lit("0")))
+    return F.when(short, plain).otherwise(long)
 
 
 def _rem(x: Column) -> Column:

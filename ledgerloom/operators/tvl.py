@@ -55,25 +55,31 @@ def position_totals(ticks: DataFrame, prices: DataFrame) -> DataFrame:
     """Per (pool, block) the sums of both tokens over its positions at its square-root price, as decimal text, and of those
     whose range holds its tick (active0, active1).
 
-    ticks: pool, block, tick_lower, tick_upper, liquidity; prices: pool, block, sqrt_price and, for the active sums, tick. Position
-    amounts are computed once per distinct (price, range, liquidity). Targets without positions or price have no row.
+    ticks: pool, block, tick_lower, tick_upper, liquidity; prices: pool, block, sqrt_price and, for the active sums, tick. Targets without
+    positions or price have no row.
     """
+    return _totals(ticks.join(prices, ["pool", "block"]))
+
+
+def _totals(rows: DataFrame) -> DataFrame:
+    """position_totals of positions that have their price (and tick) beside them. A position's amounts are found where its row lies, once per
+    distinct (price, range, liquidity) of an Arrow batch; amounts that nobody asks for are not found at all."""
     asked = ["sqrt_price", "tick_lower", "tick_upper", "liquidity"]
-    rows = ticks.join(prices.filter(F.col("sqrt_price").isNotNull()), ["pool", "block"])
-    amounts = rows.select(*asked).distinct().withColumn("a", position_udf(*[F.col(c) for c in asked])).select(*asked, "a.*")
-    sums = [sum_u256(F.col(f"amount{i}")).alias(f"amount{i}") for i in (0, 1)]
-    if "tick" in prices.columns:
+    rows = rows.dropna(subset=asked).withColumn("_a", position_udf(*asked))
+    amount = lambda i: F.col("_a")[f"amount{i}"]
+    sums = [sum_u256(amount(i)).alias(f"amount{i}") for i in (0, 1)]
+    if "tick" in rows.columns:
         active = (F.col("tick_lower") <= F.col("tick")) & (F.col("tick") < F.col("tick_upper"))
-        sums += [sum_u256(F.when(active, F.col(f"amount{i}")).otherwise("0")).alias(f"active{i}") for i in (0, 1)]
+        sums += [sum_u256(F.when(active, amount(i)).otherwise("0")).alias(f"active{i}") for i in (0, 1)]
         sums.append(sum_u256(F.when(active, F.col("liquidity")).otherwise("0")).alias("active_liquidity"))
-    return rows.join(amounts, asked).groupBy("pool", "block").agg(*sums)
+    return rows.groupBy("pool", "block").agg(*sums)
 
 
 def embedded_totals(calls: DataFrame) -> DataFrame:
     """position_totals where the positions come with the call's result: pool, block, tick, sqrt_price, positions (an array of
-    tick_lower, tick_upper, liquidity). Positions without liquidity take no part; a result without any has no row."""
-    live = live_positions(calls).withColumn("liquidity", F.col("liquidity").cast("string"))
-    return position_totals(live.select("pool", "block", "tick_lower", "tick_upper", "liquidity"), calls.select("pool", "block", "tick", "sqrt_price"))
+    tick_lower, tick_upper, liquidity). Positions without liquidity take no part; a result without any has no row. Positions keep their
+    result's price: results are read, or decoded, once."""
+    return _totals(live_positions(calls).withColumn("liquidity", F.col("liquidity").cast("string")))
 
 
 def value_usd(base, quote, price, usd, supply=None, active=None) -> dict:

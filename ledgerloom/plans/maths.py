@@ -87,7 +87,7 @@ FROM lineitem GROUP BY 1, 2 HAVING sum(CASE WHEN l_quantity > 20 THEN 1 ELSE 0 E
 def k07_embedded(spark, sf):
     """Totals of positions that come with a call's result (K7)."""
     line = spark.read.parquet(f"{sf}/lineitem.parquet").selectExpr("l_partkey % 16 as pool", "l_orderkey as block", "named_struct('tick_lower', cast(l_suppkey % 10 * 60 as int), 'tick_upper', cast(l_suppkey % 10 * 60 + 600 as int), 'liquidity', cast(if(l_quantity > 20, l_quantity * 1000, 0) as bigint)) as p")
-    calls = line.groupBy("pool", "block").agg(F.collect_list("p").alias("positions")).withColumns({"tick": F.lit(300), "sqrt_price": fp.sqrt_price_udf(F.lit(300))})
+    calls = line.groupBy("pool", "block").agg(F.collect_list("p").alias("positions")).withColumns({"tick": F.lit(300), "sqrt_price": F.lit(str(fp.sqrt_price_at(300)))})
     return tvl.embedded_totals(calls).select("pool", "block", "active_liquidity")
 
 
