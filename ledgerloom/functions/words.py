@@ -153,7 +153,7 @@ def _borrowed(m: Column) -> Column:
     return F.when(m["negative"], F.concat(F.lit("-"), size)).otherwise(size)
 
 
-def _let(value: Column, body) -> Column:
+def let(value: Column, body) -> Column:
     """body(value), with value bound once. It is evaluated as it stands and adds nothing to the generated code."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
@@ -164,7 +164,7 @@ def with_differences(df: DataFrame, names: dict[str, tuple[Column, Column]]) ->
 
     def long(a: Column, b: Column) -> Column:
         gaps = lambda t: F.struct(*[(x - y).alias(k) for k, x, y in zip("hml", _limbs(t["a"]), _limbs(t["b"]))])
-        return _let(F.struct(a.alias("a"), b.alias("b")), lambda t: _let(gaps(t), lambda d: _let(_sizes(d), _borrowed)))
+        return let(F.struct(a.alias("a"), b.alias("b")), lambda t: let(gaps(t), lambda d: let(_sizes(d), _borrowed)))
 
     def difference(a: Column, b: Column) -> Column:
         short = F.length(a).between(1, 37) & F.length(b).between(1, 37)
