@@ -49,9 +49,9 @@ def l12_a13(spark, sf):
 @query("l12_stream_rolling", """SELECT user_id AS pool, s AS start, count(*) AS swaps, sum(round(value * 100)::BIGINT)::BIGINT AS volume
 FROM (SELECT *, unnest([time_bucket(INTERVAL '1 hour', ts) - INTERVAL 1 HOUR * i for i in range(24)]) AS s FROM events) GROUP BY 1, 2""")
 def l12b(spark, sf):
-    """Live 24-hour windows that slide by the hour."""
+    """Live 24-hour windows that slide by the hour, made of each batch's hourly candles."""
     swaps = _events(spark, sf).selectExpr("user_id as pool", "ts as time", "event_id as order", "value as price", "cast(round(value * 100) as bigint) as volume")
-    return streams.drain(streams.candles(swaps, width="24 hours", slide="1 hour"), "complete").select("pool", F.col("start").cast("timestamp_ntz").alias("start"), "swaps", "volume")
+    return streams.drain(streams.candles(swaps), "complete", streams.rolling).select("pool", F.col("start").cast("timestamp_ntz").alias("start"), "swaps", "volume")
 
 
 PRICED = ("user_id as pool", "ts as time", "event_id as order", "value as price", "cast(round(value * 100) as bigint) as volume")

@@ -41,9 +41,11 @@ class InOrder(StatefulProcessor):
     """Steps through a group's rows in order of their times.
 
     Rows wait in a list state until the watermark has passed their time, that is until no earlier one can come. A timer at the earliest
-    waiting row wakes the group, so it gets on without new rows of its own.
+    waiting row wakes the group, so it gets on without new rows of its own. An entry of the list holds up to CHUNK rows, an array per
+    column: what an entry costs to write and to read is paid once for all of them.
     """
 
+    CHUNK = 4096
     #: Name and type of the columns that wait; `ms`, the row's time, is added.
     columns: tuple[tuple[str, str], ...] = ()
     output = ""
@@ -51,31 +53,45 @@ class InOrder(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.names = [*[c for c, _ in self.columns], "ms"]
-        self.waiting = handle.getListState("waiting", ", ".join(f"{c} {t}" for c, t in self.columns) + ", ms bigint")
+        self.waiting = handle.getListState("waiting", ", ".join(f"{c} array<{t}>" for c, t in self.columns) + ", ms array<bigint>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        held: list[list] = [[] for _ in self.names]
         first = None
         for p in rows:
             if len(p):
                 ms = p["time"].astype("datetime64[ms]").astype("int64")
-                found = list(zip(*[p[c] for c, _ in self.columns], ms))
-                self.waiting.appendList([tuple(None if pd.isna(v) else v.item() if hasattr(v, "item") else v for v in r) for r in found])
+                for values, (c, _) in zip(held, self.columns):
+                    values += p[c].tolist() if p[c].notna().all() else p[c].astype(object).where(p[c].notna(), None).tolist()
+                held[-1] += ms.tolist()
                 first = int(ms.min()) if first is None else min(first, int(ms.min()))
+                if len(held[-1]) >= self.CHUNK:
+                    self.waiting.appendList(self.chunks(held))
+                    held = [[] for _ in self.names]
+        if held[-1]:
+            self.waiting.appendList(self.chunks(held))
         if first is not None:
             self.handle.registerTimer(first + 1)
         yield from ()
 
+    def chunks(self, columns: list[list]) -> list[tuple]:
+        """Columns as entries of the list state."""
+        return [tuple(c[at : at + self.CHUNK] for c in columns) for at in range(0, len(columns[-1]), self.CHUNK)]
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         upto = timerValues.getCurrentWatermarkInMs()
-        ready, rest = [], []
-        for r in self.waiting.get():
-            (ready if r[-1] < upto else rest).append(tuple(r))
-        if ready:
+        held: list[list] = [[] for _ in self.names]
+        for entry in self.waiting.get():
+            for values, more in zip(held, entry):
+                values += more
+        ready = [t < upto for t in held[-1]]
+        if any(ready):
             self.waiting.clear()
-            if rest:
-                self.waiting.put(rest)
-                self.handle.registerTimer(min(r[-1] for r in rest) + 1)
-            found = self.step(key, pd.DataFrame(ready, columns=self.names, dtype=object))
+            if not all(ready):
+                rest = [[v for v, r in zip(c, ready) if not r] for c in held]
+                self.waiting.put(self.chunks(rest))
+                self.handle.registerTimer(min(rest[-1]) + 1)
+            found = self.step(key, pd.DataFrame({n: pd.Series([v for v, r in zip(c, ready) if r], dtype=object) for n, c in zip(self.names, held)}))
             if len(found):
                 yield found
 

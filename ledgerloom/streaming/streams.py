@@ -31,6 +31,17 @@ def candles(swaps: DataFrame, late: str = "10 minutes", width: str = "1 hour", s
     ).select("pool", F.col("w.start").alias("start"), "open", "high", "low", "close", "volume", "swaps")
 
 
+def rolling(hours: DataFrame, width: int = 24) -> DataFrame:
+    """Windows of `width` hours that slide by the hour (pool, start, swaps, volume) from hourly candles: what `candles` counts with a slide.
+
+    A stream keeps one row per pool and hour in its state instead of one per window, and each batch's windows come from these. Rows are dealt
+    by pool once, before each serves its windows.
+    """
+    starts = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.col("start") - F.make_dt_interval(hours=i))
+    dealt = hours.select("pool", "start", "swaps", "volume").repartition("pool").withColumn("start", F.explode(starts))
+    return dealt.groupBy("pool", "start").agg(F.sum("swaps").alias("swaps"), F.sum("volume").alias("volume"))
+
+
 def awaiting(events: DataFrame, calls: DataFrame, wait: str = "5 minutes") -> DataFrame:
     """Events joined to their call of the same (block_number, log_index) within `wait`; those without one come out, null, once
     the watermark passes: the backlog."""
@@ -117,18 +128,19 @@ def read_sink(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(*[f"{path}/bucket={b}/v={v}" for b, v in sorted(state.items())])
 
 
-def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
+def drain(stream: DataFrame, mode: str = "append", then: Callable[[DataFrame], DataFrame] = lambda batch: batch) -> DataFrame:
     """Run a stream over all that is there now and read what it put out (in complete mode the last result).
 
-    Each batch writes a folder of its own number, so a batch that is replayed after a failure puts nothing out twice.
+    then: what is made of each batch's result before it is written. Each batch writes a folder of its own number, so a batch that is replayed after a failure puts nothing out twice.
     """
     spark = stream.sparkSession
     base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{base}/out" if mode == "complete" else f"{base}/out/batch={batch_id}")
+        then(batch).write.mode("overwrite").parquet(f"{base}/out" if mode == "complete" else f"{base}/out/batch={batch_id}")
 
     with started_in(spark):
         q = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).foreachBatch(write).start()
     q.awaitTermination()
-    return spark.read.schema(stream.schema).option("basePath", f"{base}/out").parquet(f"{base}/out").select(*stream.columns)
+    made = then(spark.createDataFrame([], stream.schema))
+    return spark.read.schema(made.schema).option("basePath", f"{base}/out").parquet(f"{base}/out").select(*made.columns)
