@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -161,7 +162,9 @@ def reorgs(blocks: DataFrame, depth: int = DEPTH, late: str = "10 minutes") -> D
 
 
 class Throttle(InOrder):
-    columns = (("number", "bigint"), ("ts", "bigint"))
+    """One group holds many keys; the last block taken of each that has one is an entry of two arrays."""
+
+    columns = (("key", "bigint"), ("number", "bigint"), ("ts", "bigint"))
     output = "key long, number long, ts long"
 
     def __init__(self, seconds: int):
@@ -169,26 +172,35 @@ class Throttle(InOrder):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.taken = handle.getValueState("taken", "ts bigint")
+        self.taken = handle.getValueState("taken", "key array<bigint>, ts array<bigint>")
 
     def step(self, key, rows: pd.DataFrame) -> pd.DataFrame:
-        taken = self.taken.get()[0] if self.taken.exists() else 0
-        rows = rows[rows["ts"].notna()].sort_values(["ts", "number"], ignore_index=True)
-        times, keep = rows["ts"].to_numpy("int64"), []
-        at = int(times.searchsorted(taken + self.seconds))
-        while at < len(times):
-            keep.append(at)
-            taken = int(times[at])
-            at = int(times.searchsorted(taken + self.seconds))
+        last = dict(zip(*self.taken.get())) if self.taken.exists() else {}
+        rows = rows[rows["ts"].notna() & rows["key"].notna()].astype("int64").sort_values(["key", "ts", "number"], ignore_index=True)
+        keys, times, keep = rows["key"].to_numpy(), rows["ts"].to_numpy(), []
+        ends = [*np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys)] if len(keys) else []
+        begin = 0
+        for end in ends:
+            own, k = times[begin:end], int(keys[begin])
+            at = int(own.searchsorted(last.get(k, 0) + self.seconds))
+            while at < len(own):
+                keep.append(begin + at)
+                last[k] = int(own[at])
+                at = int(own.searchsorted(last[k] + self.seconds))
+            begin = end
         if keep:
-            self.taken.update((taken,))
-        return pd.DataFrame({"key": key[0], "number": rows["number"].iloc[keep], "ts": rows["ts"].iloc[keep]}).astype("Int64")
+            self.taken.update((list(last), list(last.values())))
+        return rows.iloc[keep][["key", "number", "ts"]]
+
 
+def throttled(blocks: DataFrame, seconds: int, late: str = "10 minutes", groups: int = 512) -> DataFrame:
+    """Blocks (key, number, ts) of a stream (also time) that a call falls due at: the first at least `seconds` after the one before.
 
-def throttled(blocks: DataFrame, seconds: int, late: str = "10 minutes") -> DataFrame:
-    """Blocks (key, number, ts) of a stream (also time) that a call falls due at: the first at least `seconds` after the one before."""
-    rows = blocks.select("key", "number", "ts", "time").withWatermark("time", late)
-    return rows.groupBy("key").transformWithStateInPandas(Throttle(seconds), Throttle.output, "append", "EventTime")
+    Keys share `groups` groups: most have few blocks, and a group costs several calls of the state store however small it is. With many
+    times the keys, `groups` is to be raised.
+    """
+    rows = blocks.select("key", "number", "ts", "time").withColumn("group", F.pmod(F.xxhash64("key"), F.lit(groups))).withWatermark("time", late)
+    return rows.groupBy("group").transformWithStateInPandas(Throttle(seconds), Throttle.output, "append", "EventTime")
 
 
 class Awaited(StatefulProcessor):
