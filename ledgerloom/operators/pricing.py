@@ -33,16 +33,19 @@ def oracle_rows(answers: DataFrame, feeds: DataFrame, blocks: DataFrame) -> Data
 def price_pools(contracts: DataFrame, tokens: DataFrame) -> DataFrame:
     """Pools named <Base><Quote>Pool in the registry: base and quote by the longest quote symbol that ends the name.
 
-    contracts: name and, where the registry has it, functions (an array of its calls): only pools with a slot0-like call count. Every
-    proper ending of a name is looked up among the symbols, so names meet symbols by equality.
+    contracts: name and, where the registry has it, functions (an array of its calls): only pools with a slot0-like call count. The
+    proper endings of a name that are as long as some symbol are looked up among the symbols, so names meet symbols by equality. Names are
+    dealt to tasks before that, however few files they come in.
     """
     stem = F.regexp_extract("name", "^(.*)Pool$", 1)
     rows = contracts.withColumn("stem", stem).filter("stem <> ''")
     if "functions" in contracts.columns:
         plain = F.transform("functions", lambda f: F.regexp_extract(f, r"^([^(]*)", 1))
         rows = rows.filter(F.arrays_overlap(plain, F.array(F.lit("slot0"), F.lit("getSlot0"))))
-    ends = F.transform(F.sequence(F.lit(2), F.greatest(F.length("stem"), F.lit(2))), lambda i: F.substring(F.col("stem"), i, F.length("stem")))
-    pairs = rows.select("name", "stem", F.explode(ends).alias("quote")).join(tokens.select(F.col("symbol").alias("quote")).distinct(), "quote")
+    lengths = tokens.agg(F.collect_set(F.length("symbol")).alias("_lengths"))  # one row
+    ends = F.transform(F.filter("_lengths", lambda n: n < F.length("stem")), lambda n: F.right(F.col("stem"), n))
+    dealt = rows.select("name", "stem").repartition("name").crossJoin(F.broadcast(lengths))
+    pairs = dealt.select("name", "stem", F.explode(ends).alias("quote")).join(tokens.select(F.col("symbol").alias("quote")).distinct(), "quote")
     best = pairs.groupBy("name", "stem").agg(F.max_by("quote", F.length("quote")).alias("quote"))
     return best.select("name", F.expr("left(stem, length(stem) - length(quote))").alias("base"), "quote")
 
