@@ -19,28 +19,24 @@ def broken_links(blocks: DataFrame) -> DataFrame:
 def canonical(blocks: DataFrame, *, chain: str | None = None, bucket: int = 10_000) -> DataFrame:
     """Blocks on the chain of the tip: (number, hash), with several hashes per number allowed; per value of the column `chain` if given.
 
-    Consecutive heights with a single hash each that fit together are one run, found bucket by bucket of heights; a contested
-    height's blocks stand alone. Only runs and contested blocks are walked, by pointer doubling, so the number of joins is the
+    Consecutive heights of a bucket with a single hash each that fit together are one run; a contested height's blocks stand alone. Only runs and contested blocks are walked, by pointer doubling, so the number of joins is the
     logarithm of their number on the longest chain. A block that builds on the middle of a run takes in the run up to there.
     """
     from ledgerloom.sources.shared import cut
 
     by = [chain] if chain else []
-    rows = blocks.select(*by, "number", "hash", "parent_hash").distinct()
-    heights = rows.groupBy(*by, "number").agg((F.count(F.lit(1)) == 1).alias("single"), F.min("hash").alias("only"), F.min("parent_hash").alias("parent"))
-    below = heights.select(*by, (F.col("number") + 1).alias("number"), F.col("single").alias("single_below"), F.col("only").alias("below"))
-    fits = F.coalesce(F.col("single") & F.col("single_below") & (F.col("parent") == F.col("below")), F.lit(False))
-    heights = heights.join(below, [*by, "number"], "left").withColumn("begin", F.when(~fits, F.col("number")))
-    heights = cut(heights.select(*by, "number", "only", "single", "begin", F.floor(F.col("number") / bucket).alias("_b")))
-    ends = heights.groupBy(*by, "_b").agg(F.max("begin").alias("_last"))
-    earlier = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.select(*by, "_b", F.max("_last").over(earlier).alias("_carried"))
+    # dealt once: grouping by height and both windows go by the bucket that a row lies in
+    rows = blocks.select(*by, F.floor(F.col("number") / bucket).alias("_b"), "number", "hash", "parent_hash").repartition(*by, "_b")
+    heights = rows.groupBy(*by, "_b", "number").agg(F.sort_array(F.collect_set(F.struct("hash", "parent_hash"))).alias("all"))
+    heights = heights.withColumns({"single": F.size("all") == 1, "only": F.col("all")[0]["hash"], "parent": F.col("all")[0]["parent_hash"]})
+    before = lambda c: F.lag(c).over(Window.partitionBy(*by, "_b").orderBy("number"))
+    fits = F.col("single") & before("single") & (before("number") == F.col("number") - 1) & (F.col("parent") == before("only"))
+    heights = heights.withColumn("fits", F.coalesce(fits, F.lit(False)))
     upto = Window.partitionBy(*by, "_b").orderBy("number").rowsBetween(Window.unboundedPreceding, 0)
-    runs = heights.join(ends, [*by, "_b"]).select(*by, "number", "single", F.coalesce(F.max("begin").over(upto), "_carried").alias("begin"))
-    first = heights.select(*by, F.col("number").alias("begin"), F.col("only").alias("run"))
-    placed = rows.join(runs, [*by, "number"]).join(first, [*by, "begin"])
-    node, lowest = F.when(F.col("single"), F.col("run")).otherwise(F.col("hash")), ~F.col("single") | (F.col("number") == F.col("begin"))
-    placed = cut(placed.select(*by, "number", "hash", "parent_hash", node.alias("node"), lowest.alias("lowest")))
+    run = F.last(F.when(~F.col("fits"), F.col("only")), ignorenulls=True).over(upto)
+    placed = heights.withColumn("run", run).withColumn("one", F.explode("all"))
+    node = F.when(F.col("single"), F.col("run")).otherwise(F.col("one.hash"))
+    placed = cut(placed.select(*by, "number", "one.hash", "one.parent_hash", node.alias("node"), (~F.col("fits")).alias("lowest")))
     parents = placed.select(*by, F.col("hash").alias("parent_hash"), F.col("node").alias("up"), F.col("number").alias("upto"))
     jump = cut(placed.filter("lowest").select(*by, "node", "parent_hash").join(parents, [*by, "parent_hash"]).select(*by, "node", "up", "upto"))
     tips = placed.groupBy(*by).agg(F.max_by(F.struct("node", "number"), F.struct("number", "hash")).alias("t"))
