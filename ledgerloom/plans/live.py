@@ -86,9 +86,10 @@ def _chain(spark, sf, parent: str) -> tuple[DataFrame, str]:
     return _arriving(spark, rows), _lateness(rows)
 
 
-@query("l01_stream_reorgs", """SELECT event_id // 1000 AS chain_id, event_id AS number, 'detached' AS kind FROM events WHERE event_id % 97 = 0 AND event_id % 1000 > 0 AND event_id % 50 NOT IN (0, 49)""")
+@query("l01_stream_reorgs", """SELECT event_id // 1000 AS chain_id, event_id AS number, 'detached' AS kind FROM events WHERE event_id % 97 = 0 AND event_id % 1000 > 0 AND event_id % 50 NOT IN (0, 49)
+AND event_id - 1 IN (SELECT event_id FROM events)""")
 def l01(spark, sf):
-    """Reorgs in a block stream of several chains, whose files come out of order."""
+    """Reorgs in a block stream of several chains, whose files come out of order: a block is detached from the one before it, if that came."""
     b, late = _chain(spark, sf, "concat(cast(event_id - 1 as string), if(event_id % 97 = 0, 'x', ''))")
     return streams.drain(keyed.reorgs(b, late=late)).select("chain_id", "number", "kind")
 
