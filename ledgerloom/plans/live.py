@@ -12,20 +12,30 @@ from ledgerloom.streaming import derive, keyed, streams
 
 #: The files that a stream comes in, a share of the events each by their numbers, in the order in which they come.
 PARTS = (1, 0, 3, 2)
+#: Rows of a file where a part may be several files: one task writes a file, and one reads it.
+FILE_ROWS = 250_000
 
 
-def _arriving(spark: SparkSession, rows: DataFrame, parts: tuple[int, ...] = PARTS) -> DataFrame:
+def _arriving(spark: SparkSession, rows: DataFrame, parts: tuple[int, ...] = PARTS, file_rows: int | None = None) -> DataFrame:
     """rows (event_id, time, ..) as a stream of one file after the other, a batch each, and a last one that only moves the watermark:
-    one row, null but for its time, further after the others than these lie apart."""
+    one row, null but for its time, further after the others than these lie apart.
+
+    With file_rows a part of the rows is as many files as that asks for on average, the same number for each part, and a batch takes so many.
+    """
     path = f"{shared_dir(spark)}/arriving-{uuid.uuid4().hex}"
-    top, first, last = rows.agg(F.max("event_id"), F.min("time"), F.max("time")).first()
+    top, first, last, count = rows.agg(F.max("event_id"), F.min("time"), F.max("time"), F.count(F.lit(1))).first()
     part = F.expr(f"event_id * {len(parts)} div {top + 1}")
-    for n in parts:
-        rows.filter(part == n).coalesce(1).write.mode("append").parquet(path)
+    files = max(1, round(count / len(parts) / file_rows)) if file_rows else 1
+    for turn, n in enumerate(parts):
+        own = rows.filter(part == n)
+        (own.coalesce(1) if files == 1 else own.repartition(files, "event_id")).write.mode("append").parquet(path)
+        if files > 1:  # what has no rows is no file, but a batch counts on it
+            for _ in range((turn + 1) * files - len(spark.read.schema(rows.schema).parquet(path).inputFiles())):
+                rows.limit(0).coalesce(1).write.mode("append").parquet(path)
     names = {f.name: f.dataType for f in rows.schema}
     end = spark.range(1).select(*[((F.lit(last) + F.expr(f"interval {(last - first).days + 400} days")) if c == "time" else F.lit(None)).cast(t).alias(c) for c, t in names.items()])
     end.coalesce(1).write.mode("append").parquet(path)
-    return streams.stream_table(spark, path, 1)
+    return streams.stream_table(spark, path, files)
 
 
 def _lateness(*tables: DataFrame) -> str:
@@ -123,7 +133,7 @@ def l09_several(spark, sf):
     after = lambda n: f"ts + make_interval(0, 0, 0, 0, 0, int(event_id % {n}), 0) as time"
     calls = e.where("event_id % 3 <> 0").selectExpr("event_id", "event_id as block_number", "0 as log_index", "'slot0' as name", "event_id as result", after(7))
     calls = calls.unionByName(e.where("event_id % 5 <> 0").selectExpr("event_id", "event_id as block_number", "0 as log_index", "'fee' as name", "event_id as result", after(11)))
-    out = streams.drain(keyed.awaited(_arriving(spark, events), _arriving(spark, calls, (0, 2, 1, 3)), late=_lateness(events, calls)))
+    out = streams.drain(keyed.awaited(_arriving(spark, events, file_rows=FILE_ROWS), _arriving(spark, calls, (0, 2, 1, 3), FILE_ROWS), late=_lateness(events, calls)))
     return out.select("block_number", "state", F.array_join("missing", ",").alias("missing"), F.size("calls").cast("bigint").alias("came"))
 
 

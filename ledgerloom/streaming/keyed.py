@@ -12,6 +12,8 @@ from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -203,106 +205,177 @@ def throttled(blocks: DataFrame, seconds: int, late: str = "10 minutes", groups:
     return rows.groupBy("group").transformWithStateInPandas(Throttle(seconds), Throttle.output, "append", "EventTime")
 
 
+#: Blocks and log indexes whose events share a group, and rows that are packed at once.
+SPAN, LANE, PACKED = 16384, 16, 1 << 17
+#: A row that goes to a group: an event (its needs) or a call (its name and result). Null times are the least number.
+ROWS = pa.schema([("block_number", pa.int64()), ("log_index", pa.int64()), ("us", pa.int64()), ("call", pa.bool_()), ("needs", pa.list_(pa.string())), ("name", pa.string()), ("result", pa.string())])
+NO_TIME = np.iinfo("int64").min
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches put together to PACKED rows or a little more."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= PACKED:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.concat_batches(held)
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one group in one value: (span, lane, time of the latest, rows), so that what a row costs on its way to the state is paid once for many.
+
+    Rows without a time are packed apart. Those with null block_number have no rows to pack, only a time; their group is not null, since keys
+    beside a null one reach the state as floats, which it takes for nulls.
+    """
+    def packs(span, lane, time, rows, kind):
+        return pa.RecordBatch.from_arrays([pa.array(span, pa.int64()), pa.array(lane, pa.int64()), time.cast(kind), pa.array(rows, pa.binary())], ["span", "lane", "time", "rows"])
+
+    for batch in _gathered(batches):
+        time, unknown = batch["time"], batch["block_number"].is_null()
+        if unknown.true_count:
+            yield packs([0], [0], pa.array([pc.max(time.filter(unknown))]), [None], time.type)
+            batch = batch.filter(pc.invert(unknown))
+        if not batch.num_rows:
+            continue
+        us = pc.fill_null(batch["time"].cast(pa.int64()), NO_TIME)
+        rows = pa.RecordBatch.from_arrays([us if f.name == "us" else batch[f.name].cast(f.type) for f in ROWS], schema=ROWS)
+        span, lane, us = rows["block_number"].to_numpy() // SPAN, rows["log_index"].to_numpy() // LANE, us.to_numpy()
+        order = np.lexsort((us == NO_TIME, lane, span))
+        rows, span, lane, us = rows.take(pa.array(order)), span[order], lane[order], us[order]
+        change = (span[1:] != span[:-1]) | (lane[1:] != lane[:-1]) | ((us[1:] == NO_TIME) != (us[:-1] == NO_TIME))
+        first = np.append(0, np.flatnonzero(change) + 1)
+        last = np.maximum.reduceat(us, first)
+        parts = [rows.slice(at, n).serialize().to_pybytes() for at, n in zip(first.tolist(), np.diff(first, append=len(us)).tolist())]
+        yield packs(span[first], lane[first], pa.array(last, mask=last == NO_TIME), parts, time.type)
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What groups put out, a row each again."""
+    for batch in batches:
+        for rows in batch["rows"]:
+            yield pa.ipc.read_record_batch(rows.as_buffer(), Awaited.OUT)
+
+
 class Awaited(StatefulProcessor):
-    """Per event the calls that it awaits and those that have come, as a map state; one group holds the events of SPAN blocks."""
+    """The events of a group that wait, and the calls that have come for them or for events that have not: one Arrow batch in a value state."""
 
     output = "block_number long, log_index long, state string, missing array<string>, calls array<string>, results array<string>"
+    OUT = pa.schema([("block_number", pa.int64()), ("log_index", pa.int64()), ("state", pa.string()), *[(c, pa.list_(pa.string())) for c in ("missing", "calls", "results")]])
 
     def __init__(self, wait: int):
         self.wait = wait
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.events = handle.getMapState("events", "block_number bigint, log_index bigint", "ms bigint, needs array<string>, calls array<string>, results array<string>, times array<bigint>")
+        self.waiting = handle.getValueState("waiting", "rows binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known: dict[tuple, list] = {}
-        done, waiting = [], []
-        for p in rows:
-            times = p["time"].astype("datetime64[ms]").astype("int64").tolist()
-            for block, log, name, result, needs, ms in zip(p["block_number"].tolist(), p["log_index"].tolist(), p["name"], p["result"], p["needs"], times):
-                if pd.isna(block):
-                    continue
-                at = (int(block), int(log))
-                if at not in known:
-                    held = self.events.getValue(at) if self.events.containsKey(at) else (None, None, [], [], [])
-                    known[at] = [held[0], held[1], *[list(x) for x in held[2:]]]
-                state = known[at]
-                if needs is not None:
-                    state[0], state[1] = ms, list(needs)
-                else:
-                    state[2].append(name), state[3].append(result), state[4].append(ms)
-        for at, (ms, needs, calls, results, times) in known.items():
-            found = self.outcome(at, ms, needs, calls, results, times, False)
-            if found:
-                done.append(found)
-                self.events.removeKey(at)
-            else:
-                self.events.updateValue(at, (ms, needs, calls, results, times))
-                waiting.append(self.deadline(ms, times))
-        self.wake_at(waiting)
-        yield from self.frames(done)
+        new = [self.read(pack) for p in rows for pack in p["rows"] if pack is not None]
+        if new:
+            new, late = pa.concat_batches(new), timerValues.getCurrentWatermarkInMs() * 1000
+            us = new["us"].to_numpy()
+            new = new.filter(pa.array((us > late) | (us == NO_TIME)))
+            yield from self.step(pa.concat_batches([*self.held(), new]), None)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        upto, done, gone, left = timerValues.getCurrentWatermarkInMs(), [], [], []
-        for at, (ms, needs, calls, results, times) in self.events.iterator():
-            if self.deadline(ms, times) < upto:
-                gone.append(tuple(at))
-                if ms is not None:
-                    done.append(self.outcome(tuple(at), ms, needs, calls, results, times, True))
-            else:
-                left.append(self.deadline(ms, times))
-        for at in gone:
-            self.events.removeKey(at)
-        self.wake_at(left)
-        yield from self.frames(done)
-
-    def deadline(self, ms, times) -> int:
-        return (max(times) if ms is None else ms) + self.wait
-
-    def wake_at(self, deadlines: list[int]) -> None:
-        """One timer at a time: at the earliest deadline."""
-        if deadlines:
-            first, known = min(deadlines) + 1, list(self.handle.listTimers())
-            if not known or first < min(known):
-                for t in known:
-                    self.handle.deleteTimer(t)
-                self.handle.registerTimer(first)
-
-    def outcome(self, at, ms, needs, calls, results, times, late: bool):
-        """The event's row once all that it awaits has come within the wait, or it has waited long enough."""
-        if ms is None:
-            return None
-        came = {c: r for t, c, r in sorted(zip(times, calls, results), reverse=True) if c in needs and abs(t - ms) <= self.wait}
-        missing = sorted(set(needs) - came.keys())
-        if missing and not late:
-            return None
-        return (*at, "backlog" if missing else "ready", missing, sorted(came), [came[c] for c in sorted(came)])
-
-    def frames(self, rows: list) -> Iterator[pd.DataFrame]:
-        if rows:
-            frame = pd.DataFrame(rows, columns=["block_number", "log_index", "state", "missing", "calls", "results"], dtype=object)
-            yield frame.astype({"block_number": "int64", "log_index": "int64"})
+        for rows in self.held():
+            yield from self.step(rows, timerValues.getCurrentWatermarkInMs())
+
+    def read(self, pack) -> pa.RecordBatch:
+        return pa.ipc.read_record_batch(pa.py_buffer(pack), ROWS)
+
+    def held(self) -> list[pa.RecordBatch]:
+        return [self.read(self.waiting.get()[0])] if self.waiting.exists() else []
+
+    def step(self, rows: pa.RecordBatch, upto: int | None) -> Iterator[pd.DataFrame]:
+        """Events that are ready come out, or, with `upto`, those whose deadline lies before it; the other rows are held. Of several rows of one
+        event the latest to come counts."""
+        block, log, ms = rows["block_number"].to_numpy(), rows["log_index"].to_numpy(), rows["us"].to_numpy() // 1000
+        is_event = ~rows["call"].to_numpy(zero_copy_only=False)
+        events, calls = np.flatnonzero(is_event), np.flatnonzero(~is_event)
+        keys, at = np.unique(block % SPAN * LANE + log % LANE, return_inverse=True)  # all rows are of one span and lane
+        event = np.full(len(keys), -1)
+        event[at[events]] = events
+        has = event >= 0
+        last = np.full(len(keys), NO_TIME)
+        np.maximum.at(last, at[calls], ms[calls])
+        last[has] = ms[event[has]]
+
+        # what each event wants, a number per event and name in order of both, and the earliest call in time for it
+        needs = rows["needs"].take(pa.array(event[has]))
+        named = pa.concat_arrays([needs.flatten(), rows["name"].take(pa.array(calls))]).dictionary_encode(null_encoding="encode")
+        order = pc.sort_indices(named.dictionary).to_numpy()
+        names, n = named.dictionary.take(pa.array(order)), max(len(order), 1)
+        code = np.argsort(order)[named.indices.to_numpy()]
+        owner = np.repeat(np.flatnonzero(has), pc.list_value_length(needs).to_numpy())
+        wants = np.unique(owner * n + code[: len(owner)])
+        found = np.full(len(wants), -1)
+        if len(wants):
+            asked = at[calls] * n + code[len(owner) :]
+            want = np.minimum(wants.searchsorted(asked), len(wants) - 1)
+            hit = (wants[want] == asked) & (np.abs(ms[calls] - last[at[calls]]) <= self.wait)
+            want, call = want[hit], calls[hit]
+            rank = pc.rank(rows["result"].take(pa.array(call)), "ascending", null_placement="at_start").to_numpy()
+            best = np.lexsort((rank, ms[call], want))[::-1]
+            found[want[best]] = call[best]
+        owner, missing = wants // n, found < 0
+        lacks = np.bincount(owner[missing], minlength=len(keys))
+
+        gone = has & (lacks == 0) if upto is None else last + self.wait < upto
+        done = has & gone
+        if done.any():
+            lack, came = done[owner] & missing, done[owner] & ~missing
+            name = lambda which: names.take(pa.array(wants[which] % n))
+
+            def lists(which: np.ndarray, values: pa.Array) -> pa.ListArray:
+                """One list for each event that is done."""
+                ends = np.cumsum(np.bincount(owner[which], minlength=len(keys))[done])
+                return pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), values)
+
+            own, results = event[done], rows["result"].take(pa.array(found[came]))
+            state = pa.array(np.where(lacks[done] > 0, "backlog", "ready"), pa.string())
+            columns = [pa.array(block[own]), pa.array(log[own]), state, lists(lack, name(lack)), lists(came, name(came)), lists(came, results)]
+            yield pd.DataFrame({"rows": [pa.RecordBatch.from_arrays(columns, schema=self.OUT).serialize().to_pybytes()]})
+
+        stays = ~gone[at] & (~is_event | (event[at] == np.arange(len(at))))
+        if stays.any():
+            self.waiting.update((rows.filter(pa.array(stays)).serialize().to_pybytes(),))
+            self.wake_at(int(last[~gone].min()) + self.wait + 1, upto)
+        elif self.waiting.exists():
+            self.waiting.clear()
+
+    def wake_at(self, first: int, upto: int | None) -> None:
+        """One timer at a time: at the earliest deadline. Those up to `upto` are expiring: they are still listed, but will be gone."""
+        known = [t for t in self.handle.listTimers() if upto is None or t > upto]
+        if not known or first < min(known):
+            for t in known:
+                self.handle.deleteTimer(t)
+            self.handle.registerTimer(first)
 
     def close(self) -> None:
         pass
 
 
-#: Blocks whose events share a group.
-SPAN = 256
-
-
 def awaited(events: DataFrame, calls: DataFrame, wait: int = 300, late: str = "0 seconds") -> DataFrame:
     """Events with their calls: ready as soon as all they await have come, backlog (with what is missing) `wait` seconds after the event.
 
     events: block_number, log_index, needs (names of calls; none: ready at once), time; calls: block_number, log_index, name, result,
     time. A call counts for its event when their times lie at most `wait` apart, whichever comes first; the earliest of several of one
     name. Calls without an event are forgotten after the wait. Rows with null block_number only move the watermark.
+
+    Rows go to their group, that of SPAN blocks and LANE log indexes, packed, and what a group puts out is packed too.
     """
-    e = events.select("block_number", "log_index", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("result"), "needs", "time")
-    c = calls.select("block_number", "log_index", "name", F.col("result").cast("string").alias("result"), F.lit(None).cast("array<string>").alias("needs"), "time")
-    rows = e.unionByName(c).withColumn("span", F.floor(F.col("block_number") / SPAN)).withWatermark("time", late)
-    return rows.groupBy("span").transformWithStateInPandas(Awaited(1000 * wait), Awaited.output, "append", "EventTime")
+    # no list is null: Arrow's writer goes through all null ones before a row again for each row
+    none = F.array().cast("array<string>")
+    e = events.select("block_number", "log_index", F.lit(False).alias("call"), F.coalesce("needs", none).alias("needs"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("result"), "time")
+    c = calls.select("block_number", "log_index", F.lit(True).alias("call"), none.alias("needs"), "name", F.col("result").cast("string").alias("result"), "time")
+    rows = e.unionByName(c).mapInArrow(_packed, "span long, lane long, time timestamp, rows binary").withWatermark("time", late)
+    done = rows.groupBy("span", "lane").transformWithStateInPandas(Awaited(1000 * wait), "rows binary", "append", "EventTime")
+    return done.mapInArrow(_unpacked, Awaited.output)
 
 
 class Late(StatefulProcessor):
